@@ -19,6 +19,7 @@ LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
 _own_checkpoints: dict[str, str] = {}
+_powers: dict[int, np.ndarray] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,17 +44,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def powers(n: int) -> np.ndarray:
-    """The first n powers of the hash base modulo 2**64."""
-    out = np.full(n, _BASE, dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out, dtype=np.uint64)
+def powers(n: int, base: int = _BASE) -> np.ndarray:
+    """The first n powers of the base modulo 2**64; the longest run so far is kept for the next call."""
+    if len(_powers.get(base, ())) < n:
+        out = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+        out[0] = 1
+        _powers[base] = np.multiply.accumulate(out, dtype=np.uint64)
+    return _powers[base][:n]
 
 
 def inverse_powers(n: int) -> np.ndarray:
-    out = np.full(n, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out, dtype=np.uint64)
+    return powers(n, pow(_BASE, -1, 1 << 64))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

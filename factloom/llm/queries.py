@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hilbert_sharding, url_automaton, warc_segments
+from . import decontaminate, hilbert_sharding, quality_crf, url_automaton, warc_segments
 from .common import shared_dir, small_batches, table
 
 
@@ -14,6 +14,18 @@ def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_sharding.shard(table(spark, sf_dir, "documents"), n_shards=8)
 
 
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    weights, stay = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_crf.judge(docs, weights, stay)
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
@@ -25,6 +37,6 @@ def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op8_warc_segments, op10_url_automaton)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op7_decontaminate, op8_warc_segments, op10_url_automaton)}
 
 SQL: dict[str, str] = {}
