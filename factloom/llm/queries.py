@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hilbert_sharding, quality_crf, url_automaton, warc_segments
+from . import decontaminate, hilbert_sharding, minhash_dedup, quality_crf, url_automaton, warc_segments
 from .common import shared_dir, small_batches, table
 
 
@@ -21,6 +21,11 @@ def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.judge(docs, weights, stay)
 
 
+def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return minhash_dedup.dedup(table(spark, sf_dir, "documents"), k=4, percent=80)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -37,6 +42,6 @@ def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op7_decontaminate, op8_warc_segments, op10_url_automaton)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op5_minhash_dedup, op7_decontaminate, op8_warc_segments, op10_url_automaton)}
 
 SQL: dict[str, str] = {}
