@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hilbert_sharding, minhash_dedup, quality_crf, url_automaton, warc_segments
+from . import decontaminate, hilbert_sharding, langid, minhash_dedup, quality_crf, url_automaton, warc_segments
 from .common import shared_dir, small_batches, table
 
 
@@ -38,10 +38,16 @@ def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_segments.summary(warc_segments.reassembled(warc_segments.read_records(spark, path)))
 
 
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
 def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op5_minhash_dedup, op7_decontaminate, op8_warc_segments, op10_url_automaton)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op5_minhash_dedup, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
 
 SQL: dict[str, str] = {}
