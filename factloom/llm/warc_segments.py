@@ -100,14 +100,17 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = 0, segment: i
     """Writes all pages as .gz archives under path. Payloads of fewer than min_revisit bytes are never revisits.
 
     Rows get an id from their place in the input, which is the same in each run of the scan. Only (id, digest) pairs
-    meet by digest, with partial aggregation first; the html goes by the row's own id, and only for stored payloads.
+    meet by digest, with partial aggregation first; the html is shuffled once, by the row's own id, to as many
+    partitions as there are to be files.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.monotonically_increasing_id().alias("uid"))
     slim = rows.select("page_id", "url", "uid", F.octet_length("html").alias("size"), F.sha1(F.col("html").cast("binary")).alias("digest"))
     owner = slim.groupBy("digest").agg(F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "uid")).alias("owner"), F.max("size").alias("size"))
     owner = owner.where(F.col("size") >= min_revisit).select("digest", F.col("owner.uid").alias("owner"))
     linked = slim.join(owner, "digest", "left").select("page_id", "url", "uid", "digest", F.when(F.col("owner") != F.col("uid"), F.col("owner")).alias("refers"))
-    stored = linked.where(F.col("refers").isNull()).join(rows.select("uid", "html"), "uid")
+    total = slim.agg(F.sum("size")).first()[0] or 0
+    files = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // file_bytes))
+    stored = linked.where(F.col("refers").isNull()).repartition(files, "uid").join(rows.select("uid", "html").repartition(files, "uid"), "uid")
     ready = stored.unionByName(linked.where(F.col("refers").isNotNull()).withColumn("html", F.lit(None).cast("string")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -120,10 +123,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = 0, segment: i
                 out += records_of(str(int(r["uid"])), page_id, r["url"], digest, r["html"], refers, segment)
             yield pd.DataFrame({"value": out})
 
-    size = slim.agg(F.sum("size")).first()[0] or 0
-    files = max(1, int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // file_bytes))
-    dealt = ready.mapInPandas(run, "value string").repartition(files)
-    dealt.write.mode("overwrite").option("lineSep", END).option("compression", "gzip").text(path)
+    ready.mapInPandas(run, "value string").write.mode("overwrite").option("lineSep", END).option("compression", "gzip").text(path)
 
 
 def parse(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
