@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hilbert_sharding, langid, minhash_dedup, quality_crf, url_automaton, warc_segments
+from . import decontaminate, hilbert_sharding, langid, minhash_dedup, packing, quality_crf, url_automaton, warc_segments
 from .common import shared_dir, small_batches, table
 
 
@@ -26,6 +26,13 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.dedup(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    small_batches(spark)
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -48,6 +55,6 @@ def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op5_minhash_dedup, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
 
 SQL: dict[str, str] = {}
