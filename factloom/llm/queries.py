@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, hilbert_sharding, langid, minhash_dedup, packing, quality_crf, url_automaton, warc_segments
+from . import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, packing, quality_crf, url_automaton, warc_segments
 from .common import shared_dir, small_batches, table
 
 
@@ -21,6 +22,13 @@ def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.judge(docs, weights, stay)
 
 
+def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "\\### Assistant: </turn> ok"
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    return chat_windows.digests(chat_windows.windows(chats.unionByName(extra)))
+
+
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return minhash_dedup.dedup(table(spark, sf_dir, "documents"), k=4, percent=80)
@@ -55,6 +63,6 @@ def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op4_chat_windows, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
 
 SQL: dict[str, str] = {}
