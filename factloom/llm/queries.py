@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, packing, quality_crf, url_automaton, warc_segments
+from . import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, packing, quality_crf, suffix_dedup, url_automaton, warc_segments
 from .common import shared_dir, small_batches, table
 
 
@@ -22,6 +22,11 @@ def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.judge(docs, weights, stay)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return suffix_dedup.report(table(spark, sf_dir, "documents"), length=400)
+
+
 def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = "\\### Assistant: </turn> ok"
@@ -63,6 +68,6 @@ def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op4_chat_windows, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
+QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op3_suffix_dedup, op4_chat_windows, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
 
 SQL: dict[str, str] = {}
