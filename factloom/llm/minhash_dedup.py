@@ -8,11 +8,15 @@ chunk the keys enumerate what its allowance permits (the chunk with each choice
 allowed symbols blanked), so every pair within the distance shares a key.
 
 Pairs are never enumerated within a bucket. First each text meets the smallest id of
-each of its buckets; pairs within the distance are verified on the full shingle sets
-and united. Then only buckets whose members are still in several components are
-joined, across components, under the same distance and size conditions, and what is
-found is verified, too. So every pair within the distance is either verified or
-already in one component; texts that are equal word by word count as one throughout.
+each of its buckets, the hub; pairs within the distance are verified on the full
+shingle sets and united, and each text keeps which of the hub's shingles it has, as
+bits. Then only buckets whose members are still in several components are looked at
+again, in blocks: members outside the largest component against all members of other
+components. A pair passes if sizes and distance permit it and so does the bound on
+its similarity from the bits of both (shingles shared within the hub's, and at most
+the smaller number of others). What passes is verified, too. So every pair within the
+distance is verified, or ruled out exactly, or already in one component; texts that
+are equal word by word count as one throughout.
 
 A pair of Jaccard similarity J differs in a share 1 - J of its symbols on average: at
 0.8, 12.8 of 64 (standard deviation 3.2), so DISTANCE = 26 leaves less than one pair
@@ -43,6 +47,8 @@ CHUNKS = SYMBOLS // LANES
 DISTANCE = 26
 #: Texts verified against one hub in a task, about.
 HUB_ROWS = 1000
+#: Members of a bucket that are compared with others in one task, about.
+BLOCK_ROWS = 2000
 SYMBOL_BITS = 15
 _LANE = (1 << SYMBOL_BITS) - 1
 
@@ -133,7 +139,7 @@ def near(a: str, b: str, percent: int, distance: int) -> Column:
 
 
 def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: int = HUB_ROWS) -> DataFrame:
-    """Those of the pairs (hub, x) whose full shingle sets have 100 * intersection >= percent * union.
+    """The pairs (x, hub) with `linked`, that is 100 * intersection >= percent * union of the full sets; `bits`: which shingles of the hub x has; `others`: how many more x has.
 
     Texts meet their hub's in sorted runs and pass one at a time; a hub with many pairs is dealt to as many runs as needed.
     """
@@ -146,7 +152,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            us, vs = [], []
+            out: list[tuple] = []
             for lo, hi in common.batches(batch.column("text"), 1 << 19):
                 part = batch.slice(lo, hi - lo)
                 data, offsets = common.text_buffer(part.column("text"))
@@ -159,13 +165,93 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: in
                         if held != (hub, r):
                             held, own = (hub, r), mine
                     elif held == (hub, r) and len(mine):
-                        both = len(np.intersect1d(own, mine, assume_unique=True))
-                        if 100 * both >= percent * (len(own) + len(mine) - both):
-                            us.append(x)
-                            vs.append(hub)
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+                        has = np.isin(own, mine, assume_unique=True)
+                        both = int(has.sum())
+                        linked = 100 * both >= percent * (len(own) + len(mine) - both)
+                        out.append((x, hub, linked, len(mine) - both, np.packbits(has).tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], ["x", "hub", "linked", "others", "bits"])
+
+    return met.select("doc_id", "text", "hub", "run").mapInArrow(run, "x long, hub long, linked boolean, others long, bits binary")
+
+
+def _padded(bits: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of 64-bit words, and which rows are known."""
+    width = -(-max((len(b) for b in bits if b is not None), default=1) // 8) * 8
+    return np.frombuffer(b"".join((b or b"").ljust(width, b"\0") for b in bits), np.uint64).reshape(len(bits), -1), np.array([b is not None for b in bits], bool)
+
+
+class Block:
+    """Members of a bucket as arrays."""
+
+    def __init__(self, rows: list[tuple]):
+        node, component, size, signature, others, bits = zip(*rows, strict=True)
+        self.node, self.component, self.size = np.array(node), np.array(component), np.array(size)
+        self.signature = np.array(signature, np.int64).view(np.uint64)
+        self.others = np.array([o if o is not None else 0 for o in others])
+        self.bits, self.known = _padded(list(bits))
+
+
+def passing(left: Block, right: Block, percent: int, distance: int) -> Iterator[tuple[int, int]]:
+    """Pairs (smaller node, larger node) of different components that sizes, distance and bits permit."""
+    low = np.uint64(sum((_LANE >> 1) << (SYMBOL_BITS * lane) for lane in range(LANES)))
+    high = np.uint64(sum(1 << (SYMBOL_BITS * lane + SYMBOL_BITS - 1) for lane in range(LANES)))
+    width = min(left.bits.shape[1], right.bits.shape[1])
+    for i in range(len(left.node)):
+        n, m = left.size[i], right.size
+        at = np.flatnonzero((right.component != left.component[i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        if not len(at):
+            continue
+        x = right.signature[at] ^ left.signature[i]
+        at = at[np.bitwise_count((((x & low) + low) | x) & high).sum(axis=1) <= distance]
+        if len(at) and left.known[i]:
+            shared = np.bitwise_count(right.bits[at, :width] & left.bits[i, :width]).sum(axis=1).astype(np.int64) + np.minimum(left.others[i], right.others[at])
+            shared = np.where(right.known[at], shared, np.minimum(n, right.size[at]))
+            at = at[100 * shared >= percent * (n + right.size[at] - shared)]
+        a = int(left.node[i])
+        for b in right.node[at].tolist():
+            yield min(a, b), max(a, b)
+
+
+def across(placed: DataFrame, signs: DataFrame, stars: DataFrame, percent: int, distance: int, block: int = BLOCK_ROWS) -> DataFrame:
+    """Pairs (hub, x) that share a bucket, lie in different components and pass.
+
+    placed: key, hub, node, component. A bucket's members are dealt to blocks, and its members outside the largest
+    component (`stray`) to all of them, in blocks of their own; most buckets are one block.
+    """
+    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    buckets = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
+    buckets = buckets.select("key", F.col("most.component").alias("main"), F.ceil(F.col("n") / block).cast("int").alias("all_blocks"), F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("stray_blocks"))
+    rows = placed.join(buckets, "key").withColumn("draw", F.xxhash64("node"))
+    none = F.array().cast("array<struct<i:int,j:int,stray:boolean>>")
+    cell = lambda i, j, stray: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(stray).alias("stray"))
+    i, j = F.pmod("draw", "all_blocks"), F.pmod("draw", "stray_blocks")
+    to_all = F.transform(F.sequence(F.lit(0), F.col("stray_blocks") - 1), lambda b: cell(i, b, False))
+    to_own = F.when(F.col("component") != F.col("main"), F.transform(F.sequence(F.lit(0), F.col("all_blocks") - 1), lambda b: cell(b, j, True)))
+    dealt = rows.select("key", "hub", "node", "component", F.explode(F.concat(to_all, F.coalesce(to_own, none))).alias("cell"))
+    known = stars.select(F.col("x").alias("node"), "hub", "others", "bits")
+    dealt = dealt.join(signs, "node").join(known, ["node", "hub"], "left").select("key", "cell.i", "cell.j", "cell.stray", "node", "component", "n_shingles", "signature", "others", "bits")
+    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def solve() -> list[tuple[int, int]]:
+            if not (left and right):
+                return []
+            return list(passing(Block(left), Block(right), percent, distance))
+
+        now, left, right, found = None, [], [], []
+        for batch in batches:
+            for key, i, j, stray, *row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns)), strict=True):
+                if (key, i, j) != now:
+                    found += solve()
+                    now, left, right = (key, i, j), [], []
+                (left if stray else right).append(tuple(row))
+            yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in found], pa.int64()) for n in (0, 1)], ["hub", "x"])
+            found = []
+        found = solve()
+        yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in found], pa.int64()) for n in (0, 1)], ["hub", "x"])
 
-    return met.select("doc_id", "text", "hub", "run").mapInArrow(run, "u long, v long")
+    return dealt.mapInArrow(run, "hub long, x long").distinct()
 
 
 def link(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANCE) -> tuple[DataFrame, DataFrame]:
@@ -180,18 +266,15 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANC
     x, h = signs.alias("x"), signs.alias("h")
     stars = members.where("node <> hub").select("node", "hub").distinct()
     stars = stars.join(x, stars.node == F.col("x.node")).join(h, stars.hub == F.col("h.node")).where(near("x", "h", percent, distance)).select(stars.node.alias("x"), stars.hub.alias("hub"))
-    stars = common.cut(stars)
-    edges = common.cut(verify(stars, docs, k, percent))
+    verified = common.cut(verify(common.cut(stars), docs, k, percent))
+    edges = verified.where("linked").select(F.col("x").alias("u"), F.col("hub").alias("v"))
     found = components(edges)
-    placed = members.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    apart = common.cut(placed.join(split, "key").join(signs, "node"))
-    a, b = apart.alias("a"), apart.alias("b")
-    across = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") < F.col("b.component")) & near("a", "b", percent, distance))
-    across = across.select(F.least("a.node", "b.node").alias("hub"), F.greatest("a.node", "b.node").alias("x")).distinct()
-    across = common.cut(across.join(stars, ["hub", "x"], "left_anti"))
-    if not across.isEmpty():
-        found = components(edges.union(verify(across, docs, k, percent)))
+    placed = common.cut(members.join(found, "node", "left").select("key", "hub", "node", F.coalesce("component", "node").alias("component")))
+    more = across(placed, signs, verified, percent, distance).join(verified.select("hub", "x"), ["hub", "x"], "left_anti")
+    more = common.cut(more)
+    if not more.isEmpty():
+        checked = verify(more, docs, k, percent).where("linked").select(F.col("x").alias("u"), F.col("hub").alias("v"))
+        found = components(edges.union(checked))
     placed = nodes.select("text_key", "node").join(found, "node", "left")
     return signed, placed.select("text_key", F.coalesce("component", "node").alias("component"))
 
