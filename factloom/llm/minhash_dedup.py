@@ -47,6 +47,10 @@ CHUNKS = SYMBOLS // LANES
 DISTANCE = 26
 #: Texts verified against one hub in a task, about.
 HUB_ROWS = 1000
+#: Pairs that may be broadcast, three numbers each and their hubs; more are shuffled.
+BROADCAST_PAIRS = 50_000
+#: Ids of dropped documents that may be broadcast, 8 bytes each; more are shuffled.
+BROADCAST_IDS = 200_000
 #: Members of a bucket that are compared with others in one task, about.
 BLOCK_ROWS = 2000
 SYMBOL_BITS = 15
@@ -147,6 +151,8 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: in
     dealt = pairs.join(load, "hub").select("hub", "x", F.pmod(F.xxhash64("x"), F.ceil(F.col("load") / hub_rows)).alias("run"))
     asked = dealt.select(F.col("x").alias("doc_id"), "hub", "run").union(dealt.select(F.col("hub").alias("doc_id"), "hub", "run").distinct())
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+    if pairs.count() <= BROADCAST_PAIRS:
+        asked = F.broadcast(asked)
     met = asked.join(texts, "doc_id").repartition("hub", "run").sortWithinPartitions("hub", "run", F.col("doc_id") != F.col("hub"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,6 +294,8 @@ def dedup(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTAN
 
 
 def representatives(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANCE) -> DataFrame:
-    """The documents, with all their columns, of which each group keeps the one of the smallest doc_id."""
-    gone = dedup(docs, k, percent, distance).where("not kept").select("doc_id").distinct()
+    """The documents, with all their columns, of which each group keeps the one of the smallest doc_id (all rows of that doc_id)."""
+    gone = common.cut(dedup(docs, k, percent, distance).where("not kept").select("doc_id").distinct())
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)

@@ -285,3 +285,44 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     lost = removal(texts, marked).drop("kept")
     slim = rows.select("doc_id", *_KEY, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
     return slim.join(lost, _KEY, "left").select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+
+
+def at_code_points(raw: np.ndarray, where: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs without the parts of code points at their ends."""
+    inner = (raw & 0xC0) == 0x80
+    out = []
+    for a, b in where:
+        while a < b and inner[a]:
+            a += 1
+        while b > a and b < len(raw) and inner[b]:
+            b -= 1
+        if a < b:
+            out.append((a, b))
+    return out
+
+
+def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """The documents, with all their columns, without the bytes that `spans` marks; n_chars, where it is there, is counted anew.
+
+    Runs are drawn in to whole code points. A document that loses text and has none but white space left goes.
+    """
+    _, _, marked = spans(docs, length)
+    text = F.coalesce("text", F.lit(""))
+    own = docs.withColumns({"_ft_h1": F.xxhash64(F.lit(1), text), "_ft_h2": F.xxhash64(F.lit(2), text)})
+    marks = marked.select(F.col("h1").alias("_ft_h1"), F.col("h2").alias("_ft_h2"), F.col("spans").alias("_ft_spans"))
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keep = batch.column("text").to_pylist(), []
+            for k, where in enumerate(batch.column("_ft_spans").to_pylist()):
+                keep.append(True)
+                if where:
+                    raw = np.frombuffer((texts[k] or "").encode(), np.uint8)
+                    texts[k] = stripped(raw, at_code_points(raw, runs([(s["start"], s["end"]) for s in where]))).tobytes().decode()
+                    keep[-1] = bool(texts[k].strip())
+            new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in texts], pa.int64())}
+            columns = [new[n].cast(batch.column(n).type) if n in new else batch.column(n) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
+
+    return own.join(marks, ["_ft_h1", "_ft_h2"], "left").select(*names, "_ft_spans").mapInArrow(run, docs.schema)
