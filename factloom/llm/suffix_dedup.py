@@ -236,7 +236,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = ANCHOR, shard_bytes
     """(documents with their keys, the texts that may hold repeats, the runs of each such text to remove: h1, h2, spans)."""
     rows = keyed(docs)
     long = rows.where(F.octet_length("text") >= length)
-    owned = grams(long, length, gram)
+    owned = written(grams(long, length, gram), "grams")
     often = owned.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     wanted = owned.join(often, "gram").groupBy(*_KEY).agg(F.collect_set("gram").alias("grams"))
     # one row stands for all with its text
