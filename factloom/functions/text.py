@@ -77,7 +77,7 @@ def human_size(size: Column) -> Column:
     out, scaled = F.lit(None).cast("string"), size.cast("double")
     units = ["B", "KB", "MB", "GB", "TB", "PB"]
     for k in range(len(units) - 1, -1, -1):
-        shown = F.format_string("%.1f" + units[k], scaled / (1024.0**k))
+        shown = F.format_string("%.1f" + units[k], F.bround(scaled / (1024.0**k), 1))
         out = shown if k == len(units) - 1 else F.when(scaled < 1024.0 ** (k + 1), shown).otherwise(out)
     return out
 
