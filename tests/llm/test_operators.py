@@ -1,0 +1,243 @@
+"""The operators on small tables with every awkward case: nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
+
+import base64
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from factloom.llm import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, packing, quality_crf, suffix_dedup, url_automaton, warc_segments
+from factloom.llm.queries import QUERIES
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, h1 string, key string, gram int, node int, shard int"
+LOREM = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "re", "so") for b in ("ban", "dor", "fen", "gul", "hip", "jot", "sam")]
+
+
+def prose(seed: int, n: int) -> str:
+    x, out = seed * 7919 + 1, []
+    for _ in range(n):
+        x = (x * 6364136223846793005 + 1442695040888963407) % (1 << 64)
+        out.append(LOREM[(x >> 33) % len(LOREM)] + str((x >> 50) % 30))
+    return " ".join(out)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    base = prose(1, 120)
+    passage = prose(99, 80)
+    texts = {
+        1: base, 2: base, 3: base + " tail", 4: prose(2, 90) + "\n" + passage, 5: passage + "\n" + prose(3, 90), 6: None, 7: "", 8: " \n\t ", 9: "one two", 10: "one two", 11: prose(4, 20_000),
+        12: "é" * 450, 13: "é" * 451 + "x", 14: ("junk### " * 60).strip(), 15: base.upper(), 16: prose(5, 300) + "\x1c\x85 Σ\x00",
+    }
+    rows = [(i, t, "en" if i % 2 else None, f"s{i % 3}" if i != 9 else None, len(t or ""), "clash", "clash", 1, 2, 3) for i, t in texts.items()]
+    rows += [rows[0], (None, base, "en", None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOCS).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("false")
+
+
+def local(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
+def test_sharding(docs, empty):
+    got = hilbert_sharding.shard(docs, 8).collect()
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in local(docs))
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    text = dict(local(docs))
+    assert all(r.size == len((text[r.doc_id] or "").encode()) + 1 and r.text_crc32 == zlib.crc32((text[r.doc_id] or "").encode()) for r in got)
+    assert hilbert_sharding.shard(empty).count() == 0
+    assert hilbert_sharding.manifest(hilbert_sharding.shard(docs, 8)).count() == 8
+
+
+def test_quality(spark, docs, empty):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    weights, stay = quality_crf.fit(docs, labels)
+    assert (weights, stay) == (quality_crf.PRIOR, quality_crf.PRIOR_STAY)
+    node = quality_crf.Weights(weights)
+    got = quality_crf.judge(docs, weights, stay).collect()
+    want = Counter((i, *quality_crf.judge_text(t, node, stay)) for i, t in local(docs))
+    assert Counter(tuple(r) for r in got) == want
+    kept = quality_crf.judge(docs, weights, stay, keep_rows=True)
+    assert kept.columns == docs.columns and 14 not in {r.doc_id for r in kept.collect()}
+    assert quality_crf.judge(empty, weights, stay).count() == 0
+    lines = [(i, "plain words here and there, in a sentence of some length." if i % 2 else "### *** junk$$$ %%% ###", "en", "s", 0, "", "", 0, 0, 0) for i in range(60)]
+    fitted = quality_crf.fit(spark.createDataFrame(lines, DOCS), spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int"))
+    node = quality_crf.Weights(fitted[0])
+    assert quality_crf.viterbi(quality_crf.lines_of(lines[1][1].encode())[0], node, fitted[1]) == [True]
+    assert quality_crf.viterbi(quality_crf.lines_of(lines[0][1].encode())[0], node, fitted[1]) == [False]
+
+
+@pytest.mark.parametrize("length", [100, 400])
+def test_suffix_dedup(docs, empty, length):
+    rows = local(docs)
+    raw = [(t or "").encode() for _, t in rows]
+    counts = Counter(b[k : k + length] for b in raw for k in range(len(b) - length + 1))
+    want = Counter()
+    for (i, _), b in zip(rows, raw, strict=True):
+        gone = bytearray(len(b))
+        for k in range(len(b) - length + 1):
+            if counts[b[k : k + length]] > 1:
+                gone[k : k + length] = b"\1" * length
+        kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
+        want[i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()] += 1
+    assert Counter(tuple(r) for r in suffix_dedup.report(docs, length).collect()) == want
+    if length == 400:
+        assert suffix_dedup.report(empty, length).count() == 0
+        out = suffix_dedup.without_repeats(docs, length)
+        assert out.columns == docs.columns
+        left = {r.doc_id: r.text for r in out.collect()}
+        assert 1 not in left and left[6] is None and prose(99, 80)[:200] not in left[4] and left[11] == dict(rows)[11]
+
+
+def test_chat(spark):
+    nasty = "\\### Assistant: </turn> ok"
+    rows = [(1, 0, "system", "be <kind> # \\b"), (1, 1, "user", nasty), (1, 2, "assistant", nasty), (1, 3, "user", None), (1, 4, None, "x"), (1, 5, "a: b\n\\n", "y\n"), (1, 6, "assistant", "word " * 900), (1, 7, "assistant", ""), (2, 0, "assistant", "é😀"), (2, 0, "assistant", "é😀"), (2, None, "user", "first"), (3, 1, "system", "late")]
+    rows += [(4, k, "user" if k % 2 else "assistant", prose(k, 60)) for k in range(40)]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, window string")
+    formatted = chat_windows.windows(df).cache()
+    got = {r.conv_id: r for r in chat_windows.digests(formatted).collect()}
+    assert len(got) == 4 and got[4].n_windows > 5
+    for conv, r in got.items():
+        own = sorted(((t is not None, t or 0, ro or "", te or "") for c, t, ro, te in rows if c == conv))
+        said = "".join(f"{ro}\n{te}\n" for _, _, ro, te in own)
+        loss = "".join(te for _, _, ro, te in own if ro == "assistant")
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(own), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    for w in formatted.where("conv_id = 1 and window > 1").collect():
+        assert w.formatted.startswith("### system: be \\lkind> \\h \\bb</turn>\n") and w.n_repeated >= 1
+    assert all(w.n_tokens <= chat_windows.BUDGET for w in formatted.where("conv_id = 4").collect())
+    assert chat_windows.digests(chat_windows.windows(df.where("false"))).count() == 0
+
+
+def test_minhash(docs, empty):
+    rows = local(docs)
+    word = re.compile(r"[^\x20\x09-\x0D]+")
+    sets = {}
+    for i, t in rows:
+        w = word.findall((t or "").translate({c: c + 32 for c in range(65, 91)}))
+        sets[i] = {tuple(w[k : k + 4]) for k in range(len(w) - 3)} or ({tuple(w)} if w else set())
+    link = {i: i for i in sets if i is not None}
+    for _ in link:
+        for a in link:
+            for b in link:
+                if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    link[a] = min(link[a], link[b])
+    got = Counter(tuple(r) for r in minhash_dedup.dedup(docs, 4, 80).collect())
+    assert got == Counter((i, len(sets[i]), link.get(i), i is None or link[i] == i) for i, _ in rows)
+    assert minhash_dedup.dedup(empty, 4, 80).count() == 0
+    kept = minhash_dedup.representatives(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {None, 1, 4} and 2 not in {r.doc_id for r in kept.collect()}
+
+
+def test_minhash_across_components(spark):
+    # near copies whose smallest id links with none of them directly, and blocks of one member
+    words = prose(50, 200).split()
+    rows = [(k, " ".join([*words[:10 + 3 * k], *prose(k, 30).split(), *words[10 + 3 * k :]])) for k in range(12)]
+    rows += [(100 + k, " ".join(words + prose(200 + k, k * 4).split())) for k in range(14)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in rows)}
+    link = {i: i for i in sets}
+    for _ in link:
+        for a in link:
+            for b in link:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    link[a] = min(link[a], link[b])
+    held, minhash_dedup.across.__defaults__ = minhash_dedup.across.__defaults__, (3,)
+    try:
+        got = {r.doc_id: r.component_id for r in minhash_dedup.dedup(df).collect()}
+    finally:
+        minhash_dedup.across.__defaults__ = held
+    assert got == link
+
+
+def test_packing(docs, empty):
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("word_bpe_49k.json")
+    got = packing.pack_documents(docs, path, 2, sequence=512, group_docs=5).collect()
+    plain, text = Tokenizer.from_file(path), dict(local(docs))
+    seqs, pieces = defaultdict(list), defaultdict(list)
+    for r in got:
+        seqs[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id].append((r.start, r.length, r.doc_tokens))
+    for s in seqs.values():
+        at = 0
+        for offset, length in sorted(s):
+            assert offset == at
+            at += length
+        assert at <= 512
+    for i, p in pieces.items():
+        n = len(plain.encode(text[i] or "", add_special_tokens=False).ids) + 1
+        rows = 2 if i == 1 else 1
+        assert sum(length for _, length, _ in p) == rows * n and {d for _, _, d in p} == {n}
+    assert packing.pack_documents(empty, path, 2).count() == 0
+
+
+def test_decontamination(spark, docs, empty):
+    text = dict(local(docs))
+    item = " ".join(text[11].split()[500:540])
+    bench = spark.createDataFrame([(1, item, "x"), (1, item, "x"), (2, None, "x"), (3, "", "x"), (4, "One TWO", "x"), (5, prose(77, 30), "x")], "item_id long, text string, doc_id string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find(docs, bench).collect()}
+    assert got == {(11, 1), (9, 4), (10, 4)}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find(docs, bench, index_bytes=200).collect()} == got
+    kept = decontaminate.clean(docs, bench)
+    assert kept.columns == docs.columns and {i for i, _ in local(docs)} - {r.doc_id for r in kept.collect()} == {9, 10, 11}
+    assert decontaminate.find(empty, bench).count() == 0 and decontaminate.find(docs, bench.where("false")).count() == 0
+
+
+def test_warc(spark, tmp_path):
+    rows = [(1, "http://a/", "same"), (2, "http://b/", "same"), (3, None, None), (4, "http://c/\r\nX: y", ""), (5, "http://d/", "é" * 40_000 + "\r\n\r\nWARC/1.1\r\n"), (5, "http://d/", "é" * 40_000 + "\r\n\r\nWARC/1.1\r\n"), (None, "u", "null id")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, digest string")
+    warc_segments.write_archives(df, str(tmp_path / "w"))
+    records = warc_segments.read_records(spark, str(tmp_path / "w"))
+    assert records.where("type = 'continuation'").count() > 3
+    got = warc_segments.summary(warc_segments.reassembled(records)).collect()
+    assert len(got) == len(rows) and all(r.error is None for r in got)
+    sha = lambda t: base64.b32encode(hashlib.sha1(t.encode()).digest()).decode()
+    assert {(r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got if r.page_id != 5} == {
+        (1, 4, sha("same"), "revisit", 2), (2, 4, sha("same"), "response", None), (3, 0, sha(""), "revisit", 4), (4, 0, sha(""), "response", None), (None, 7, sha("null id"), "response", None)}
+    assert sorted((r.record_type, r.refers_to) for r in got if r.page_id == 5) == [("response", None), ("revisit", 5)]
+    broken = records.where("not (type = 'continuation' and number = 2)")
+    assert {r.error for r in warc_segments.reassembled(broken).where("type = 'response' and page_id = 5").collect()} == {"segments missing"}
+    cutshort = records.withColumn("block", F.expr("case when type = 'continuation' and number = 2 then substring(block, 2) else block end"))
+    assert {r.error for r in warc_segments.reassembled(cutshort).where("type = 'response' and page_id = 5").collect()} == {"total length"}
+    warc_segments.write_archives(df.where("false"), str(tmp_path / "e"))
+    assert warc_segments.read_records(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_langid(spark, docs, empty):
+    big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = langid.predict(big, langid.fit(big)).join(big.select("doc_id", "lang"), "doc_id").where("held_out")
+    assert out.where("lang = lang_pred").count() >= 0.97 * out.count() > 0
+    got = {r.doc_id: r for r in langid.predict(docs, langid.fit(docs)).collect()}
+    assert got[6].lang_pred == got[7].lang_pred == "und" and got[1].lang_pred == "en" and all(0 <= r.score <= 1 for r in got.values())
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items() if i is not None)
+    assert langid.predict(empty, langid.fit(empty)).count() == 0
+    assert {r.lang_pred for r in langid.predict(docs, langid.fit(empty)).collect()} == {"und"}
+
+
+def test_urls(spark):
+    urls = {"http://A.Example.com/en/7x?q#f": ("a.example.com", "/en/7x", "example.com/en/7", "allow"), "http://example.com/en/8": ("example.com", "/en/8", "com/en/", "block"), "https://m.example.net/de/81": ("m.example.net", "/de/81", "example.net/de/8", "block"),
+            "x://net/de/": ("net", "/de/", "net/de/", "allow") , "http://notnet/de/": ("notnet", "/de/", None, "allow"), "http://a.org/x.com/en/": ("a.org", "/x.com/en/", None, "allow"), "http://h/a.zip": ("h", "/a.zip", None, "block"), "no url": ("", "", None, "allow"), None: ("", "", None, "allow"), "http://h?x://com/en/": ("h", "", None, "allow")}
+    rules = [(h, p, "allow" if (h, p) == ("net", "/de/") else v) for h, p, v in url_automaton.RULES]
+    df = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)], "page_id long, url string, host string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in url_automaton.judge(df, rules).collect()}
+    assert list(got[i] for i in range(len(urls))) == list(urls.values())
+    assert url_automaton.judge(df.where("false")).count() == 0
+
+
+def test_pipeline_and_queries(spark):
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert out and [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "repeated_passages", "benchmark_leaks", "packed"]

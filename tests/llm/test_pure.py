@@ -1,0 +1,227 @@
+"""The parts without Spark against brute force."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from factloom.llm import common, decontaminate, hilbert_sharding, induced_sort, langid, minhash_dedup, packing, quality_crf, suffix_dedup, url_automaton, warc_segments
+
+
+def test_hilbert_is_a_curve():
+    side = 8
+    grid = np.array([(a, b, c) for a in range(side) for b in range(side) for c in range(side)])
+    at = hilbert_sharding.hilbert_index(list(grid.T), 3)
+    assert sorted(at) == list(range(side**3))
+    path = grid[np.argsort(at)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.lists(st.integers(1, 3), min_size=1, max_size=60), st.integers(1, 6), st.booleans(), st.sampled_from([1, 7, 1 << 16]), st.sampled_from([1, 9, 1 << 20]))
+def test_repeated_starts(symbols, length, always, block, memory):
+    text = [*symbols, 0]
+    held, induced_sort.BLOCK = induced_sort.BLOCK, block
+    try:
+        got = induced_sort.repeated_starts(np.array(text, np.uint16), 4, length, memory=memory, always=always)
+        order, prefix = induced_sort.InducedSort(1000, memory=memory, always=always).arrays(np.array(text, np.uint16), 4)
+    finally:
+        induced_sort.BLOCK = held
+    n = len(text)
+    counts = Counter(tuple(text[i : i + length]) for i in range(n - length + 1))
+    assert got.tolist() == [i + length <= n and counts[tuple(text[i : i + length])] > 1 for i in range(n)]
+    assert order.tolist() == sorted(range(n), key=lambda i: text[i:])
+    for k in range(1, n):
+        a, b = text[order[k - 1] :], text[order[k] :]
+        assert prefix[k] == next(i for i in range(n) if a[i : i + 1] != b[i : i + 1])
+
+
+@settings(deadline=None, max_examples=150)
+@given(st.binary(max_size=150), st.integers(4, 24), st.integers(1, 4))
+def test_anchors_own_each_window_once_and_alike(raw, length, gram):
+    h, p, a, b = suffix_dedup.anchors(np.frombuffer(bytes(x % 3 for x in raw), np.uint8), length, gram)
+    raw = bytes(x % 3 for x in raw)
+    own, seen = {}, {}
+    for hh, pp, lo, hi in zip(h.tolist(), p.tolist(), a.tolist(), b.tolist(), strict=True):
+        for w in range(lo, hi + 1):
+            assert w not in own
+            own[w] = (hh, pp - w)
+    assert sorted(own) == list(range(max(0, len(raw) - length + 1)))
+    for w, o in own.items():
+        assert seen.setdefault(raw[w : w + length], o) == o
+
+
+def test_runs():
+    assert suffix_dedup.runs([(5, 7), (0, 3), (3, 4), (6, 9)]) == [(0, 4), (5, 9)]
+    raw = np.frombuffer("aéé".encode(), np.uint8)
+    assert suffix_dedup.at_code_points(raw, [(2, 4)]) == [] and suffix_dedup.at_code_points(raw, [(1, 4)]) == [(1, 3)]
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.integers(0, 15), max_size=8), st.integers(-2000, 2000), st.integers(0, 1500))
+def test_viterbi(masks, weight, stay):
+    node = quality_crf.Weights([weight, 500, -700, 300])
+    score = lambda y: sum(node[m] for m, v in zip(masks, y, strict=True) if v) + stay * sum(a == b for a, b in zip(y, y[1:], strict=False))
+    got = quality_crf.viterbi(masks, node, stay)
+    best = max(score([k >> i & 1 for i in range(len(masks))]) for k in range(1 << len(masks)))
+    assert len(got) == len(masks) and score(got) == best
+
+
+@given(st.lists(st.sampled_from("abc"), max_size=30))
+def test_repeat_words(letters):
+    words = [x.encode() for x in letters]
+    n = Counter(zip(words, words[1:], words[2:], strict=False))
+    covered = {j for i in range(len(words) - 2) if n[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    assert quality_crf.repeat_words(words) == len(covered)
+
+
+def test_judge_text_edges():
+    node = quality_crf.Weights(quality_crf.PRIOR)
+    for text in (None, "", " \n\t"):
+        r = quality_crf.judge_text(text, node, 1000)
+        assert r[:5] == (0, 0, 0, 0, 0) and r[5] is True and r[6] is False
+    r = quality_crf.judge_text("a b\x0bc é\na b\x0bc é\n\n", node, 1000)
+    assert r[:4] == (8, 8, 0, 1) and r[4] == 8
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.lists(st.integers(1, 100), max_size=60))
+def test_first_fit_decreasing(lengths):
+    bins, offsets = packing.first_fit_decreasing(np.array(lengths, np.int64), 100)
+    free, plain = [], {}
+    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+        k = next((b for b, f in enumerate(free) if f >= lengths[i]), len(free))
+        if k == len(free):
+            free.append(100)
+        plain[i] = (k, 100 - free[k])
+        free[k] -= lengths[i]
+    assert {i: (int(bins[i]), int(offsets[i])) for i in range(len(lengths))} == plain
+
+
+def test_word_tokenizer():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("word_bpe_49k.json")
+    ours, theirs = packing.WordTokenizer(path, memo=20), Tokenizer.from_file(path)
+    rng = random.Random(5)
+    pool = "aAbÉéßİΣσς'sReT09½ \t\n\x1c\x85\xa0 .,!-_<|>endoftext日語한é😀\x00﻿"
+    for k in range(1500):
+        text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 25))) + " <|endoftext|>" * (k % 7 == 0)
+        assert np.frombuffer(ours.ids(text), "<u4").tolist() == theirs.encode(text, add_special_tokens=False).ids
+
+
+def test_automaton():
+    import re
+
+    globs = ["*.com/en/**", "**/ads/**", "*/login", "**.zip", "a*b**c" * 16]
+    machine = url_automaton.Automaton(globs)
+    assert machine.words > 1
+    rules = [re.compile("".join({"**": r".*", "*": r"[^/]*"}.get(x) or re.escape(x) for x in re.findall(r"\*\*|\*|[^*]+", g)), re.S) for g in globs]
+    rng = random.Random(3)
+    texts = ["", ".x.com/en/", ".x/y.com/en/z", "/ads/", "h/login", "a/b/login", "é.zip", "abcabc" * 16] + ["".join(rng.choice("abc/.comenadslogizp") for _ in range(rng.randint(0, 90))) for _ in range(2000)]
+    texts += ["aXbYc" * 16, "abc" * 16]
+    got = machine.accepts([t.encode() for t in texts])
+    assert got.tolist() == [[bool(r.fullmatch(t)) for r in rules] for t in texts]
+    assert url_automaton.Automaton([]).accepts([b"x"]).shape == (1, 0)
+
+
+@given(st.text(max_size=200), st.integers(4, 50))
+def test_chunked_framing(text, size):
+    assert warc_segments.dechunked(warc_segments.chunked(text, size).encode()) == text.encode()
+    assert "".join(warc_segments.pieces(text, size)) == text
+
+
+def test_records_parse():
+    page = warc_segments.records_of("1", 7, "http://x/", "D", "é" * 500 + "\r\n\r\nWARC/1.1", None, 200)
+    raw = "".join(r + warc_segments.END for r in page).encode()
+    found = list(warc_segments.parse(raw))
+    assert len(found) == len(page) > 3 and found[-1][0]["warc-segment-total-length"] == str(sum(len(b) for _, b in found))
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def test_multi_index_shares_a_key_within_the_distance():
+    allowed = minhash_dedup.allowances(26)
+    assert sum(a + 1 for a in allowed) == 27 and len(allowed) == minhash_dedup.CHUNKS
+    rng = np.random.default_rng(1)
+    for _ in range(300):
+        x = rng.integers(0, 1 << 15, 64)
+        y = x.copy()
+        change = rng.choice(64, 26, replace=False)
+        y[change] ^= 1 + rng.integers(0, 100, 26)
+        pack = lambda v: [sum(int(s) << (15 * i) for i, s in enumerate(v[4 * c : 4 * c + 4])) for c in range(16)]
+        keys = lambda v: {(c, m, v[c] & m) for c, a in enumerate(allowed) if a >= 0 for m in minhash_dedup.blanks(a)}
+        assert keys(pack(x)) & keys(pack(y))
+
+
+def test_signature_estimates_similarity():
+    pool = common.mix(np.arange(1, 20001, dtype=np.uint64))
+    a, b = pool[:900], np.concatenate((pool[:800], pool[5000:5100]))
+    both, to = np.concatenate((a, b)), np.array([0, 900, 1800])
+    s = minhash_dedup.signatures(both, to)
+    lanes = np.stack([(s >> (15 * k)) & 32767 for k in range(4)], 2).reshape(2, 64)
+    assert abs((lanes[0] == lanes[1]).mean() - 0.8) < 0.17
+
+
+def test_blocks_bound_is_no_filter_of_links():
+    rng = random.Random(4)
+    sets = [set(rng.sample(range(60), rng.randint(20, 50))) for _ in range(40)]
+    hub = sets[0]
+    order = sorted(hub)
+    rows = []
+    for i, s in enumerate(sets):
+        bits = None if i == 0 else np.packbits([x in s for x in order]).tobytes()
+        rows.append((i, i, len(s), [0] * 16, len(s - hub), bits))
+    got = set(minhash_dedup.passing(minhash_dedup.Block(rows), minhash_dedup.Block(rows), 80, 64))
+    linked = {(i, j) for i in range(40) for j in range(i + 1, 40) if jaccard(sets[i], sets[j]) >= 0.8}
+    assert linked <= got
+
+
+def test_simhash_index():
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    items = [(k, " ".join(word() for _ in range(rng.randint(8, 40)))) for k in range(70)] + [(900, None), (901, ""), (902, "one two")]
+    index = decontaminate.Index(items)
+    assert sum(a + 1 for a in decontaminate.allowances(22, 8)) == 23
+    docs = []
+    for k in range(70):
+        w = items[k][1].split()
+        if len(w) > 30:
+            w[0] = "changed"
+        docs.append(" ".join([word() for _ in range(50)] + w + [word() for _ in range(20)]))
+    docs += ["nothing of it here at all really", "", None, "ONE two"]
+    hits = decontaminate.document_hits(pa.array(docs, pa.string()), index)
+    assert {(r, h[0]) for r, h in hits} == {(k, k) for k in range(70)} | {(73, 902)}
+    assert all(h[1] == 50 for r, h in hits if r < 70 and h[3] == 1.0)
+
+
+def test_language_model():
+    rng = random.Random(7)
+    make = lambda parts: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(60))
+    texts = {"aa": [make(["ka", "lo", "mi"]) for _ in range(20)], "bb": [make(["sch", "ung", "ein"]) for _ in range(20)]}
+    counts = np.stack([langid.grams(t) for ts in texts.values() for t in ts])
+    of = np.repeat([0, 1], 20)
+    idf = np.log((1 + 40) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.05)
+    m = langid.Model(idf, ["aa", "bb"], np.zeros(0, int), np.zeros((0, langid.DIMS), np.float32), np.zeros(2))
+    x = m.vectors(counts)
+    parts = [langid.clusters(x[of == k], 3) for k in (0, 1)]
+    m.centroids, m.of, m.limit = np.concatenate(parts), np.repeat([0, 1], [len(p) for p in parts]), np.array([0.5, 0.5])
+    got = m.predict([make(["ka", "lo", "mi"]), make(["sch", "ung", "ein"]), None, "123 ...", ""])
+    assert [g[0] for g in got] == ["aa", "bb", "und", "und", "und"] and all(0 <= g[1] <= 1 for g in got)
+
+
+def test_shingles_of_short_texts():
+    data, at = common.text_buffer(pa.array(["a b c d e", "a b", "", None, "A  b"], pa.string()))
+    data = common.LOWER[data]
+    s, e, w = common.word_spans(data, at)
+    h, to = common.shingle_hashes(common.word_hashes(data, s, e), w, 4)
+    assert np.diff(to).tolist() == [2, 1, 0, 0, 1] and h[2] == h[3]
+    assert zlib.crc32(b"") == 0
