@@ -9,14 +9,15 @@ allowed symbols blanked), so every pair within the distance shares a key.
 
 Pairs are never enumerated within a bucket. First each text meets the smallest id of
 each of its buckets, the hub; pairs within the distance are verified on the full
-shingle sets and united, and each text keeps which of the hub's shingles it has, as
-bits. Then only buckets whose members are still in several components are looked at
-again, in blocks: members outside the largest component against all members of other
-components. A pair passes if sizes and distance permit it and so does the bound on
-its similarity from the bits of both (shingles shared within the hub's, and at most
-the smaller number of others). What passes is verified, too. So every pair within the
-distance is verified, or ruled out exactly, or already in one component; texts that
-are equal word by word count as one throughout.
+shingle sets and united; each text keeps its full set as seen from the hub, that is
+which of the hub's shingles it has, as bits, and the hashes of its others. Then the
+texts of a hub that are still in several components are compared with each other on
+these full sets, in blocks: those outside the largest component against all others.
+A block gives a spanning forest of the links that it finds, not all of them. Pairs
+that share a bucket but no hub that both are near (one is beyond the distance from
+it) are taken last, from buckets that are still in several components, and verified
+on their texts. So every pair within the distance is verified on full sets or
+already in one component; texts that are equal word by word count as one throughout.
 
 A pair of Jaccard similarity J differs in a share 1 - J of its symbols on average: at
 0.8, 12.8 of 64 (standard deviation 3.2), so DISTANCE = 26 leaves less than one pair
@@ -142,8 +143,8 @@ def near(a: str, b: str, percent: int, distance: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (hamming(f"{a}.signature", f"{b}.signature") <= distance)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: int = HUB_ROWS) -> DataFrame:
-    """The pairs (x, hub) with `linked`, that is 100 * intersection >= percent * union of the full sets; `bits`: which shingles of the hub x has; `others`: how many more x has.
+def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: int = HUB_ROWS, keep_sets: bool = False) -> DataFrame:
+    """The pairs (x, hub) with `linked`, that is 100 * intersection >= percent * union of the full sets; `bits`: which shingles of the hub x has; `others`: the hashes of those it has besides.
 
     Texts meet their hub's in sorted runs and pass one at a time; a hub with many pairs is dealt to as many runs as needed.
     """
@@ -174,120 +175,179 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: in
                         has = np.isin(own, mine, assume_unique=True)
                         both = int(has.sum())
                         linked = 100 * both >= percent * (len(own) + len(mine) - both)
-                        out.append((x, hub, linked, len(mine) - both, np.packbits(has).tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.binary())
+                        rest = mine[~np.isin(mine, own, assume_unique=True)]
+                        out.append((x, hub, linked, rest.tobytes() if keep_sets else None, np.packbits(has).tobytes() if keep_sets else None))
+            kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], ["x", "hub", "linked", "others", "bits"])
 
-    return met.select("doc_id", "text", "hub", "run").mapInArrow(run, "x long, hub long, linked boolean, others long, bits binary")
+    return met.select("doc_id", "text", "hub", "run").mapInArrow(run, "x long, hub long, linked boolean, others binary, bits binary")
 
 
-def _padded(bits: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of 64-bit words, and which rows are known."""
-    width = -(-max((len(b) for b in bits if b is not None), default=1) // 8) * 8
-    return np.frombuffer(b"".join((b or b"").ljust(width, b"\0") for b in bits), np.uint64).reshape(len(bits), -1), np.array([b is not None for b in bits], bool)
+_LOW = np.uint64(sum((_LANE >> 1) << (SYMBOL_BITS * lane) for lane in range(LANES)))
+_HIGH = np.uint64(sum(1 << (SYMBOL_BITS * lane + SYMBOL_BITS - 1) for lane in range(LANES)))
 
 
-class Block:
-    """Members of a bucket as arrays."""
+class Members:
+    """Members of a group as arrays: node, component, size, signature, and what else is given."""
 
     def __init__(self, rows: list[tuple]):
-        node, component, size, signature, others, bits = zip(*rows, strict=True)
-        self.node, self.component, self.size = np.array(node), np.array(component), np.array(size)
-        self.signature = np.array(signature, np.int64).view(np.uint64)
-        self.others = np.array([o if o is not None else 0 for o in others])
-        self.bits, self.known = _padded(list(bits))
-
-
-def passing(left: Block, right: Block, percent: int, distance: int) -> Iterator[tuple[int, int]]:
-    """Pairs (smaller node, larger node) of different components that sizes, distance and bits permit."""
-    low = np.uint64(sum((_LANE >> 1) << (SYMBOL_BITS * lane) for lane in range(LANES)))
-    high = np.uint64(sum(1 << (SYMBOL_BITS * lane + SYMBOL_BITS - 1) for lane in range(LANES)))
-    width = min(left.bits.shape[1], right.bits.shape[1])
-    for i in range(len(left.node)):
-        n, m = left.size[i], right.size
-        at = np.flatnonzero((right.component != left.component[i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+        self.node, self.component, self.size = (np.array([r[i] for r in rows], np.int64) for i in range(3))
+        self.signature = np.array([r[3] for r in rows], np.int64).view(np.uint64)
+        self.rest = [r[4:] for r in rows]
+
+    def near(self, one: "Members", i: int, open_: np.ndarray, percent: int, distance: int) -> np.ndarray:
+        """Of the open members those whose size and signature permit a link with member i of the other."""
+        n = one.size[i]
+        at = np.flatnonzero(open_ & (100 * np.minimum(n, self.size) >= percent * np.maximum(n, self.size)))
+        x = self.signature[at] ^ one.signature[i]
+        return at[np.bitwise_count((((x & _LOW) + _LOW) | x) & _HIGH).sum(axis=1) <= distance]
+
+
+class Sets:
+    """Full sets of a hub's texts: bits over the hub's shingles and hashes of the others."""
+
+    def __init__(self, rows: list[tuple]):
+        width = -(-len(rows[0][1]) // 8) * 8
+        self.bits = np.frombuffer(b"".join(b.ljust(width, b"\0") for _, b in rows), np.uint64).reshape(len(rows), -1)
+        parts = [np.frombuffer(o, np.uint64) for o, _ in rows]
+        self.others, self.to = np.concatenate(parts), np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+
+    def shared(self, one: "Sets", i: int, at: np.ndarray) -> np.ndarray:
+        """Size of the intersection of set i of the other with each of these."""
+        within = np.bitwise_count(self.bits[at] & one.bits[i]).sum(axis=1).astype(np.int64)
+        own = one.others[one.to[i] : one.to[i + 1]]
+        if not len(own):
+            return within
+        size = self.to[at + 1] - self.to[at]
+        flat = np.repeat(self.to[at] - np.concatenate(([0], np.cumsum(size)[:-1])), size) + np.arange(size.sum())
+        return within + np.bincount(np.repeat(np.arange(len(at)), size), weights=np.isin(self.others[flat], own), minlength=len(at)).astype(np.int64)
+
+
+def spanning_links(left: list[tuple], right: list[tuple], percent: int, distance: int) -> list[tuple[int, int]]:
+    """Links between left and right members of different components, as a forest over the components. Rows: node, component, size, signature, others, bits."""
+    a, b = Members(left), Members(right)
+    sets_a, sets_b = Sets(a.rest), Sets(b.rest)
+    # components are united as links are found, so that no pair is looked at that is joined already
+    where = np.unique(np.concatenate((a.component, b.component)))
+    mark = np.arange(len(where))
+    of_a, of_b = np.searchsorted(where, a.component), np.searchsorted(where, b.component)
+    out = []
+    for i in range(len(left)):
+        at = b.near(a, i, mark[of_b] != mark[of_a[i]], percent, distance)
         if not len(at):
             continue
-        x = right.signature[at] ^ left.signature[i]
-        at = at[np.bitwise_count((((x & low) + low) | x) & high).sum(axis=1) <= distance]
-        if len(at) and left.known[i]:
-            shared = np.bitwise_count(right.bits[at, :width] & left.bits[i, :width]).sum(axis=1).astype(np.int64) + np.minimum(left.others[i], right.others[at])
-            shared = np.where(right.known[at], shared, np.minimum(n, right.size[at]))
-            at = at[100 * shared >= percent * (n + right.size[at] - shared)]
-        a = int(left.node[i])
-        for b in right.node[at].tolist():
-            yield min(a, b), max(a, b)
-
-
-def across(placed: DataFrame, signs: DataFrame, stars: DataFrame, percent: int, distance: int, block: int = BLOCK_ROWS) -> DataFrame:
-    """Pairs (hub, x) that share a bucket, lie in different components and pass.
-
-    placed: key, hub, node, component. A bucket's members are dealt to blocks, and its members outside the largest
-    component (`stray`) to all of them, in blocks of their own; most buckets are one block.
+        shared = sets_b.shared(sets_a, i, at)
+        for j in at[100 * shared >= percent * (a.size[i] + b.size[at] - shared)].tolist():
+            if mark[of_b[j]] != mark[of_a[i]]:
+                out.append((int(a.node[i]), int(b.node[j])))
+                mark[mark == mark[of_b[j]]] = mark[of_a[i]]
+    return out
+
+
+def far_pairs(left: list[tuple], right: list[tuple], percent: int, distance: int) -> list[tuple[int, int]]:
+    """Pairs (smaller, larger node) of different components that share no hub, each from the first bucket that it shares. Rows: node, component, size, signature, hubs, place of the bucket's key."""
+    a, b = Members(left), Members(right)
+    chunk, mask = _key_masks(distance)
+    hubs = [set(h or ()) for h, _ in b.rest]
+    out = set()
+    for i, (mine, place) in enumerate(a.rest):
+        mine = set(mine or ())
+        at = b.near(a, i, b.component != a.component[i], percent, distance)
+        earlier = ((b.signature[at][:, chunk[:place]] ^ a.signature[i][chunk[:place]]) & mask[:place] == 0).any(axis=1)
+        for j in at[~earlier].tolist():
+            if mine.isdisjoint(hubs[j]):
+                x, y = int(a.node[i]), int(b.node[j])
+                out.add((min(x, y), max(x, y)))
+    return sorted(out)
+
+
+def _key_masks(distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Chunk and mask of each key of `index_keys`, in its order."""
+    every = [(c, m) for c, allowed in enumerate(allowances(distance)) if allowed >= 0 for m in blanks(allowed)]
+    return np.array([c for c, _ in every]), np.array([m for _, m in every], np.uint64)
+
+
+def compared(groups: DataFrame, key: str, attach, extra: list[str], solve, block: int = BLOCK_ROWS) -> DataFrame:
+    """Pairs u, v that `solve` gives for the groups (key, node, component, seed) that lie in several components.
+
+    A group's members are dealt to blocks; its seeds go to all of them, in blocks of their own; without a seed column
+    they are the members outside the largest component. Most groups are one block. `attach` adds n_shingles, signature
+    and extra to the rows that are left.
     """
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
-    buckets = sizes.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("parts")).where("parts > 1")
-    buckets = buckets.select("key", F.col("most.component").alias("main"), F.ceil(F.col("n") / block).cast("int").alias("all_blocks"), F.ceil((F.col("n") - F.col("most.n")) / block).cast("int").alias("stray_blocks"))
-    rows = placed.join(buckets, "key").withColumn("draw", F.xxhash64("node"))
-    none = F.array().cast("array<struct<i:int,j:int,stray:boolean>>")
-    cell = lambda i, j, stray: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(stray).alias("stray"))
-    i, j = F.pmod("draw", "all_blocks"), F.pmod("draw", "stray_blocks")
-    to_all = F.transform(F.sequence(F.lit(0), F.col("stray_blocks") - 1), lambda b: cell(i, b, False))
-    to_own = F.when(F.col("component") != F.col("main"), F.transform(F.sequence(F.lit(0), F.col("all_blocks") - 1), lambda b: cell(b, j, True)))
-    dealt = rows.select("key", "hub", "node", "component", F.explode(F.concat(to_all, F.coalesce(to_own, none))).alias("cell"))
-    known = stars.select(F.col("x").alias("node"), "hub", "others", "bits")
-    dealt = dealt.join(signs, "node").join(known, ["node", "hub"], "left").select("key", "cell.i", "cell.j", "cell.stray", "node", "component", "n_shingles", "signature", "others", "bits")
-    dealt = dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    given = "seed" in groups.columns
+    sizes = groups.groupBy(key, "component").agg(F.count("*").alias("n"), (F.count_if("seed") if given else F.lit(0)).alias("s"))
+    several = sizes.groupBy(key).agg(F.max(F.struct("n", "component")).alias("most"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.count("*").alias("parts")).where("parts > 1")
+    seeds = F.col("s") if given else F.col("n") - F.col("most.n")
+    several = several.select(key, F.col("most.component").alias("main"), F.ceil(F.col("n") / block).cast("int").alias("all_blocks"), F.ceil(seeds / block).cast("int").alias("seed_blocks")).where("seed_blocks > 0")
+    rows = groups.join(several, key).withColumn("draw", F.xxhash64("node"))
+    rows = rows if given else rows.withColumn("seed", F.col("component") != F.col("main"))
+    cell = lambda i, j, left: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(left).alias("left"))
+    i, j = F.pmod("draw", "all_blocks"), F.pmod("draw", "seed_blocks")
+    none = F.array().cast("array<struct<i:int,j:int,left:boolean>>")
+    to_all = F.transform(F.sequence(F.lit(0), F.col("seed_blocks") - 1), lambda b: cell(i, b, False))
+    to_own = F.when(F.col("seed"), F.transform(F.sequence(F.lit(0), F.col("all_blocks") - 1), lambda b: cell(b, j, True)))
+    carried = ["node", "component", "n_shingles", "signature", *extra]
+    dealt = attach(rows).select(key, *carried, F.explode(F.concat(to_all, F.coalesce(to_own, none))).alias("cell"))
+    dealt = dealt.select(key, "cell.i", "cell.j", "cell.left", *carried).repartition(key, "i", "j").sortWithinPartitions(key, "i", "j")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def solve() -> list[tuple[int, int]]:
-            if not (left and right):
-                return []
-            return list(passing(Block(left), Block(right), percent, distance))
+        def pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[n] for p in found], pa.int64()) for n in (0, 1)], ["u", "v"])
 
-        now, left, right, found = None, [], [], []
+        now, left, right = None, [], []
         for batch in batches:
-            for key, i, j, stray, *row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns)), strict=True):
-                if (key, i, j) != now:
-                    found += solve()
-                    now, left, right = (key, i, j), [], []
-                (left if stray else right).append(tuple(row))
-            yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in found], pa.int64()) for n in (0, 1)], ["hub", "x"])
-            found = []
-        found = solve()
-        yield pa.RecordBatch.from_arrays([pa.array([p[n] for p in found], pa.int64()) for n in (0, 1)], ["hub", "x"])
+            for k, i, j, is_left, *row in zip(*(batch.column(c).to_pylist() for c in range(batch.num_columns)), strict=True):
+                if (k, i, j) != now:
+                    if left and right:
+                        yield pairs(solve(left, right))
+                    now, left, right = (k, i, j), [], []
+                (left if is_left else right).append(tuple(row))
+        if left and right:
+            yield pairs(solve(left, right))
 
-    return dealt.mapInArrow(run, "hub long, x long").distinct()
+    return dealt.mapInArrow(run, "u long, v long").distinct()
 
 
-def link(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANCE) -> tuple[DataFrame, DataFrame]:
-    """(signed documents, node and component of the linked texts); a node is the smallest doc_id of a word sequence."""
+def link(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANCE, block: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(signed documents, text_key and component of the texts); a node is the smallest doc_id of a word sequence."""
     signed = common.cut(sign(docs, k))
     texts = signed.where("text_key is not null and doc_id is not null")
     nodes = common.cut(texts.groupBy("text_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
-    keyed = nodes.select("node", F.explode(index_keys(distance)).alias("key"))
+    keyed = nodes.select("node", F.posexplode(index_keys(distance)).alias("place", "key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub < top").select("key", "hub")
     members = common.cut(keyed.join(shared, "key"))
     signs = nodes.select("node", "n_shingles", "signature")
     x, h = signs.alias("x"), signs.alias("h")
     stars = members.where("node <> hub").select("node", "hub").distinct()
     stars = stars.join(x, stars.node == F.col("x.node")).join(h, stars.hub == F.col("h.node")).where(near("x", "h", percent, distance)).select(stars.node.alias("x"), stars.hub.alias("hub"))
-    verified = common.cut(verify(common.cut(stars), docs, k, percent))
-    edges = verified.where("linked").select(F.col("x").alias("u"), F.col("hub").alias("v"))
-    found = components(edges)
-    placed = common.cut(members.join(found, "node", "left").select("key", "hub", "node", F.coalesce("component", "node").alias("component")))
-    more = across(placed, signs, verified, percent, distance).join(verified.select("hub", "x"), ["hub", "x"], "left_anti")
-    more = common.cut(more)
-    if not more.isEmpty():
-        checked = verify(more, docs, k, percent).where("linked").select(F.col("x").alias("u"), F.col("hub").alias("v"))
-        found = components(edges.union(checked))
-    placed = nodes.select("text_key", "node").join(found, "node", "left")
-    return signed, placed.select("text_key", F.coalesce("component", "node").alias("component"))
+    verified = common.cut(verify(common.cut(stars), docs, k, percent, keep_sets=True))
 
+    def placed(rows: DataFrame, found: DataFrame) -> DataFrame:
+        return rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-def dedup(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANCE) -> DataFrame:
+    edges = verified.where("linked").select(F.col("x").alias("u"), F.col("hub").alias("v"))
+    found = components(edges)
+    # the texts near a hub against each other (the hub has met them all)
+    known = verified.select("hub", F.col("x").alias("node"), "others", "bits").dropDuplicates(["hub", "node"])
+    near_hub = common.cut(placed(known.select("hub", "node"), found))
+    more = compared(near_hub, "hub", lambda rows: rows.join(known, ["hub", "node"]).join(signs, "node"), ["others", "bits"], lambda a, b: spanning_links(a, b, percent, distance), block)
+    edges = edges.union(common.cut(more))
+    found = components(edges)
+    # pairs of a bucket without a common hub: one of the two is far from the bucket's hub
+    hubs = known.select("node", "hub").union(known.select("hub", "hub")).distinct()
+    lists = hubs.groupBy("node").agg(F.collect_set("hub").alias("hubs"))
+    rest = placed(members, found).join(hubs.withColumn("is_near", F.lit(True)), ["node", "hub"], "left")
+    rest = common.cut(rest.select("key", "node", "component", "place", F.col("is_near").isNull().alias("seed")))
+    far = compared(rest, "key", lambda rows: rows.join(signs, "node").join(lists, "node", "left"), ["hubs", "place"], lambda a, b: far_pairs(a, b, percent, distance), block)
+    far = common.cut(far.select(F.col("u").alias("hub"), F.col("v").alias("x")))
+    if not far.isEmpty():
+        found = components(edges.union(verify(far, docs, k, percent).where("linked").select(F.col("x").alias("u"), F.col("hub").alias("v"))))
+    return signed, placed(nodes.select("text_key", "node"), found).select("text_key", "component")
+
+
+def dedup(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANCE, block: int = BLOCK_ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each document."""
-    signed, placed = link(docs, k, percent, distance)
+    signed, placed = link(docs, k, percent, distance, block)
     rows = signed.select("doc_id", "n_shingles", "text_key").join(placed, "text_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

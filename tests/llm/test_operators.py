@@ -152,11 +152,7 @@ def test_minhash_across_components(spark):
             for b in link:
                 if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                     link[a] = min(link[a], link[b])
-    held, minhash_dedup.across.__defaults__ = minhash_dedup.across.__defaults__, (3,)
-    try:
-        got = {r.doc_id: r.component_id for r in minhash_dedup.dedup(df).collect()}
-    finally:
-        minhash_dedup.across.__defaults__ = held
+    got = {r.doc_id: r.component_id for r in minhash_dedup.dedup(df, block=3).collect()}
     assert got == link
 
 

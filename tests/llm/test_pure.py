@@ -144,10 +144,6 @@ def test_records_parse():
     assert len(found) == len(page) > 3 and found[-1][0]["warc-segment-total-length"] == str(sum(len(b) for _, b in found))
 
 
-def jaccard(a, b):
-    return len(a & b) / len(a | b)
-
-
 def test_multi_index_shares_a_key_within_the_distance():
     allowed = minhash_dedup.allowances(26)
     assert sum(a + 1 for a in allowed) == 27 and len(allowed) == minhash_dedup.CHUNKS
@@ -171,18 +167,44 @@ def test_signature_estimates_similarity():
     assert abs((lanes[0] == lanes[1]).mean() - 0.8) < 0.17
 
 
-def test_blocks_bound_is_no_filter_of_links():
-    rng = random.Random(4)
-    sets = [set(rng.sample(range(60), rng.randint(20, 50))) for _ in range(40)]
-    hub = sets[0]
+def components_of(n, links, start):
+    own = list(start)
+    for _ in range(n):
+        for a, b in links:
+            own[a] = own[b] = min(own[a], own[b])
+    return own
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_links_of_a_hub(seed):
+    rng = random.Random(seed)
+    hub = set(range(80))
+    sets = [(hub - set(rng.sample(range(80), rng.randint(0, 25)))) | set(rng.sample(range(100, 130), rng.randint(0, 20))) for _ in range(60)]
     order = sorted(hub)
     rows = []
     for i, s in enumerate(sets):
-        bits = None if i == 0 else np.packbits([x in s for x in order]).tobytes()
-        rows.append((i, i, len(s), [0] * 16, len(s - hub), bits))
-    got = set(minhash_dedup.passing(minhash_dedup.Block(rows), minhash_dedup.Block(rows), 80, 64))
-    linked = {(i, j) for i in range(40) for j in range(i + 1, 40) if jaccard(sets[i], sets[j]) >= 0.8}
-    assert linked <= got
+        rest = np.array(sorted(s - hub), np.uint64).tobytes()
+        rows.append((i, i, len(s), [0] * 16, rest, np.packbits([x in s for x in order]).tobytes()))
+    got = minhash_dedup.spanning_links(rows[:40], rows, 80, 64)
+    links = [(i, j) for i in range(40) for j in range(60) if i != j and 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])]
+    assert set(got) <= set(links) and components_of(60, got, range(60)) == components_of(60, links, range(60))
+
+
+def test_far_pairs_come_once():
+    chunk, mask = minhash_dedup._key_masks(26)
+    rng = random.Random(1)
+    sig = lambda: [rng.choice([5, 6]) for _ in range(16)]
+    nodes = {i: (sig(), [100] if i < 3 else []) for i in range(8)}
+    seen = Counter()
+    for place in range(len(chunk)):
+        buckets = {}
+        for i, (s, hubs) in nodes.items():
+            buckets.setdefault(s[chunk[place]] & int(mask[place]), []).append((i, i, 10, s, hubs, place))
+        for rows in buckets.values():
+            seen.update(minhash_dedup.far_pairs(rows, rows, 80, 26))
+    lanes = lambda s: [x >> (15 * k) & 32767 for x in s for k in range(4)]
+    want = {(i, j) for i in nodes for j in nodes if i < j and not (i < 3 and j < 3) and sum(a != b for a, b in zip(lanes(nodes[i][0]), lanes(nodes[j][0]), strict=True)) <= 26}
+    assert set(seen) == want and set(seen.values()) <= {1}
 
 
 def test_simhash_index():
