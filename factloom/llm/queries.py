@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, packing, quality_crf, suffix_dedup, url_automaton, warc_segments
+from . import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, oracles, packing, quality_crf, suffix_dedup, url_automaton, warc_segments
 from .common import shared_dir, small_batches, table
 
 
@@ -70,4 +70,4 @@ def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op3_suffix_dedup, op4_chat_windows, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_chat_windows": oracles.chats(), "op5_minhash_dedup": oracles.near_duplicates(4, 80), "op10_url_automaton": oracles.urls()}
