@@ -18,20 +18,26 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(r)
 
 
+#: Edges that one task handles, about: a small edge list takes a few tasks, not one for each shuffle partition.
+EDGES_A_TASK = 100_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node id that can be reached) for every node of the edges (u, v)."""
-    now = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    tasks = -(-edges.count() // EDGES_A_TASK) or 1
+    now = cut(edges.coalesce(tasks).distinct().coalesce(tasks))
     mark = _mark(now)
     while mark[0]:
         # large star: neighbours above u move to the least of u and its neighbours
         both = now.union(now.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")).coalesce(tasks)
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").coalesce(tasks).distinct().coalesce(tasks)
         # small star: u and its neighbours below it move to the least of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v"))).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(tasks)
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least.select("u", F.col("m").alias("v"))).coalesce(tasks).distinct().coalesce(tasks)
         now = cut(small)
         last, mark = mark, _mark(now)
         if mark == last:
             break
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct())
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select("v", "v").distinct().coalesce(tasks))
