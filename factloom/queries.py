@@ -82,6 +82,16 @@ def full_coverage_windows(spark, sf_dir):
     return chunks.covered(table(spark, sf_dir, "documents"), ["doc_id"], window=3000, windows=4).drop("text")
 
 
+@query(r"""WITH d AS (SELECT doc_id, length(text) AS n FROM documents), w AS (
+SELECT doc_id, n, CASE WHEN n <= 300000 THEN [0] ELSE list_sort(list_distinct(list_concat([0, (n - 300000) // 2, n - 300000], list_transform(range(0, 6), lambda i: ((n - 300000) * i) // 5)))) END AS ws FROM d WHERE n > 0),
+s AS (SELECT DISTINCT doc_id, n, w0 + st AS char_start FROM (SELECT doc_id, n, w0, unnest(range(0, least(300000, n - w0), 1200)) AS st FROM (SELECT doc_id, n, unnest(ws) AS w0 FROM w))),
+c AS (SELECT doc_id, n, char_start, row_number() OVER (PARTITION BY doc_id ORDER BY char_start) - 1 AS chunk_id FROM s)
+SELECT doc_id, chunk_id::INT AS chunk_id, char_start::INT AS char_start, least(char_start + 1400, n)::INT AS char_end FROM c WHERE chunk_id < 3000""")
+def full_coverage_production(spark, sf_dir):
+    """full_coverage_windows at the reference's sizes, which leave no gap in texts of up to 1.8 million characters."""
+    return chunks.covered(table(spark, sf_dir, "documents"), ["doc_id"]).drop("text")
+
+
 @query(f"""SELECT doc_id, CASE WHEN r AND length(text) > 4200 THEN left(text, 1600) || chr(10) || '...[middle truncated]...' || chr(10) || right(text, 2600)
 WHEN NOT r AND length(text) > 1400 THEN left(text, 700) || chr(10) || '...[middle truncated]...' || chr(10) || right(text, 700) ELSE text END AS cut, r AS is_ratio, replace(left(text, 300), chr(10), ' ') AS preview
 FROM (SELECT doc_id, text, {any_in('lower(text)', V.RATIO_PHRASES)} AS r FROM documents)""")
