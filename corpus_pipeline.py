@@ -2,7 +2,7 @@
 
 Each stage works on all that the one before has kept. The first four return documents, the last one packed pieces.
 What goes: documents that the rules reject; all but the smallest doc_id of each group of near duplicates (five-word
-shingles, similarity 0.8 or more); passages of PASSAGE bytes or more that repeat, in all places (a document of which
+shingles, similarity 0.8 or more); passages of PASSAGE words or more that repeat, in all places (a document of which
 nothing is left goes, too); documents that hold a benchmark item. A document with null text fails the rules.
 """
 
@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from factloom.llm import decontaminate, minhash_dedup, packing, quality_crf, suffix_dedup
 from factloom.llm.common import shared_dir, small_batches, table
 
-#: Bytes of a repeated passage, that is about 50 short words.
-PASSAGE = 240
+#: Words of a repeated passage: more than 50.
+PASSAGE = 51
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return suffix_dedup.without_repeats(docs, length=PASSAGE)
+    return suffix_dedup.without_passages(docs, words=PASSAGE)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ from .induced_sort import repeated_starts
 
 LENGTH = 400
 ANCHOR = 64
+#: For the short strings of passages: a wider gram would leave few to choose from in a string, and so more of them.
+PASSAGE_ANCHOR = 32
 SHARD_BYTES = 2 << 20
 _KEY = ["h1", "h2"]
 
@@ -307,22 +310,99 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Runs are drawn in to whole code points. A document that loses text and has none but white space left goes.
     """
     _, _, marked = spans(docs, length)
+    return _without(docs, marked.withColumn("lonely", F.lit(None).cast("array<long>")), lambda raw, text, where, lonely: at_code_points(raw, where))
+
+
+def pieces(text: str) -> list[tuple[int, int]]:
+    """Start and end of each word, in bytes: what stands between white space."""
+    found = [m.span() for m in re.finditer(r"\S+", text)]
+    if text.isascii():
+        return found
+    at = np.append(0, np.cumsum([len(c.encode()) for c in text])).tolist()
+    return [(at[a], at[b]) for a, b in found]
+
+
+def passages(raw: np.ndarray, text: str, where: list[tuple[int, int]], words: int) -> Iterator[tuple[int, int, int, int]]:
+    """Start and end of each least string of a number of words that lies within a run, and of these words as far as the run has them.
+
+    The least string goes from the last code point of a word to the first of the word `words - 1` on, so each string
+    with that many pieces between white space holds one, no matter where in a word it starts and ends.
+    """
+    found = pieces(text)
+    starts, ends = (np.array([p[i] for p in found], np.int64) for i in (0, 1))
+    head = np.flatnonzero((raw & 0xC0) != 0x80)
+    before, after = head[np.searchsorted(head, ends) - 1], np.append(head, len(raw))[np.searchsorted(head, starts, "right")]
+    for a, b in where:
+        first, last = int(np.searchsorted(before, a)), int(np.searchsorted(after, b, "right")) - words
+        for k in range(first, last + 1):
+            yield int(before[k]), int(after[k + words - 1]), max(a, int(starts[k])), min(b, int(ends[k + words - 1]))
+
+
+def lonely_passages(texts: DataFrame, marked: DataFrame, words: int) -> DataFrame:
+    """h1, h2, lonely: the starts of those least strings of `passages` that are in one place of the corpus only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [batch.column(c).to_pylist() for c in (*_KEY, "copies")]
+            rows: list[tuple] = []
+            for k, raw in _texts(batch):
+                where, body = runs([(s["start"], s["end"]) for s in batch.column("spans")[k].as_py()]), raw.tobytes()
+                for a, b, _, _ in passages(raw, body.decode(), where, words):
+                    digest = hashlib.blake2b(body[a:b], digest_size=16).digest()
+                    rows.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), keys[0][k], keys[1][k], a, keys[2][k]))
+                if len(rows) > 1 << 16:
+                    yield pack(rows)
+                    rows = []
+            yield pack(rows)
+
+    def pack(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(6)], ["p1", "p2", *_KEY, "start", "copies"])
+
+    one = texts.select(*_KEY, "text", "copies").join(marked, _KEY).dropDuplicates(_KEY)
+    all_ = one.mapInArrow(run, "p1 long, p2 long, h1 long, h2 long, start long, copies long")
+    # a passage in one place has one row, which the least of each column is; common ones shrink before the shuffle
+    alone = all_.groupBy("p1", "p2").agg(F.sum("copies").alias("n"), *(F.min(c).alias(c) for c in (*_KEY, "start"))).where("n = 1")
+    return alone.groupBy(*_KEY).agg(F.collect_list("start").alias("lonely"))
+
+
+def without_passages(docs: DataFrame, words: int, gram: int = PASSAGE_ANCHOR) -> DataFrame:
+    """The documents as `without_repeats` gives them, without the passages of `words` words or more that stand anywhere else, too.
+
+    A byte goes if it is covered by a string with that many pieces between white space that also starts elsewhere.
+    Such a string has 2 * words - 1 bytes or more, so the runs of that length hold all of them; within the runs,
+    strings of so many words are counted. Of the words at a passage's ends goes what the run holds.
+    """
+    _, texts, marked = spans(docs, 2 * words - 1, min(gram, words))
+    marked = written(marked, "runs")
+    both = marked.join(lonely_passages(texts, marked, words), _KEY, "left")
+
+    def chosen(raw: np.ndarray, text: str, where: list[tuple[int, int]], lonely: list[int] | None) -> list[tuple[int, int]]:
+        alone = set(lonely or ())
+        return at_code_points(raw, runs([(c, d) for a, _, c, d in passages(raw, text, where, words) if a not in alone]))
+
+    return _without(docs, both, chosen)
+
+
+def _without(docs: DataFrame, marked: DataFrame, chosen: Callable) -> DataFrame:
+    """The documents without the runs that chosen(bytes, text, runs, lonely) takes of those marked (h1, h2, spans, lonely)."""
     text = F.coalesce("text", F.lit(""))
     own = docs.withColumns({"_ft_h1": F.xxhash64(F.lit(1), text), "_ft_h2": F.xxhash64(F.lit(2), text)})
-    marks = marked.select(F.col("h1").alias("_ft_h1"), F.col("h2").alias("_ft_h2"), F.col("spans").alias("_ft_spans"))
+    marks = marked.select(*(F.col(c).alias(f"_ft_{c}") for c in (*_KEY, "spans", "lonely")))
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep = batch.column("text").to_pylist(), []
-            for k, where in enumerate(batch.column("_ft_spans").to_pylist()):
+            for k, (where, lonely) in enumerate(zip(*(batch.column(f"_ft_{c}").to_pylist() for c in ("spans", "lonely")), strict=True)):
                 keep.append(True)
                 if where:
-                    raw = np.frombuffer((texts[k] or "").encode(), np.uint8)
-                    texts[k] = stripped(raw, at_code_points(raw, runs([(s["start"], s["end"]) for s in where]))).tobytes().decode()
-                    keep[-1] = bool(texts[k].strip())
+                    whole = texts[k] or ""
+                    raw = np.frombuffer(whole.encode(), np.uint8)
+                    gone = chosen(raw, whole, runs([(s["start"], s["end"]) for s in where]), lonely)
+                    texts[k] = stripped(raw, gone).tobytes().decode()
+                    keep[-1] = not gone or bool(texts[k].strip())
             new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in texts], pa.int64())}
             columns = [new[n].cast(batch.column(n).type) if n in new else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
-    return own.join(marks, ["_ft_h1", "_ft_h2"], "left").select(*names, "_ft_spans").mapInArrow(run, docs.schema)
+    return own.join(marks, ["_ft_h1", "_ft_h2"], "left").select(*names, "_ft_spans", "_ft_lonely").mapInArrow(run, docs.schema)
