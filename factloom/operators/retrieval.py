@@ -108,10 +108,12 @@ def wants(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "metric string, pool int, asked int, kept int, shown int, least double")
 
 
-def metric_queries(spark: SparkSession, banks: list[str], year: int) -> DataFrame:
-    """bank, metric, query_id, place, text of the query bank."""
-    rows = [(b, m, f"{b}|{m}|{i}", i, q.format(bank=b, year=year)) for b in banks for m, qs in V.QUERY_BANK.items() for i, q in enumerate(qs)]
-    return spark.createDataFrame(rows, "target string, metric string, query_id string, place int, text string")
+def metric_queries(spark: SparkSession, banks: list[str] | DataFrame, year: int) -> DataFrame:
+    """target, metric, query_id, place, text of the query bank for each bank of a list or a table (target)."""
+    targets = banks if isinstance(banks, DataFrame) else spark.createDataFrame([(b,) for b in banks], "target string")
+    rows = [(m, i, q.format(bank="{bank}", year=year)) for m, qs in V.QUERY_BANK.items() for i, q in enumerate(qs)]
+    asked = targets.select("target").crossJoin(F.broadcast(spark.createDataFrame(rows, "metric string, place int, text string")))
+    return asked.select("target", "metric", F.concat_ws("|", "target", "metric", F.col("place").cast("string")).alias("query_id"), "place", F.replace("text", F.lit("{bank}"), F.col("target")).alias("text"))
 
 
 def pooled(ranked: DataFrame, chunks: DataFrame, year: int, least: float = 0.5, most: int = 20) -> DataFrame:

@@ -18,11 +18,12 @@ def ranked_hits(queries: DataFrame, chunks: DataFrame, k: int, embed=W.hashed_em
     return W.top_k(asked, known, k, "vec_id", 9).drop("vec_id")
 
 
-def extract(banks: list[str], chunks: DataFrame, year: int, model=None, embed=W.hashed_embedding, first_k: int = 200, most_k: int = 20_000) -> tuple[DataFrame, DataFrame]:
-    """(nested records, flat metric rows) of the banks: pooled retrieval, patterns, model for what they leave, computed ratios."""
+def extract(banks: list[str] | DataFrame, chunks: DataFrame, year: int, model=None, embed=W.hashed_embedding, first_k: int = 200, most_k: int = 20_000) -> tuple[DataFrame, DataFrame]:
+    """(nested records, flat metric rows) of the banks, a list or a table (target) without repeats: pooled retrieval, patterns, model for what they leave, computed ratios."""
     spark = chunks.sparkSession
     parameters = R.wants(spark)
-    queries = R.metric_queries(spark, banks, year)
+    targets = banks.select("target") if isinstance(banks, DataFrame) else spark.createDataFrame([(b,) for b in banks], "target string")
+    queries = R.metric_queries(spark, targets, year)
     pool_queries = queries.where("place = 0")
     deep = ranked_hits(pool_queries, chunks, 2 * most_k, embed).join(F.broadcast(pool_queries.select("query_id", "target", "metric")), "query_id").join(F.broadcast(parameters.select("metric", "pool")), "metric")
     own = W.adaptive_k(deep, R.same_entity(F.col("bank"), F.col("target")), F.col("pool"), first_k, most_k)
@@ -36,7 +37,6 @@ def extract(banks: list[str], chunks: DataFrame, year: int, model=None, embed=W.
         prefilled = found.where("origin = 'regex'").select("target", F.col("metric_name").alias("metric"))
         open_ = R.context(shown.where("metric <> 'NII'"), ["target", "metric"]).join(prefilled, ["target", "metric"], "left_anti")
         found = found.unionByName(X.asked_of_model(open_, model, year))
-    targets = spark.createDataFrame([(b,) for b in banks], "target string")
     merged = X.merged(targets, found, "target", year)
     records = M.as_records(merged, "target", M.evidence_count(pool).withColumnRenamed("n_evidence", "topk"))
     return records, M.flat(records)

@@ -525,11 +525,23 @@ def windowed_event_counts(spark, sf_dir):
     return counts_by_window(table(spark, sf_dir, "events"))
 
 
+def _plan_chunks(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("bank"), F.col("doc_id").cast("string").alias("stem"), "text")
+    return chunks.chunked(docs, ["bank", "stem"]).select("bank", "stem", "chunk_id", "text").withColumn("embedding", vectors.hashed_embedding(F.col("text")))
+
+
 @query(None)
 def extraction_plan(spark, sf_dir):
     """The whole plan over the documents: chunks, stand-in embeddings, retrieval, patterns, template."""
     from .plans.extract import extract
 
-    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("bank"), F.col("doc_id").cast("string").alias("stem"), "text")
-    made = chunks.chunked(docs, ["bank", "stem"]).select("bank", "stem", "chunk_id", "text").withColumn("embedding", vectors.hashed_embedding(F.col("text")))
-    return extract(["src1", "src2", "nobody"], made, 2024)[1]
+    return extract(["src1", "src2", "nobody"], _plan_chunks(spark, sf_dir), 2024)[1]
+
+
+@query(None)
+def extraction_plan_all(spark, sf_dir):
+    """extraction_plan for every source of the documents."""
+    from .plans.extract import extract
+
+    targets = table(spark, sf_dir, "documents").where("source IS NOT NULL").select(F.col("source").alias("target")).distinct()
+    return extract(targets, _plan_chunks(spark, sf_dir), 2024)[1]
