@@ -17,7 +17,11 @@ earlier window has). `read_back` parses them.
 Order in a conversation: turn, then role, then text. Defined results: a null role or
 text is empty; a null turn sorts first; a null conv_id is a conversation of its own;
 repeated rows are turns each; an empty table gives no rows; further columns are
-ignored; a turn larger than the budget makes a window of its own that exceeds it.
+ignored. BUDGET sets the stride and is no hard bound: turns are put in spans by where
+they end, so a span has less than its first turn and STRIDE tokens, and a window less
+than the system turn, HISTORY, that first turn and STRIDE together. With the sizes as
+set (1024, 256, 384) a window can exceed the budget if the system turn and a span's
+first turn have over 385 tokens together.
 """
 
 from __future__ import annotations
