@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 DIMS = 4096
 CENTROIDS = 4
 FIT_PER_LANGUAGE = 1000
-MAX_LANGUAGES = 500
 REJECT = 0.01
 HELD_OUT = 2
 ROUNDS = 12
@@ -96,11 +95,11 @@ def remainder():
 
 
 def fit(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> Model:
-    """A model of the rows that are not held out. The picked ids are bounded by per_language and MAX_LANGUAGES; only their n-gram counts reach the driver."""
+    """A model of the rows that are not held out. The picked ids are bounded by per_language alone; only their n-gram counts reach the driver."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (remainder() != HELD_OUT))
     ids = known.select("lang", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("draw"))
     # a histogram of the draws finds a bound under which each language has a little more than it needs
-    n = ids.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    n = ids.groupBy("lang").agg(F.count("*").alias("n"))
     bound = n.select("lang", F.ceil(F.lit(float(1 << 40)) * F.least(F.lit(1.0), 1.3 * per_language / F.col("n") + 20 / F.col("n"))).cast("long").alias("bound"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
