@@ -1,19 +1,26 @@
-"""Suffix order and common prefixes of a byte string by external induced sorting.
+"""Suffix order and common prefixes of a string by external induced sorting.
 
 The suffixes that are smaller than their left neighbour but follow a larger one (the
-leftmost small ones, LMS) are sorted first: their substrings are ranked, and where
-ranks repeat, the string of ranks is sorted recursively. All others are induced: one
-scan upwards for the suffixes larger than their right neighbour (L), one downwards
-for the smaller ones (S). A scan takes suffix tuples (position, common prefix with the
-one before) in order from a priority queue over the first symbol, and puts the tuple
-of the position to the left into the queue of that position's symbol. Within one
-symbol tuples come in order, so a queue is a list of blocks for each symbol; blocks
-go to disk beyond a bound on memory. The common prefix of two tuples put into one
-queue is one more than the least of those passed between them.
-
-Blocks are worked on as arrays. Common prefixes count up to `depth` symbols, and
-suffixes that agree in as many are in no particular order, which is all that finding
-repeats of a given length asks for. The text may be a memory map.
+leftmost small ones, LMS) are sorted first: the substrings between them get names in
+their order, the names are written as digits of a small alphabet, and the suffixes of
+that string are sorted by the same method, recursively. All others are induced: one
+scan upwards for the suffixes larger than their right neighbour (L), one downwards for
+the smaller ones (S). A scan takes suffix tuples (position, common prefix with the one
+before) in order from a priority queue over the first symbol, and puts the tuple of
+the position to the left into the queue of that position's symbol. Within one symbol
+tuples come in order, so a queue is a list of blocks for each symbol; blocks go to
+disk beyond a bound on memory. The common prefix of two tuples put into one queue is
+one more than the least of those passed between them.
+
+Everything that is as long as the string lies in files: the text, its types, the LMS
+positions, their names, the sorted LMS suffixes, and the queues. In memory are blocks of
+BLOCK tuples, QUEUE_TUPLES of each queue, the LMS substrings that begin with one pair
+of symbols (in parts of NAMING, if no single pair has more), and counts for each symbol.
+The recursion ends where all names differ, or with a string of at most BASE_SYMBOLS names,
+which is sorted by prefix doubling in memory. That bound doesn't depend on the string.
+
+Common prefixes count up to `depth` symbols, and suffixes that agree in as many are in
+no particular order, which is all that finding repeats of a given length asks for.
 """
 
 from __future__ import annotations
@@ -27,40 +34,61 @@ import numpy as np
 
 BLOCK = 1 << 16
 #: Tuples that a queue holds in memory.
-QUEUE_TUPLES = 1 << 22
-#: A string of ranks of up to so many symbols may be sorted by prefix doubling; a longer one is always induced.
-BASE_SYMBOLS = 1 << 24
+QUEUE_TUPLES = 1 << 18
+#: LMS substrings that are named at a time, about.
+NAMING = 1 << 19
+#: Names that may be sorted in memory, where the recursion ends.
+BASE_SYMBOLS = 1 << 19
+#: Bits of a digit that names are written in, at most.
+DIGIT_BITS = 10
+CHUNK = 1 << 20
+
+
+class Space:
+    """Files of one sort, gone when their arrays are; counts what went to disk."""
+
+    def __init__(self, folder: str | None = None, memory: int = QUEUE_TUPLES, base: int = BASE_SYMBOLS):
+        self.folder, self.memory, self.base = folder, memory, base
+        self.spills = self.recursions = self.doublings = 0
+
+    def array(self, n: int, kind) -> np.ndarray:
+        kind = np.dtype(kind)
+        with tempfile.TemporaryFile(dir=self.folder) as file:
+            file.truncate(max(1, n) * kind.itemsize)
+            return np.memmap(file, kind, "r+", shape=(max(1, n),))[:n]
 
 
 class DiskQueue:
     """A priority queue of (position, common prefix) tuples over small integer keys, first in first out within a key."""
 
-    def __init__(self, position_type, memory: int = QUEUE_TUPLES, folder: str | None = None):
+    def __init__(self, position_type, space: Space):
         self.kinds = (np.dtype(position_type), np.dtype(np.uint16))
-        self.memory, self.folder, self.held, self.file = memory, folder, 0, None
+        self.space, self.held, self.file = space, 0, None
         self.blocks: dict[int, deque] = {}
         self.spilled: dict[int, deque] = {}
 
     def put(self, key: int, position: np.ndarray, prefix: np.ndarray) -> None:
         self.blocks.setdefault(key, deque()).append((position, prefix))
         self.held += len(position)
-        if self.held > self.memory:
+        if self.held > self.space.memory:
             self._spill()
 
     def _spill(self) -> None:
         if self.file is None:
-            self.file = tempfile.TemporaryFile(dir=self.folder)
-        self.file.seek(0, os.SEEK_END)
+            self.file = tempfile.TemporaryFile(dir=self.space.folder)
+        at = self.file.seek(0, os.SEEK_END)
+        parts = []
         for key, blocks in self.blocks.items():
             if blocks:
-                at = self.file.tell()
                 n = sum(len(p) for p, _ in blocks)
                 for kind, part in zip(self.kinds, zip(*blocks, strict=True), strict=True):
-                    for x in part:
-                        self.file.write(x.astype(kind, copy=False).tobytes())
+                    parts += [x.astype(kind, copy=False).tobytes() for x in part]
                 self.spilled.setdefault(key, deque()).append((at, n))
+                at += n * sum(k.itemsize for k in self.kinds)
                 blocks.clear()
+        self.file.write(b"".join(parts))
         self.held = 0
+        self.space.spills += 1
 
     def _read(self, at: int, n: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         out = []
@@ -70,39 +98,57 @@ class DiskQueue:
             at += n * kind.itemsize
         return out[0], out[1]
 
-    def _gathered(self, blocks: deque, from_end: bool) -> tuple[np.ndarray, np.ndarray]:
-        """The next small blocks as one."""
-        some = [blocks.pop() if from_end else blocks.popleft()]
-        n = len(some[0][0])
-        while blocks and n < BLOCK:
-            some.append(blocks.pop() if from_end else blocks.popleft())
-            n += len(some[-1][0])
-        self.held -= n
-        if len(some) == 1:
-            return some[0]
-        some = some[::-1] if from_end else some
-        return np.concatenate([p for p, _ in some]), np.concatenate([x for _, x in some])
+    @staticmethod
+    def _joined(some: list) -> tuple[np.ndarray, np.ndarray]:
+        return some[0] if len(some) == 1 else (np.concatenate([p for p, _ in some]), np.concatenate([x for _, x in some]))
 
     def take(self, key: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """The blocks of a key, also those that are put while it is being taken."""
+        """The blocks of a key in order, also those that are put while it is being taken."""
         while True:
-            if self.spilled.get(key):
-                at, n = self.spilled[key].popleft()
-                for a in range(0, n, BLOCK):
-                    yield self._read(at, n, a, min(a + BLOCK, n))
-            elif self.blocks.get(key):
-                yield self._gathered(self.blocks[key], False)
-            else:
+            some, n = [], 0
+            on_disk = self.spilled.get(key)
+            while on_disk and n < BLOCK:
+                at, size = on_disk.popleft()
+                if size > BLOCK:  # its rest stays
+                    yield from ([self._joined(some)] if some else [])
+                    some, n = [], 0
+                    for a in range(0, size, BLOCK):
+                        yield self._read(at, size, a, min(a + BLOCK, size))
+                else:
+                    some.append(self._read(at, size, 0, size))
+                    n += size
+            blocks = self.blocks.get(key)
+            while not on_disk and blocks and n < BLOCK:
+                some.append(blocks.popleft())
+                self.held -= len(some[-1][0])
+                n += len(some[-1][0])
+            if some:
+                yield self._joined(some)
+            elif not self.spilled.get(key) and not self.blocks.get(key):
                 return
 
     def take_last(self, key: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The blocks of a key, the last first (each in its own order)."""
-        blocks = self.blocks.pop(key, deque())
-        while blocks:
-            yield self._gathered(blocks, True)
-        for at, n in reversed(self.spilled.pop(key, deque())):
-            for a in range((n - 1) // BLOCK * BLOCK, -1, -BLOCK):
-                yield self._read(at, n, a, min(a + BLOCK, n))
+        some, n = [], 0
+        blocks, on_disk = self.blocks.pop(key, deque()), self.spilled.pop(key, deque())
+        while blocks or on_disk:
+            if blocks:
+                some.append(blocks.pop())
+                self.held -= len(some[-1][0])
+                n += len(some[-1][0])
+            else:
+                at, size = on_disk.pop()
+                for a in range((size - 1) // BLOCK * BLOCK, -1, -BLOCK):
+                    if n >= BLOCK:
+                        yield self._joined(some[::-1])
+                        some, n = [], 0
+                    some.append(self._read(at, size, a, min(a + BLOCK, size)))
+                    n += len(some[-1][0])
+            if n >= BLOCK:
+                yield self._joined(some[::-1])
+                some, n = [], 0
+        if some:
+            yield self._joined(some[::-1])
 
     def close(self) -> None:
         if self.file is not None:
@@ -186,35 +232,16 @@ class Scan:
         self.step += len(position)
 
 
-def types(text: np.ndarray) -> np.ndarray:
-    """For each symbol whether its suffix is smaller than the next one's (the last symbol's is). Equal neighbours share their type."""
-    n = len(text)
-    out = np.ones(n, bool)
-    known = True
-    for b in range(n - 1, 0, -(1 << 20)):
-        a = max(0, b - (1 << 20))
-        here, right = text[a:b], text[a + 1 : b + 1]
-        differs = here != right
-        nxt = np.where(differs, np.arange(b - a), b - a)
-        nxt = np.minimum.accumulate(nxt[::-1])[::-1]
-        less = np.append(here < right, known)
-        out[a:b] = less[nxt]
-        known = bool(out[a])
-    return out
-
-
-def ranks_of(text: np.ndarray, lms: np.ndarray, bits: int) -> np.ndarray:
-    """Ranks of the substrings between consecutive LMS positions, both ends included; equal ones have one rank.
+def ranks_of(text: np.ndarray, lms: np.ndarray, length: np.ndarray, bits: int) -> np.ndarray:
+    """Ranks of the substrings that begin at lms and have these lengths; equal ones have one rank.
 
     Ranks are indices of the first of a group in the sorted order. Each round packs the next symbols of what is still in
     doubt into one number; an ended substring sorts after a longer one, for its last symbol is of the larger type.
     """
-    m = len(lms)
-    length = np.append(np.diff(lms) + 1, 1)
-    rank = np.zeros(m, np.int64)
+    rank = np.zeros(len(lms), np.int64)
     per = 62 // bits
     end = (1 << bits) - 1
-    doubt = np.arange(m)
+    doubt = np.arange(len(lms))
     offset = 0
     while len(doubt):
         at, size = lms[doubt] + offset, length[doubt] - offset
@@ -222,7 +249,7 @@ def ranks_of(text: np.ndarray, lms: np.ndarray, bits: int) -> np.ndarray:
         for i in range(per):
             symbol = text[np.minimum(at + i, len(text) - 1)].astype(np.int64)
             key = (key << bits) | np.where(i < size, symbol, end)
-        order = np.lexsort((key, rank[doubt]))
+        order = np.lexsort((key, rank[doubt])) if offset else np.argsort(key, kind="stable")
         doubt, key = doubt[order], key[order]
         old = rank[doubt]
         new_group = np.append(True, old[1:] != old[:-1])
@@ -284,42 +311,143 @@ def doubled(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class InducedSort:
-    def __init__(self, depth: int, folder: str | None = None, memory: int = QUEUE_TUPLES, base: int = BASE_SYMBOLS, always: bool = False):
-        self.depth, self.folder, self.memory, self.base, self.always = depth, folder, memory, base, always
+    """One level of the recursion: a text of symbols below `symbols`, whose last one is a unique least."""
+
+    def __init__(self, text: np.ndarray, symbols: int, depth: int, space: Space):
+        self.text, self.symbols, self.depth, self.space = text, symbols, depth, space
+        self.kind = np.uint32 if len(text) < 1 << 32 else np.int64
+
+    def _coded(self) -> np.ndarray:
+        """Twice each symbol, plus 1 where the suffix is smaller than the next one's (the last symbol's is). Equal neighbours share their type."""
+        text, n = self.text, len(self.text)
+        out = self.space.array(n, np.uint16 if self.symbols < 1 << 15 else np.uint32)
+        out[n - 1] = 2 * int(text[n - 1]) + 1
+        known = True
+        for b in range(n - 1, 0, -CHUNK):
+            a = max(0, b - CHUNK)
+            here, right = text[a:b], text[a + 1 : b + 1]
+            nxt = np.where(here != right, np.arange(b - a), b - a)
+            nxt = np.minimum.accumulate(nxt[::-1])[::-1]
+            small = np.append(here < right, known)[nxt]
+            out[a:b] = (here.astype(out.dtype) << 1) | small
+            known = bool(small[0])
+        return out
 
-    def lms_order(self, text: np.ndarray, lms: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-        """LMS positions in suffix order, and the common prefix of each with the one before."""
-        rank = ranks_of(text, lms, int(symbols).bit_length())
-        present = np.zeros(len(lms) + 1, bool)
-        present[rank] = True
-        names = np.cumsum(present) - 1
-        n_names = int(names[-1]) + 1
-        if n_names == len(lms):
-            order = np.empty(len(lms), np.int64)
-            order[rank] = np.arange(len(lms))
-            shared = np.zeros(len(lms), np.int64)
+    def _lms(self, coded: np.ndarray) -> np.ndarray:
+        def found(a: int) -> np.ndarray:
+            here = coded[a : a + CHUNK + 1] & 1
+            return np.flatnonzero((here[1:] == 1) & (here[:-1] == 0)) + a + 1
+
+        spots = range(0, len(coded) - 1, CHUNK)
+        out, at = self.space.array(sum(len(found(a)) for a in spots), self.kind), 0
+        for a in spots:
+            own = found(a)
+            out[at : at + len(own)] = own
+            at += len(own)
+        return out
+
+    def _names(self, lms: np.ndarray) -> tuple[np.ndarray, int]:
+        """The dense rank of each LMS substring (up to the next LMS position, both ends included), and how many there are.
+
+        Substrings are ranked in parts: those that begin with a range of symbol pairs, about NAMING each.
+        """
+        m, text, n = len(lms), self.text, len(self.text)
+        pairs = self.symbols <= 1 << 11
+        spots = range(0, m, CHUNK)
+
+        def lead(a: int) -> np.ndarray:
+            at = lms[a : a + CHUNK].astype(np.int64)
+            first = text[at].astype(np.int64)
+            return first * self.symbols + text[np.minimum(at + 1, n - 1)] if pairs else first
+
+        counts = sum(np.bincount(lead(a), minlength=self.symbols**2 if pairs else self.symbols) for a in spots)
+        part = (np.cumsum(counts) - counts) // NAMING
+        out, names = self.space.array(m, self.kind), 0
+        for p in np.unique(part[counts > 0]).tolist():
+            index = np.concatenate([np.flatnonzero(part[lead(a)] == p) + a for a in spots]) if part[-1] else np.arange(m)
+            at = lms[index].astype(np.int64)
+            after = np.where(index + 1 < m, lms[np.minimum(index + 1, m - 1)].astype(np.int64), at)
+            rank = ranks_of(text, at, after - at + 1, int(self.symbols).bit_length())
+            dense = np.zeros(len(rank) + 1, np.int64)
+            dense[rank] = 1
+            dense = np.cumsum(dense) - 1
+            out[index] = dense[rank] + names
+            names += int(dense[-1]) + 1
+        return out, names
+
+    def _order(self, names: np.ndarray, n_names: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Blocks of (index of an LMS position, how many names it shares with the next larger one), the largest suffix first."""
+        m = len(names)
+        # LMS positions are two symbols apart at least
+        depth = self.depth // 2 + 1
+        if n_names == m:
+            order = self.space.array(m, self.kind)
+            for a in range(0, m, CHUNK):
+                order[names[a : a + CHUNK]] = np.arange(a, min(a + CHUNK, m))
+            for b in range(m, 0, -BLOCK):
+                own = order[max(0, b - BLOCK) : b][::-1]
+                yield own, np.zeros(len(own), np.int64)
+        elif m <= self.space.base:
+            self.space.doublings += 1
+            order, shared = doubled(np.asarray(names), depth)
+            yield order[::-1], np.append(0, shared[:0:-1])
         else:
-            reduced = names[rank].astype(np.uint16 if n_names < 1 << 15 else np.uint32)
-            if self.always or len(lms) > self.base or n_names * 256 < len(lms):
-                order, shared = self.arrays(reduced, n_names)
-            else:
-                order, shared = doubled(reduced, self.depth)
-        at = lms[order]
-        known = lms[np.minimum(order + shared, len(lms) - 1)] - at
-        prefix = np.zeros(len(lms), np.int64)
-        prefix[1:] = extend(text, at[:-1], at[1:], np.where(shared[1:] >= self.depth, self.depth, known[1:]), self.depth)
-        return at, prefix.astype(np.uint16)
-
-    def blocks(self, text: np.ndarray, symbols: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            self.space.recursions += 1
+            bits = int(n_names).bit_length()
+            digits = -(-bits // DIGIT_BITS)
+            per = -(-bits // digits)
+            reduced = self.space.array((m - 1) * digits + 1, np.uint16)
+            for a in range(0, m - 1, CHUNK):
+                own = names[a : min(a + CHUNK, m - 1)].astype(np.int64)
+                for d in range(digits):
+                    reduced[a * digits + d : (a + len(own)) * digits : digits] = ((own >> (per * (digits - 1 - d))) & ((1 << per) - 1)) + 1
+            reduced[-1] = 0  # the last name is the least of all, and unique
+            low = depth * digits
+            for position, prefix in InducedSort(reduced, (1 << per) + 1, depth * digits, self.space).blocks():
+                # only whole names count: the least prefix since the last of them
+                whole = position % digits == 0
+                at = np.flatnonzero(whole)
+                if not len(at):
+                    low = min(low, int(prefix.min()))
+                    continue
+                least = np.minimum.reduceat(prefix[: at[-1] + 1], np.append(0, at[:-1] + 1)).astype(np.int64)
+                least[0] = min(low, int(prefix[: at[0] + 1].min()))
+                rest = prefix[at[-1] + 1 :]
+                low = min(depth * digits, int(rest.min())) if len(rest) else depth * digits
+                yield position[at] // digits, least // digits
+            yield np.array([m - 1]), np.zeros(1, np.int64)
+
+    def _seeds(self, lms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """LMS positions in suffix order, and the common prefix of each with the one before."""
+        m = len(lms)
+        seeds, prefix, depth = self.space.array(m, self.kind), self.space.array(m + 1, np.uint16), self.depth
+        names, n_names = self._names(lms)
+        b, last = m, None
+        for order, shared in self._order(names, n_names):
+            for k in range(0, len(order), BLOCK):
+                index, same = order[k : k + BLOCK].astype(np.int64), shared[k : k + BLOCK]
+                at = lms[index].astype(np.int64)
+                known = np.where(same > depth // 2, depth, lms[np.minimum(index + same, m - 1)].astype(np.int64) - at)
+                if last is None:  # the largest has nothing to share with
+                    value = np.append(0, extend(self.text, at[1:], at[:-1], known[1:], depth))
+                else:
+                    value = extend(self.text, at, np.append(last, at[:-1]), known, depth)
+                a = b - len(at)
+                seeds[a:b] = at[::-1]
+                prefix[a + 1 : b + 1] = value[::-1]
+                b, last = a, at[-1]
+        prefix[0] = 0
+        return seeds, prefix[:m]
+
+    def blocks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All suffixes but the last, the largest first, with the common prefix of each with the one before."""
-        n = len(text)
-        kind = np.uint32 if n < 1 << 32 else np.int64
-        small = types(text)
-        coded = (text.astype(np.uint16 if symbols < 1 << 15 else np.uint32) << 1) | small
-        lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
-        seeds, seed_prefix = self.lms_order(text, lms, symbols)
-        bounds = np.searchsorted(text[seeds], np.arange(symbols + 1))
-        large, done, little = (DiskQueue(kind, self.memory, self.folder) for _ in range(3))
+        text, symbols = self.text, self.symbols
+        coded = self._coded()
+        lms = self._lms(coded)
+        seeds, seed_prefix = self._seeds(lms)
+        counts = sum((np.bincount(text[lms[a : a + CHUNK]], minlength=symbols) for a in range(0, len(lms), CHUNK)), np.zeros(symbols, np.int64))
+        bounds = np.append(0, np.cumsum(counts))
+        large, done, little = (DiskQueue(self.kind, self.space) for _ in range(3))
         try:
             up = Scan(coded, symbols, False, self.depth, large)
             for c in range(symbols):
@@ -328,11 +456,12 @@ class InducedSort:
                     done.put(c, position, prefix)
                     up.feed(position, prefix)
                     last = int(position[-1])
-                a, b = int(bounds[c]), int(bounds[c + 1])
-                if a < b:
-                    own = seed_prefix[a:b].copy()
-                    own[0] = 0 if last is None else self.seam(text, last, int(seeds[a]))
-                    up.feed(seeds[a:b], own)
+                for a in range(int(bounds[c]), int(bounds[c + 1]), BLOCK):
+                    b = min(a + BLOCK, int(bounds[c + 1]))
+                    own = np.array(seed_prefix[a:b])
+                    if a == bounds[c]:
+                        own[0] = 0 if last is None else self.seam(last, int(seeds[a]))
+                    up.feed(np.asarray(seeds[a:b]), own)
             down = Scan(coded, symbols, True, self.depth, little)
             for c in range(symbols - 1, -1, -1):
                 last = None
@@ -343,7 +472,7 @@ class InducedSort:
                 after = None
                 for position, prefix in done.take_last(c):
                     if after is None:
-                        after = 0 if last is None else self.seam(text, last, int(position[-1]))
+                        after = 0 if last is None else self.seam(last, int(position[-1]))
                     turned = np.append(np.uint16(after), prefix[:0:-1]).astype(np.uint16)
                     after = int(prefix[0])
                     down.feed(position[::-1], turned)
@@ -352,30 +481,44 @@ class InducedSort:
             for q in (large, done, little):
                 q.close()
 
-    def seam(self, text: np.ndarray, p: int, q: int) -> int:
+    def seam(self, p: int, q: int) -> int:
         """Common prefix of two suffixes, directly: where L and S suffixes of one symbol meet."""
-        a, b = text[p : p + self.depth], text[q : q + self.depth]
+        a, b = self.text[p : p + self.depth], self.text[q : q + self.depth]
         n = min(len(a), len(b))
         differ = np.flatnonzero(a[:n] != b[:n])
         return int(differ[0]) if len(differ) else n
 
-    def arrays(self, text: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix array (ascending) and common prefixes of a whole string."""
-        parts = list(self.blocks(text, symbols))
-        order = np.concatenate([p for p, _ in parts] + [np.array([len(text) - 1])])[::-1].astype(np.int64)
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """Suffix array (ascending) and common prefixes, in memory."""
+        parts = list(self.blocks())
+        order = np.concatenate([p for p, _ in parts] + [np.array([len(self.text) - 1])])[::-1].astype(np.int64)
         down = np.concatenate([x for _, x in parts] + [np.zeros(1, np.uint16)]).astype(np.int64)
         return order, np.append(0, down[:0:-1])
 
 
-def repeated_starts(text: np.ndarray, symbols: int, length: int, folder: str | None = None, memory: int = QUEUE_TUPLES, base: int = BASE_SYMBOLS, always: bool = False) -> np.ndarray:
-    """For each position whether the string of `length` symbols from there also starts elsewhere. text[-1] is a unique least symbol."""
-    out = np.zeros(len(text), bool)
-    last = None
-    for position, prefix in InducedSort(length, folder, memory, base, always).blocks(text, symbols):
-        long = prefix >= length
-        out[position[long]] = True
-        out[position[:-1][long[1:]]] = True
-        if last is not None and long[0]:
-            out[last] = True
-        last = position[-1]
+def repeated_starts(text: np.ndarray, symbols: int, lengths: tuple[int, ...], space: Space | None = None, owned: np.ndarray | None = None) -> list[np.ndarray]:
+    """For each length and position whether the string of that many symbols from there also starts at another position, both of them owned.
+
+    text[-1] is a unique least symbol. Without `owned` all positions are.
+    """
+    space = space or Space()
+    out = [space.array(len(text), bool) for _ in lengths]
+    last, low = None, max(lengths)
+    for position, prefix in InducedSort(text, symbols, max(lengths), space).blocks():
+        at = np.arange(len(position)) if owned is None else np.flatnonzero(owned[position])
+        if not len(at):
+            low = min(low, int(prefix.min()))
+            continue
+        least = np.minimum.reduceat(prefix[: at[-1] + 1], np.append(0, at[:-1] + 1))
+        least[0] = min(low, int(prefix[: at[0] + 1].min()))
+        rest = prefix[at[-1] + 1 :]
+        low = int(rest.min()) if len(rest) else max(lengths)
+        own = position[at]
+        for found, length in zip(out, lengths, strict=True):
+            long = least >= length
+            found[own[long]] = True
+            found[own[:-1][long[1:]]] = True
+            if last is not None and long[0]:
+                found[last] = True
+        last = own[-1]
     return out

@@ -2,25 +2,30 @@
 
 A byte goes if it is covered by a LENGTH-byte string that also starts anywhere else
 in the corpus. Which strings these are is read from the suffix order and its common
-prefixes, made by external induced sorting (`induced_sort`) in independent shards.
-
-Shards. Each LENGTH-byte window of a text is owned by one of its ANCHOR-byte grams:
-the one of least hash, the last of equals. The choice depends on the window's bytes
-alone, so equal windows are owned by equal grams, wherever they stand. A gram that
-occurs once in the corpus owns no repeated window. For the others, the stretch of
-text that an occurrence owns (its windows, with their bytes) goes to the shard of the
-gram's hash, so all copies of a window meet in one shard, each once. Stretches are
-joined by a separator in one string per shard, which is sorted there. Sorting needs
-memory for the string and its LMS positions only, queues are on disk; the number of
-shards follows the size of the stretches.
-
-Texts that are equal as a whole are brought once, marked, and stand twice in their
-shards, which is what any number of copies amounts to.
+prefixes, made by external induced sorting (`induced_sort`) in independent shards. One
+order serves several lengths: common prefixes are known up to the largest.
+
+Shards. Each window of the least length is owned by one of its ANCHOR-byte grams: the
+one of least hash, the last of equals. The choice depends on the window's bytes alone,
+so equal windows are owned by equal grams, wherever they stand. The windows that one
+occurrence of a gram owns follow each other; with their bytes, up to the largest length
+from the last start on, they are its stretch. A gram that occurs once in the corpus owns
+no repeated window. Equal stretches are counted before anything is sorted: all windows of
+a stretch that stands twice or more are repeated, and one of its occurrences stands for
+all in the sort. Where a gram's stretches differ, each different one goes once to the
+shard of the gram's hash, so all copies of a window meet in one shard. A window of two
+different stretches is repeated if the suffix order of the shard shows it. The stretches of
+a shard are joined by a separator in one string; of its suffixes those that start an owned
+window count, the others are context.
+
+Skew. Copies of texts and near copies make equal stretches, which are counted with
+map-side sums and sorted once. A gram with more than HOT_BODIES different stretches is split:
+each of its windows goes to the shard of its gram of second least hash, too.
 
 Defined results: a null text is empty; a text shorter than LENGTH loses nothing; rows
 that are equal throughout are copies of each other (both are removed where they are
 long enough); an empty table gives no rows; further columns are ignored. Texts are
-told apart by a 128-bit hash.
+told apart by a 128-bit hash, stretches of one gram by a 64-bit one.
 """
 
 from __future__ import annotations
@@ -34,17 +39,22 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .induced_sort import repeated_starts
+from .induced_sort import Space, repeated_starts
 
 LENGTH = 400
+#: The shorter length of which `report` counts the bytes, without removing them: about 50 words.
+SHARED = 240
 ANCHOR = 64
 #: For the short strings of passages: a wider gram would leave few to choose from in a string, and so more of them.
 PASSAGE_ANCHOR = 32
 SHARD_BYTES = 2 << 20
+#: Different stretches of one gram beyond which they are dealt to several shards.
+HOT_BODIES = 4096
+MAX_TASKS = 100_000
 _KEY = ["h1", "h2"]
 
 
@@ -57,15 +67,21 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - (width - done)], values[width - done :]) if width > done else values
 
 
-def anchors(raw: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def prefix_sums(raw: np.ndarray) -> np.ndarray:
+    """Sums of a polynomial hash: the bytes from a to b have (sums[b] - sums[a]) * inverse_powers[a], the same wherever they stand."""
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * common.powers(len(raw)), out=total[1:])
+    return total
+
+
+def anchors(raw: np.ndarray, length: int, gram: int, total: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, position, and first and last window of each gram of the text that owns windows."""
     n = len(raw) - gram + 1
     width = length - gram + 1
     if n < width:
         none = np.zeros(0, np.int64)
         return none, none, none, none
-    total = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * common.powers(len(raw)), out=total[1:])
+    total = prefix_sums(raw) if total is None else total
     hashes = common.mix((total[gram:] - total[:n]) * common.inverse_powers(n))
     # a window's least gram: the hash's high bits, then the later position
     least = sliding_least(hashes, width)
@@ -101,62 +117,71 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
             yield lo + k, data[offsets[k] : offsets[k + 1]]
 
 
-def grams(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """h1, h2, gram, n for each gram of a text that owns windows, and how often it does."""
+OWNERS = "doc_id long, h1 long, h2 long, gram long, body long, start long, owned long, size long"
+
+
+def owners(docs: DataFrame, lengths: tuple[int, ...], gram: int) -> DataFrame:
+    """A row of OWNERS for each occurrence of a gram that owns windows: its first window, how many follow each other, and size and hash of its stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             none = np.zeros(0, np.int64)
-            rows, found, times = [none], [none], [none]
+            found = [[none] * 6]
             for k, raw in _texts(batch):
-                h, n = np.unique(anchors(raw, length, gram)[0], return_counts=True)
-                rows.append(np.full(len(h), k))
-                found.append(h)
-                times.append(n)
-            at, h, n = (pa.array(np.concatenate(x), pa.int64()) for x in (rows, found, times))
-            yield pa.RecordBatch.from_arrays([batch.column("h1").take(at), batch.column("h2").take(at), h, n], ["h1", "h2", "gram", "n"])
+                total = prefix_sums(raw)
+                h, _, a, b = anchors(raw, lengths[0], gram, total)
+                end = np.minimum(b + lengths[-1], len(raw))
+                body = common.mix((total[end] - total[a]) * common.inverse_powers(len(raw))[a] + (end - a).astype(np.uint64)) if len(a) else none
+                found.append([np.full(len(h), k), h, body.view(np.int64), a, b - a + 1, end - a])
+            at, *rest = (pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("doc_id", *_KEY)), *rest], ["doc_id", *_KEY, "gram", "body", "start", "owned", "size"])
+
+    return docs.mapInArrow(run, OWNERS)
 
-    return docs.mapInArrow(run, "h1 long, h2 long, gram long, n long")
+
+def split_stretch(raw: np.ndarray, owned: int, gram_hash: int, lengths: tuple[int, ...], gram: int) -> Iterator[tuple[int, int, int, int]]:
+    """(key, first window, windows, size) of the parts of a stretch whose windows have one gram of second least hash."""
+    total = prefix_sums(raw)
+    n = len(raw) - gram + 1
+    hashes = common.mix((total[gram:] - total[:n]) * common.inverse_powers(n))
+    none = np.uint64((1 << 64) - 1)
+    hashes[hashes <= np.uint64(gram_hash % (1 << 64))] = none
+    second = sliding_least(hashes, lengths[0] - gram + 1)[:owned]
+    first = np.flatnonzero(np.append(True, second[1:] != second[:-1]))
+    for a, b, key in zip(first.tolist(), [*first[1:].tolist(), owned], common.mix(second[first] ^ np.uint64(gram_hash % (1 << 64))).tolist(), strict=True):
+        yield key, a, b - a, min(b - a - 1 + lengths[-1], len(raw) - a)
 
 
-def stretches(texts: DataFrame, shards: int, length: int, gram: int) -> DataFrame:
-    """shard, h1, h2, start, body, twice: what the texts' repeated grams own. Windows that meet or overlap in one shard are one stretch."""
+STRETCHES = "shard long, h1 long, h2 long, start long, owned long, body binary, known boolean"
+
+
+def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int) -> DataFrame:
+    """A row of STRETCHES for each stretch that is to be sorted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists, twice = batch.column("grams"), batch.column("copies").to_numpy(zero_copy_only=False) > 1
-            rows, shard, start, body = [], [], [], []
-            held = 0
+            lists, out, held = batch.column("parts"), [], 0
             for k, raw in _texts(batch):
-                wanted = np.asarray(lists[k].values)
-                h, _, a, b = anchors(raw, length, gram)
-                use = np.isin(h, wanted)
-                to = h[use] % shards
-                order = np.lexsort((a[use], to))
-                now = None
-                for s, x, y in zip(to[order].tolist(), a[use][order].tolist(), (b[use][order] + length).tolist(), strict=True):
-                    if now and now[0] == s and x <= now[2]:
-                        now[2] = max(now[2], y)
+                for p in lists[k].as_py():
+                    if not p["sort"]:
                         continue
-                    if now:
-                        rows.append(k), shard.append(now[0]), start.append(now[1]), body.append(raw[now[1] : now[2]].tobytes())
-                    now = [s, x, y]
-                    held += y - x
-                if now:
-                    rows.append(k), shard.append(now[0]), start.append(now[1]), body.append(raw[now[1] : now[2]].tobytes())
+                    a, gram_hash = p["start"], p["gram"]
+                    whole = raw[a : a + p["size"]]
+                    for key, at, owned, size in split_stretch(whole, p["owned"], gram_hash, lengths, gram) if p["hot"] else [(gram_hash, 0, p["owned"], p["size"])]:
+                        out.append((k, key % shards, a + at, owned, whole[at : at + size].tobytes(), p["known"]))
+                        held += size
                 if held > 8 << 20:
-                    yield pack(batch, rows, shard, start, body, twice)
-                    rows, shard, start, body, held = [], [], [], [], 0
-            yield pack(batch, rows, shard, start, body, twice)
+                    yield pack(batch, out)
+                    out, held = [], 0
+            yield pack(batch, out)
 
-    def pack(batch, rows, shard, start, body, twice) -> pa.RecordBatch:
-        at = pa.array(rows, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(shard, pa.int64()), batch.column("h1").take(at), batch.column("h2").take(at), pa.array(start, pa.int64()), pa.array(body, pa.binary()), pa.array([bool(twice[r]) for r in rows], pa.bool_())],
-            ["shard", "h1", "h2", "start", "body", "twice"],
-        )
+    def pack(batch: pa.RecordBatch, out: list[tuple]) -> pa.RecordBatch:
+        row, shard, start, owned, body, known = zip(*out, strict=True) if out else [()] * 6
+        at = pa.array(row, pa.int64())
+        fields = [pa.array(shard, pa.int64()), batch.column("h1").take(at), batch.column("h2").take(at), pa.array(start, pa.int64()), pa.array(owned, pa.int64()), pa.array(body, pa.binary()), pa.array(known, pa.bool_())]
+        return pa.RecordBatch.from_arrays(fields, ["shard", *_KEY, "start", "owned", "body", "known"])
 
-    return texts.mapInArrow(run, "shard long, h1 long, h2 long, start long, body binary, twice boolean")
+    return texts.mapInArrow(run, STRETCHES)
 
 
 def covered(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
@@ -167,48 +192,58 @@ def covered(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
     return [(int(p[0]), int(p[-1]) + length) for p in np.split(starts, cut)]
 
 
-def repeats(parts: DataFrame, length: int) -> DataFrame:
-    """h1, h2, start, end of covered runs, from each shard's suffix order. A shard is read in a stream into one file."""
+FOUND = "h1 long, h2 long, length int, start long, end long"
+
 
-    def solve(file, rows: list[tuple]) -> Iterator[tuple]:
-        file.write(np.zeros(1, np.uint16).tobytes())
-        file.flush()
-        text = np.memmap(file, np.uint16, "r") if file.tell() > 64 << 20 else np.fromfile(file.name, np.uint16)
-        starts = np.flatnonzero(repeated_starts(text, 258, length, os.path.dirname(file.name)))
+def repeats(parts: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """A row of FOUND for each covered run that a shard's suffix order shows. A shard is read in a stream into two files, its string and which positions are owned."""
+
+    def solve(text_file, owned_file, rows: list[tuple]) -> Iterator[tuple]:
+        text_file.write(np.zeros(1, np.uint16).tobytes())
+        owned_file.write(b"\0")
+        text_file.flush(), owned_file.flush()
+        text, owned = np.memmap(text_file, np.uint16, "r"), np.memmap(owned_file, bool, "r")
+        flags = repeated_starts(text, 258, lengths, Space(os.path.dirname(text_file.name)), owned)
         at = 0
-        for h1, h2, start, n, twice in rows:
-            here = starts[np.searchsorted(starts, at) : np.searchsorted(starts, at + n - length + 1)] - at
-            for a, b in covered(here, length):
-                yield h1, h2, start + a, start + b
-            at += (n + 1) * (1 + twice)
+        for h1, h2, start, windows, size, known in rows:
+            if not known:
+                for flag, length in zip(flags, lengths, strict=True):
+                    # a shorter rest of a text is no string of this length
+                    for a, b in covered(np.flatnonzero(flag[at : at + max(0, min(windows, size - length + 1))]), length):
+                        yield h1, h2, length, start + a, start + b
+            at += size + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as folder:
-            now, file, rows = None, None, []
+            now, files, rows = None, None, []
             found: list[tuple] = []
+
+            def closed() -> list[tuple]:
+                out = list(solve(*files, rows)) if files else []
+                for f in files or ():
+                    f.close()
+                    os.unlink(f.name)
+                return out
+
             for batch in batches:
-                for shard, h1, h2, start, body, twice in zip(*(batch.column(c).to_pylist() for c in ("shard", "h1", "h2", "start", "body", "twice")), strict=True):
+                for shard, h1, h2, start, owned, body, known in zip(*(batch.column(c).to_pylist() for c in ("shard", *_KEY, "start", "owned", "body", "known")), strict=True):
                     if shard != now:
-                        if file:
-                            found += solve(file, rows)
-                            file.close()
-                            os.unlink(file.name)
-                        now, rows, file = shard, [], open(os.path.join(folder, f"{shard}"), "w+b")  # noqa: SIM115
-                    coded = np.append(np.frombuffer(body, np.uint8).astype(np.uint16) + 2, np.uint16(1)).tobytes()
-                    for _ in range(1 + twice):
-                        file.write(coded)
-                    rows.append((h1, h2, start, len(body), twice))
+                        found += closed()
+                        now, rows, files = shard, [], [open(os.path.join(folder, f"{shard}{x}"), "w+b") for x in "to"]  # noqa: SIM115
+                    if rows and rows[-1][:3] == (h1, h2, start):
+                        continue  # a repeated row of one text
+                    files[0].write(np.append(np.frombuffer(body, np.uint8).astype(np.uint16) + 2, np.uint16(1)).tobytes())
+                    files[1].write(b"\1" * owned + bytes(len(body) + 1 - owned))
+                    rows.append((h1, h2, start, owned, len(body), known))
                 if found:
                     yield pack(found)
                     found = []
-            if file:
-                yield pack(list(solve(file, rows)))
-                file.close()
+            yield pack(closed())
 
     def pack(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int64()) for i in range(4)], ["h1", "h2", "start", "end"])
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int32() if i == 2 else pa.int64()) for i in range(5)], [*_KEY, "length", "start", "end"])
 
-    return parts.mapInArrow(run, "h1 long, h2 long, start long, end long")
+    return parts.mapInArrow(run, FOUND)
 
 
 def runs(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -235,27 +270,38 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text.alias("text"), F.xxhash64(F.lit(1), text).alias("h1"), F.xxhash64(F.lit(2), text).alias("h2"))
 
 
-def spans(docs: DataFrame, length: int = LENGTH, gram: int = ANCHOR, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents with their keys, the texts that may hold repeats, the runs of each such text to remove: h1, h2, spans)."""
+def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_bytes: int = SHARD_BYTES, hot: int = HOT_BODIES) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents with their keys; the texts that hold repeats, with their stretches; the runs to remove: h1, h2, copies, runs_<length>). lengths ascend."""
     rows = keyed(docs)
-    long = rows.where(F.octet_length("text") >= length)
-    owned = written(grams(long, length, gram), "grams")
-    often = owned.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
-    wanted = owned.join(often, "gram").groupBy(*_KEY).agg(F.collect_set("gram").alias("grams"))
+    long = rows.where(F.octet_length("text") >= lengths[0])
+    own = written(owners(long, lengths, gram), "owners")
+    often = own.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    repeated = written(own.join(often, "gram"), "repeated")
+    place = F.struct(*_KEY, "start")
+    bodies = repeated.groupBy("gram", "body").agg(F.count("*").alias("n"), F.min(place).alias("one"))
+    differ = bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where("bodies > 1")
+    bodies = bodies.join(differ, "gram", "left").select("gram", "body", "one", (F.col("n") > 1).alias("known"), F.coalesce("bodies", F.lit(1)).alias("bodies"))
+    part = F.struct("start", "owned", "size", "gram", "known", ((F.col("bodies") > 1) & (place == F.col("one"))).alias("sort"), (F.col("bodies") > hot).alias("hot"))
+    placed = repeated.join(bodies, ["gram", "body"]).select("doc_id", *_KEY, part.alias("part"))
     # one row stands for all with its text
-    first = long.groupBy(*_KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
-    wanted = wanted.join(first, _KEY)
+    wanted = placed.groupBy(*_KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.collect_set("part").alias("parts"))
     a, b = long.alias("a"), wanted.alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
-    texts = written(a.join(b, same).select("a.h1", "a.h2", "text", "copies", "grams"), "repeats")
-    # a gram owns (length - gram) / 2 windows on average, with length bytes more
-    total = texts.agg(F.sum(F.size("grams") * (length + (length - gram) // 2) * F.least("copies", F.lit(2)))).first()[0] or 0
+    texts = written(a.join(b, same).select("a.h1", "a.h2", "text", F.expr("n div size(parts)").alias("copies"), "parts"), "repeats")
+    total = texts.agg(F.sum(F.expr("aggregate(parts, 0L, (s, p) -> s + if(p.sort, p.size, 0L))"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    parts = stretches(texts, shards, length, gram)
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, 4096))
-    dealt = parts.repartition(tasks, "shard").sortWithinPartitions("shard", *_KEY, "start")
-    marked = repeats(dealt, length).groupBy(*_KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    return rows, texts, marked
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, MAX_TASKS))
+    dealt = stretches(texts, shards, lengths, gram).repartition(tasks, "shard").sortWithinPartitions("shard", *_KEY, "start")
+    found = repeats(dealt, lengths).groupBy(*_KEY).agg(*(F.collect_set(F.when(F.col("length") == n, F.struct("start", "end"))).alias(f"found_{n}") for n in lengths))
+    slim = texts.select(*_KEY, "copies", "parts").dropDuplicates(_KEY).join(found, _KEY, "left")
+    marked = slim.select(*_KEY, "copies", *(_runs(n).alias(f"runs_{n}") for n in lengths))
+    return rows, texts, written(marked.where(" or ".join(f"size(runs_{n}) > 0" for n in lengths)), "runs")
+
+
+def _runs(length: int) -> Column:
+    """What a text's stretches that stand twice cover at a length, and what was found."""
+    known = f"transform(filter(parts, p -> p.known and p.size >= {length}), p -> struct(p.start as start, p.start + least(p.owned, p.size - {length - 1}) + {length - 1} as end))"
+    return F.expr(f"concat({known}, coalesce(found_{length}, array()))")
 
 
 def stripped(raw: np.ndarray, where: list[tuple[int, int]]) -> np.ndarray:
@@ -265,29 +311,32 @@ def stripped(raw: np.ndarray, where: list[tuple[int, int]]) -> np.ndarray:
     return raw[keep]
 
 
-def removal(texts: DataFrame, marked: DataFrame) -> DataFrame:
-    """h1, h2, n_removed, n_spans, kept_sha256, kept (bytes) for each text that loses something."""
+def removal(texts: DataFrame, marked: DataFrame, length: int, shared: int | None = None) -> DataFrame:
+    """h1, h2, n_removed, n_spans, kept_sha256, n_shared for each text with repeats. n_shared: bytes that strings of the length `shared` cover."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
+            own = batch.column(f"runs_{length}")
+            short = own if shared is None else batch.column(f"runs_{shared}")
             for k, raw in _texts(batch):
-                where = runs([(s["start"], s["end"]) for s in batch.column("spans")[k].as_py()])
-                kept = stripped(raw, where).tobytes()
-                rows.append((sum(b - a for a, b in where), len(where), hashlib.sha256(kept).hexdigest(), kept))
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], [*_KEY, "n_removed", "n_spans", "kept_sha256", "kept"])
+                where, more = (runs([(s["start"], s["end"]) for s in c[k].as_py()]) for c in (own, short))
+                size = lambda w: sum(b - a for a, b in w)
+                rows.append((size(where), len(where), hashlib.sha256(stripped(raw, where).tobytes()).hexdigest(), size(more)))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), *(pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds))], [*_KEY, "n_removed", "n_spans", "kept_sha256", "n_shared"])
 
     one = texts.select(*_KEY, "text").join(marked, _KEY)
-    return one.mapInArrow(run, "h1 long, h2 long, n_removed long, n_spans long, kept_sha256 string, kept binary").dropDuplicates(_KEY)
+    return one.mapInArrow(run, "h1 long, h2 long, n_removed long, n_spans long, kept_sha256 string, n_shared long").dropDuplicates(_KEY)
 
 
-def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for each document."""
-    rows, texts, marked = spans(docs, length)
-    lost = removal(texts, marked).drop("kept")
+def report(docs: DataFrame, length: int = LENGTH, shared: int = SHARED) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared for each document; n_shared: its bytes that strings of `shared` bytes cover which also start elsewhere."""
+    rows, texts, marked = spans(docs, tuple(sorted({length, shared})))
+    lost = written(removal(texts, marked, length, shared), "lost")
     slim = rows.select("doc_id", *_KEY, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
-    return slim.join(lost, _KEY, "left").select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+    none = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    return slim.join(lost, _KEY, "left").select("doc_id", "n_bytes", none("n_removed"), none("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), none("n_shared"))
 
 
 def at_code_points(raw: np.ndarray, where: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -309,8 +358,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Runs are drawn in to whole code points. A document that loses text and has none but white space left goes.
     """
-    _, _, marked = spans(docs, length)
-    return _without(docs, marked.withColumn("lonely", F.lit(None).cast("array<long>")), lambda raw, text, where, lonely: at_code_points(raw, where))
+    _, _, marked = spans(docs, (length,))
+    marked = marked.select(*_KEY, F.col(f"runs_{length}").alias("spans"), F.lit(None).cast("array<long>").alias("lonely"))
+    return _without(docs, marked, lambda raw, text, where, lonely: at_code_points(raw, where))
 
 
 def pieces(text: str) -> list[tuple[int, int]]:
@@ -358,7 +408,7 @@ def lonely_passages(texts: DataFrame, marked: DataFrame, words: int) -> DataFram
     def pack(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(6)], ["p1", "p2", *_KEY, "start", "copies"])
 
-    one = texts.select(*_KEY, "text", "copies").join(marked, _KEY).dropDuplicates(_KEY)
+    one = texts.select(*_KEY, "text").join(marked, _KEY).dropDuplicates(_KEY)
     all_ = one.mapInArrow(run, "p1 long, p2 long, h1 long, h2 long, start long, copies long")
     # a passage in one place has one row, which the least of each column is; common ones shrink before the shuffle
     alone = all_.groupBy("p1", "p2").agg(F.sum("copies").alias("n"), *(F.min(c).alias(c) for c in (*_KEY, "start"))).where("n = 1")
@@ -372,8 +422,9 @@ def without_passages(docs: DataFrame, words: int, gram: int = PASSAGE_ANCHOR) ->
     Such a string has 2 * words - 1 bytes or more, so the runs of that length hold all of them; within the runs,
     strings of so many words are counted. Of the words at a passage's ends goes what the run holds.
     """
-    _, texts, marked = spans(docs, 2 * words - 1, min(gram, words))
-    marked = written(marked, "runs")
+    length = 2 * words - 1
+    _, texts, marked = spans(docs, (length,), min(gram, words))
+    marked = marked.withColumnRenamed(f"runs_{length}", "spans")
     both = marked.join(lonely_passages(texts, marked, words), _KEY, "left")
 
     def chosen(raw: np.ndarray, text: str, where: list[tuple[int, int]], lonely: list[int] | None) -> list[tuple[int, int]]:

@@ -78,21 +78,30 @@ def test_quality(spark, docs, empty):
     assert quality_crf.viterbi(quality_crf.lines_of(lines[0][1].encode())[0], node, fitted[1]) == [False]
 
 
-@pytest.mark.parametrize("length", [100, 400])
-def test_suffix_dedup(docs, empty, length):
-    rows = local(docs)
-    raw = [(t or "").encode() for _, t in rows]
+def gone_bytes(raw, length):
     counts = Counter(b[k : k + length] for b in raw for k in range(len(b) - length + 1))
-    want = Counter()
-    for (i, _), b in zip(rows, raw, strict=True):
+    for b in raw:
         gone = bytearray(len(b))
         for k in range(len(b) - length + 1):
             if counts[b[k : k + length]] > 1:
                 gone[k : k + length] = b"\1" * length
+        yield gone
+
+
+@pytest.mark.parametrize(("length", "hot"), [(100, 4096), (400, 4096), (400, 1)])
+def test_suffix_dedup(docs, empty, length, hot, monkeypatch):
+    monkeypatch.setattr(suffix_dedup.spans, "__defaults__", (suffix_dedup.ANCHOR, 2000, hot))
+    # a passage of which every document holds a part, in contexts of its own
+    line = prose(123, 70)
+    docs = docs.unionByName(docs.sparkSession.createDataFrame([(100 + k, f"{prose(300 + k, 10 + k)} {line[k : k + 380 + 9 * k]} {prose(400 + k, 40)}", *[None] * 8) for k in range(12)], DOCS))
+    rows = local(docs)
+    raw = [(t or "").encode() for _, t in rows]
+    want = Counter()
+    for (i, _), b, gone, short in zip(rows, raw, gone_bytes(raw, length), gone_bytes(raw, 240), strict=True):
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
-        want[i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()] += 1
+        want[i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest(), sum(short)] += 1
     assert Counter(tuple(r) for r in suffix_dedup.report(docs, length).collect()) == want
-    if length == 400:
+    if length == 400 and hot > 1:
         assert suffix_dedup.report(empty, length).count() == 0
         out = suffix_dedup.without_repeats(docs, length)
         assert out.columns == docs.columns

@@ -22,25 +22,43 @@ def test_hilbert_is_a_curve():
     assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
 
 
-@settings(deadline=None, max_examples=150)
-@given(st.lists(st.integers(1, 3), min_size=1, max_size=60), st.integers(1, 6), st.booleans(), st.sampled_from([1, 7, 1 << 16]), st.sampled_from([1, 9, 1 << 20]))
-def test_repeated_starts(symbols, length, always, block, memory):
+@settings(deadline=None, max_examples=200)
+@given(st.lists(st.integers(1, 3), min_size=1, max_size=80), st.integers(1, 6), st.sampled_from([0, 4, 1 << 20]), st.sampled_from([1, 7, 1 << 16]), st.sampled_from([1, 9, 1 << 20]), st.sampled_from([2, 1 << 20]), st.sampled_from([1, 2, 10]), st.data())
+def test_repeated_starts(symbols, length, base, block, memory, naming, digit, data):
     text = [*symbols, 0]
-    held, induced_sort.BLOCK = induced_sort.BLOCK, block
+    owned = np.array(data.draw(st.lists(st.booleans(), min_size=len(text), max_size=len(text))))
+    held = induced_sort.BLOCK, induced_sort.NAMING, induced_sort.DIGIT_BITS, induced_sort.CHUNK
+    induced_sort.BLOCK, induced_sort.NAMING, induced_sort.DIGIT_BITS, induced_sort.CHUNK = block, naming, digit, 3 * block
     try:
-        got = induced_sort.repeated_starts(np.array(text, np.uint16), 4, length, memory=memory, always=always)
-        order, prefix = induced_sort.InducedSort(1000, memory=memory, always=always).arrays(np.array(text, np.uint16), 4)
+        space = induced_sort.Space(memory=memory, base=base)
+        every, _ = induced_sort.repeated_starts(np.array(text, np.uint16), 4, (length, length + 3), space)
+        some, more = induced_sort.repeated_starts(np.array(text, np.uint16), 4, (length, length + 3), space, owned)
+        order, prefix = induced_sort.InducedSort(np.array(text, np.uint16), 4, 1000, space).arrays()
     finally:
-        induced_sort.BLOCK = held
+        induced_sort.BLOCK, induced_sort.NAMING, induced_sort.DIGIT_BITS, induced_sort.CHUNK = held
     n = len(text)
-    counts = Counter(tuple(text[i : i + length]) for i in range(n - length + 1))
-    assert got.tolist() == [i + length <= n and counts[tuple(text[i : i + length])] > 1 for i in range(n)]
+    for got, own, size in ((every, [True] * n, length), (some, owned, length), (more, owned, length + 3)):
+        counts = Counter(tuple(text[i : i + size]) for i in range(n - size + 1) if own[i])
+        assert got.tolist() == [i + size <= n and bool(own[i]) and counts[tuple(text[i : i + size])] > 1 for i in range(n)]
     assert order.tolist() == sorted(range(n), key=lambda i: text[i:])
     for k in range(1, n):
         a, b = text[order[k - 1] :], text[order[k] :]
         assert prefix[k] == next(i for i in range(n) if a[i : i + 1] != b[i : i + 1])
 
 
+def test_sort_spills_and_recurses_with_the_sizes_as_set(tmp_path):
+    rng = np.random.default_rng(1)
+    words = [rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint16) for _ in range(3000)]
+    space32 = np.array([32], np.uint16)
+    body = np.concatenate([x for w in rng.integers(0, 3000, 330_000) for x in (words[w], space32)])[: 2 << 20]
+    body[1_500_000:1_500_900] = body[200_000:200_900]
+    text = np.append(body, np.uint16(0))
+    space = induced_sort.Space(str(tmp_path))
+    (found,) = induced_sort.repeated_starts(text, 258, (400,), space)
+    assert np.flatnonzero(found).tolist() == [*range(200_000, 200_501), *range(1_500_000, 1_500_501)]
+    assert space.spills > 10 and space.recursions > 0
+
+
 @settings(deadline=None, max_examples=150)
 @given(st.binary(max_size=150), st.integers(4, 24), st.integers(1, 4))
 def test_anchors_own_each_window_once_and_alike(raw, length, gram):
