@@ -38,9 +38,9 @@ QUEUE_TUPLES = 1 << 18
 #: LMS substrings that are named at a time, about.
 NAMING = 1 << 19
 #: Names that may be sorted in memory, where the recursion ends.
-BASE_SYMBOLS = 1 << 19
+BASE_SYMBOLS = 1 << 20
 #: Bits of a digit that names are written in, at most.
-DIGIT_BITS = 10
+DIGIT_BITS = 12
 CHUNK = 1 << 20
 
 
@@ -59,38 +59,46 @@ class Space:
 
 
 class DiskQueue:
-    """A priority queue of (position, common prefix) tuples over small integer keys, first in first out within a key."""
+    """A priority queue of (position, common prefix) tuples over small integer keys, first in first out within a key.
 
-    def __init__(self, position_type, space: Space):
+    Each block that is put is a run, sorted by key; in memory are QUEUE_TUPLES tuples of runs, which are merged into one run
+    on disk when there are more. A key's tuples are the pieces of all runs in their order.
+    """
+
+    def __init__(self, position_type, symbols: int, space: Space):
         self.kinds = (np.dtype(position_type), np.dtype(np.uint16))
-        self.space, self.held, self.file = space, 0, None
-        self.blocks: dict[int, deque] = {}
-        self.spilled: dict[int, deque] = {}
+        self.symbols, self.space, self.held, self.file = symbols, space, 0, None
+        self.runs: list[tuple] = []  # in memory: bounds of the keys, positions, prefixes
+        self.spilled: list[tuple] = []  # on disk: bounds, place in the file
 
-    def put(self, key: int, position: np.ndarray, prefix: np.ndarray) -> None:
-        self.blocks.setdefault(key, deque()).append((position, prefix))
+    def put(self, key: np.ndarray, position: np.ndarray, prefix: np.ndarray) -> None:
+        """Tuples whose keys ascend."""
+        self.runs.append((key[[0, -1]].tolist(), key, position.astype(self.kinds[0], copy=False), prefix))
         self.held += len(position)
-        if self.held > self.space.memory:
-            self._spill()
 
     def _spill(self) -> None:
         if self.file is None:
             self.file = tempfile.TemporaryFile(dir=self.space.folder)
+        _, key, position, prefix = zip(*self.runs, strict=True)
+        key = np.concatenate(key)
+        order = np.argsort(key.astype(np.uint16 if self.symbols < 1 << 16 else np.uint32), kind="stable")
+        bounds = np.append(0, np.cumsum(np.bincount(key, minlength=self.symbols)))
         at = self.file.seek(0, os.SEEK_END)
-        parts = []
-        for key, blocks in self.blocks.items():
-            if blocks:
-                n = sum(len(p) for p, _ in blocks)
-                for kind, part in zip(self.kinds, zip(*blocks, strict=True), strict=True):
-                    parts += [x.astype(kind, copy=False).tobytes() for x in part]
-                self.spilled.setdefault(key, deque()).append((at, n))
-                at += n * sum(k.itemsize for k in self.kinds)
-                blocks.clear()
-        self.file.write(b"".join(parts))
-        self.held = 0
+        self.file.write(np.concatenate(position)[order].tobytes() + np.concatenate(prefix)[order].tobytes())
+        self.spilled.append((bounds, at, len(key)))
+        self.runs, self.held = [], 0
         self.space.spills += 1
 
-    def _read(self, at: int, n: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+    def _pieces(self, key: int, run: int) -> list[tuple]:
+        """(run, first tuple, one after the last) of a key, in order, from a run on."""
+        out = []
+        for r in range(run, len(self.spilled)):
+            a, b = self.spilled[r][0][key : key + 2].tolist()
+            out += [(r, c, min(c + BLOCK, b)) for c in range(a, b, BLOCK)]
+        return out
+
+    def _read(self, run: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        _, at, n = self.spilled[run]
         out = []
         for kind in self.kinds:
             self.file.seek(at + a * kind.itemsize)
@@ -98,57 +106,56 @@ class DiskQueue:
             at += n * kind.itemsize
         return out[0], out[1]
 
+    def _held(self, key: int, first: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        out = []
+        for (low, high), keys, position, prefix in self.runs[first:]:
+            if low <= key <= high:
+                a, b = np.searchsorted(keys, (key, key + 1)).tolist()
+                if a < b:
+                    out.append((position[a:b], prefix[a:b]))
+        return out
+
     @staticmethod
-    def _joined(some: list) -> tuple[np.ndarray, np.ndarray]:
+    def joined(some: list) -> tuple[np.ndarray, np.ndarray]:
         return some[0] if len(some) == 1 else (np.concatenate([p for p, _ in some]), np.concatenate([x for _, x in some]))
 
     def take(self, key: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The blocks of a key in order, also those that are put while it is being taken."""
+        if self.held > self.space.memory:
+            self._spill()
+        some, n = [], 0
+        for r, a, b in self._pieces(key, 0):
+            some.append(self._read(r, a, b))
+            n += b - a
+            if n >= BLOCK:
+                yield self.joined(some)
+                some, n = [], 0
+        seen = 0
         while True:
-            some, n = [], 0
-            on_disk = self.spilled.get(key)
-            while on_disk and n < BLOCK:
-                at, size = on_disk.popleft()
-                if size > BLOCK:  # its rest stays
-                    yield from ([self._joined(some)] if some else [])
-                    some, n = [], 0
-                    for a in range(0, size, BLOCK):
-                        yield self._read(at, size, a, min(a + BLOCK, size))
-                else:
-                    some.append(self._read(at, size, 0, size))
-                    n += size
-            blocks = self.blocks.get(key)
-            while not on_disk and blocks and n < BLOCK:
-                some.append(blocks.popleft())
-                self.held -= len(some[-1][0])
-                n += len(some[-1][0])
-            if some:
-                yield self._joined(some)
-            elif not self.spilled.get(key) and not self.blocks.get(key):
+            # runs that came meanwhile count, too; nothing spills while a key is being taken
+            some, seen = some + self._held(key, seen), len(self.runs)
+            if not some:
                 return
+            yield self.joined(some)
+            some = []
 
     def take_last(self, key: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The blocks of a key, the last first (each in its own order)."""
-        some, n = [], 0
-        blocks, on_disk = self.blocks.pop(key, deque()), self.spilled.pop(key, deque())
-        while blocks or on_disk:
-            if blocks:
-                some.append(blocks.pop())
-                self.held -= len(some[-1][0])
-                n += len(some[-1][0])
-            else:
-                at, size = on_disk.pop()
-                for a in range((size - 1) // BLOCK * BLOCK, -1, -BLOCK):
-                    if n >= BLOCK:
-                        yield self._joined(some[::-1])
-                        some, n = [], 0
-                    some.append(self._read(at, size, a, min(a + BLOCK, size)))
-                    n += len(some[-1][0])
+        some = self._held(key, 0)[::-1]
+        n = sum(len(p) for p, _ in some)
+        for r, a, b in reversed(self._pieces(key, 0)):
             if n >= BLOCK:
-                yield self._joined(some[::-1])
+                yield self.joined(some[::-1])
                 some, n = [], 0
+            some.append(self._read(r, a, b))
+            n += b - a
         if some:
-            yield self._joined(some[::-1])
+            yield self.joined(some[::-1])
+
+    def settle(self) -> None:
+        """Brings what is held beyond the bound to disk."""
+        if self.held > self.space.memory:
+            self._spill()
 
     def close(self) -> None:
         if self.file is not None:
@@ -225,9 +232,7 @@ class Scan:
             value[starts[before < 0]] = 0
             ends = np.append(starts[1:], len(key))
             self.last[heads] = self.step + chosen[ends - 1]
-            put = (left[chosen]).astype(self.queue.kinds[0])
-            for k, a, b in zip(heads.tolist(), starts.tolist(), ends.tolist(), strict=True):
-                self.queue.put(k, put[a:b], value[a:b])
+            self.queue.put(key, left[chosen], value)
         self.minima.add(self.step, prefix)
         self.step += len(position)
 
@@ -279,37 +284,63 @@ def extend(text: np.ndarray, p: np.ndarray, q: np.ndarray, known: np.ndarray, de
 
 
 def doubled(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Suffix order to depth symbols and common prefixes, by prefix doubling; text[-1] is a unique least symbol."""
+    """Suffix order to depth symbols and common prefixes, by prefix doubling; text[-1] is a unique least symbol.
+
+    A rank is the place of the first suffix that agrees in the symbols so far. Suffixes whose rank is their own are done.
+    """
     n = len(text)
-    ranks = [text.astype(np.int64)]
-    width = 1
-    order = np.argsort(ranks[0], kind="stable")
-    while width < depth:
-        low = np.zeros(n, np.int64)
-        low[: max(0, n - width)] = ranks[-1][width:] + 1
-        key = ranks[-1] * (n + 2) + low
-        order = np.argsort(key, kind="stable")
-        s = key[order]
-        fresh = np.zeros(n, np.int64)
-        fresh[order] = np.cumsum(np.append(False, s[1:] != s[:-1]))
-        ranks[-1] = ranks[-1].astype(np.int32)
-        ranks.append(fresh)
-        width *= 2
-        if fresh[order[-1]] == n - 1:
+    rank = np.zeros(n, np.int64)
+    order = np.argsort(text)
+    s = text[order]
+    rank[order] = np.maximum.accumulate(np.where(np.append(True, s[1:] != s[:-1]), np.arange(n), 0))
+    ranks, width = [], 1
+    doubt = order[_shared(rank[order])]
+    while True:
+        ranks.append(rank.astype(np.int32))
+        if width >= depth or not len(doubt):
             break
-    a, b = order[:-1].copy(), order[1:].copy()
+        # a suffix that is still in doubt doesn't reach the end, which is unique
+        old = rank[doubt]
+        key = old * (n + 1) + rank[doubt + width]
+        by = np.argsort(key)
+        doubt, old, key = doubt[by], old[by], key[by]
+        place = np.arange(len(doubt))
+        group_at = np.maximum.accumulate(np.where(np.append(True, old[1:] != old[:-1]), place, 0))
+        rank_at = np.maximum.accumulate(np.where(np.append(True, key[1:] != key[:-1]), place, 0))
+        order[old + place - group_at] = doubt
+        rank[doubt] = old + rank_at - group_at
+        doubt = doubt[_shared(rank[doubt])]
+        width *= 2
     lcp = np.zeros(n, np.int64)
+    live = np.flatnonzero(ranks[0][order[1:]] == ranks[0][order[:-1]])
+    a, b = order[live], order[live + 1]
     for k in range(len(ranks) - 1, -1, -1):
-        r = ranks[k]
-        inside = (a < n) & (b < n)
-        same = np.zeros(n - 1, bool)
-        same[inside] = r[a[inside]] == r[b[inside]]
+        same = ranks[k][a] == ranks[k][b]
         step = same * (1 << k)
-        lcp[1:] += step
+        lcp[live + 1] += step
         a, b = a + step, b + step
     return order, np.minimum(lcp, depth)
 
 
+def _shared(rank: np.ndarray) -> np.ndarray:
+    """Which of these ascending ranks are there twice or more."""
+    equal = rank[1:] == rank[:-1]
+    return np.append(equal, False) | np.append(False, equal)
+
+
+def gathered(stream: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same stream in blocks of BLOCK tuples or more."""
+    some, n = [], 0
+    for one in stream:
+        some.append(one)
+        n += len(one[0])
+        if n >= BLOCK:
+            yield DiskQueue.joined(some)
+            some, n = [], 0
+    if some:
+        yield DiskQueue.joined(some)
+
+
 class InducedSort:
     """One level of the recursion: a text of symbols below `symbols`, whose last one is a unique least."""
 
@@ -403,7 +434,7 @@ class InducedSort:
                     reduced[a * digits + d : (a + len(own)) * digits : digits] = ((own >> (per * (digits - 1 - d))) & ((1 << per) - 1)) + 1
             reduced[-1] = 0  # the last name is the least of all, and unique
             low = depth * digits
-            for position, prefix in InducedSort(reduced, (1 << per) + 1, depth * digits, self.space).blocks():
+            for position, prefix in gathered(InducedSort(reduced, (1 << per) + 1, depth * digits, self.space).blocks()):
                 # only whole names count: the least prefix since the last of them
                 whole = position % digits == 0
                 at = np.flatnonzero(whole)
@@ -447,13 +478,14 @@ class InducedSort:
         seeds, seed_prefix = self._seeds(lms)
         counts = sum((np.bincount(text[lms[a : a + CHUNK]], minlength=symbols) for a in range(0, len(lms), CHUNK)), np.zeros(symbols, np.int64))
         bounds = np.append(0, np.cumsum(counts))
-        large, done, little = (DiskQueue(self.kind, self.space) for _ in range(3))
+        large, done, little = (DiskQueue(self.kind, symbols, self.space) for _ in range(3))
         try:
             up = Scan(coded, symbols, False, self.depth, large)
             for c in range(symbols):
                 last = None
                 for position, prefix in large.take(c):
-                    done.put(c, position, prefix)
+                    done.put(np.full(len(position), c), position, prefix)
+                    done.settle()
                     up.feed(position, prefix)
                     last = int(position[-1])
                 for a in range(int(bounds[c]), int(bounds[c + 1]), BLOCK):
@@ -504,7 +536,7 @@ def repeated_starts(text: np.ndarray, symbols: int, lengths: tuple[int, ...], sp
     space = space or Space()
     out = [space.array(len(text), bool) for _ in lengths]
     last, low = None, max(lengths)
-    for position, prefix in InducedSort(text, symbols, max(lengths), space).blocks():
+    for position, prefix in gathered(InducedSort(text, symbols, max(lengths), space).blocks()):
         at = np.arange(len(position)) if owned is None else np.flatnonzero(owned[position])
         if not len(at):
             low = min(low, int(prefix.min()))

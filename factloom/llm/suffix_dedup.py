@@ -46,8 +46,8 @@ from . import common
 from .induced_sort import Space, repeated_starts
 
 LENGTH = 400
-#: The shorter length of which `report` counts the bytes, without removing them: about 50 words.
-SHARED = 240
+#: The shorter length of which `report` counts the bytes, without removing them: about 50 words of six bytes.
+SHARED = 300
 ANCHOR = 64
 #: For the short strings of passages: a wider gram would leave few to choose from in a string, and so more of them.
 PASSAGE_ANCHOR = 32
@@ -55,6 +55,9 @@ SHARD_BYTES = 2 << 20
 #: Different stretches of one gram beyond which they are dealt to several shards.
 HOT_BODIES = 4096
 MAX_TASKS = 100_000
+#: Windows that are dealt to their grams at a time; a place in them has 20 bits.
+STRETCH = 1 << 19
+_PLACE = np.uint64((1 << 20) - 1)
 _KEY = ["h1", "h2"]
 
 
@@ -83,30 +86,17 @@ def anchors(raw: np.ndarray, length: int, gram: int, total: np.ndarray | None =
         return none, none, none, none
     total = prefix_sums(raw) if total is None else total
     hashes = common.mix((total[gram:] - total[:n]) * common.inverse_powers(n))
-    # a window's least gram: the hash's high bits, then the later position
-    least = sliding_least(hashes, width)
-    owner = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    first, last = owner, np.append(owner[1:], len(least)) - 1
-    # windows with one least value may be owned by several equal grams, one after the other
-    at = np.flatnonzero(np.isin(hashes, least[owner])) if len(owner) else owner
-    place = {}
-    for p, h in zip(at.tolist(), hashes[at].tolist(), strict=True):
-        place.setdefault(h, []).append(p)
-    out = []
-    for h, a, b in zip(least[owner].tolist(), first.tolist(), last.tolist(), strict=True):
-        spots = place[h]
-        if len(spots) == 1:
-            out.append((h, spots[0], a, b))
-            continue
-        here = [p for p in spots if a <= p < b + width]
-        reach = b
-        for p in reversed(here):  # window i is owned by the last spot in [i, i + width)
-            low = max(a, p - width + 1)
-            if low <= reach:
-                out.append((h, p, low, min(reach, b)))
-                reach = low - 1
-    h, *rest = zip(*out, strict=True)
-    return np.array(h, np.uint64).view(np.int64), *(np.array(x, np.int64) for x in rest)
+    spots, firsts, lasts = [], [], []
+    for c in range(0, n - width + 1, STRETCH):
+        part = hashes[c : c + STRETCH + width - 1]
+        # a window's least gram: the hash's high bits, then the later position
+        least = sliding_least((part & ~_PLACE) | (_PLACE - np.arange(len(part), dtype=np.uint64)), width)
+        first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+        spots.append(c + (_PLACE - (least[first] & _PLACE)).astype(np.int64))
+        firsts.append(c + first)
+        lasts.append(c + np.append(first[1:], len(least)) - 1)
+    at = np.concatenate(spots)
+    return hashes[at].view(np.int64), at, np.concatenate(firsts), np.concatenate(lasts)
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
@@ -161,15 +151,16 @@ def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists, out, held = batch.column("parts"), [], 0
+            ends, flat = lists.offsets.to_numpy(), lists.values
+            part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "owned", "size", "gram", "known", "sort", "hot")}
             for k, raw in _texts(batch):
-                for p in lists[k].as_py():
-                    if not p["sort"]:
-                        continue
-                    a, gram_hash = p["start"], p["gram"]
-                    whole = raw[a : a + p["size"]]
-                    for key, at, owned, size in split_stretch(whole, p["owned"], gram_hash, lengths, gram) if p["hot"] else [(gram_hash, 0, p["owned"], p["size"])]:
-                        out.append((k, key % shards, a + at, owned, whole[at : at + size].tobytes(), p["known"]))
-                        held += size
+                mine = np.arange(ends[k], ends[k + 1])
+                mine = mine[part["sort"][mine]]
+                for start, windows, size, gram_hash, known, hot in zip(*(part[c][mine].tolist() for c in ("start", "owned", "size", "gram", "known", "hot")), strict=True):
+                    whole = raw[start : start + size]
+                    for key, at, owned, n in split_stretch(whole, windows, gram_hash, lengths, gram) if hot else [(gram_hash, 0, windows, size)]:
+                        out.append((k, key % shards, start + at, owned, whole[at : at + n].tobytes(), known))
+                        held += n
                 if held > 8 << 20:
                     yield pack(batch, out)
                     out, held = [], 0
@@ -275,14 +266,15 @@ def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_b
     rows = keyed(docs)
     long = rows.where(F.octet_length("text") >= lengths[0])
     own = written(owners(long, lengths, gram), "owners")
-    often = own.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    repeated = written(own.join(often, "gram"), "repeated")
+    # written, so that the join deals both sides anew and a gram of many occurrences can be split
+    often = written(own.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "often")
+    repeated = written(own.join(often.hint("shuffle_hash"), "gram"), "repeated")
     place = F.struct(*_KEY, "start")
     bodies = repeated.groupBy("gram", "body").agg(F.count("*").alias("n"), F.min(place).alias("one"))
     differ = bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where("bodies > 1")
     bodies = bodies.join(differ, "gram", "left").select("gram", "body", "one", (F.col("n") > 1).alias("known"), F.coalesce("bodies", F.lit(1)).alias("bodies"))
     part = F.struct("start", "owned", "size", "gram", "known", ((F.col("bodies") > 1) & (place == F.col("one"))).alias("sort"), (F.col("bodies") > hot).alias("hot"))
-    placed = repeated.join(bodies, ["gram", "body"]).select("doc_id", *_KEY, part.alias("part"))
+    placed = repeated.join(bodies.hint("shuffle_hash"), ["gram", "body"]).select("doc_id", *_KEY, part.alias("part"))
     # one row stands for all with its text
     wanted = placed.groupBy(*_KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.collect_set("part").alias("parts"))
     a, b = long.alias("a"), wanted.alias("b")
@@ -304,6 +296,17 @@ def _runs(length: int) -> Column:
     return F.expr(f"concat({known}, coalesce(found_{length}, array()))")
 
 
+def run_lists(column: pa.ListArray) -> Iterator[list[tuple[int, int]]]:
+    """The union of each row's intervals (structs of start and end), as maximal runs."""
+    ends, flat = column.offsets.to_numpy(), column.values
+    starts, stops = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "end"))
+    for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+        order = np.argsort(starts[i:j], kind="stable")
+        a, b = starts[i:j][order], np.maximum.accumulate(stops[i:j][order]) if j > i else stops[i:j]
+        new = np.flatnonzero(np.append(True, a[1:] > b[:-1])) if j > i else np.zeros(0, np.int64)
+        yield list(zip(a[new].tolist(), b[np.append(new[1:], j - i) - 1].tolist() if j > i else [], strict=True))
+
+
 def stripped(raw: np.ndarray, where: list[tuple[int, int]]) -> np.ndarray:
     keep = np.ones(len(raw), bool)
     for a, b in where:
@@ -317,10 +320,8 @@ def removal(texts: DataFrame, marked: DataFrame, length: int, shared: int | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            own = batch.column(f"runs_{length}")
-            short = own if shared is None else batch.column(f"runs_{shared}")
-            for k, raw in _texts(batch):
-                where, more = (runs([(s["start"], s["end"]) for s in c[k].as_py()]) for c in (own, short))
+            lists = [run_lists(batch.column(f"runs_{n}")) for n in (length, shared or length)]
+            for (_, raw), where, more in zip(_texts(batch), *lists, strict=True):
                 size = lambda w: sum(b - a for a, b in w)
                 rows.append((size(where), len(where), hashlib.sha256(stripped(raw, where).tobytes()).hexdigest(), size(more)))
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64())
@@ -393,10 +394,10 @@ def lonely_passages(texts: DataFrame, marked: DataFrame, words: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = [batch.column(c).to_pylist() for c in (*_KEY, "copies")]
+            keys, lists = [batch.column(c).to_pylist() for c in (*_KEY, "copies")], run_lists(batch.column("spans"))
             rows: list[tuple] = []
             for k, raw in _texts(batch):
-                where, body = runs([(s["start"], s["end"]) for s in batch.column("spans")[k].as_py()]), raw.tobytes()
+                where, body = next(lists), raw.tobytes()
                 for a, b, _, _ in passages(raw, body.decode(), where, words):
                     digest = hashlib.blake2b(body[a:b], digest_size=16).digest()
                     rows.append((int.from_bytes(digest[:8], "big", signed=True), int.from_bytes(digest[8:], "big", signed=True), keys[0][k], keys[1][k], a, keys[2][k]))
