@@ -1,14 +1,21 @@
 """Chat formatting in budgeted windows, with DataFrame functions alone.
 
-Prefix sums of turn tokens place each turn of a conversation in a span: turn-aligned
-runs of about STRIDE tokens. A span and what is put before it make a window: the
-leading system turn, which every window retains, and the last turns of the span
-before, as long as they lie within HISTORY tokens. Repeated turns are masked: the
-loss covers each assistant turn once, where it is new.
+Prefix sums of turn tokens place each turn of a conversation in a span, a turn-aligned
+run. A span and what is put before it make a window: the leading system turn, which
+every window retains, and the last turns of the span before, as far as history goes.
+Repeated turns are masked: the loss covers each assistant turn once, where it is new.
+
+The budget: let room be BUDGET less the system turn's tokens. History takes a quarter
+of the room and HISTORY at most. The rest is two strides. Turns of a stride or less
+that start within one stride of the prefix sum are a span, so a span has two strides at
+most; a longer turn is a span of its own, and history gives way to it. So a window
+exceeds BUDGET only where the system turn and its one new turn exceed it together.
 
 A turn is written `### role: text</turn>` and a line break. In texts and roles the
 characters of the markers are escaped (backslash, `#`, `<`, and in roles `:` and line
-break, too), so no text can imitate a marker; unescaping is exact.
+break, too), so no text can imitate a marker; unescaping is exact. Tokens are estimated
+without a vocabulary: one for every four code points of a written turn, rounded up;
+another estimate may be given.
 
 The windows' rows hold `formatted`, `loss_spans` (start and length in code points of
 the assistant texts under the loss) and `n_repeated` (turns at the front that an
@@ -17,11 +24,7 @@ earlier window has). `read_back` parses them.
 Order in a conversation: turn, then role, then text. Defined results: a null role or
 text is empty; a null turn sorts first; a null conv_id is a conversation of its own;
 repeated rows are turns each; an empty table gives no rows; further columns are
-ignored. BUDGET sets the stride and is no hard bound: turns are put in spans by where
-they end, so a span has less than its first turn and STRIDE tokens, and a window less
-than the system turn, HISTORY, that first turn and STRIDE together. With the sizes as
-set (1024, 256, 384) a window can exceed the budget if the system turn and a span's
-first turn have over 385 tokens together.
+ignored.
 """
 
 from __future__ import annotations
@@ -50,35 +53,41 @@ def unescape(text: Column, role: bool = False) -> Column:
     return text
 
 
-def estimated_tokens(text: Column) -> Column:
-    """An estimate of tokens without a vocabulary: one for every four code points, 1 at least."""
-    return F.greatest(F.lit(1), F.ceil(F.char_length(text) / 4)).cast("long")
+def estimated_tokens(written: Column) -> Column:
+    """An estimate of tokens without a vocabulary: one for every four code points, rounded up."""
+    return F.ceil(F.char_length(written) / 4).cast("long")
 
 
 def windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, tokens=estimated_tokens) -> DataFrame:
     """conv_id, window, formatted, loss_spans, n_repeated, n_turns (in the window), n_tokens."""
-    stride = max(1, (budget - history) // 2)
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    order = ["turn", "role", "text"]
-    own = Window.partitionBy("conv_id").orderBy(*order)
-    upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text")).withColumn("tokens", tokens(F.col("text")))
-    rows = rows.withColumn("at", F.row_number().over(own)).withColumn("end", F.sum("tokens").over(upto))
-    rows = rows.withColumn("pinned", (F.col("at") == 1) & (F.col("role") == "system"))
-    rows = rows.withColumn("span", F.expr(f"(end - 1) div {stride}L"))
-    in_order = Window.partitionBy("conv_id").orderBy("at")
-    new_span = F.when(F.col("span") == F.lag("span").over(in_order), 0).otherwise(1)
-    rows = rows.withColumn("new_span", new_span).withColumn("window", F.sum("new_span").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    rows = rows.withColumn("last", F.max("window").over(Window.partitionBy("conv_id"))).withColumn("span_end", F.max("end").over(Window.partitionBy("conv_id", "window")))
+    in_order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    whole = Window.partitionBy("conv_id")
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"))
+    rows = rows.withColumn("head", F.concat(F.lit(OPEN), escape(F.col("role"), role=True), F.lit(": "))).withColumn("body", escape(F.col("text")))
+    rows = rows.withColumn("tokens", tokens(F.concat("head", "body", F.lit(CLOSE)))).withColumn("at", F.row_number().over(in_order))
+    rows = rows.select("conv_id", "role", "head", "body", "tokens", "at", ((F.col("at") == 1) & (F.col("role") == "system")).alias("pinned"))
+    rows = rows.withColumn("system", F.max(F.when(F.col("pinned"), F.col("tokens")).otherwise(0)).over(whole)).withColumn("room", F.greatest(F.lit(0).cast("long"), F.lit(budget) - F.col("system")))
+    rows = rows.withColumn("past", F.expr(f"least({history}L, room div 4)")).withColumn("stride", F.expr("greatest(1L, (room - past) div 2)"))
+    in_order = whole.orderBy("at")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("own", F.when(F.col("pinned"), 0).otherwise(F.col("tokens"))).withColumn("end", F.sum("own").over(upto))
+    rows = rows.withColumn("cell", F.expr("(end - own) div stride")).withColumn("long", F.col("own") > F.col("stride"))
+    before = lambda c: F.lag(c).over(in_order)
+    new_span = F.when(F.col("at") == 1, 1).when(before("pinned"), 0).when(F.col("long") | before("long") | (F.col("cell") != before("cell")), 1).otherwise(0)
+    rows = rows.withColumn("new_span", new_span).withColumn("window", F.sum("new_span").over(upto))
+    span = Window.partitionBy("conv_id", "window")
+    rows = rows.withColumn("fresh", F.sum("own").over(span)).withColumn("span_end", F.max("end").over(span)).withColumn("last", F.max("window").over(whole))
+    after = lambda c: F.lead(c).over(in_order)
+    rows = rows.withColumn("next", F.when(after("window") > F.col("window"), after("fresh"))).withColumn("next", F.max("next").over(span))
+    allowed = F.least(F.col("past"), F.col("room") - F.col("next"))
     place = lambda w, kind: F.struct(w.cast("long").alias("window"), F.lit(kind).alias("kind"))
     new = F.array(place(F.col("window"), 2))
-    again = F.when((F.col("window") < F.col("last")) & ~F.col("pinned") & (F.col("span_end") - F.col("end") + F.col("tokens") <= history), F.array(place(F.col("window") + 1, 1)))
+    again = F.when((F.col("window") < F.col("last")) & ~F.col("pinned") & (F.col("span_end") - F.col("end") + F.col("own") <= allowed), F.array(place(F.col("window") + 1, 1)))
     pinned = F.when(F.col("pinned") & (F.col("window") < F.col("last")), F.transform(F.sequence(F.col("window") + 1, F.col("last")), lambda w: place(w, 0)))
     none = F.array().cast("array<struct<window:bigint,kind:int>>")
     placed = rows.withColumn("place", F.explode(F.concat(new, F.coalesce(again, none), F.coalesce(pinned, none))))
-    head = F.concat(F.lit(OPEN), escape(F.col("role"), role=True), F.lit(": "))
-    body = escape(F.col("text"))
-    turns = placed.select("conv_id", F.col("place.window").alias("window"), "at", (F.col("place.kind") < 2).alias("repeated"), (F.col("role") == "assistant").alias("target"), head.alias("head"), body.alias("body"), "tokens")
+    turns = placed.select("conv_id", F.col("place.window").alias("window"), "at", (F.col("place.kind") < 2).alias("repeated"), (F.col("role") == "assistant").alias("target"), "head", "body", "tokens")
     grouped = turns.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(F.struct("at", "repeated", "target", "head", "body"))).alias("turns"), F.sum("tokens").alias("n_tokens"))
     # the repeated turns stand first: a window's new turns follow those of the span before
     size = lambda t: F.char_length(t["head"]) + F.char_length(t["body"]) + len(CLOSE)

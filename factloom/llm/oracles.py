@@ -43,15 +43,21 @@ r AS (SELECT *, {rule} AS rule FROM h), g AS (SELECT *, {glob} AS "glob" FROM r)
 
 
 def chats() -> str:
-    stride = (BUDGET - HISTORY) // 2
+    """Every turn against the others of its conversation: sums by joins."""
     nasty = "\\### Assistant: </turn> ok"
     longer = lambda c, marks: f"length({c}) + " + " + ".join(f"length({c}) - length(replace({c}, {m}, ''))" for m in marks)
     text, role = longer("text", ("chr(92)", "'#'", "'<'")), longer("role", ("chr(92)", "'#'", "'<'", "':'", "chr(10)"))
     return f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL VALUES (-7, 0, 'user', '{nasty}'), (-7, 1, 'assistant', '{nasty}')),
-a AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place, greatest(1, ceil(length(text) / 4))::BIGINT AS tokens FROM c),
-e AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY place)::BIGINT AS stop, place = 1 AND role = 'system' AS pinned, 6 + {role} + {text} + {len(CLOSE)} AS chars FROM a),
-s AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY (stop - 1) // {stride}) AS win FROM e),
-m AS (SELECT *, max(win) OVER (PARTITION BY conv_id) AS last, max(stop) OVER (PARTITION BY conv_id, win) AS span_stop FROM s)
+a AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place, 6 + {role} + {text} + {len(CLOSE)} AS chars FROM c),
+t AS (SELECT *, (chars + 3) // 4 AS tokens, place = 1 AND role = 'system' AS pinned FROM a),
+y AS (SELECT conv_id, coalesce(sum(tokens) FILTER (WHERE pinned), 0) AS sys FROM t GROUP BY conv_id),
+b AS (SELECT t.*, greatest(0, {BUDGET} - sys) AS room, least({HISTORY}, greatest(0, {BUDGET} - sys) // 4) AS past FROM t JOIN y ON t.conv_id IS NOT DISTINCT FROM y.conv_id),
+p AS (SELECT *, greatest(1, (room - past) // 2) AS stride, (SELECT coalesce(sum(o.tokens), 0) FROM t o WHERE o.conv_id IS NOT DISTINCT FROM b.conv_id AND o.place < b.place AND NOT o.pinned) AS start FROM b),
+g AS (SELECT n.*, n.place = 1 OR (NOT q.pinned AND (n.tokens > n.stride OR q.tokens > q.stride OR n.start // n.stride <> q.start // q.stride)) AS opens FROM p n LEFT JOIN p q ON n.conv_id IS NOT DISTINCT FROM q.conv_id AND q.place = n.place - 1),
+w AS (SELECT *, (SELECT count(*) FROM g o WHERE o.conv_id IS NOT DISTINCT FROM g.conv_id AND o.place <= g.place AND o.opens) AS win FROM g),
+f AS (SELECT conv_id, win, sum(tokens) FILTER (WHERE NOT pinned) AS fresh FROM w GROUP BY conv_id, win),
+r AS (SELECT w.*, f.fresh AS following, (SELECT max(win) FROM f o WHERE o.conv_id IS NOT DISTINCT FROM w.conv_id) AS last,
+(SELECT sum(o.tokens) FROM w o WHERE o.conv_id IS NOT DISTINCT FROM w.conv_id AND o.win = w.win AND o.place >= w.place) AS rest FROM w LEFT JOIN f ON w.conv_id IS NOT DISTINCT FROM f.conv_id AND f.win = w.win + 1)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256, coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
 sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-sum(chars * (1 + CASE WHEN pinned THEN last - win WHEN win < last AND span_stop - stop + tokens <= {HISTORY} THEN 1 ELSE 0 END))::BIGINT AS formatted_chars, max(last)::BIGINT AS n_windows FROM m GROUP BY conv_id"""
+sum(chars * (1 + CASE WHEN pinned THEN last - win WHEN following IS NOT NULL AND rest <= least(past, room - following) THEN 1 ELSE 0 END))::BIGINT AS formatted_chars, max(last)::BIGINT AS n_windows FROM r GROUP BY conv_id"""

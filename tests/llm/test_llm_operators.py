@@ -128,6 +128,49 @@ def test_chat(spark):
     assert chat_windows.digests(chat_windows.windows(df.where("false"))).count() == 0
 
 
+def plain_windows(sizes, system, budget, history):
+    """New and repeated turns of each window, turn by turn; system: the first turn is one."""
+    sys = sizes[0] if system else 0
+    room = max(0, budget - sys)
+    past = min(history, room // 4)
+    stride = max(1, (room - past) // 2)
+    spans, start, cell, alone = [], 0, None, False
+    for k, n in enumerate(sizes):
+        if system and k == 0:
+            spans.append([k])
+            continue
+        joins = spans and ((system and k == 1) or (not alone and n <= stride and start // stride == cell))
+        spans[-1].append(k) if joins else spans.append([k])
+        cell, alone, start = start // stride, n > stride, start + n
+    out = []
+    for i, new in enumerate(spans):
+        left = min(past, room - sum(sizes[k] for k in new if not (system and k == 0)))
+        again = []
+        for k in reversed(spans[i - 1] if i else []):
+            left -= sizes[k]
+            if left < 0 or (system and k == 0):
+                break
+            again.insert(0, k)
+        out.append((new, ([0] if system and i else []) + again))
+    return out
+
+
+def test_chat_budget(spark):
+    sizes = {1: (0, [380, 900, 250]), 2: (0, [900, 252]), 3: (1, [800, *[100] * 9]), 4: (1, [600, *[60] * 30, 500, 900, 20, 20]), 5: (1, [1100, 30, 40, 2000]), 6: (0, [384] * 5), 7: (0, [385] * 5), 8: (0, [30, 2000, 30]), 9: (1, [10])}
+    sizes |= {100 + j: (j % 2, [1 + (j * 7919 + k * k * 104729) % (50 + 97 * (j % 9)) + 10 for k in range(40)]) for j in range(20)}
+    # a turn of n tokens: the markers have 14 to 19 code points
+    rows = [(c, k, "system" if system and k == 0 else "user", "x" * (4 * n - len(f"### {'system' if system and k == 0 else 'user'}: </turn>\n"))) for c, (system, own) in sizes.items() for k, n in enumerate(own)]
+    got = defaultdict(list)
+    for w in chat_windows.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).orderBy("conv_id", "window").collect():
+        got[w.conv_id].append(w)
+    for c, (system, own) in sizes.items():
+        want = plain_windows(own, system, chat_windows.BUDGET, chat_windows.HISTORY)
+        assert [(w.n_turns - w.n_repeated, w.n_repeated, w.n_tokens) for w in got[c]] == [(len(n), len(r), sum(own[k] for k in n + r)) for n, r in want], c
+        for (new, _), w in zip(want, got[c], strict=True):
+            turns = [k for k in new if not (system and k == 0)]
+            assert w.n_tokens <= chat_windows.BUDGET or (len(turns) <= 1 and sum(own[k] for k in turns) + (own[0] if system else 0) == w.n_tokens > chat_windows.BUDGET)
+
+
 def test_minhash(docs, empty):
     rows = local(docs)
     word = re.compile(r"[^\x20\x09-\x0D]+")
