@@ -3,6 +3,7 @@
 import math
 
 import duckdb
+import pandas as pd
 import pytest
 
 from factloom.queries import QUERIES, SQL
@@ -20,7 +21,7 @@ def duck():
 
 
 def plain(x):
-    if x is None or (isinstance(x, float) and math.isnan(x)):
+    if x is None or x is pd.NA or (isinstance(x, float) and math.isnan(x)):
         return "null"
     try:
         return repr(round(float(x), 6))
