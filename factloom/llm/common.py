@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (local mode)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset, in local mode only."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if at:
         return at
+    if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_checkpoints:
         _own_checkpoints[app] = tempfile.mkdtemp(prefix="factloom-")
@@ -44,6 +47,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder, which cuts its lineage."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
+
 def powers(n: int, base: int = _BASE) -> np.ndarray:
     """The first n powers of the base modulo 2**64; the longest run so far is kept for the next call."""
     if len(_powers.get(base, ())) < n:
@@ -134,10 +145,3 @@ def batches(column, most: int = 4 << 20):
         held += int(s)
     if a < len(size):
         yield a, len(size)
-
-
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds the rows of an Arrow batch, so that long texts don't fill a Python worker."""
-    now = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-    if int(now) > rows or int(now) <= 0:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -61,3 +61,25 @@ r AS (SELECT w.*, f.fresh AS following, (SELECT max(win) FROM f o WHERE o.conv_i
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256, coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
 sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
 sum(chars * (1 + CASE WHEN pinned THEN last - win WHEN following IS NOT NULL AND rest <= least(past, room - following) THEN 1 ELSE 0 END))::BIGINT AS formatted_chars, max(last)::BIGINT AS n_windows FROM r GROUP BY conv_id"""
+
+
+def archives() -> str:
+    """Of rows with one payload that of the largest page_id is the response. Base 32 from groups of five hex digits."""
+    digit = lambda k: f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (('0x' || substr(h, 5 * i + 1, 5))::BIGINT >> {15 - 5 * k}) % 32, 1)"
+    return f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS h FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(8), lambda i: {" || ".join(digit(k) for k in range(4))}), '') AS payload_digest, max(page_id) OVER (PARTITION BY h) AS owner FROM d)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id = owner THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> owner THEN owner END AS refers_to, NULL::VARCHAR AS error FROM b"""
+
+
+def repeats(length: int, shared: int) -> str:
+    """Every string of the length, by its MD5, on the texts in hex."""
+    return f"""WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, n, i, md5(substr(h, 2 * i + 1, 2 * n)) AS m FROM (SELECT doc_id, h, n, unnest(range(length(h) // 2 - n + 1)) AS i FROM t, (VALUES ({length}), ({shared})) v(n))),
+s AS (SELECT doc_id, n, i FROM (SELECT *, count(*) OVER (PARTITION BY n, m) AS c FROM w) WHERE c > 1),
+o AS (SELECT *, i - coalesce(lag(i) OVER (PARTITION BY doc_id, n ORDER BY i), -n - 1) > n AS opens FROM s),
+g AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id, n ORDER BY i) AS run FROM o),
+r AS (SELECT doc_id, n, min(i) AS a, max(i) + n AS b FROM g GROUP BY doc_id, n, run),
+c AS (SELECT doc_id, n, sum(b - a)::BIGINT AS lost, count(*) AS spans, list(a ORDER BY a) AS a, list(b ORDER BY a) AS b FROM r GROUP BY doc_id, n)
+SELECT t.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(c.lost, 0) AS n_removed, coalesce(c.spans, 0) AS n_spans,
+sha256(unhex(coalesce(array_to_string(list_transform(range(c.spans + 1), lambda k: substr(h, CASE WHEN k = 0 THEN 1 ELSE 2 * c.b[k] + 1 END, (CASE WHEN k = c.spans THEN length(h) ELSE 2 * c.a[k + 1] END) - (CASE WHEN k = 0 THEN 0 ELSE 2 * c.b[k] END))), ''), h))) AS kept_sha256,
+coalesce(e.lost, 0) AS n_shared FROM t LEFT JOIN c ON c.doc_id = t.doc_id AND c.n = {length} LEFT JOIN c e ON e.doc_id = t.doc_id AND e.n = {shared}"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, oracles, packing, quality_crf, suffix_dedup, url_automaton, warc_segments
-from .common import shared_dir, small_batches, table
+from .common import shared_dir, table
 
 
 def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,15 +16,13 @@ def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     weights, stay = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
     return quality_crf.judge(docs, weights, stay)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
-    return suffix_dedup.report(table(spark, sf_dir, "documents"), length=400)
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
 
 
 def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,31 +33,26 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return minhash_dedup.dedup(table(spark, sf_dir, "documents"), k=4, percent=80)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    small_batches(spark)
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     warc_segments.write_archives(table(spark, sf_dir, "pages"), path, min_revisit=0)
     return warc_segments.summary(warc_segments.reassembled(warc_segments.read_records(spark, path)))
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.fit(docs))
 
@@ -70,4 +63,4 @@ def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op3_suffix_dedup, op4_chat_windows, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
 
-SQL: dict[str, str] = {"op4_chat_windows": oracles.chats(), "op5_minhash_dedup": oracles.near_duplicates(4, 80), "op10_url_automaton": oracles.urls()}
+SQL: dict[str, str] = {"op3_suffix_dedup": oracles.repeats(suffix_dedup.LENGTH, suffix_dedup.SHARED), "op8_warc_segments": oracles.archives(), "op4_chat_windows": oracles.chats(), "op5_minhash_dedup": oracles.near_duplicates(4, 80), "op10_url_automaton": oracles.urls()}

@@ -34,7 +34,6 @@ import hashlib
 import os
 import re
 import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
+from .common import written
 from .induced_sort import Space, repeated_starts
 
 LENGTH = 400
@@ -248,14 +248,6 @@ def runs(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder, which cuts its lineage."""
-    spark = df.sparkSession
-    path = f"{common.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return docs.select("doc_id", text.alias("text"), F.xxhash64(F.lit(1), text).alias("h1"), F.xxhash64(F.lit(2), text).alias("h2"))

@@ -17,20 +17,25 @@ Spark knows will do, and a lost task is simply run again.
 Defined results: a null html is an empty payload; rows with one page_id are
 records of their own; an empty table gives no rows; further columns of the input
 are ignored. A record whose segments are not complete, whose length or whose
-digest is wrong gets `error` instead of a payload when it is read.
+digest is wrong gets `error` instead of a payload when it is read. So does what is
+no record, or is cut off: reading goes on at the next line that begins a record.
+Files may be one gzip stream or one for each record.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import written
+
 SEGMENT = 16 << 10
 CHUNK = 4 << 10
 #: Bytes of payload in one archive file, about: a file is read by one task as a whole.
@@ -99,118 +104,174 @@ def records_of(uid: str, page_id, url: str, digest: str, html: str | None, refer
 def write_archives(pages: DataFrame, path: str, min_revisit: int = 0, segment: int = SEGMENT, file_bytes: int = FILE_BYTES) -> None:
     """Writes all pages as .gz archives under path. Payloads of fewer than min_revisit bytes are never revisits.
 
-    Rows get an id from their place in the input, which is the same in each run of the scan. Only (id, digest) pairs
-    meet by digest, with partial aggregation first; the html is shuffled once, by the row's own id, to as many
-    partitions as there are to be files.
+    Digests and row ids are written to a table first, so an id is one row's whatever becomes of a task. Rows meet by digest in
+    that table only, with partial aggregation first. The html is shuffled once, by page and digest, to as many partitions
+    as there are to be files; rows that are equal in both have equal html, so any of them serves.
     """
-    rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"), F.monotonically_increasing_id().alias("uid"))
-    slim = rows.select("page_id", "url", "uid", F.octet_length("html").alias("size"), F.sha1(F.col("html").cast("binary")).alias("digest"))
+    slim = written(pages.select("page_id", "url", F.coalesce(F.octet_length("html"), F.lit(0)).alias("size"), F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("digest"), F.monotonically_increasing_id().alias("uid")), "digests")
     owner = slim.groupBy("digest").agg(F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "uid")).alias("owner"), F.max("size").alias("size"))
     owner = owner.where(F.col("size") >= min_revisit).select("digest", F.col("owner.uid").alias("owner"))
-    linked = slim.join(owner, "digest", "left").select("page_id", "url", "uid", "digest", F.when(F.col("owner") != F.col("uid"), F.col("owner")).alias("refers"))
-    total = slim.agg(F.sum("size")).first()[0] or 0
+    linked = written(slim.join(owner, "digest", "left").select("page_id", "url", "uid", "digest", "size", F.when(F.col("owner") != F.col("uid"), F.col("owner")).alias("refers")), "linked")
+    total = linked.where("refers is null").agg(F.sum("size")).first()[0] or 0
     files = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // file_bytes))
-    stored = linked.where(F.col("refers").isNull()).repartition(files, "uid").join(rows.select("uid", "html").repartition(files, "uid"), "uid")
-    ready = stored.unionByName(linked.where(F.col("refers").isNotNull()).withColumn("html", F.lit(None).cast("string")))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for r in pdf.to_dict("records"):
-                digest = base64.b32encode(bytes.fromhex(r["digest"])).decode()
-                refers = None if pd.isna(r["refers"]) else str(int(r["refers"]))
-                page_id = None if pd.isna(r["page_id"]) else int(r["page_id"])
-                out += records_of(str(int(r["uid"])), page_id, r["url"], digest, r["html"], refers, segment)
-            yield pd.DataFrame({"value": out})
-
-    ready.mapInPandas(run, "value string").write.mode("overwrite").option("lineSep", END).option("compression", "gzip").text(path)
-
-
-def parse(raw: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers and block of each record of an archive."""
+    key = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(":"), "digest").alias("key")
+    own = F.struct("uid", "url")
+    wanted = linked.where("refers is null").select("page_id", "digest", key, own.alias("own")).groupBy("key", "page_id", "digest").agg(F.collect_list("own").alias("own"))
+    html = pages.select("page_id", F.coalesce("html", F.lit("")).alias("html")).withColumn("digest", F.sha1(F.col("html").cast("binary"))).select(key, "html")
+    stored = wanted.repartition(files, "key").join(html.repartition(files, "key"), "key").sortWithinPartitions("key")
+    again = linked.where("refers is not null").select(F.lit(None).cast("string").alias("key"), "page_id", "digest", F.array(own).alias("own"), F.lit(None).cast("string").alias("html"), "refers")
+    ready = stored.withColumn("refers", F.lit(None).cast("long")).unionByName(again)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            out, held = [], 0
+            for k, r in enumerate(batch.select(["key", "page_id", "digest", "own", "refers"]).to_pylist()):
+                if r["key"] is not None and r["key"] == last:
+                    continue  # html of a page that is written already
+                last = r["key"]
+                text, digest = batch.column("html")[k].as_py(), base64.b32encode(bytes.fromhex(r["digest"])).decode()
+                for one in r["own"]:
+                    out += records_of(str(one["uid"]), r["page_id"], one["url"], digest, text, None if r["refers"] is None else str(r["refers"]), segment)
+                    held += len(text or "")
+                    if held > 8 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+                        out, held = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+
+    ready.mapInArrow(run, "value string").write.mode("overwrite").option("lineSep", END).option("compression", "gzip").text(path)
+
+
+def inflated(content: bytes) -> tuple[bytes, bool]:
+    """All members of a gzip file, and whether they are whole."""
+    out = []
+    while content:
+        stream = zlib.decompressobj(31)
+        try:
+            out.append(stream.decompress(content))
+        except zlib.error:
+            return b"".join(out), False
+        if not stream.eof:
+            return b"".join(out), False
+        content = stream.unused_data.lstrip(b"\0")
+    return b"".join(out), True
+
+
+_BEGIN = re.compile(rb"(?:\A|\r\n)WARC/\d")
+
+
+def parse(raw: bytes) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Headers, block and error of each record of an archive."""
     at = 0
     while at < len(raw):
         if raw[at : at + 2] == b"\r\n":
             at += 2
             continue
-        end = raw.index(b"\r\n\r\n", at)
-        lines = raw[at:end].split(b"\r\n")
-        if not lines[0].startswith(b"WARC/"):
-            raise ValueError("no WARC record")
-        head = {k.strip().decode().lower(): v.strip().decode() for k, _, v in (x.partition(b":") for x in lines[1:])}
-        n = int(head["content-length"])
-        yield head, raw[end + 4 : end + 4 + n]
+        end = raw.find(b"\r\n\r\n", at)
+        lines = raw[at : max(at, end)].split(b"\r\n")
+        head = {k.strip().decode("utf-8", "replace").lower(): v.strip().decode("utf-8", "replace") for k, _, v in (x.partition(b":") for x in lines[1:])}
+        size = head.get("content-length", "")
+        if end < 0 or not lines[0].startswith(b"WARC/") or not (size.isascii() and size.isdigit()) or not {"warc-type", "warc-record-id"} <= head.keys():
+            yield head, b"", "no record"
+            following = _BEGIN.search(raw, at + 1)
+            at = following.start() if following else len(raw)
+            continue
+        n = int(size)
+        block = raw[end + 4 : end + 4 + n]
+        yield head, block, None if len(block) == n else "block cut off"
         at = end + 4 + n
 
 
+RECORDS = "type string, id string, page_id long, url string, digest string, refers_to string, origin string, number int, total long, segmented boolean, block binary, error string"
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each record in the files under path: type, id, page_id, url, digest, refers_to, origin, number, total, block."""
+    """A row of RECORDS for each record in the files under path."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for content in pdf["content"]:
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.bool_(), pa.binary(), pa.string()]
+    names = [f.split()[0] for f in RECORDS.split(", ")]
+    number = lambda x: int(x) if x and x.isascii() and x.isdigit() and len(x) < 10 else None
+
+    def pack(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
+    def row(head: dict[str, str], block: bytes, error: str | None) -> tuple:
+        own, page = head.get("warc-record-id"), head.get("x-page-id")
+        digest, place = head.get("warc-payload-digest"), head.get("warc-segment-number")
+        page_id = int(page) if page and re.fullmatch(r"-?[0-9]{1,18}", page) else None
+        return (
+            head.get("warc-type"), own, page_id, head.get("warc-target-uri"), digest and digest.partition(":")[2], head.get("warc-refers-to"), head.get("warc-segment-origin-id", own),
+            number(place) if place is not None else 1, number(head.get("warc-segment-total-length")), place is not None and error is None, block, error,
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                raw, sound = inflated(content.as_py())
                 rows, held = [], 0
-                for head, block in parse(zlib.decompress(content, 31)):
-                    own = head["warc-record-id"]
-                    digest, page = head.get("warc-payload-digest"), head.get("x-page-id")
-                    number, total = head.get("warc-segment-number"), head.get("warc-segment-total-length")
-                    rows.append((head["warc-type"], own, page and int(page), head.get("warc-target-uri"), digest and digest.partition(":")[2], head.get("warc-refers-to"), head.get("warc-segment-origin-id", own), int(number or 1), total and int(total), number is not None, block))
+                for head, block, error in parse(raw):
+                    rows.append(row(head, block, error))
                     held += len(block)
                     if held > 4 << 20:
-                        yield frame(rows)
+                        yield pack(rows)
                         rows, held = [], 0
-                yield frame(rows)
+                if not sound:
+                    rows.append(row({}, b"", "damaged file"))
+                yield pack(rows)
 
-    names = ["type", "id", "page_id", "url", "digest", "refers_to", "origin", "number", "total", "segmented", "block"]
+    return files.mapInArrow(run, RECORDS)
 
-    def frame(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=names)
-        return out.astype({"page_id": "Int64", "total": "Int64"})
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "200")
-    return files.mapInPandas(run, "type string, id string, page_id long, url string, digest string, refers_to string, origin string, number int, total long, segmented boolean, block binary")
+WHOLE = "type string, id string, page_id long, url string, digest string, refers_to string, error string, payload binary"
 
 
 def reassembled(records: DataFrame) -> DataFrame:
-    """Whole records: type, id, page_id, url, digest, refers_to, payload (null for revisits), error (null if all is well).
+    """Whole records, a row of WHOLE each: payload is null for revisits, error is null if all is well.
 
-    Only segmented records are shuffled; a group is one HTTP response, whatever else is in the input.
+    Only segmented records are shuffled; a group is one HTTP response, whatever else is in the input. Its blocks are joined once, in the worker.
     """
-    whole = records.where(~F.col("segmented")).select("type", "id", "page_id", "url", "digest", "refers_to", "block", F.lit(None).cast("string").alias("error"))
+    fields = ["type", "id", "page_id", "url", "digest", "refers_to", "error"]
+    whole = records.where(~F.col("segmented")).select(*fields, F.array("block").alias("blocks"), F.lit(None).cast("long").alias("total"))
     parts = records.where("segmented").groupBy("origin").agg(F.array_sort(F.collect_list(F.struct("number", "total", "type", "id", "page_id", "url", "digest", "block"))).alias("parts"))
     first, last = F.col("parts")[0], F.element_at("parts", -1)
-    joined = F.aggregate("parts", F.lit("").cast("binary"), lambda a, p: F.concat(a, p["block"]))
     complete = (first["type"] == "response") & (first["number"] == 1) & (last["number"] == F.size("parts")) & last["total"].isNotNull()
     parts = parts.select(
-        F.coalesce(first["type"], F.lit("response")).alias("type"), F.col("origin").alias("id"), first["page_id"].alias("page_id"), first["url"].alias("url"), first["digest"].alias("digest"), F.lit(None).cast("string").alias("refers_to"), joined.alias("block"),
-        F.when(~F.coalesce(complete, F.lit(False)), "segments missing").when(F.octet_length(joined) != last["total"], "total length").alias("error"),
+        F.coalesce(first["type"], F.lit("response")).alias("type"), F.col("origin").alias("id"), first["page_id"].alias("page_id"), first["url"].alias("url"), first["digest"].alias("digest"), F.lit(None).cast("string").alias("refers_to"),
+        F.when(~F.coalesce(complete, F.lit(False)), "segments missing").alias("error"), F.transform("parts", lambda p: p["block"]).alias("blocks"), last["total"].alias("total"),
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            payloads, errors = [], []
-            for kind, block, digest, error in zip(pdf["type"], pdf["block"], pdf["digest"], pdf["error"], strict=True):
+    def decoded(blocks: list[bytes], total: int | None, digest: str | None) -> tuple[bytes | None, str | None]:
+        block = blocks[0] if len(blocks) == 1 else b"".join(blocks)
+        if total is not None and len(block) != total:
+            return None, "total length"
+        head, _, body = block.partition(b"\r\n\r\n")
+        try:
+            payload = dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
+        except ValueError:
+            return None, "chunked framing"
+        return (payload, None) if base64.b32encode(hashlib.sha1(payload).digest()).decode() == digest else (None, "payload digest")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            payloads, errors = [], batch.column("error").to_pylist()
+            for k, (kind, total, digest) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("type", "total", "digest")), strict=True)):
                 payload = None
-                if kind == "response" and error is None:
-                    try:
-                        head, _, body = bytes(block).partition(b"\r\n\r\n")
-                        payload = dechunked(body) if b"transfer-encoding: chunked" in head.lower() else body
-                        if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                            payload, error = None, "payload digest"
-                    except ValueError:
-                        error = "chunked framing"
+                if kind == "response" and errors[k] is None:
+                    payload, errors[k] = decoded(batch.column("blocks")[k].as_py(), total, digest)
                 payloads.append(payload)
-                errors.append(error)
-            yield pdf.drop(columns="block").assign(payload=payloads, error=errors)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in fields[:-1]), pa.array(errors, pa.string()), pa.array(payloads, pa.binary())], [*fields, "payload"])
 
-    return whole.unionByName(parts).mapInPandas(run, "type string, id string, page_id long, url string, digest string, refers_to string, error string, payload binary")
+    return whole.unionByName(parts).mapInArrow(run, WHOLE)
 
 
 def summary(whole: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to: a revisit's size is that of the record it refers to."""
-    stored = whole.where("type = 'response'").select("page_id", F.col("id").alias("at"), "digest", F.octet_length("payload").cast("long").alias("payload_bytes"), "error")
-    revisits = whole.where("type = 'revisit'").select("page_id", "digest", F.col("refers_to").alias("at"))
+    """page_id, payload_bytes, payload_digest, record_type, refers_to, error: a revisit's size is that of the record it refers to.
+
+    The records' sizes are written to a table, so the payloads are decoded once.
+    """
+    slim = written(whole.select("type", "id", "page_id", "digest", "refers_to", "error", F.octet_length("payload").cast("long").alias("payload_bytes")), "sizes")
+    stored = slim.where("type is null or type <> 'revisit'").select("page_id", F.col("id").alias("at"), "digest", "payload_bytes", "error")
+    revisits = slim.where("type = 'revisit'").select("page_id", "digest", F.col("refers_to").alias("at"), F.col("error").alias("own"))
     target = stored.select("at", F.col("page_id").alias("refers_to"), "payload_bytes", F.when(F.col("error").isNotNull(), F.concat(F.lit("refers to: "), "error")).alias("error"))
-    far = revisits.join(target, "at", "left").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to", "error")
+    far = revisits.join(target, "at", "left").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("revisit").alias("record_type"), "refers_to", F.coalesce("own", "error").alias("error"))
     return stored.select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to"), "error").unionByName(far)

@@ -1,6 +1,7 @@
 """The operators on small tables with every awkward case: nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
 import base64
+import gzip
 import hashlib
 import re
 import zlib
@@ -264,6 +265,23 @@ def test_warc(spark, tmp_path):
     assert warc_segments.read_records(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_warc_of_others(spark, tmp_path):
+    """Archives that others wrote: a gzip member for each record, damaged records, files cut off."""
+    sha = lambda b: base64.b32encode(hashlib.sha1(b).digest()).decode()
+    plain = lambda k, body, size=None: (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <r{k}>\r\nX-Page-Id: {k}\r\nWARC-Payload-Digest: sha1:{sha(body)}\r\nContent-Length: {len(body) + 19 if size is None else size}\r\n\r\n").encode() + b"HTTP/1.1 200 OK\r\n\r\n" + body + b"\r\n\r\n"
+    folder = tmp_path / "a"
+    folder.mkdir()
+    (folder / "1.warc.gz").write_bytes(b"".join(gzip.compress(plain(k, b"body %d" % k)) for k in range(3)))
+    (folder / "2.warc.gz").write_bytes(gzip.compress(plain(3, b"x") + b"noise without an end\r\n\r\nmore\r\n" + plain(4, b"y") + plain(5, b"z", "many") + plain(6, b"cut", 500)))
+    (folder / "3.warc.gz").write_bytes(gzip.compress(plain(7, b"u" * 5000))[:-30])
+    (folder / "4.warc.gz").write_bytes(b"no gzip at all")
+    (folder / "5.warc.gz").write_bytes(gzip.compress(plain(8, b"a" * 3000)) + gzip.compress(plain(9, b"b"))[:-9])
+    got = warc_segments.reassembled(warc_segments.read_records(spark, str(folder))).collect()
+    good = {r.page_id: bytes(r.payload) for r in got if r.error is None}
+    assert good.items() >= {0: b"body 0", 1: b"body 1", 2: b"body 2", 3: b"x", 4: b"y", 8: b"a" * 3000}.items() and good.keys() <= {0, 1, 2, 3, 4, 8, 9}
+    assert Counter(r.error for r in got if r.error) >= Counter({"no record": 2, "block cut off": 1, "damaged file": 3})
+
+
 def test_langid(spark, docs, empty):
     big = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.predict(big, langid.fit(big)).join(big.select("doc_id", "lang"), "doc_id").where("held_out")
