@@ -1,18 +1,26 @@
 """Sharding along a Hilbert curve.
 
-Language, source and text size are quantised to a few bits each; the cell's index
-on the three-dimensional Hilbert curve orders the rows; the order is cut into runs
-of equal row counts. Neighbouring cells lie in the same shard, so that a reader
-with predicates on several of the dimensions skips whole shards and row groups.
-
-The rows themselves never pass a single task: counts of (cell, salt) groups give
-each group its place in the order, and a row's rank is that place plus its number
-in its own group. Cells are at most 2**(3 * BITS), salts SALTS, so the tables of
-counts are bounded whatever the input.
-
-Defined results: a null text has size 1 and CRC 0; null language or source is a
-value of its own; rows that are equal throughout get different slots; an empty
-table gives no rows; further columns of the input are ignored.
+Language, source and text size are quantised to a few bits each, by equal depth: a
+value's coordinate is the share of rows before it in the order of values, so frequent
+values have coordinates of their own and neighbours in the alphabet are neighbours.
+The cell's index on the three-dimensional Hilbert curve orders the rows; the order is
+cut into runs of equal row counts. Neighbouring cells lie in the same shard, so that a
+reader with predicates on several of the dimensions skips whole shards and row groups.
+
+Equal texts are a group: they take the cell of the least of them and go to one shard.
+Groups go to the shard in which they begin; the other rows fill the shards up in
+their order, so the counts differ by one at most. A group with more than
+1 / GROUP_SHARE of a shard's rows is no group but rows like others, for no law could hold
+with it; and where groups alone would overfill a shard, all are cut like other rows.
+
+The rows themselves never pass a single task: counts of (cell, salt) buckets give
+each bucket its place in the order, and a row's rank is that place plus its number
+in its own bucket. The number of salts follows the rows.
+
+Defined results: a null text has size 1 and CRC 0 and is equal to an empty one; null
+language or source is a value of its own, before the others; rows that are equal
+throughout get different slots; an empty table gives no rows; further columns of the
+input are ignored.
 """
 
 from __future__ import annotations
@@ -22,9 +30,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 BITS = 5
-SALTS = 64
 DIMS = 3
+#: Rows of a bucket, about, if a single cell had all rows.
+BUCKET_ROWS = 50_000
+LEAST_SALTS = 16
+GROUP_SHARE = 16
+#: Ranges in which the distinct values of a dimension are ranked.
+VALUE_RANGES = 16
 
 
 def hilbert_index(coordinates: list[np.ndarray], bits: int) -> np.ndarray:
@@ -53,42 +68,104 @@ def hilbert_index(coordinates: list[np.ndarray], bits: int) -> np.ndarray:
     return out
 
 
-def quantised(docs: DataFrame, bits: int = BITS) -> list[Column]:
-    """The three coordinates of a row: language, source, and the logarithm of the size in half steps."""
-    top = (1 << bits) - 1
-    by_name = lambda c: F.when(F.col(c).isNull(), 0).otherwise(1 + F.pmod(F.crc32(F.col(c)), F.lit(top)))
-    return [by_name("lang").cast("int"), by_name("source").cast("int"), F.least(F.lit(top), F.floor(2 * F.log2(F.col("size")))).cast("int")]
-
-
-def shard(docs: DataFrame, n_shards: int = 8, bits: int = BITS, salts: int = SALTS) -> DataFrame:
+def by_depth(rows: DataFrame, column: str, total: int, bits: int) -> DataFrame:
+    """column and coordinate of each distinct value: how many of 2**bits equal parts of the rows lie before it. Ranges of values are counted apart."""
+    counts = rows.groupBy(column).agg(F.count("*").alias("n"))
+    parts = written(counts.repartitionByRange(VALUE_RANGES, F.col(column).asc_nulls_first()).withColumn("part", F.spark_partition_id()), "values")
+    sizes = {r.part: r.n for r in parts.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    before, starts = 0, {}
+    for part in sorted(sizes):
+        starts[part], before = before, before + sizes[part]
+    start = F.create_map(*(F.lit(x) for pair in (starts or {0: 0}).items() for x in pair))[F.col("part")]
+    upto = Window.partitionBy("part").orderBy(F.col(column).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cut = F.expr(f"least({(1 << bits) - 1}, (place * {1 << bits}L) div {max(1, total)})").cast("int")
+    return parts.withColumn("place", start + F.sum("n").over(upto) - F.col("n")).select(F.col(column).alias("value"), cut.alias("coordinate"))
+
+
+def quantised(rows: DataFrame, total: int, bits: int = BITS) -> DataFrame:
+    """The rows with their coordinates q0 (language), q1 (source) and q2 (size)."""
+    for k, column in enumerate(("lang", "source")):
+        values = by_depth(rows, column, total, bits)
+        rows = rows.join(values, F.col(column).eqNullSafe(F.col("value")), "left").withColumn(f"q{k}", F.col("coordinate")).drop("value", "coordinate")
+    steps = 1 << bits
+    cuts = rows.agg(F.percentile_approx("size", [k / steps for k in range(1, steps)], 10_000)).first()[0] or []
+    above = [F.when(F.col("size") > F.lit(c), 1).otherwise(0) for c in cuts]
+    return rows.withColumn("q2", sum(above, F.lit(0)).cast("int"))
+
+
+def shard(docs: DataFrame, n_shards: int = 8, bits: int = BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, size, text_crc32, law `rows`, shard, slot, grown_shard (null), then the coordinates and the curve index of each row."""
+    text = F.coalesce("text", F.lit(""))
     rows = docs.select(
-        "doc_id", "lang", "source",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
-        F.coalesce(F.crc32("text"), F.lit(0)).cast("long").alias("text_crc32"),
+        "doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).cast("long").alias("text_crc32"),
+        F.xxhash64(F.lit(1), text).alias("h1"), F.xxhash64(F.lit(2), text).alias("h2"),
     )
-    q = quantised(rows, bits)
-    rows = rows.select("doc_id", "size", "text_crc32", *(c.alias(f"q{i}") for i, c in enumerate(q)), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int").alias("salt"))
+    rows = written(rows, "rows")
+    total = rows.count()
     cell = [f"q{i}" for i in range(DIMS)]
+    rows = quantised(rows, total, bits).drop("lang", "source")
+    # a bound on groups that are kept whole, and the cell of each
+    most = max(1, total // n_shards // GROUP_SHARE)
+    groups = rows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct(*cell)).alias("cell")).where(f"n between 2 and {most}")
+    rows = rows.join(written(groups, "groups").select("h1", "h2", "cell"), ["h1", "h2"], "left")
+    grouped = F.col("cell").isNotNull()
+    salts = max(LEAST_SALTS, -(-total // bucket_rows))
+    salt = F.pmod(F.when(grouped, F.xxhash64("h1")).otherwise(F.xxhash64("doc_id", "h1")), F.lit(salts)).cast("int")
+    rows = rows.select("doc_id", "size", "text_crc32", "h1", "h2", *(F.coalesce(F.col("cell")[c], F.col(c)).alias(f"at{i}") for i, c in enumerate(cell)), *cell, grouped.alias("grouped"), salt.alias("salt"))
+    rows = written(rows, "cells")
+    at = [f"at{i}" for i in range(DIMS)]
 
     @F.pandas_udf("long")
     def index(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
         return pd.Series(hilbert_index([a.to_numpy(), b.to_numpy(), c.to_numpy()], bits))
 
-    counts = rows.groupBy(*cell, "salt").agg(F.count("*").alias("n"))
-    cells = counts.groupBy(*cell).agg(F.sum("n").alias("n")).withColumn("hilbert", index(*cell))
+    counts = rows.groupBy(*at, "salt").agg(F.count_if(~F.col("grouped")).alias("singles"), F.count_if("grouped").alias("members"))
+    cells = counts.groupBy(*at).agg(F.sum("singles").alias("cell_singles"), F.sum("members").alias("cell_members")).withColumn("hilbert", index(*at))
     curve = Window.orderBy("hilbert").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cells = cells.select(*cell, "hilbert", (F.sum("n").over(curve) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total"))
-    inside = Window.partitionBy(*cell).orderBy("salt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    places = counts.withColumn("salt_before", F.sum("n").over(inside) - F.col("n")).drop("n").join(cells, cell).withColumn("first", F.col("before") + F.col("salt_before"))
-    own = Window.partitionBy(*cell, "salt").orderBy("text_crc32", "doc_id", "size")
-    ranked = rows.withColumn("own", F.row_number().over(own) - 1).join(places.select(*cell, "salt", "hilbert", "first", "total"), [*cell, "salt"]).withColumn("rank", F.col("first") + F.col("own"))
-    cut = F.expr(f"(rank * {n_shards}L) div total")
-    return ranked.withColumn("shard", cut.cast("int")).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard",
-        F.expr(f"rank - (shard * total + {n_shards - 1}) div {n_shards}").cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "hilbert", *cell,
+    inside = Window.partitionBy(*at).orderBy("salt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = lambda c, w: F.sum(c).over(w) - F.col(c)
+    cells = cells.select(*at, "hilbert", upto("cell_singles", curve).alias("cs"), upto("cell_members", curve).alias("cm"))
+    places = counts.withColumn("s", upto("singles", inside)).withColumn("m", upto("members", inside)).join(cells, at)
+    places = places.select(*at, "salt", "hilbert", "singles", (F.col("s") + F.col("cs")).alias("s"), (F.col("m") + F.col("cm")).alias("m"))
+    # in a bucket the single rows come first, then the groups
+    own = Window.partitionBy(*at, "salt", "grouped").orderBy("h1", "h2", "doc_id", "size", "text_crc32")
+    ranked = rows.withColumn("own", F.row_number().over(own) - 1)
+    ranked = ranked.withColumn("first", F.when(F.col("grouped"), F.min("own").over(Window.partitionBy(*at, "salt", "grouped", "h1", "h2"))))
+    ranked = ranked.join(places, [*at, "salt"]).select(
+        "doc_id", "size", "text_crc32", "grouped", *cell, "hilbert",
+        # singles and members that come before the row, and before its group
+        (F.col("s") + F.when(F.col("grouped"), F.col("singles")).otherwise(F.col("own"))).alias("s"), (F.col("m") + F.when(F.col("grouped"), F.col("own")).otherwise(0)).alias("m"), (F.col("m") + F.col("first")).alias("first"),
     )
+    ranked = written(ranked.withColumn("begins", F.expr(f"((s + first) * {n_shards}L) div {max(1, total)}").cast("int")), "ranks")
+    return _cut(ranked, total, n_shards, cell)
+
+
+def _cut(ranked: DataFrame, total: int, n_shards: int, cell: list[str]) -> DataFrame:
+    """The shards: a few numbers of each shard decide."""
+    quota = [-(-(k + 1) * total // n_shards) - -(-k * total // n_shards) for k in range(n_shards)]
+    held = {r.begins: r.n for r in ranked.where("grouped").groupBy("begins").agg(F.count("*").alias("n")).collect()}
+    members = [held.get(k, 0) for k in range(n_shards)]
+    out = ["doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "hilbert", *cell]
+    if any(m > q for m, q in zip(members, quota, strict=True)):
+        starts = [sum(quota[:k]) for k in range(n_shards)]
+        rank = F.col("s") + F.col("m")
+        shard = _place(rank, starts)
+        return ranked.withColumn("shard", shard).withColumn("slot", rank - _number("shard", starts)).select(*out)
+    singles = [q - m for q, m in zip(quota, members, strict=True)]
+    s_starts, m_starts = ([sum(x[:k]) for k in range(n_shards)] for x in (singles, members))
+    rows = ranked.withColumn("shard", F.when(F.col("grouped"), F.col("begins")).otherwise(_place(F.col("s"), s_starts)))
+    # a row's slot: how many of either kind its shard has before it
+    before = lambda c, starts, size: F.greatest(F.lit(0), F.least(F.col(c) - _number("shard", starts), _number("shard", size)))
+    return rows.withColumn("slot", before("s", s_starts, singles) + before("m", m_starts, members)).select(*out)
+
+
+def _place(rank: Column, starts: list[int]) -> Column:
+    """The last part that starts at or before the rank and isn't empty."""
+    return (sum((F.when(rank >= F.lit(x), 1).otherwise(0) for x in starts), F.lit(0)) - 1).cast("int")
+
+
+def _number(part: str, numbers: list[int]) -> Column:
+    return F.element_at(F.array(*(F.lit(x).cast("long") for x in numbers)), F.col(part) + 1)
 
 
 def manifest(sharded: DataFrame) -> DataFrame:

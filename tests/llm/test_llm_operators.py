@@ -61,6 +61,41 @@ def test_sharding(docs, empty):
     assert hilbert_sharding.manifest(hilbert_sharding.shard(docs, 8)).count() == 8
 
 
+@pytest.mark.parametrize("kind", ["groups", "pairs", "giant"])
+def test_shards_of_groups(spark, kind):
+    """Against the law, the curve and the coordinates worked out in Python."""
+    n = 1200
+    copy = {"groups": lambda i: i % 300 if i < 900 else i, "pairs": lambda i: i // 2, "giant": lambda i: 0 if i % 3 == 0 else i}[kind]
+    rows = [(i, f"text {copy(i)} " + "x" * (copy(i) * 7 % 500), ["en", "de", None, "fr"][i * i % 4], f"s{i * 31 % 40}") for i in range(n)]
+    got = {r.doc_id: r for r in hilbert_sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5), 8, bucket_rows=100).collect()}
+    assert sorted((r.shard, r.slot) for r in got.values()) == [(k, j) for k in range(8) for j in range(150)]
+    groups = defaultdict(list)
+    for i, t, _, _ in rows:
+        groups[t].append(i)
+    cut = [g for g in groups.values() if len({got[i].shard for i in g}) > 1]
+    if kind == "giant":
+        assert len(cut) == 1 and len(cut[0]) == 400
+    elif kind == "groups":
+        assert not cut
+    else:  # nothing but pairs: one at each of the seven cuts may be split
+        assert len(cut) <= 7
+    for c, column in enumerate(("lang", "source")):
+        values = sorted((r[2 + c] for r in rows), key=lambda v: (v is not None, v or ""))
+        assert all(got[r[0]][f"q{c}"] == values.index(r[2 + c]) * 32 // n for r in rows), column
+    assert [got[i].q2 for i in sorted(got, key=lambda i: got[i].size)] == sorted(r.q2 for r in got.values()) and len({r.q2 for r in got.values()}) > 20
+    members = {i for g in groups.values() if 2 <= len(g) <= 9 for i in g}
+    for r in got.values():
+        if r.doc_id not in members:
+            assert r.hilbert == hilbert_sharding.hilbert_index([[r.q0], [r.q1], [r.q2]], 5)[0]
+    for k in range(8):
+        run = [r.hilbert for r in sorted(got.values(), key=lambda r: r.slot) if r.shard == k]
+        assert run == sorted(run)
+    for g in groups.values():
+        if 2 <= len(g) <= 9 and len({got[i].shard for i in g}) == 1:
+            slots = sorted(got[i].slot for i in g)
+            assert slots == list(range(slots[0], slots[0] + len(g)))
+
+
 def test_quality(spark, docs, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     weights, stay = quality_crf.fit(docs, labels)
