@@ -4,12 +4,15 @@ A linear-chain conditional random field labels each line with a word as content
 or boilerplate; Viterbi decoding finds the best label sequence of the whole text;
 the share of word characters in content lines decides retention.
 
-The field is trained piecewise: node weights by regularised logistic regression
-on lines (binary features below), whose labels come from the quality of labelled
-documents, and transition weights from the neighbouring lines of that sample as
-the node weights alone label them. At most FIT_DOCS labelled documents, those of
-smallest hash of their id, are fitted; without enough of them in both classes
-PRIOR holds. Weights are rounded to thousandths, so that decoding is exact.
+Node and transition weights are fitted together by forward-backward on labelled
+documents. The quality of a document is taken as a noisy observation of each of its
+lines, wrong with probability LINE_NOISE, so the labels of lines are hidden: the gradient
+of the likelihood is the difference of the expected features with and without the
+observations, which two passes over each sequence give. A ridge keeps weights finite.
+The sample is bounded: sequences of labelled documents are cut into pieces of
+PIECE_LINES lines, all of a document, and the FIT_PIECES of smallest hash are fitted;
+with fewer than LEAST_OF_CLASS in one of the classes PRIOR holds. Weights are rounded
+to thousandths, so that decoding is exact.
 
 Defined results: a null text counts as empty (no words, so it fails the base
 rules); a text without lines to label has content share 0; repeated rows are
@@ -26,7 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIT_DOCS = 5000
+FIT_PIECES = 4000
+PIECE_LINES = 64
+LINE_NOISE = 0.1
+STEPS = 120
 LEAST_OF_CLASS = 10
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -120,39 +126,91 @@ class Weights(dict):
         return self[mask]
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> tuple[tuple[int, ...], int]:
+class Chains:
+    """Sequences of line features of one sample, for forward-backward passes over all of them at once."""
+
+    def __init__(self, masks: list[tuple[int, ...]], quality: list[int]):
+        self.length = np.array([len(m) for m in masks])
+        most = int(self.length.max())
+        padded = np.array([[*m, *[0] * (most - len(m))] for m in masks], np.int64)
+        self.valid = np.arange(most) < self.length[:, None]
+        # the different masks, and which of them each line has
+        self.kinds, self.which = np.unique(padded, return_inverse=True)
+        self.which = self.which.reshape(padded.shape)
+        self.features = (self.kinds[:, None] >> np.arange(len(FEATURES)) & 1).astype(float)
+        self.good = np.array(quality) == 1
+        lines = [max(1, int(self.length[self.good == g].sum())) for g in (False, True)]
+        # either class weighs as much as 1000 lines
+        self.weight = np.where(self.good, 1000 / lines[1], 1000 / lines[0])
+
+    def expected(self, weights: np.ndarray, observed: bool) -> tuple[float, np.ndarray, float]:
+        """Log of the partition function (with or without the observations of quality), and expected node features and equal neighbours; each weighted."""
+        node = np.exp(self.features @ weights[:-1])[self.which]
+        stay = np.exp(weights[-1])
+        no, yes = np.ones_like(node), node
+        if observed:
+            right, wrong = 1 - LINE_NOISE, LINE_NOISE
+            no, yes = np.where(self.good, wrong, right)[:, None] * no, np.where(self.good, right, wrong)[:, None] * yes
+        n, most = node.shape
+        forward, scale = np.zeros((most, 2, n)), np.ones((most, n))
+        a, b = no[:, 0], yes[:, 0]
+        for t in range(most):
+            if t:
+                a, b = (a * stay + b) * no[:, t], (a + b * stay) * yes[:, t]
+            total = np.where(self.valid[:, t], a + b, 1.0)
+            a, b = a / total, b / total
+            forward[t], scale[t] = (a, b), total
+        gamma, same = np.zeros((n, most)), np.zeros(n)
+        c, d = np.ones(n), np.ones(n)
+        for t in range(most - 1, -1, -1):
+            live = self.valid[:, t]
+            gamma[live, t] = (forward[t, 1] * d)[live]
+            if t:
+                a, b = forward[t - 1]
+                x, y = no[:, t] * c / scale[t], yes[:, t] * d / scale[t]
+                same += np.where(live, stay * (a * x + b * y), 0.0)
+                c, d = np.where(live, stay * x + y, c), np.where(live, x + stay * y, d)
+        by_kind = np.bincount(self.which.ravel(), weights=(gamma * self.weight[:, None] * self.valid).ravel(), minlength=len(self.kinds))
+        log_z = float((np.log(scale) * self.valid.T).sum(axis=0) @ self.weight)
+        return log_z, by_kind @ self.features, float(same @ self.weight)
+
+    def objective(self, weights: np.ndarray) -> tuple[float, np.ndarray]:
+        """The penalised log likelihood of the observations, and its gradient."""
+        z1, f1, s1 = self.expected(weights, True)
+        z0, f0, s0 = self.expected(weights, False)
+        return z1 - z0 - 0.5 * float(weights @ weights), np.append(f1 - f0, s1 - s0) - weights
+
+
+def fit(docs: DataFrame, labels: DataFrame, fit_pieces: int = FIT_PIECES) -> tuple[tuple[int, ...], int]:
     """Node weights and the weight of staying, in thousandths."""
     picked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            masks = [lines_of(t.encode())[0] for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("quality"), pa.array(masks, pa.list_(pa.int32()))], ["quality", "masks"])
-
-    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("quality", "text").mapInArrow(run, "quality int, masks array<int>").collect()
-    rows = sorted((r.quality, tuple(r.masks)) for r in rows)
-    if min(sum(q == 0 for q, _ in rows), sum(q == 1 for q, _ in rows)) < LEAST_OF_CLASS:
+            doc, quality, masks = [], [], []
+            for k, text in enumerate(b.column("text")):
+                own = lines_of((text.as_py() or "").encode())[0]
+                for a in range(0, len(own), PIECE_LINES):
+                    doc.append(k)
+                    quality.append(b.column("quality")[k].as_py())
+                    masks.append(own[a : a + PIECE_LINES])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc, pa.int64())), pa.array(quality, pa.int32()), pa.array(masks, pa.list_(pa.int32()))], ["doc_id", "quality", "masks"])
+
+    rows = docs.where("text is not null").select("doc_id", "text").join(picked, "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
+    pieces = rows.mapInArrow(run, "doc_id long, quality int, masks array<int>")
+    sample = sorted((r.quality, tuple(r.masks)) for r in pieces.orderBy(F.xxhash64("doc_id", "masks"), "doc_id", "masks").limit(fit_pieces).collect())
+    if min(sum(q == 0 for q, _ in sample), sum(q == 1 for q, _ in sample)) < LEAST_OF_CLASS:
         return PRIOR, PRIOR_STAY
-    counts = {q: Counter(m for k, masks in rows if k == q for m in masks) for q in (0, 1)}
-    masks = np.array(sorted({*counts[0], *counts[1]}))
-    x = (masks[:, None] >> np.arange(len(FEATURES)) & 1).astype(float)
-    no, yes = (np.array([counts[q][m] for m in masks.tolist()], float) for q in (0, 1))
-    no, yes = no / max(1.0, no.sum()) * 1000, yes / max(1.0, yes.sum()) * 1000
-    w = np.zeros(x.shape[1])
-    for _ in range(30):  # Newton steps; the ridge keeps weights finite
-        p = 1 / (1 + np.exp(-x @ w))
-        step = np.linalg.solve((x * ((no + yes) * p * (1 - p))[:, None]).T @ x + np.eye(len(w)), x.T @ (yes - (no + yes) * p) - w)
-        w += step
-        if abs(step).max() < 1e-9:
-            break
-    weights = Weights(np.rint(w * 1000))
-    same = other = 1
-    for _, seq in rows:
-        said = [weights[m] >= 0 for m in seq]
-        alike = sum(a == b for a, b in zip(said, said[1:], strict=False))
-        same, other = same + alike, other + max(0, len(said) - 1) - alike
-    return weights.weights, int(round(1000 * min(3.0, max(0.0, np.log(same / other)))))
+    chains = Chains([m for _, m in sample], [q for q, _ in sample])
+    # ascent by signs: a weight's step grows while its gradient keeps its sign and halves where it turns
+    weights, step, last = np.zeros(len(FEATURES) + 1), np.full(len(FEATURES) + 1, 0.2), np.zeros(len(FEATURES) + 1)
+    for _ in range(STEPS):
+        slope = chains.objective(weights)[1]
+        turn = slope * last
+        step = np.clip(np.where(turn > 0, step * 1.2, np.where(turn < 0, step * 0.5, step)), 1e-4, 1.0)
+        weights += np.sign(slope) * step
+        last = np.where(turn < 0, 0.0, slope)
+    return tuple(int(w) for w in np.rint(weights[:-1] * 1000)), int(np.rint(weights[-1] * 1000))
 
 
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, n_lines long, n_content_lines long, content_share double"

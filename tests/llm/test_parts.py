@@ -90,6 +90,36 @@ def test_viterbi(masks, weight, stay):
     assert len(got) == len(masks) and score(got) == best
 
 
+def test_forward_backward_against_enumeration():
+    """The likelihood of the observed qualities, and its gradient, from all label sequences."""
+    rng = np.random.default_rng(3)
+    masks = [tuple(int(m) | 1 for m in rng.integers(0, 1 << len(quality_crf.FEATURES), n)) for n in (1, 2, 5, 3, 4)]
+    quality = [0, 1, 1, 0, 1]
+    chains = quality_crf.Chains(masks, quality)
+    lines = {q: sum(len(m) for m, k in zip(masks, quality, strict=True) if k == q) for q in (0, 1)}
+
+    def plain(w):
+        total = -0.5 * float(w @ w)
+        for m, q in zip(masks, quality, strict=True):
+            x = np.array([[k >> i & 1 for i in range(len(quality_crf.FEATURES))] for k in m], float) @ w[:-1]
+            with_, without = 0.0, 0.0
+            for y in range(1 << len(m)):
+                label = [y >> t & 1 for t in range(len(m))]
+                score = np.exp(sum(x[t] for t in range(len(m)) if label[t]) + w[-1] * sum(a == b for a, b in zip(label, label[1:], strict=False)))
+                without += score
+                with_ += score * np.prod([1 - quality_crf.LINE_NOISE if v == q else quality_crf.LINE_NOISE for v in label])
+            total += 1000 / lines[q] * (np.log(with_) - np.log(without))
+        return total
+
+    w = rng.normal(0, 0.5, len(quality_crf.FEATURES) + 1)
+    value, slope = chains.objective(w)
+    assert abs(value - plain(w)) < 1e-6
+    for k in range(len(w)):
+        e = np.zeros_like(w)
+        e[k] = 1e-5
+        assert abs((plain(w + e) - plain(w - e)) / 2e-5 - slope[k]) < 1e-3 * max(1, abs(slope[k]))
+
+
 @given(st.lists(st.sampled_from("abc"), max_size=30))
 def test_repeat_words(letters):
     words = [x.encode() for x in letters]
