@@ -301,6 +301,30 @@ def test_decontamination(spark, docs, empty):
     assert decontaminate.find(empty, bench).count() == 0 and decontaminate.find(docs, bench.where("false")).count() == 0
 
 
+def test_decontamination_against_all_windows(spark):
+    """Every window of every document against every item, by exact similarity: all clear hits are found, with the best window, and nothing else."""
+    base = prose(600, 4000).split()
+    items = {k: base[97 * k : 97 * k + 12 + 5 * k] for k in range(20)}
+    texts = {}
+    for k, words in items.items():
+        w = [f"x{k}" if k % 4 and j % (9 + k) == 3 and j < k else x for j, x in enumerate(words)]
+        texts[k] = prose(700 + k, 30 + k).split() + w + prose(800 + k, 25).split() + (words[: 8 + k] if k % 3 == 0 else [])
+    shingles = lambda w: Counter(tuple(w[j : j + 5]) for j in range(len(w) - 4))
+    want = {}
+    for d, t in texts.items():
+        for k, words in items.items():
+            own, best = shingles(words), (0.0, 0)
+            for a in range(len(t) - len(words) + 1):
+                there = shingles(t[a : a + len(words)])
+                both = (own & there).total() / (own | there).total()
+                best = max(best, (both, -a))
+            if best[0] >= 0.8:
+                want[d, k] = (-best[1], len(words), best[0])
+    frame = lambda rows, schema: spark.createDataFrame([(k, " ".join(w)) for k, w in rows.items()], schema).repartition(3)
+    got = {(r.doc_id, r.item_id): (r.start_word, r.n_words, r.similarity) for r in decontaminate.find(frame(texts, "doc_id long, text string"), frame(items, "item_id long, text string")).collect()}
+    assert got == want and 8 < len(want) < 20
+
+
 def test_warc(spark, tmp_path):
     rows = [(1, "http://a/", "same"), (2, "http://b/", "same"), (3, None, None), (4, "http://c/\r\nX: y", ""), (5, "http://d/", "é" * 40_000 + "\r\n\r\nWARC/1.1\r\n"), (5, "http://d/", "é" * 40_000 + "\r\n\r\nWARC/1.1\r\n"), (None, "u", "null id")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, digest string")

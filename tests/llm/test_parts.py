@@ -260,7 +260,7 @@ def test_simhash_index():
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
     items = [(k, " ".join(word() for _ in range(rng.randint(8, 40)))) for k in range(70)] + [(900, None), (901, ""), (902, "one two")]
     index = decontaminate.Index(items)
-    assert sum(a + 1 for a in decontaminate.allowances(22, 8)) == 23
+    assert sum(a + 1 for a in decontaminate.allowances(decontaminate.RADIUS, decontaminate.BLOCKS)) == decontaminate.RADIUS + 1
     docs = []
     for k in range(70):
         w = items[k][1].split()
@@ -273,6 +273,27 @@ def test_simhash_index():
     assert all(h[1] == 50 for r, h in hits if r < 70 and h[3] == 1.0)
 
 
+def test_simhash_blocks_find_all_within_the_radius_and_few_others():
+    rng = np.random.default_rng(5)
+    size = 1 << decontaminate.BLOCK_BITS
+    prints = rng.integers(0, size, (90, decontaminate.BLOCKS)).astype(np.uint32)
+    allowed = decontaminate.allowances(decontaminate.RADIUS, decontaminate.BLOCKS)
+    index = decontaminate.Index([])
+    group = {"members": prints, "prints": prints, "blocks": [decontaminate.Keys(prints[:, b], decontaminate.ITEM_ERRORS) for b in range(decontaminate.BLOCKS)]}
+    near = prints[rng.integers(0, 90, 400)].copy()
+    for row in near:
+        for bit in rng.choice(decontaminate.BITS, rng.integers(0, 34), replace=False).tolist():
+            row[bit // decontaminate.BLOCK_BITS] ^= np.uint32(1 << (bit % decontaminate.BLOCK_BITS))
+    far = rng.integers(0, size, (400, decontaminate.BLOCKS)).astype(np.uint32)
+    asked = np.concatenate((near, far))
+    window, member, distance = index.candidates(group, asked)
+    every = np.bitwise_count(asked[:, None] ^ prints).sum(axis=2)
+    assert set(zip(window.tolist(), member.tolist(), distance.tolist(), strict=True)) == {(i, j, int(every[i, j])) for i, j in np.argwhere(every <= decontaminate.RADIUS).tolist()}
+    assert 300 < len(window) < 400
+    touched = {(int(w), int(m)) for b in range(decontaminate.BLOCKS) for w, m in zip(*group["blocks"][b].find(far[:, b], index.asked[b]), strict=True)}
+    assert len(touched) < 0.05 * 400 * 90 and allowed == [4] * 6
+
+
 def test_language_model():
     rng = random.Random(7)
     make = lambda parts: " ".join("".join(rng.choice(parts) for _ in range(3)) for _ in range(60))
