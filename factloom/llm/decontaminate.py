@@ -14,8 +14,8 @@ standard deviation of 3.9, so RADIUS = 29 misses about two windows in 1000 at th
 threshold, and fewer above.
 
 A window that shares fewer than SIMILARITY of its shingles with the vocabulary of
-all items cannot reach SIMILARITY with any of them, so only the others get a
-fingerprint; that loses nothing. The items' index is built in blocks of at most
+the items of its size cannot reach SIMILARITY with any of them, so only the others
+get a fingerprint; that loses nothing. The items' index is built in blocks of at most
 INDEX_BYTES of item text, each broadcast and run over all documents, so a larger
 benchmark takes more passes, not more memory.
 
@@ -104,7 +104,7 @@ class Index:
         self.radius, self.similarity = radius, similarity
         data, offsets = common.text_buffer(pa.array([t for _, t in items], pa.large_string()))
         self.classes: dict[int, dict] = {}
-        vocabulary = [np.zeros(0, np.uint64)]
+        vocabulary, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         by_size = defaultdict(list)
         if len(data):
             data = common.LOWER[data]
@@ -114,8 +114,15 @@ class Index:
                 own = shingles[to[k] : to[k + 1]]
                 if len(own):
                     by_size[len(own), int(at[k + 1] - at[k])].append((item, own))
-                    vocabulary.append(own)
-        self.vocabulary = np.unique(np.concatenate(vocabulary))
+        self.shapes = list(by_size)
+        for c, members in enumerate(by_size.values()):
+            vocabulary.append(np.unique(np.concatenate([own for _, own in members])))
+            sizes.append(np.full(len(vocabulary[-1]), c))
+        self.vocabulary, of = np.unique(np.concatenate(vocabulary), return_inverse=True)
+        # the classes of each shingle of the vocabulary
+        order = np.argsort(of, kind="stable")
+        self.classes_of = np.concatenate(sizes)[order]
+        self.first = np.append(0, np.cumsum(np.bincount(of, minlength=len(self.vocabulary)))).astype(np.int64)
         self.sieve = np.zeros(1 << 22, bool)
         self.sieve[self.vocabulary >> np.uint64(42)] = True
         allowed = allowances(radius, BLOCKS)
@@ -125,13 +132,27 @@ class Index:
             prints = np.concatenate([pack(projections(shingles).sum(axis=0)[None]) for _, shingles in members])
             self.classes[size, words] = {"members": members, "prints": prints, "blocks": [Keys(prints[:, b], max(0, e)) for b, e in enumerate(own)]}
 
-    def inside(self, shingles: np.ndarray) -> np.ndarray:
-        hit = self.sieve[shingles >> np.uint64(42)]
-        at = np.flatnonzero(hit)
+    def places(self, shingles: np.ndarray) -> np.ndarray:
+        """The place of each shingle in the vocabulary, -1 where it isn't there."""
+        out = np.full(len(shingles), -1)
+        at = np.flatnonzero(self.sieve[shingles >> np.uint64(42)])
         if len(at):
             spot = np.minimum(np.searchsorted(self.vocabulary, shingles[at]), len(self.vocabulary) - 1)
-            hit[at] = self.vocabulary[spot] == shingles[at]
-        return hit
+            out[at] = np.where(self.vocabulary[spot] == shingles[at], spot, -1)
+        return out
+
+    def shared(self, places: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Each class that a text shares enough shingles with, and their positions in the text."""
+        at = np.flatnonzero(places >= 0)
+        low, n = self.first[places[at]], self.first[places[at] + 1] - self.first[places[at]]
+        position = np.repeat(at, n)
+        of = self.classes_of[np.repeat(low - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())]
+        order = np.argsort(of, kind="stable")
+        of, position = of[order], position[order]
+        cut = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(of)], strict=True):
+            if b - a >= self.similarity * self.shapes[of[a]][0] - 1e-9:
+                yield int(of[a]), position[a:b]
 
     def candidates(self, group: dict, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs (window, member) within the radius, in order, and their distance."""
@@ -143,17 +164,16 @@ class Index:
         near = distance <= self.radius
         return window[near], member[near], distance[near]
 
-    def hits(self, shingles: np.ndarray, inside: np.ndarray, n_words: int) -> list[tuple]:
+    def hits(self, shingles: np.ndarray, places: np.ndarray, n_words: int) -> list[tuple]:
         """(item, start, words, similarity, distance) of a document's best window for each item that it holds."""
-        total = np.concatenate(([0], np.cumsum(inside)))
         n, sums, out = len(shingles), None, []
-        for (size, words), group in self.classes.items():
-            if n < size:
-                if total[n] < self.similarity * max(n, size):
-                    continue
-                starts, width = np.zeros(1, np.int64), n
-            else:
-                starts, width = np.flatnonzero(total[size:] - total[: n - size + 1] >= self.similarity * size - 1e-9), size
+        for c, position in self.shared(places):
+            size, words = self.shapes[c]
+            group, width = self.classes[size, words], min(size, n)
+            total = np.zeros(n + 1, np.int64)
+            total[position + 1] = 1
+            total = np.cumsum(total)
+            starts = np.flatnonzero(total[width:] - total[: n - width + 1] >= self.similarity * size - 1e-9)
             if not len(starts):
                 continue
             if sums is None:
@@ -186,9 +206,9 @@ def document_hits(column, index: Index) -> list[tuple[int, tuple]]:
         data = common.LOWER[data]
         start, end, at = common.word_spans(data, offsets)
         shingles, to = common.shingle_hashes(common.word_hashes(data, start, end), at, SHINGLE)
-        inside = index.inside(shingles)
-        for k in np.unique(np.searchsorted(to, np.flatnonzero(inside), side="right") - 1).tolist():
-            out += [(a + k, h) for h in index.hits(shingles[to[k] : to[k + 1]], inside[to[k] : to[k + 1]], int(at[k + 1] - at[k]))]
+        places = index.places(shingles)
+        for k in np.unique(np.searchsorted(to, np.flatnonzero(places >= 0), side="right") - 1).tolist():
+            out += [(a + k, h) for h in index.hits(shingles[to[k] : to[k + 1]], places[to[k] : to[k + 1]], int(at[k + 1] - at[k]))]
     return out
 
 
