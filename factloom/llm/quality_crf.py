@@ -9,9 +9,9 @@ documents. The quality of a document is taken as a noisy observation of each of
 lines, wrong with probability LINE_NOISE, so the labels of lines are hidden: the gradient
 of the likelihood is the difference of the expected features with and without the
 observations, which two passes over each sequence give. A ridge keeps weights finite.
-The sample is bounded: sequences of labelled documents are cut into pieces of
-PIECE_LINES lines, all of a document, and the FIT_PIECES of smallest hash are fitted;
-with fewer than LEAST_OF_CLASS in one of the classes PRIOR holds. Weights are rounded
+The sample is bounded: of the labelled documents the FIT_DOCS of smallest hash are read,
+their sequences are cut into pieces of PIECE_LINES lines, and the FIT_PIECES of
+smallest hash are fitted; with fewer than LEAST_OF_CLASS in one of the classes PRIOR holds. Weights are rounded
 to thousandths, so that decoding is exact.
 
 Defined results: a null text counts as empty (no words, so it fails the base
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+FIT_DOCS = 4000
 FIT_PIECES = 4000
 PIECE_LINES = 64
 LINE_NOISE = 0.1
@@ -181,9 +182,10 @@ class Chains:
         return z1 - z0 - 0.5 * float(weights @ weights), np.append(f1 - f0, s1 - s0) - weights
 
 
-def fit(docs: DataFrame, labels: DataFrame, fit_pieces: int = FIT_PIECES) -> tuple[tuple[int, ...], int]:
+def fit(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS, fit_pieces: int = FIT_PIECES) -> tuple[tuple[int, ...], int]:
     """Node weights and the weight of staying, in thousandths."""
     picked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -196,7 +198,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_pieces: int = FIT_PIECES) -> tup
                     masks.append(own[a : a + PIECE_LINES])
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc, pa.int64())), pa.array(quality, pa.int32()), pa.array(masks, pa.list_(pa.int32()))], ["doc_id", "quality", "masks"])
 
-    rows = docs.where("text is not null").select("doc_id", "text").join(picked, "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
+    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", F.col("quality").cast("int").alias("quality"), "text")
     pieces = rows.mapInArrow(run, "doc_id long, quality int, masks array<int>")
     sample = sorted((r.quality, tuple(r.masks)) for r in pieces.orderBy(F.xxhash64("doc_id", "masks"), "doc_id", "masks").limit(fit_pieces).collect())
     if min(sum(q == 0 for q, _ in sample), sum(q == 1 for q, _ in sample)) < LEAST_OF_CLASS:
