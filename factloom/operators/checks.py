@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def missing_columns(df: DataFrame, names: list[str]) -> list[str]:
+    return [n for n in names if n not in df.columns]
+
+
 def require_columns(df: DataFrame, names: list[str]) -> DataFrame:
-    missing = [n for n in names if n not in df.columns]
+    missing = missing_columns(df, names)
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     return df
@@ -38,11 +42,37 @@ def same_size(index: DataFrame, metadata: DataFrame) -> None:
         raise ValueError(f"index has {a} rows, metadata {b}")
 
 
-def artifacts(files: DataFrame, stages: dict[str, str], most: int = 200_000) -> DataFrame:
-    """stage, n_files (capped for display), first_path (shortest, then by name), present. files: path; stages: name -> pattern."""
+def stages_of(year: int) -> dict[str, list[str]]:
+    """Name patterns of each stage's artifacts, the preferred one first."""
+    return {
+        "entry_pages": [r"(^|/)entry_pages\.csv$", r"(^|/)[^/]*entry[^/]*pages[^/]*\.csv$", r"(^|/)[^/]*links[^/]*\.csv$"],
+        "reports": [r"\.pdf$"], "texts": [r"\.txt$"], "vectors": [r"\.(npy|npz|pt)$"],
+        "index": [r"(^|/)meta\.jsonl$", r"\.(faiss|index|bin)$"],
+        "extractions": [rf"(^|/)extractions_{year}\.jsonl$", rf"(^|/)[^/]*extract[^/]*{year}[^/]*\.jsonl$"],
+        "metrics": [rf"(^|/)metrics_{year}\.csv$", rf"(^|/)[^/]*(metrics|kpi|results)[^/]*{year}[^/]*\.csv$"],
+    }
+
+
+def validated(files: DataFrame, year: int) -> DataFrame:
+    """stage, n_files, path, status of each stage: its file of the first pattern that has one, the shortest path, then by name; `empty` for one of no bytes. files: path, size.
+
+    One pass: each stage is an aggregate.
+    """
+    out = []
+    for stage, patterns in stages_of(year).items():
+        rank = F.coalesce(*(F.when(F.col("path").rlike(p), F.lit(i)) for i, p in enumerate(patterns)))
+        best = F.min(F.when(rank.isNotNull(), F.struct(rank.alias("rank"), F.length("path").alias("n"), "path", "size")))
+        out.append(F.struct(F.lit(stage).alias("stage"), F.count(rank).alias("n_files"), best.alias("best")))
+    rows = files.agg(F.array(*out).alias("s")).select(F.explode("s").alias("s")).select("s.*")
+    status = F.when(F.col("best").isNull(), "missing").when(F.col("best.size") == 0, "empty").otherwise("ok")
+    return rows.select("stage", "n_files", F.col("best.path").alias("path"), status.alias("status"))
+
+
+def artifacts(files: DataFrame, stages: dict[str, str], most: int | None = 200_000) -> DataFrame:
+    """stage, n_files (capped for display; None: not), first_path (shortest, then by name), present. files: path; stages: name -> pattern."""
     out = None
     for stage, pattern in stages.items():
-        found = files.where(F.col("path").rlike(pattern)).agg(F.least(F.count("*"), F.lit(most)).alias("n_files"), F.min(F.struct(F.length("path").alias("n"), "path")).alias("p"))
+        found = files.where(F.col("path").rlike(pattern)).agg((F.count("*") if most is None else F.least(F.count("*"), F.lit(most))).alias("n_files"), F.min(F.struct(F.length("path").alias("n"), "path")).alias("p"))
         row = found.select(F.lit(stage).alias("stage"), "n_files", F.col("p.path").alias("first_path"), (F.col("n_files") > 0).alias("present"))
         out = row if out is None else out.unionByName(row)
     return out

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions.text import clean_text
+from ..sources.files import scratch
 
 
 def starts(length: Column, size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP, most: int = V.MAX_CHUNKS) -> Column:
@@ -19,12 +23,38 @@ def count_chunks(length: Column, size: int = V.CHUNK_SIZE, overlap: int = V.CHUN
     return F.least(F.ceil(length / (size - overlap)), F.lit(most)).cast("int")
 
 
-def chunked(texts: DataFrame, keys: list[str], size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP, least: int = V.MIN_CHARS) -> DataFrame:
+def _cut(texts: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """keys, chunk_id, char_start, char_end, text for texts with an array `at` of starts. One pass over each text: taking a part by Spark's expressions walks from the text's beginning each time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, made, held = [], [], 0
+            for k, (text, at) in enumerate(zip(batch.column("text"), batch.column("at"), strict=True)):
+                text = text.as_py()
+                for i, a in enumerate(at.as_py()):
+                    part = text[a : a + size]
+                    rows.append(k)
+                    made.append((i, a, a + len(part), part))
+                    held += len(part)
+                    if held > 8 << 20:
+                        yield pack(batch, rows, made)
+                        rows, made, held = [], [], 0
+            yield pack(batch, rows, made)
+
+    def pack(batch: pa.RecordBatch, rows: list[int], made: list[tuple]) -> pa.RecordBatch:
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.string())
+        fields = [pa.array([m[i] for m in made], kind) for i, kind in enumerate(kinds)]
+        return pa.RecordBatch.from_arrays([*(batch.column(c).take(pa.array(rows, pa.int64())) for c in keys), *fields], [*keys, "chunk_id", "char_start", "char_end", "text"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.select(*keys).schema.fields)
+    return texts.select(*keys, "text", "at").mapInArrow(run, f"{fields}, chunk_id int, char_start int, char_end int, text string")
+
+
+def chunked(texts: DataFrame, keys: list[str], size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP, least: int = V.MIN_CHARS, most: int = V.MAX_CHUNKS) -> DataFrame:
     """keys, chunk_id, char_start, char_end, text for each chunk of the cleaned texts of `least` characters or more."""
-    clean = texts.select(*keys, clean_text(F.col("text")).alias("text")).where(F.length("text") >= least)
-    cut = clean.select(*keys, "text", F.posexplode(starts(F.length("text"), size, overlap)).alias("chunk_id", "char_start"))
-    end = F.least(F.col("char_start") + size, F.length("text"))
-    return cut.select(*keys, "chunk_id", "char_start", end.alias("char_end"), F.substring("text", F.col("char_start") + 1, F.lit(size)).alias("text"))
+    # bound once, so that a text is cleaned once
+    clean = texts.select(*keys, F.explode(F.array(clean_text(F.col("text")))).alias("text")).where(F.length("text") >= least)
+    return _cut(clean.withColumn("at", starts(F.length("text"), size, overlap, most)), keys, size)
 
 
 def log(texts: DataFrame, keys: list[str], least: int = V.MIN_CHARS) -> DataFrame:
@@ -47,16 +77,20 @@ def covered(texts: DataFrame, keys: list[str], window: int = 300_000, windows: i
     n = F.length("text")
     inner = F.transform(window_starts(n, window, windows), lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.least(F.lit(window), n - w) - 1, F.lit(0)), F.lit(size - overlap)), lambda s: (w + s).cast("int")))
     at = F.slice(F.array_sort(F.array_distinct(F.flatten(inner))), 1, most)
-    cut = texts.where(n > 0).select(*keys, "text", F.posexplode(at).alias("chunk_id", "char_start"))
-    return cut.select(*keys, "chunk_id", "char_start", F.least(F.col("char_start") + size, n).alias("char_end"), F.substring("text", F.col("char_start") + 1, F.lit(size)).alias("text"))
+    return _cut(texts.where(n > 0).select(*keys, "text", at.alias("at")), keys, size)
 
 
 def numbered(chunks: DataFrame, order: list[str]) -> DataFrame:
-    """global_id by (bank folder, file, chunk): counts of each first key, which are few, give the offsets, so no task numbers all rows."""
-    from pyspark.sql import Window
-
-    first, rest = order[0], order[1:]
-    counts = chunks.groupBy(first).agg(F.count("*").alias("_n"))
-    before = Window.orderBy(first).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(first, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return chunks.join(offsets, first).withColumn("global_id", F.col("_before") + F.row_number().over(Window.partitionBy(first).orderBy(*rest)) - 1).drop("_before")
+    """global_id by the columns of order: rows are dealt by range, numbered in their range, and the ranges' counts give the offsets. No task gets all rows of a key."""
+    spark = chunks.sparkSession
+    at = scratch(spark)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = chunks.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_line", F.monotonically_increasing_id())
+    ranged.write.parquet(at)  # the ranges are drawn from a sample, so they must not be worked out twice
+    rows = spark.read.parquet(at).withColumn("_range", F.shiftrightunsigned("_line", 33))
+    counts = {r._range: r.n for r in rows.groupBy("_range").agg(F.count("*").alias("n")).collect()}
+    offsets, before = [F.lit(0), F.lit(0)], 0
+    for r in sorted(counts):
+        offsets += [F.lit(r), F.lit(before)]
+        before += counts[r]
+    return rows.withColumn("global_id", F.create_map(*offsets[2:] or offsets)[F.col("_range")].cast("long") + F.col("_line").bitwiseAND(F.lit((1 << 33) - 1))).drop("_line", "_range")

@@ -22,25 +22,36 @@ def start_urls(banks: DataFrame) -> DataFrame:
     return kept.withColumn("start_url", U.with_scheme(F.col("entry_url"))).withColumn("base_root", U.root_host(F.col("url"))).withColumn("entry_root", U.root_host(F.col("entry_url")))
 
 
-def crawl(starts: DataFrame, pages: DataFrame, max_depth: int = V.MAX_DEPTH, max_pages: int = V.MAX_PAGES) -> DataFrame:
+def same_site(starts: DataFrame, pages: DataFrame, max_depth: int = V.MAX_DEPTH, max_pages: int = 20) -> DataFrame:
+    """The simpler crawl: links of the start's own site whose url has one of a few words."""
+    follows = lambda url, text, depth: U.contains_any(F.lower(url), V.EXPAND_URL_SIMPLE)
+    return crawl(starts, pages, max_depth, max_pages, follows, lambda c: U.is_same_site(F.col("base_root"), F.col(c)))
+
+
+def crawl(starts: DataFrame, pages: DataFrame, max_depth: int = V.MAX_DEPTH, max_pages: int = V.MAX_PAGES, follows=U.expands, allowed=None) -> DataFrame:
     """bank, url, depth, parent_url, anchor_text, place of the visited pages in the order of a queue, max_pages for each bank at most.
 
+    Pages beyond the number are never visited, so their links are not followed: each depth is cut to the places that are left.
+
     starts: bank, start_url, base_root, entry_root. pages: page_id, url, html; pages that aren't there are failed fetches and cost nothing.
     """
     edges = P.links(pages).where(~U.is_static_asset(F.col("url"))).select("page_url", "position", F.col("url").alias("to"), "text")
     known = pages.select("url").distinct()
-    allowed = lambda c: U.is_allowed(F.col(c), F.col("base_root"), F.col("entry_root"))
+    allowed = allowed or (lambda c: U.is_allowed(F.col(c), F.col("base_root"), F.col("entry_root")))
     roots = ["bank", "base_root", "entry_root"]
     now = starts.where(allowed("start_url")).select(*roots, F.col("start_url").alias("url"), F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_url"), F.lit(None).cast("string").alias("anchor_text"), F.array(F.lit(0)).alias("path"))
     now = now.join(known, "url", "left_semi").dropDuplicates(["bank", "url"])
+    order = Window.partitionBy("bank").orderBy("path", "url")
+    now = now.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max_pages)
     seen = now
     for depth in range(1, max_depth + 1):
         out = now.join(edges, now.url == edges.page_url)
-        out = out.where(U.expands(F.col("to"), F.col("text"), F.lit(depth - 1)) & allowed("to"))
+        out = out.where(follows(F.col("to"), F.col("text"), F.lit(depth - 1)) & allowed("to"))
         out = out.select(*roots, F.col("to").alias("url"), F.lit(depth).alias("depth"), F.col("page_url").alias("parent_url"), F.col("text").alias("anchor_text"), F.concat("path", F.array("position")).alias("path"))
         out = out.join(known, "url", "left_semi").join(seen.select("bank", "url"), ["bank", "url"], "left_anti")
         # of several ways to a page the first in the queue counts
-        now = out.groupBy("bank", "url").agg(F.min(F.struct("path", "base_root", "entry_root", "depth", "parent_url", "anchor_text")).alias("s")).select("bank", "url", "s.*").select(*now.columns)
+        now = out.groupBy("bank", "url").agg(F.min(F.struct("path", "base_root", "entry_root", "depth", "parent_url", "anchor_text")).alias("s")).select("bank", "url", "s.*")
+        before = seen.groupBy("bank").agg(F.count("*").alias("before"))
+        now = now.join(before, "bank").withColumn("place", F.col("before") + F.row_number().over(order)).where(F.col("place") <= max_pages).drop("before")
         seen = seen.unionByName(now)
-    order = Window.partitionBy("bank").orderBy("depth", "path", "url")
-    return seen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= max_pages).select("bank", "url", "depth", "parent_url", "anchor_text", "place")
+    return seen.withColumn("place", F.col("place").cast("int")).select("bank", "url", "depth", "parent_url", "anchor_text", "place")

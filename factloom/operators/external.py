@@ -6,6 +6,8 @@ so a bad row never ends a job. The stand-ins here answer without a network.
 
 from __future__ import annotations
 
+import json
+import re
 import time
 from collections.abc import Callable, Iterator
 
@@ -43,6 +45,47 @@ def fetch_once(url: str, fetcher: Fetcher, tries: int = 3, delay: float = 1.0, w
     return False, reason, None
 
 
+class HttpFetcher:
+    """A Fetcher by the standard library; timeouts in seconds. An error status is an answer, not an exception."""
+
+    def __init__(self, timeout: float = 40, agent: str = "Mozilla/5.0 (compatible; factloom)", accept: str = "*/*"):
+        self.timeout, self.headers = timeout, {"User-Agent": agent, "Accept": accept}
+
+    def __call__(self, url: str) -> tuple[int, str, bytes]:
+        from urllib.error import HTTPError
+        from urllib.request import Request, urlopen
+
+        try:
+            with urlopen(Request(url, headers=self.headers), timeout=self.timeout) as r:
+                return r.status, r.headers.get("Content-Type") or "", r.read()
+        except HTTPError as e:
+            return e.code, e.headers.get("Content-Type") or "", b""
+
+
+def page_once(url: str, fetcher: Fetcher) -> str | None:
+    """A page's html if its status is under 400 and its text passes for html, else nothing; one try."""
+    try:
+        code, kind, body = fetcher(url)
+    except Exception:  # whatever a client raises, the page isn't there
+        return None
+    charset = re.search(r"charset=[\"']?([\w-]+)", kind or "", re.I)
+    try:
+        text = body.decode(charset.group(1) if charset else "utf-8", "replace")
+    except LookupError:
+        text = body.decode("utf-8", "replace")
+    return text if code < 400 and "<html" in text.lower() and len(text) >= 800 else None
+
+
+def fetch_pages(urls: DataFrame, fetcher: Fetcher, attempts: int = 1) -> DataFrame:
+    """url, html (null where no attempt gave a valid page). A browser is a fetcher like any other, with more attempts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"url": pdf["url"], "html": [next((h for h in (page_once(u, fetcher) for _ in range(attempts)) if h), None) if u else None for u in pdf["url"]]})
+
+    return urls.select("url").mapInPandas(run, "url string, html string")
+
+
 def fetch_all(urls: DataFrame, fetcher: Fetcher) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -80,12 +123,66 @@ def recognised(files: DataFrame, recogniser: Recogniser) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, "path string, ocr_status string, content binary")
 
 
+def read_pdf_pages(content: bytes) -> list[str]:
+    """The text of each page of a PDF, by pypdf where it is installed."""
+    import io
+
+    from pypdf import PdfReader
+
+    return [p.extract_text() or "" for p in PdfReader(io.BytesIO(content)).pages]
+
+
+def paged(files: DataFrame, reader: Callable[[bytes], list[str]] = read_pdf_pages) -> DataFrame:
+    """path, page, text, error: a row for each page of each file (path, content); a file that can't be read is one row with page -1."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                try:
+                    rows = [(path, i, t, None) for i, t in enumerate(reader(bytes(content)))]
+                except Exception as e:
+                    rows = [(path, -1, None, f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(rows, columns=["path", "page", "text", "error"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, page int, text string, error string")
+
+
 def joined_pages(pages: DataFrame) -> DataFrame:
     """path, text: a document's page texts (path, page, text) in order, a line break between them."""
     ordered = F.array_sort(F.collect_list(F.struct("page", "text")))
     return pages.groupBy("path").agg(F.array_join(F.transform(ordered, lambda p: F.coalesce(p["text"], F.lit(""))), "\n").alias("text"))
 
 
+def answer_in(reply: dict) -> str:
+    """A model server's answer: the response, without one the thinking, without that the message's content."""
+    message = reply.get("message")
+    for text in (reply.get("response"), reply.get("thinking"), message.get("content") if isinstance(message, dict) else None):
+        if text and text.strip():
+            return text.strip()
+    return ""
+
+
+class ModelServer:
+    """A Model behind a local HTTP server that takes JSON prompts; an answer in JSON form is asked for, without chance. Other states than 200 raise."""
+
+    def __init__(self, url: str, model: str, timeout: float = 180, stop: list[str] | None = None):
+        self.url, self.model, self.timeout, self.stop = url, model, timeout, stop or []
+
+    def __call__(self, prompt: str) -> str:
+        from urllib.error import HTTPError
+        from urllib.request import Request, urlopen
+
+        body = {"model": self.model, "prompt": prompt, "stream": False, "format": "json", "options": {"temperature": 0, "stop": self.stop}}
+        try:
+            with urlopen(Request(self.url, json.dumps(body).encode(), {"Content-Type": "application/json"}), timeout=self.timeout) as r:
+                code, raw = r.status, r.read()
+        except HTTPError as e:
+            code, raw = e.code, e.read()
+        if code != 200:
+            raise RuntimeError(f"model server: {code} {raw[:500].decode('utf-8', 'replace')}")
+        return answer_in(json.loads(raw))
+
+
 def answered(prompts: DataFrame, model: Model) -> DataFrame:
     """prompts with answer and error."""
 

@@ -263,12 +263,13 @@ def loose_json(text: str | None):
 
 
 def parsed_answer(text: str | None, year: int):
-    """A model's answer: its JSON, or value, unit and citation by pattern."""
-    try:
-        return loose_json(text)
-    except ValueError:
-        pass
+    """A model's answer: its JSON, or what stands from the first to the last brace, or value, unit and citation by pattern."""
     text = (text or "").strip()
+    for part in (text, text[text.find("{") : text.rfind("}") + 1] if "{" in text else ""):
+        try:
+            return loose_json(part)
+        except ValueError:
+            continue
     pick = lambda p: (m := re.search(p, text)) and m.group(1).strip()
     value = pick(r"(?i)\bvalue\b[^0-9$]*\$?\s*`?\s*([0-9][0-9,\.]*)")
     return {
@@ -311,6 +312,28 @@ def many_metrics_prompt(question: str, context: str, year: int) -> str:
     return f"Answer with one JSON object of this form, nothing else:\n{rows}\nTake numbers only from the context and copy their headers as source_chunk_id.\n\nQuestion:\n{question}\n\nContext:\n{context}"
 
 
+def _template(metrics: list[str], year: int) -> str:
+    return json.dumps({"results": [{"metric_name": m, "value": MISSING, "unit": MISSING, "fiscal_year": year, "source_chunk_id": MISSING} for m in metrics]})
+
+
+def strict_prompt(question: str, context: str, year: int) -> str:
+    """All metrics, with hard rules, for a question."""
+    return (
+        f"Extract figures of fiscal year {year} from the context, and only what it states as numbers: nothing inferred, summed up or generalised.\n"
+        "Each figure has as source_chunk_id the [k=...] header above it, copied exactly. ROAA counts as ROA, ROAE as ROE. What is not stated stays as it is below.\n"
+        f"Answer with this JSON object and nothing else:\n{_template(V.METRICS, year)}\n\nQuestion:\n{question}\n\nContext:\n{context}\n\nJSON:"
+    )
+
+
+def loose_nii_prompt(context: str, year: int) -> str:
+    """Net interest income alone, for models that fail the strict prompt."""
+    return (
+        f"Find Net Interest Income (NII) of fiscal year {year} in the context; only a number that is printed there, nothing worked out.\n"
+        "Copy source_chunk_id from the nearest [k=...|stem=...|chunk=...] header, brackets included.\n"
+        f"Answer with this JSON object, all keys and no others:\n{_template(['NII'], year)}\n\nContext:\n{context}"
+    )
+
+
 def repair_prompt(answer: str, metric: str, year: int) -> str:
     return f"Turn this answer about {metric} ({year}) into JSON of the form {{\"results\": [{{metric_name, value, unit, fiscal_year, source_chunk_id}}]}}. Add nothing; use {MISSING} for what is missing.\n\n{answer}"
 

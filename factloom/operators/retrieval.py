@@ -125,15 +125,23 @@ def pooled(ranked: DataFrame, chunks: DataFrame, year: int, least: float = 0.5,
     return with_neighbours(own, chunks, 1, ["target"])
 
 
-def per_metric(ranked: DataFrame, chunks: DataFrame, parameters: DataFrame) -> DataFrame:
+def one_query_each(ranked: DataFrame, year: int, want: int = 8, least: float = 0.5) -> DataFrame:
+    """The older retrieval: for each target and metric the hits of its one query, of the year where any is, with `least` or more where any has that."""
+    by = ["target", "metric"]
+    own = top_n(ranked, want, by, ["rank"])
+    return laddered(prefer_year(own, year, by), F.lit(least), by, step=0.0).drop("place")
+
+
+def per_metric(ranked: DataFrame, chunks: DataFrame, parameters: DataFrame, by_chunk_alone: bool = False) -> DataFrame:
     """Hits of several queries per metric (target, metric, place of the query, rank) with the metric's threshold, cap and neighbours two chunks around.
 
-    Chunks are told apart by their whole key.
+    Chunks are told apart by their whole key; with by_chunk_alone by their number only, and chunk 0 is lost, as older results have it.
     """
     by = ["target", "metric"]
     own = ranked.join(F.broadcast(parameters), "metric").where(F.col("rank") <= F.col("asked"))
     own = laddered(own.where(same_entity(F.col("bank"), F.col("target"), bare=True)), F.col("least"), by)
-    own = first_of_key(own.withColumnRenamed("place", "query_place"), [F.desc("score"), "query_place", "rank"], by)
+    own, order = own.withColumnRenamed("place", "query_place"), [F.desc("score"), "query_place", "rank"]
+    own = top_n(own.where("chunk_id <> 0"), 1, [*by, "chunk_id"], order).drop("place") if by_chunk_alone else first_of_key(own, order, by)
     own = top_n(own, F.col("kept"), by, [F.desc("score"), "query_place", "rank"])
     return with_neighbours(own, chunks, 2, by)
 

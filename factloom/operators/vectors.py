@@ -34,7 +34,7 @@ def hashed_embedding(text: Column, dims: int = 64) -> Column:
             v = np.bincount(h % dims, np.where(h >> 16 & 1, 1.0, -1.0), dims) if len(h) else np.zeros(dims)
             return (v / (np.linalg.norm(v) or 1)).astype(np.float32)
 
-        return texts.map(one)
+        return pd.Series([one(t) for t in texts], dtype=object)
 
     return embed(text)
 
@@ -89,6 +89,14 @@ def write_index(chunks: DataFrame, path: str, dims: int) -> None:
     chunks.write.mode("overwrite").parquet(path)
 
 
+def index_shards(vectors: DataFrame, path: str) -> DataFrame:
+    """Writes the shards (bank_folder, stem) whose vectors all have the first shard's length, and returns every shard's log: num_vec, status. A bad shard is left out; the others go on."""
+    log = shard_dims(vectors)
+    good = log.where("status = 'ok'").select("bank_folder", "stem")
+    vectors.join(good, ["bank_folder", "stem"], "left_semi").write.mode("overwrite").parquet(path)
+    return log.select("bank_folder", "stem", "num_vec", "status")
+
+
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BANKS = "idrssd string, username string, url string, `financial report` string, `financial report link` string"
@@ -25,12 +25,22 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    """The fields of the schema and global_id, the row's place in file order: by path, then by line.
+
+    Lines are numbered within a split; counts of the splits, a row each, give the offsets.
+    """
+    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"))
+    lines = raw.where(F.trim("value") != "")
+    counts = lines.groupBy("_path", "_block").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_path", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_path", "_block").orderBy("_line"))
+    return lines.withColumn("_own", own).join(offsets, ["_path", "_block"]).select(F.from_json("value", schema).alias("r"), (F.col("_before") + F.col("_own") - 1).alias("global_id")).select("r.*", "global_id")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value: trimmed lines that aren't blank."""
-    return spark.read.text(path).select(F.trim("value").alias("value")).where("value <> ''")
+    """value: lines without white space at their ends, those that are blank left out."""
+    return spark.read.text(path).select(F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias("value")).where("value <> ''")
 
 
 def read_texts(spark: SparkSession, root: str) -> DataFrame:
@@ -67,7 +77,7 @@ def read_matrices(spark: SparkSession, path: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
     """CSV with a header line; with bom its first field begins with a byte-order mark, as spreadsheets like it."""
     out = df.withColumnRenamed(df.columns[0], "﻿" + df.columns[0]) if bom else df
-    out.write.mode("overwrite").csv(path, header=True, escape='"')
+    out.write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -77,3 +87,59 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 def write_texts(df: DataFrame, path: str, key: str = "bank", text: str = "context") -> None:
     """A folder of text files for each key: contexts and answers for inspection."""
     df.select(F.col(key).cast("string").alias("_key"), text).write.mode("overwrite").partitionBy("_key").option("lineSep", "\n\n").text(path)
+
+
+def write_files(files: DataFrame, root: str) -> DataFrame:
+    """Writes rows of path (below root) and content, and returns path and size. Any file system that Arrow knows; a task that runs again writes the same files."""
+    import pandas as pd
+
+    def run(batches):
+        from pyarrow import fs
+
+        system, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        for pdf in batches:
+            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                system.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)
+                with system.open_output_stream(f"{base}/{path}") as out:
+                    out.write(bytes(content))
+            yield pd.DataFrame({"path": pdf["path"], "size": [len(c) for c in pdf["content"]]})
+
+    return files.where("content is not null").select("path", "content").mapInPandas(run, "path string, size long")
+
+
+def matrix_files(vectors: DataFrame, key: str, order: str) -> DataFrame:
+    """path and content of a .npy file of 32-bit floats for each key, its rows in order."""
+    import io
+
+    import numpy as np
+    import pandas as pd
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = io.BytesIO()
+        np.save(out, np.array(pdf.sort_values(order)["embedding"].tolist(), np.float32))
+        return pd.DataFrame({"path": [f"{pdf[key].iloc[0]}.npy"], "content": [out.getvalue()]})
+
+    return vectors.select(key, order, "embedding").groupBy(key).applyInPandas(one, "path string, content binary")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A folder for written tables: spark.checkpoint.dir, or in local mode a temporary one."""
+    import tempfile
+    import uuid
+
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        at = tempfile.gettempdir()
+    return f"{at}/factloom-{uuid.uuid4().hex}"
+
+
+def resolved(root: str, path: str) -> str:
+    """path as it is where it is absolute or has a scheme, else below root."""
+    return path if path.startswith("/") or "://" in path or path.startswith("file:") else f"{root.rstrip('/')}/{path}"
+
+
+def limited(rows: DataFrame, most: int | None, order: list[str]) -> DataFrame:
+    """The first `most` rows in order; all without a number. For inputs of which a run shall take a part, as asked."""
+    return rows if most is None else rows.orderBy(*order).limit(most)
