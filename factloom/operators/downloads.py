@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,9 +50,9 @@ def resume(planned: DataFrame, done: DataFrame) -> DataFrame:
     return out.withColumn("reason", F.when(exists, "exists").otherwise(F.col("reason"))).withColumn("status", F.when(exists, "success").otherwise(F.col("status"))).drop("_there")
 
 
-def download(planned: DataFrame, fetcher: Fetcher) -> DataFrame:
+def download(planned: DataFrame, fetcher: Fetcher, wait=time.sleep) -> DataFrame:
     """url, ok, reason, content of the pending rows, through a client."""
-    return fetch_all(planned.where("status = 'pending'").select("url"), fetcher)
+    return fetch_all(planned.where("status = 'pending'").select("url"), fetcher, wait=wait)
 
 
 def status_counts(results: DataFrame) -> DataFrame:

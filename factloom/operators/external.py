@@ -86,10 +86,10 @@ def fetch_pages(urls: DataFrame, fetcher: Fetcher, attempts: int = 1) -> DataFra
     return urls.select("url").mapInPandas(run, "url string, html string")
 
 
-def fetch_all(urls: DataFrame, fetcher: Fetcher) -> DataFrame:
+def fetch_all(urls: DataFrame, fetcher: Fetcher, tries: int = 3, wait: Callable[[float], None] = time.sleep) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            got = [fetch_once(u, fetcher) for u in pdf["url"]]
+            got = [fetch_once(u, fetcher, tries, wait=wait) for u in pdf["url"]]
             yield pd.DataFrame({"url": pdf["url"], "ok": [g[0] for g in got], "reason": [g[1] for g in got], "content": [g[2] for g in got]})
 
     return urls.mapInPandas(run, "url string, ok boolean, reason string, content binary")

@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
@@ -209,6 +209,22 @@ def money_after(text: str | None, labels: list[str], lines_on: int = 5) -> float
     return None
 
 
+def first_money(texts: DataFrame, key: str, labels: list[str], lines_on: int = 5) -> DataFrame:
+    """key, amount: `money_after` as columns, for texts (key, text): lines are exploded, and each label's line is read with those after it."""
+    lines = texts.select(key, F.posexplode(F.filter(F.transform(F.split("text", r"\r\n|\n|\r"), lambda x: F.trim(x)), lambda x: x != "")).alias("line", "words"))
+    near = F.array_join(F.collect_list("words").over(Window.partitionBy(key).orderBy("line").rowsBetween(0, lines_on)), " ")
+    named = F.exists(F.array(*[F.lit(x.lower()) for x in labels]), lambda w: F.contains(F.lower("words"), w))
+    read = lines.withColumn("near", near).where(named)
+
+    def amounts(pattern: str, least: int) -> Column:
+        values = F.transform(F.regexp_extract_all("near", F.lit(pattern), 1), T.money)
+        return F.filter(values, lambda v: v.isNotNull() & ~(v.between(1900, 2100) & (v == F.floor(v))) & (F.abs(v) >= least))
+
+    first = F.coalesce(F.get(amounts(V.MONEY_COMMAS, 0), F.lit(0)), F.get(amounts(V.MONEY_PLAIN, 1000), F.lit(0)))
+    found = read.withColumn("amount", first).where("amount is not null").groupBy(key).agg(F.min_by("amount", "line").alias("amount"))
+    return texts.select(key).join(found, key, "left")
+
+
 def _labelled(table: dict[str, float | None], *words: str) -> float | None:
     return next((v for k, v in table.items() if v is not None and all(w in k.lower() for w in words)), None)
 

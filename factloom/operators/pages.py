@@ -33,10 +33,11 @@ def keyword_points(spark: SparkSession, rules=None, negatives=None, penalty: int
 
 def matched_rules(url: Column, words: Column, rules=None, negatives=None, penalty: int = V.NEGATIVE_PENALTY) -> Column:
     """Array of (tag, keyword, points) of the keywords in the url or the words, in rule order. No join and no shuffle: the rules are literals."""
-    u, w = F.lower(url), F.lower(words)
     rows = [(tag, kw, weight) for tag, weight, kws in (rules or V.RULES) for kw in kws] + [("NEG", kw, -penalty) for kw in (negatives or V.NEGATIVE_KEYWORDS)]
-    made = [F.when(F.contains(u, F.lit(kw.lower())) | F.contains(w, F.lit(kw.lower())), F.struct(F.lit(tag).alias("tag"), F.lit(kw).alias("keyword"), F.lit(p).alias("points"))) for tag, kw, p in rows]
-    return F.array_compact(F.array(*made))
+    every = F.array(*(F.struct(F.lit(tag).alias("tag"), F.lit(kw).alias("keyword"), F.lit(p).alias("points")) for tag, kw, p in rows))
+    # url and words are bound once; the rules are one literal, so the generated code doesn't grow with them
+    bound = F.transform(F.array(F.struct(F.lower(url).alias("u"), F.lower(words).alias("w"))), lambda b: F.filter(every, lambda r: F.contains(b["u"], F.lower(r["keyword"])) | F.contains(b["w"], F.lower(r["keyword"]))))
+    return bound[0]
 
 
 def level(score: Column) -> Column:

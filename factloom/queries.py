@@ -545,3 +545,6 @@ def extraction_plan_all(spark, sf_dir):
 
     targets = table(spark, sf_dir, "documents").where("source IS NOT NULL").select(F.col("source").alias("target")).distinct()
     return extract(targets, _plan_chunks(spark, sf_dir), 2024)[1]
+
+
+from . import queries_more  # noqa: E402, F401  registers its queries in QUERIES and SQL
