@@ -48,14 +48,17 @@ def scored(queries: DataFrame, vectors: DataFrame, digits: int | None = None) ->
     return out.drop("embedding", "query")
 
 
+def blocks(queries: DataFrame) -> list[DataFrame]:
+    """The queries in parts that may be broadcast."""
+    n = -(-queries.count() // BROADCAST_QUERIES)
+    return [queries] if n <= 1 else [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(2 * n)) == b) for b in range(2 * n)]
+
+
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 50, tie: str = "vec_id", digits: int | None = None) -> DataFrame:
     """The k best vectors of each query with their rank; equal scores by id. The rank limit runs before the shuffle, so each task sends k rows a query."""
-    n = queries.count()
-    blocks = -(-n // BROADCAST_QUERIES) if n else 1
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), tie)
     out = None
-    for b in range(blocks):
-        part = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("query_id"), F.lit(2 * blocks)).isin(2 * b, 2 * b + 1))
+    for part in blocks(queries):
         crossed = vectors.crossJoin(F.broadcast(part)).withColumn("score", dot(F.col("embedding"), F.col("query")))
         crossed = (crossed.withColumn("score", F.round("score", digits)) if digits is not None else crossed).drop("embedding", "query")
         top = crossed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -63,6 +66,33 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 50, tie: str = "vec_i
     return out
 
 
+def adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column, want: Column | int, first_k: int = 200, most_k: int = 20_000, tie: str = "vec_id", digits: int | None = None) -> DataFrame:
+    """`adaptive_k` without ranking what it doesn't need: how many vectors are ahead of the entity's best is counted first, and ranks go as deep as the deepest query asks for.
+
+    queries: query_id, query and columns that entity and want name.
+    """
+    parts = [_adaptive_top_k(part, vectors, entity, want, first_k, most_k, tie, digits) for part in blocks(queries)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column, want: Column | int, first_k: int, most_k: int, tie: str, digits: int | None) -> DataFrame:
+    asked = queries.drop("query")
+
+    def placed() -> DataFrame:
+        return scored(queries.select("query_id", "query"), vectors, digits).join(F.broadcast(asked), "query_id").withColumn("_at", F.struct((-F.col("score")).alias("s"), F.col(tie).alias("t")))
+
+    best = placed().where(entity).groupBy("query_id").agg(F.min("_at").alias("_best"))
+    ahead = placed().join(F.broadcast(best), "query_id").groupBy("query_id").agg(F.count_if(F.col("_at") <= F.col("_best")).alias("r"))
+    deepest = ahead.where(F.col("r") <= 2 * most_k).agg(F.max("r")).first()[0] or 1
+    k = first_k
+    while k < deepest:
+        k *= 2
+    return adaptive_k(top_k(queries.select("query_id", "query"), vectors, k, tie, digits).join(F.broadcast(asked), "query_id"), entity, want, first_k, most_k)
+
+
 def adaptive_k(ranked: DataFrame, entity: Column, want: Column | int, first_k: int = 200, most_k: int = 20_000) -> DataFrame:
     """Of all ranked rows (query_id, rank) the first `want` rows of the entity within K, where K doubles from first_k until it holds one.
 

@@ -25,8 +25,9 @@ def extract(banks: list[str] | DataFrame, chunks: DataFrame, year: int, model=No
     targets = banks.select("target") if isinstance(banks, DataFrame) else spark.createDataFrame([(b,) for b in banks], "target string")
     queries = R.metric_queries(spark, targets, year)
     pool_queries = queries.where("place = 0")
-    deep = ranked_hits(pool_queries, chunks, 2 * most_k, embed).join(F.broadcast(pool_queries.select("query_id", "target", "metric")), "query_id").join(F.broadcast(parameters.select("metric", "pool")), "metric")
-    own = W.adaptive_k(deep, R.same_entity(F.col("bank"), F.col("target")), F.col("pool"), first_k, most_k)
+    asked = pool_queries.join(F.broadcast(parameters.select("metric", "pool")), "metric").select("query_id", "target", "metric", "pool", embed(F.col("text")).alias("query"))
+    known = chunks.withColumn("vec_id", F.struct("bank", "stem", "chunk_id"))
+    own = W.adaptive_top_k(asked, known, R.same_entity(F.col("bank"), F.col("target")), F.col("pool"), first_k, most_k, "vec_id", 9).drop("vec_id", "pool")
     arrival = F.array_position(F.array(*[F.lit(m) for m in X.V.METRICS]), F.col("metric")).cast("int")
     pool = R.pooled(own.withColumn("arrival", arrival), chunks, year)
     contexts = R.context(pool, ["target"])

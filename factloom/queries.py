@@ -295,7 +295,9 @@ def single_entity_top_k(spark, sf_dir):
 @query(RANKED + """, m AS (SELECT *, min(rank) OVER (PARTITION BY query_id) AS r1 FROM r WHERE label = 3), k AS (SELECT *, 20 * 2 ** greatest(0, ceil(log2(r1 / 20.0))) AS k FROM m)
 SELECT query_id, vec_id, rank::INT AS rank, k::INT AS k_used FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS n FROM k WHERE rank <= k) WHERE n <= 10""")
 def adaptive_k_entity(spark, sf_dir):
-    return vectors.adaptive_k(_ranked(spark, sf_dir), F.col("label") == 3, 10, 20, 20_000).select("query_id", "vec_id", "rank", "k_used")
+    v = table(spark, sf_dir, "embeddings")
+    asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return vectors.adaptive_top_k(asked, v, F.col("label") == 3, 10, 20, 20_000, "vec_id", 9).select("query_id", "vec_id", "rank", "k_used")
 
 
 HITS = RANKED + """, h AS (SELECT query_id AS target, vec_id // 10 AS stem, vec_id % 10 AS chunk_id, label AS bank, vec_id, score, rank FROM r WHERE rank <= 60)"""
@@ -390,15 +392,16 @@ def pending_items(spark, sf_dir):
 
 
 # --- metrics ----------------------------------------------------------------------------------------------------------
-# records made of orders: a bank per customer, five results each, some missing, some with bad or other years' citations
+# records made of orders: a bank for each five orders of a customer, a result for each order, some missing, some with bad or other years' citations
 RECORDS = """WITH o AS (SELECT o_custkey AS bank, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i, o_orderkey AS k, o_totalprice AS p FROM orders),
-m AS (SELECT bank, (['ROA','ROE','NIM','NII','Provision for Credit Losses'])[i] AS metric_name, CASE k % 4 WHEN 0 THEN 'NOT FOUND' WHEN 1 THEN round(p / 100000, 2)::DECIMAL(10,2)::VARCHAR || '%' ELSE floor(p)::BIGINT::VARCHAR END AS value,
-CASE k % 3 WHEN 0 THEN '' ELSE 'thousand' END AS unit, CASE k % 6 WHEN 0 THEN 'NOT FOUND' WHEN 1 THEN '[k=a|stem=AR 2023|chunk=' || k || ']' WHEN 2 THEN 'abc' WHEN 3 THEN k::VARCHAR ELSE '[k=a|stem=AR 2024|chunk=1]' END AS cid FROM o WHERE i <= 5)"""
+m AS (SELECT bank * 100 + (i - 1) // 5 AS bank, (['ROA','ROE','NIM','NII','Provision for Credit Losses'])[(i - 1) % 5 + 1] AS metric_name, CASE k % 4 WHEN 0 THEN 'NOT FOUND' WHEN 1 THEN round(p / 100000, 2)::DECIMAL(10,2)::VARCHAR || '%' ELSE floor(p)::BIGINT::VARCHAR END AS value,
+CASE k % 3 WHEN 0 THEN '' ELSE 'thousand' END AS unit, CASE k % 6 WHEN 0 THEN 'NOT FOUND' WHEN 1 THEN '[k=a|stem=AR 2023|chunk=' || k || ']' WHEN 2 THEN 'abc' WHEN 3 THEN k::VARCHAR ELSE '[k=a|stem=AR 2024|chunk=1]' END AS cid FROM o)"""
 
 
 def _records(spark, sf_dir) -> DataFrame:
     i = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("bank"), i.alias("i"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("p")).where("i <= 5")
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("bank"), i.alias("i"), F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("p"))
+    o = o.select((F.col("bank") * 100 + F.expr("(i - 1) div 5")).alias("bank"), ((F.col("i") - 1) % 5 + 1).alias("i"), "k", "p")
     k = F.col("k")
     value = F.when(k % 4 == 0, "NOT FOUND").when(k % 4 == 1, F.concat(F.round(F.col("p") / 100000, 2).cast("decimal(10,2)").cast("string"), F.lit("%"))).otherwise(F.floor("p").cast("string"))
     cid = F.when(k % 6 == 0, "NOT FOUND").when(k % 6 == 1, F.concat(F.lit("[k=a|stem=AR 2023|chunk="), k.cast("string"), F.lit("]"))).when(k % 6 == 2, "abc").when(k % 6 == 3, k.cast("string")).otherwise("[k=a|stem=AR 2024|chunk=1]")
