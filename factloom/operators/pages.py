@@ -9,6 +9,8 @@ from .. import fixed_values as V
 from ..functions import text as T
 from ..functions import urls as U
 
+#: Rules that may be broadcast.
+MAX_RULES = 10_000
 _LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
 
 
@@ -63,7 +65,9 @@ def score_pages(pages: DataFrame, anchor: str | None = None) -> DataFrame:
 
 
 def score_by_join(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """page_id, score, n_hits by a broadcast theta join with a rules table (bounded): for rules that come as data."""
+    """page_id, score, n_hits by a broadcast theta join with a rules table, for rules that come as data. The rules are counted: MAX_RULES at most."""
+    if rules.count() > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
     hit = pages.join(F.broadcast(rules), F.contains(F.lower("url"), F.lower("keyword")) | F.contains(F.lower(T.page_title(F.col("html"))), F.lower("keyword")))
     return hit.groupBy("page_id").agg(F.sum("points").alias("score"), F.count("*").alias("n_hits"))
 

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions import text as T
+from .vectors import blocks
 
+#: Entities that may be broadcast.
+BROADCAST_ENTITIES = 50_000
 KEY = ["bank", "stem", "chunk_id"]
 
 
@@ -29,8 +32,12 @@ def same_entity(a: Column, b: Column, bare: bool = False, least: int = 8) -> Col
 
 
 def entity_pairs(left: DataFrame, right: DataFrame, a: str, b: str, bare: bool = False) -> DataFrame:
-    """A theta join of two small, bounded lists of entities."""
-    return left.join(F.broadcast(right), same_entity(F.col(a), F.col(b), bare))
+    """A theta join of two lists of entities; the right one is counted and broadcast in parts."""
+    out = None
+    for part in blocks(right, b, BROADCAST_ENTITIES):
+        found = left.join(F.broadcast(part), same_entity(F.col(a), F.col(b), bare))
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def canonical(asked: DataFrame, known: DataFrame) -> DataFrame:

@@ -48,10 +48,10 @@ def scored(queries: DataFrame, vectors: DataFrame, digits: int | None = None) ->
     return out.drop("embedding", "query")
 
 
-def blocks(queries: DataFrame) -> list[DataFrame]:
-    """The queries in parts that may be broadcast."""
-    n = -(-queries.count() // BROADCAST_QUERIES)
-    return [queries] if n <= 1 else [queries.where(F.pmod(F.xxhash64("query_id"), F.lit(2 * n)) == b) for b in range(2 * n)]
+def blocks(rows: DataFrame, key: str = "query_id", most: int | None = None) -> list[DataFrame]:
+    """The rows in parts that may be broadcast: one where they are counted and few, else by the hash of a key."""
+    n = -(-rows.count() // (most or BROADCAST_QUERIES))
+    return [rows] if n <= 1 else [rows.where(F.pmod(F.xxhash64(key), F.lit(2 * n)) == b) for b in range(2 * n)]
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 50, tie: str = "vec_id", digits: int | None = None) -> DataFrame:
