@@ -23,10 +23,13 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import written
+
 DIMS = 4096
 CENTROIDS = 4
 FIT_PER_LANGUAGE = 1000
@@ -94,42 +97,56 @@ def remainder():
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 4
 
 
-def fit(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> Model:
-    """A model of the rows that are not held out. The picked ids are bounded by per_language alone; only their n-gram counts reach the driver."""
+def sample(docs: DataFrame, per_language: int) -> DataFrame:
+    """lang, draw, doc_id, counts (compressed) of at most per_language rows that are not held out for each language, those of smallest hash of their id."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (remainder() != HELD_OUT))
-    ids = known.select("lang", "doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)).alias("draw"))
-    # a histogram of the draws finds a bound under which each language has a little more than it needs
-    n = ids.groupBy("lang").agg(F.count("*").alias("n"))
-    bound = n.select("lang", F.ceil(F.lit(float(1 << 40)) * F.least(F.lit(1.0), 1.3 * per_language / F.col("n") + 20 / F.col("n"))).cast("long").alias("bound"))
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
+    # from the number of ids, a bound on the draw under which each language has a little more than it needs
+    n = known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
+    bound = n.select("lang", F.ceil(F.lit(float(1 << 40)) * F.least(F.lit(1.0), 1.5 * per_language / F.col("n") + 20 / F.col("n"))).cast("long").alias("bound"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").to_pylist()
-            counts = [np.minimum(grams(t), 65535).astype("<u2").tobytes() if any(map(str.isalpha, t)) else None for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("draw"), b.column("doc_id"), pa.array([c and zlib.compress(c, 1) for c in counts], pa.binary())], ["lang", "draw", "doc_id", "counts"])
-
-    drawn = known.withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))).join(F.broadcast(bound), "lang").where("draw < bound")
-    rows = drawn.select("lang", "draw", "doc_id", "text").mapInArrow(run, "lang string, draw long, doc_id long, counts binary").where("counts is not null").toLocalIterator()
-    held: dict[str, list] = {}
-    for r in rows:
-        held.setdefault(r.lang, []).append((r.draw, r.doc_id, bytes(r.counts)))
-    names = sorted(held)
-    counts, of = [], []
-    for k, lang in enumerate(names):
-        for _, _, c in sorted(held[lang])[:per_language]:
-            counts.append(np.frombuffer(zlib.decompress(c), "<u2"))
-            of.append(k)
-    if not names:
+            counts = [zlib.compress(np.minimum(grams(t), 65535).astype("<u2").tobytes(), 1) if any(map(str.isalpha, t)) else None for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("draw"), b.column("doc_id"), pa.array(counts, pa.binary())], ["lang", "draw", "doc_id", "counts"])
+
+    drawn = known.select("lang", "doc_id", "text", draw.alias("draw")).join(F.broadcast(bound), "lang").where("draw < bound").select("lang", "draw", "doc_id", "text")
+    counted = drawn.mapInArrow(run, "lang string, draw long, doc_id long, counts binary").where("counts is not null")
+    # rows of one id, however many, count as far as the number goes
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "counts"))
+    return counted.withColumn("place", place).where(F.col("place") <= per_language).drop("place")
+
+
+def fit(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> Model:
+    """A model of the rows that are not held out. Document frequencies are summed and centroids found on executors, a language at a time; the driver gets the centroids, 16 KB each."""
+    picked = written(sample(docs, per_language), "languages")
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total = 0, np.zeros(DIMS, np.int64)
+        for b in batches:
+            for c in b.column("counts"):
+                total += np.frombuffer(zlib.decompress(c.as_py()), "<u2") > 0
+                n += 1
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([total.tobytes()], pa.binary())], ["n", "total"])
+
+    parts = picked.select("counts").mapInArrow(frequencies, "n long, total binary").collect()
+    if not parts:
         return Model(np.zeros(DIMS, np.float32), [], np.zeros(0, int), np.zeros((0, DIMS), np.float32), np.zeros(0))
-    counts, of = np.stack(counts), np.array(of)
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.05)
-    model = Model(idf, names, np.zeros(0, int), np.zeros((0, DIMS), np.float32), np.zeros(len(names)))
-    x = model.vectors(counts)
-    parts = [clusters(x[of == k], CENTROIDS) for k in range(len(names))]
-    model.centroids = np.concatenate(parts).astype(np.float32)
-    model.of = np.repeat(np.arange(len(names)), [len(p) for p in parts])
-    model.limit = np.array([np.quantile(1 - (x[of == k] @ p.T).max(axis=1), 1 - REJECT) for k, p in enumerate(parts)])
-    return model
+    n, df = sum(p.n for p in parts), sum(np.frombuffer(p.total, np.int64) for p in parts)
+    idf = np.log((1 + n) / (1 + df)).astype(np.float32) + np.float32(0.05)
+    model = Model(idf, [], np.zeros(0, int), np.zeros((0, DIMS), np.float32), np.zeros(0))
+
+    def centroids(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["draw", "doc_id", "counts"])
+        x = model.vectors(np.stack([np.frombuffer(zlib.decompress(c), "<u2") for c in pdf["counts"]]))
+        c = clusters(x, CENTROIDS).astype(np.float32)
+        return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "centroids": [c.tobytes()], "farthest": [float(np.quantile(1 - (x @ c.T).max(axis=1), 1 - REJECT))]})
+
+    found = sorted(picked.groupBy("lang").applyInPandas(centroids, "lang string, centroids binary, farthest double").collect(), key=lambda r: r.lang)
+    own = [np.frombuffer(r.centroids, np.float32).reshape(-1, DIMS) for r in found]
+    return Model(idf, [r.lang for r in found], np.repeat(np.arange(len(own)), [len(c) for c in own]), np.concatenate(own), np.array([r.farthest for r in found]))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -20,6 +20,7 @@ rows; further columns are ignored.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -27,7 +28,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,11 +78,12 @@ class TournamentTree:
 class WordTokenizer:
     """Ids of texts by a tokenizers file, through a bounded memory of words."""
 
-    _whole = regex.compile(r"<\||[\x1c-\x1fΣ]")
+    _whole = re.compile("<\\||[\x1c-\x1fΣ]")
 
     def __init__(self, path: str, memo: int = MEMO):
         import json
 
+        import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -283,9 +284,19 @@ def test_packing(docs, empty):
             at += length
         assert at <= 512
     for i, p in pieces.items():
-        n = len(plain.encode(text[i] or "", add_special_tokens=False).ids) + 1
-        rows = 2 if i == 1 else 1
-        assert sum(length for _, length, _ in p) == rows * n and {d for _, _, d in p} == {n}
+        ids = [*plain.encode(text[i] or "", add_special_tokens=False).ids, 2]
+        assert {d for _, _, d in p} == {len(ids)}
+    # every id of every row in one piece, by its place and checksum
+    want = Counter()
+    for i, t in local(docs):
+        ids = np.array([*plain.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
+        want.update((i, a, len(ids[a : a + 512]), zlib.crc32(ids[a : a + 512].tobytes()), len(ids)) for a in range(0, len(ids), 512))
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == want
+    with_ids = packing.pack_documents(docs, path, 2, sequence=512, group_docs=5, with_ids=True).collect()
+    assert Counter((r.doc_id, r.start, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in with_ids) == Counter((i, a, c) for (i, a, _, c, _), n in want.items() for _ in range(n))
+    one = packing.pack_documents(docs, path, 2, sequence=512, group_docs=1000).collect()
+    full = sum(r.length for r in one) / (512 * len({r.sequence_id for r in one}))
+    assert full > 0.97
     assert packing.pack_documents(empty, path, 2).count() == 0
 
 
@@ -370,6 +381,9 @@ def test_langid(spark, docs, empty):
     assert got[6].lang_pred == got[7].lang_pred == "und" and got[1].lang_pred == "en" and all(0 <= r.score <= 1 for r in got.values())
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in got.items() if i is not None)
     assert langid.predict(empty, langid.fit(empty)).count() == 0
+    # an id that stands many times is no way around the bound
+    many = spark.range(3000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("words in a row "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    assert langid.sample(many, 50).count() == 50
     assert {r.lang_pred for r in langid.predict(docs, langid.fit(empty)).collect()} == {"und"}
 
 
