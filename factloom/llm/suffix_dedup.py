@@ -429,15 +429,17 @@ def without_passages(docs: DataFrame, words: int, gram: int = PASSAGE_ANCHOR) ->
 
 def _without(docs: DataFrame, marked: DataFrame, chosen: Callable) -> DataFrame:
     """The documents without the runs that chosen(bytes, text, runs, lonely) takes of those marked (h1, h2, spans, lonely)."""
-    text = F.coalesce("text", F.lit(""))
-    own = docs.withColumns({"_ft_h1": F.xxhash64(F.lit(1), text), "_ft_h2": F.xxhash64(F.lit(2), text)})
-    marks = marked.select(*(F.col(c).alias(f"_ft_{c}") for c in (*_KEY, "spans", "lonely")))
-    names = docs.columns
+    text, names, own = F.coalesce("text", F.lit("")), docs.columns, "_ft"
+    while any(n.lower().startswith(own) for n in names):  # names that the documents don't have
+        own += "_"
+    key = [own + c for c in _KEY]
+    rows = docs.withColumns({key[0]: F.xxhash64(F.lit(1), text), key[1]: F.xxhash64(F.lit(2), text)})
+    marks = marked.select(*(F.col(c).alias(own + c) for c in (*_KEY, "spans", "lonely")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, keep = batch.column("text").to_pylist(), []
-            for k, (where, lonely) in enumerate(zip(*(batch.column(f"_ft_{c}").to_pylist() for c in ("spans", "lonely")), strict=True)):
+            for k, (where, lonely) in enumerate(zip(*(batch.column(own + c).to_pylist() for c in ("spans", "lonely")), strict=True)):
                 keep.append(True)
                 if where:
                     whole = texts[k] or ""
@@ -449,4 +451,4 @@ def _without(docs: DataFrame, marked: DataFrame, chosen: Callable) -> DataFrame:
             columns = [new[n].cast(batch.column(n).type) if n in new else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
 
-    return own.join(marks, ["_ft_h1", "_ft_h2"], "left").select(*names, "_ft_spans", "_ft_lonely").mapInArrow(run, docs.schema)
+    return rows.join(marks, key, "left").select(*names, own + "spans", own + "lonely").mapInArrow(run, docs.schema)
