@@ -145,3 +145,22 @@ def batches(column, most: int = 4 << 20):
         held += int(s)
     if a < len(size):
         yield a, len(size)
+
+
+#: Rows of an Arrow batch for texts: what a worker, and the JVM beside it, hold of them at a time. Spark bounds a batch's bytes besides.
+BATCH_ROWS = 1000
+
+
+def bounded(docs: DataFrame, rows: int = BATCH_ROWS) -> DataFrame:
+    """docs in a session of its own, with the settings of its session now but smaller Arrow batches. The caller's session stays as it is."""
+    spark = docs.sparkSession
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    view = f"factloom_{uuid.uuid4().hex}"
+    docs.createGlobalTempView(view)
+    out = own.table(f"global_temp.{view}")
+    spark.catalog.dropGlobalTempView(view)
+    return out

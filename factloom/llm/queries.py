@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, oracles, packing, quality_crf, suffix_dedup, url_automaton, warc_segments
-from .common import shared_dir, table
+from .common import bounded, shared_dir, table
 
 
 def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +16,13 @@ def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = bounded(table(spark, sf_dir, "documents"))
     weights, stay = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
     return quality_crf.judge(docs, weights, stay)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+    return suffix_dedup.report(bounded(table(spark, sf_dir, "documents")))
 
 
 def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,27 +33,27 @@ def op4_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.dedup(table(spark, sf_dir, "documents"), k=4, percent=80)
+    return minhash_dedup.dedup(bounded(table(spark, sf_dir, "documents")), k=4, percent=80)
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return packing.pack_documents(bounded(table(spark, sf_dir, "documents")), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find(bounded(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
 
 
 def op8_warc_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
-    warc_segments.write_archives(table(spark, sf_dir, "pages"), path, min_revisit=0)
+    warc_segments.write_archives(bounded(table(spark, sf_dir, "pages")), path, min_revisit=0)
     return warc_segments.summary(warc_segments.reassembled(warc_segments.read_records(spark, path)))
 
 
 def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = bounded(table(spark, sf_dir, "documents"))
     return langid.predict(docs, langid.fit(docs))
 
 
