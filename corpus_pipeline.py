@@ -13,33 +13,37 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from factloom.llm import decontaminate, minhash_dedup, packing, quality_crf, suffix_dedup
-from factloom.llm.common import shared_dir, table
+from factloom.llm.common import bounded, shared_dir, table
 
 #: Words of a repeated passage: more than 50.
 PASSAGE = 51
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = bounded(docs)
     weights, stay = quality_crf.fit(docs, table(spark, sf_dir, "labels"))
     return quality_crf.judge(docs, weights, stay, keep_rows=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = bounded(docs)
     return minhash_dedup.representatives(docs, k=5, percent=80)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = bounded(docs)
     return suffix_dedup.without_passages(docs, words=PASSAGE)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    docs = bounded(docs)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return packing.pack_documents(bounded(docs), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
 STAGES = [
