@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -147,6 +148,17 @@ def batches(column, most: int = 4 << 20):
         yield a, len(size)
 
 
+def release() -> None:
+    """Gives memory that this worker holds free back to the system: a worker lives on after its task, and several share an executor."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not this C library
+        pass
+
+
 #: Rows of an Arrow batch for texts: what a worker, and the JVM beside it, hold of them at a time. Spark bounds a batch's bytes besides.
 BATCH_ROWS = 1000
 

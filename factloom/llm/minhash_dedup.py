@@ -105,6 +105,7 @@ def sign(docs: DataFrame, k: int) -> DataFrame:
                     [batch.column("doc_id").slice(lo, hi - lo), pa.array(keys, pa.binary()), pa.array(distinct_sizes(shingles, to), pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
                     ["doc_id", "text_key", "n_shingles", "signature"],
                 )
+        common.release()
 
     return docs.select("doc_id", "text").mapInArrow(run, SIGNED)
 

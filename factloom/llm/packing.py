@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 SEQUENCE = 4096
 GROUP_DOCS = 4096
-MEMO = 400_000
+MEMO = 200_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 

@@ -51,7 +51,7 @@ SHARED = 300
 ANCHOR = 64
 #: For the short strings of passages: a wider gram would leave few to choose from in a string, and so more of them.
 PASSAGE_ANCHOR = 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 3 << 19
 #: Different stretches of one gram beyond which they are dealt to several shards.
 HOT_BODIES = 4096
 MAX_TASKS = 100_000
@@ -230,6 +230,7 @@ def repeats(parts: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
                     yield pack(found)
                     found = []
             yield pack(closed())
+        common.release()
 
     def pack(found: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int32() if i == 2 else pa.int64()) for i in range(5)], [*_KEY, "length", "start", "end"])
@@ -262,8 +263,8 @@ def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_b
     often = written(own.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "often")
     repeated = written(own.join(often.hint("shuffle_hash"), "gram"), "repeated")
     place = F.struct(*_KEY, "start")
-    bodies = repeated.groupBy("gram", "body").agg(F.count("*").alias("n"), F.min(place).alias("one"))
-    differ = bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where("bodies > 1")
+    bodies = written(repeated.groupBy("gram", "body").agg(F.count("*").alias("n"), F.min(place).alias("one")), "bodies")
+    differ = written(bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where("bodies > 1"), "differ")
     bodies = bodies.join(differ, "gram", "left").select("gram", "body", "one", (F.col("n") > 1).alias("known"), F.coalesce("bodies", F.lit(1)).alias("bodies"))
     part = F.struct("start", "owned", "size", "gram", "known", ((F.col("bodies") > 1) & (place == F.col("one"))).alias("sort"), (F.col("bodies") > hot).alias("hot"))
     placed = repeated.join(bodies.hint("shuffle_hash"), ["gram", "body"]).select("doc_id", *_KEY, part.alias("part"))
