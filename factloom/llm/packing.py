@@ -31,9 +31,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
+
 SEQUENCE = 4096
 GROUP_DOCS = 4096
-MEMO = 200_000
+MEMO = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -162,6 +164,7 @@ def tokenised(docs: DataFrame, path: str, end_id: int, sequence: int = SEQUENCE,
                         ids.append(np.frombuffer(part, "<u4").astype(np.int32))
             columns = [b.column("doc_id").take(pa.array(of, pa.int64())), *(pa.array(x, pa.int64()) for x in (start, length, crc, total))]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(ids, pa.list_(pa.int32()))] * with_ids, ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids)
+        release()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES + ", ids array<int>" * with_ids)
 

@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import release
+
 FIT_DOCS = 4000
 FIT_PIECES = 4000
 PIECE_LINES = 64
@@ -247,5 +249,6 @@ def judge(docs: DataFrame, weights, stay: int, min_share: float = MIN_CONTENT_SH
             else:
                 columns = [pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*found, strict=True), fields, strict=True)] if found else [pa.array([], kinds[k]) for _, k in fields]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns], ["doc_id", *(n for n, _ in fields)])
+        release()
 
     return docs.mapInArrow(run, docs.schema) if keep_rows else docs.select("doc_id", "text").mapInArrow(run, SCHEMA)

@@ -125,6 +125,7 @@ def owners(docs: DataFrame, lengths: tuple[int, ...], gram: int) -> DataFrame:
                 found.append([np.full(len(h), k), h, body.view(np.int64), a, b - a + 1, end - a])
             at, *rest = (pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("doc_id", *_KEY)), *rest], ["doc_id", *_KEY, "gram", "body", "start", "owned", "size"])
+        common.release()
 
     return docs.mapInArrow(run, OWNERS)
 
@@ -165,6 +166,7 @@ def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int
                     yield pack(batch, out)
                     out, held = [], 0
             yield pack(batch, out)
+        common.release()
 
     def pack(batch: pa.RecordBatch, out: list[tuple]) -> pa.RecordBatch:
         row, shard, start, owned, body, known = zip(*out, strict=True) if out else [()] * 6
@@ -451,5 +453,6 @@ def _without(docs: DataFrame, marked: DataFrame, chosen: Callable) -> DataFrame:
             new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([None if t is None else len(t) for t in texts], pa.int64())}
             columns = [new[n].cast(batch.column(n).type) if n in new else batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(keep, pa.bool_()))
+        common.release()
 
     return rows.join(marks, key, "left").select(*names, own + "spans", own + "lonely").mapInArrow(run, docs.schema)
