@@ -189,7 +189,7 @@ def test_records_parse():
     page = warc_segments.records_of("1", 7, "http://x/", "D", "é" * 500 + "\r\n\r\nWARC/1.1", None, 200)
     raw = "".join(r + warc_segments.END for r in page).encode()
     found = list(warc_segments.parse(raw))
-    assert len(found) == len(page) > 3 and found[-1][0]["warc-segment-total-length"] == str(sum(len(b) for _, b in found))
+    assert len(found) == len(page) > 3 and found[-1][0]["warc-segment-total-length"] == str(sum(len(b) for _, b, _ in found))
 
 
 def test_multi_index_shares_a_key_within_the_distance():
