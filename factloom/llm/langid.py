@@ -48,6 +48,7 @@ def grams(text: str) -> np.ndarray:
     gap = raw == 0x20
     keep = ~gap
     keep[1:] |= ~gap[:-1]
+    keep[0] = True
     raw = raw[keep].astype(np.uint32)
     one, two = raw[1:], (raw[:-1] << np.uint32(8)) | raw[1:]
     three = (two[:-1] << np.uint32(8)) | raw[2:] if len(raw) > 2 else raw[:0]

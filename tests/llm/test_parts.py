@@ -316,3 +316,20 @@ def test_shingles_of_short_texts():
     h, to = common.shingle_hashes(common.word_hashes(data, s, e), w, 4)
     assert np.diff(to).tolist() == [2, 1, 0, 0, 1] and h[2] == h[3]
     assert zlib.crc32(b"") == 0
+
+
+@settings(deadline=None, max_examples=60)
+@given(st.text(alphabet="aÉb c.1\n", max_size=30))
+def test_grams_by_hand(text):
+    """One to three bytes at each place of the lower-cased text, what is no letter being one gap."""
+    raw = ""
+    for c in f" {text.lower()} ":
+        gap = ord(c) < 128 and not c.isalpha()
+        if not (gap and raw.endswith(" ")):
+            raw += " " if gap else c
+    raw = raw.encode()
+    want = np.zeros(langid.DIMS, int)
+    for n, salt in zip((1, 2, 3), langid._SALTS.tolist(), strict=True):
+        for a in range(1 if n == 1 else 0, len(raw) - n + 1):
+            want[((int.from_bytes(raw[a : a + n], "big") * 2654435761 + salt) % (1 << 32)) >> (33 - langid.DIMS.bit_length())] += 1
+    assert langid.grams(text).tolist() == want.tolist()
