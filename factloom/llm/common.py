@@ -53,7 +53,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.written_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `written` made. What was made of them must be written, too."""
+    for t in tables:
+        jvm, path = t.sparkSession._jvm, t.written_at
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:

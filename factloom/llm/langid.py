@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 DIMS = 4096
 CENTROIDS = 4
@@ -146,6 +146,7 @@ def fit(docs: DataFrame, per_language: int = FIT_PER_LANGUAGE) -> Model:
         return pd.DataFrame({"lang": [pdf["lang"].iloc[0]], "centroids": [c.tobytes()], "farthest": [float(np.quantile(1 - (x @ c.T).max(axis=1), 1 - REJECT))]})
 
     found = sorted(picked.groupBy("lang").applyInPandas(centroids, "lang string, centroids binary, farthest double").collect(), key=lambda r: r.lang)
+    discard(picked)
     own = [np.frombuffer(r.centroids, np.float32).reshape(-1, DIMS) for r in found]
     return Model(idf, [r.lang for r in found], np.repeat(np.arange(len(own)), [len(c) for c in own]), np.concatenate(own), np.array([r.farthest for r in found]))
 

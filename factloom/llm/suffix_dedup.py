@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
-from .common import written
+from .common import discard, written
 from .induced_sort import Space, repeated_starts
 
 LENGTH = 400
@@ -264,17 +264,19 @@ def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_b
     # written, so that the join deals both sides anew and a gram of many occurrences can be split
     often = written(own.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "often")
     repeated = written(own.join(often.hint("shuffle_hash"), "gram"), "repeated")
+    discard(own, often)
     place = F.struct(*_KEY, "start")
     bodies = written(repeated.groupBy("gram", "body").agg(F.count("*").alias("n"), F.min(place).alias("one")), "bodies")
     differ = written(bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where("bodies > 1"), "differ")
-    bodies = bodies.join(differ, "gram", "left").select("gram", "body", "one", (F.col("n") > 1).alias("known"), F.coalesce("bodies", F.lit(1)).alias("bodies"))
+    known = bodies.join(differ, "gram", "left").select("gram", "body", "one", (F.col("n") > 1).alias("known"), F.coalesce("bodies", F.lit(1)).alias("bodies"))
     part = F.struct("start", "owned", "size", "gram", "known", ((F.col("bodies") > 1) & (place == F.col("one"))).alias("sort"), (F.col("bodies") > hot).alias("hot"))
-    placed = repeated.join(bodies.hint("shuffle_hash"), ["gram", "body"]).select("doc_id", *_KEY, part.alias("part"))
+    placed = repeated.join(known.hint("shuffle_hash"), ["gram", "body"]).select("doc_id", *_KEY, part.alias("part"))
     # one row stands for all with its text
     wanted = placed.groupBy(*_KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.collect_set("part").alias("parts"))
     a, b = long.alias("a"), wanted.alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
     texts = written(a.join(b, same).select("a.h1", "a.h2", "text", F.expr("n div size(parts)").alias("copies"), "parts"), "repeats")
+    discard(repeated, bodies, differ)
     total = texts.agg(F.sum(F.expr("aggregate(parts, 0L, (s, p) -> s + if(p.sort, p.size, 0L))"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, MAX_TASKS))
@@ -330,6 +332,7 @@ def report(docs: DataFrame, length: int = LENGTH, shared: int = SHARED) -> DataF
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_shared for each document; n_shared: its bytes that strings of `shared` bytes cover which also start elsewhere."""
     rows, texts, marked = spans(docs, tuple(sorted({length, shared})))
     lost = written(removal(texts, marked, length, shared), "lost")
+    discard(texts, marked)
     slim = rows.select("doc_id", *_KEY, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
     none = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     return slim.join(lost, _KEY, "left").select("doc_id", "n_bytes", none("n_removed"), none("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), none("n_shared"))
@@ -354,7 +357,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Runs are drawn in to whole code points. A document that loses text and has none but white space left goes.
     """
-    _, _, marked = spans(docs, (length,))
+    _, texts, marked = spans(docs, (length,))
+    discard(texts)
     marked = marked.select(*_KEY, F.col(f"runs_{length}").alias("spans"), F.lit(None).cast("array<long>").alias("lonely"))
     return _without(docs, marked, lambda raw, text, where, lonely: at_code_points(raw, where))
 
@@ -421,7 +425,9 @@ def without_passages(docs: DataFrame, words: int, gram: int = PASSAGE_ANCHOR) ->
     length = 2 * words - 1
     _, texts, marked = spans(docs, (length,), min(gram, words))
     marked = marked.withColumnRenamed(f"runs_{length}", "spans")
-    both = marked.join(lonely_passages(texts, marked, words), _KEY, "left")
+    lonely = written(lonely_passages(texts, marked, words), "lonely")
+    discard(texts)
+    both = marked.join(lonely, _KEY, "left")
 
     def chosen(raw: np.ndarray, text: str, where: list[tuple[int, int]], lonely: list[int] | None) -> list[tuple[int, int]]:
         alone = set(lonely or ())

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 SEGMENT = 16 << 10
 CHUNK = 4 << 10
@@ -112,6 +112,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = 0, segment: i
     owner = slim.groupBy("digest").agg(F.max(F.struct(F.col("page_id").isNotNull(), "page_id", "uid")).alias("owner"), F.max("size").alias("size"))
     owner = owner.where(F.col("size") >= min_revisit).select("digest", F.col("owner.uid").alias("owner"))
     linked = written(slim.join(owner, "digest", "left").select("page_id", "url", "uid", "digest", "size", F.when(F.col("owner") != F.col("uid"), F.col("owner")).alias("refers")), "linked")
+    discard(slim)
     total = linked.where("refers is null").agg(F.sum("size")).first()[0] or 0
     files = max(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // file_bytes))
     key = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(":"), "digest").alias("key")
@@ -140,6 +141,7 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = 0, segment: i
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
     ready.mapInArrow(run, "value string").write.mode("overwrite").option("lineSep", END).option("compression", "gzip").text(path)
+    discard(linked)
 
 
 def inflated(content: bytes) -> tuple[bytes, bool]:
