@@ -55,7 +55,7 @@ class Space:
         kind = np.dtype(kind)
         with tempfile.TemporaryFile(dir=self.folder) as file:
             file.truncate(max(1, n) * kind.itemsize)
-            return np.memmap(file, kind, "r+", shape=(max(1, n),))[:n]
+            return np.asarray(np.memmap(file, kind, "r+", shape=(max(1, n),)))[:n]
 
 
 class DiskQueue:

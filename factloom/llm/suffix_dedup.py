@@ -177,66 +177,59 @@ def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int
     return texts.mapInArrow(run, STRETCHES)
 
 
-def covered(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    """Maximal runs [a, b) covered by strings of a length that start at the given sorted positions."""
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > length) + 1
-    return [(int(p[0]), int(p[-1]) + length) for p in np.split(starts, cut)]
-
-
+_SEPARATOR = np.uint16(1).tobytes()
 FOUND = "h1 long, h2 long, length int, start long, end long"
 
 
 def repeats(parts: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
     """A row of FOUND for each covered run that a shard's suffix order shows. A shard is read in a stream into two files, its string and which positions are owned."""
 
-    def solve(text_file, owned_file, rows: list[tuple]) -> Iterator[tuple]:
+    def solve(text_file, owned_file, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         text_file.write(np.zeros(1, np.uint16).tobytes())
         owned_file.write(b"\0")
         text_file.flush(), owned_file.flush()
-        text, owned = np.memmap(text_file, np.uint16, "r"), np.memmap(owned_file, bool, "r")
+        text, owned = (np.asarray(np.memmap(f, kind, "r")) for f, kind in ((text_file, np.uint16), (owned_file, bool)))
         flags = repeated_starts(text, 258, lengths, Space(os.path.dirname(text_file.name)), owned)
-        at = 0
-        for h1, h2, start, windows, size, known in rows:
-            if not known:
-                for flag, length in zip(flags, lengths, strict=True):
-                    # a shorter rest of a text is no string of this length
-                    for a, b in covered(np.flatnonzero(flag[at : at + max(0, min(windows, size - length + 1))]), length):
-                        yield h1, h2, length, start + a, start + b
-            at += size + 1
+        h1, h2, start, windows, size = (np.array([r[i] for r in rows], np.int64) for i in range(5))
+        known = np.array([r[5] for r in rows], bool)
+        begin = np.cumsum(size + 1) - size - 1
+        for flag, length in zip(flags, lengths, strict=True):
+            at = np.flatnonzero(flag)
+            row = np.searchsorted(begin, at, "right") - 1
+            at = at - begin[row]
+            # a shorter rest of a text is no string of this length
+            use = ~known[row] & (at < np.minimum(windows, size - length + 1)[row])
+            at, row = at[use], row[use]
+            if len(at):
+                first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (at[1:] - at[:-1] > length)))
+                last, of = np.append(first[1:], len(at)) - 1, row[first]
+                fields = [h1[of], h2[of], np.full(len(first), length, np.int32), start[of] + at[first], start[of] + at[last] + length]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in fields], [*_KEY, "length", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as folder:
             now, files, rows = None, None, []
-            found: list[tuple] = []
 
-            def closed() -> list[tuple]:
-                out = list(solve(*files, rows)) if files else []
+            def closed() -> Iterator[pa.RecordBatch]:
+                if files:
+                    yield from solve(*files, rows)
                 for f in files or ():
                     f.close()
                     os.unlink(f.name)
-                return out
 
             for batch in batches:
                 for shard, h1, h2, start, owned, body, known in zip(*(batch.column(c).to_pylist() for c in ("shard", *_KEY, "start", "owned", "body", "known")), strict=True):
                     if shard != now:
-                        found += closed()
+                        yield from closed()
                         now, rows, files = shard, [], [open(os.path.join(folder, f"{shard}{x}"), "w+b") for x in "to"]  # noqa: SIM115
                     if rows and rows[-1][:3] == (h1, h2, start):
                         continue  # a repeated row of one text
-                    files[0].write(np.append(np.frombuffer(body, np.uint8).astype(np.uint16) + 2, np.uint16(1)).tobytes())
+                    files[0].write((np.frombuffer(body, np.uint8).astype(np.uint16) + np.uint16(2)).tobytes() + _SEPARATOR)
                     files[1].write(b"\1" * owned + bytes(len(body) + 1 - owned))
                     rows.append((h1, h2, start, owned, len(body), known))
-                if found:
-                    yield pack(found)
-                    found = []
-            yield pack(closed())
+            yield from closed()
         common.release()
 
-    def pack(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], pa.int32() if i == 2 else pa.int64()) for i in range(5)], [*_KEY, "length", "start", "end"])
-
     return parts.mapInArrow(run, FOUND)
 
 
