@@ -52,7 +52,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, which cuts its lineage."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "snappy").parquet(path)
     out = spark.read.parquet(path)
     out.written_at = path
     return out
