@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from . import chat_repair as repair
 from .chat_windows import BUDGET, CLOSE, HISTORY
+from .spelling_variants import DAMAGE, LEAST, MORE, OCCURS
 from .url_automaton import GLOBS, RULES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -83,3 +85,58 @@ c AS (SELECT doc_id, n, sum(b - a)::BIGINT AS lost, count(*) AS spans, list(a OR
 SELECT t.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(c.lost, 0) AS n_removed, coalesce(c.spans, 0) AS n_spans,
 sha256(unhex(coalesce(array_to_string(list_transform(range(c.spans + 1), lambda k: substr(h, CASE WHEN k = 0 THEN 1 ELSE 2 * c.b[k] + 1 END, (CASE WHEN k = c.spans THEN length(h) ELSE 2 * c.a[k + 1] END) - (CASE WHEN k = 0 THEN 0 ELSE 2 * c.b[k] END))), ''), h))) AS kept_sha256,
 coalesce(e.lost, 0) AS n_shared FROM t LEFT JOIN c ON c.doc_id = t.doc_id AND c.n = {length} LEFT JOIN c e ON e.doc_id = t.doc_id AND e.n = {shared}"""
+
+
+#: The table of CRC-32 (reflected, polynomial EDB88320), as a list of 256 numbers.
+CRC_TABLE = "(SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_table)"
+
+
+def crc32(codes: str) -> str:
+    """The CRC-32 of a list of bytes, with crc_table in reach."""
+    return f"xor(list_reduce(list_concat([4294967295], {codes}), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def ascii_codes(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)"
+
+
+def repairs() -> str:
+    """The cheapest edits row by row, with all four ends of what is repaired so far beside each other."""
+    best = lambda *xs: f"list_sort(list_filter([{', '.join(xs)}], lambda x: x IS NOT NULL))[1]"
+    put = lambda x, cost, edit, line: f"CASE WHEN {x} IS NOT NULL THEN {{'c': {x}.c + {cost}, 'd': {x}.d || '{edit}', 't': {x}.t || {line}}} END"
+    insert = lambda x, role: put(x, repair.INSERT, "I", f"chr(10) || '{role}:'")
+    closed = f"SELECT *, {best('a', insert('u1', 'assistant'))} AS a1 FROM (SELECT *, {best('u', *(insert(x, 'user') for x in 'esa'))} AS u1 FROM w)"
+    drop = lambda x: put(x, repair.DELETE, "D", "''")
+    keep = lambda x, initial: f"CASE WHEN r.initial = '{initial}' AND r.fault NOT IN ('blank', 'duplicate') THEN {put(x, 'r.charge', 'K', 'chr(10) || r.role || chr(58) || r.text')} END"
+    turn = lambda x, role: f"CASE WHEN r.fault NOT IN ('blank', 'duplicate') THEN {put(x, f'r.charge + {repair.REROLE}', 'R', f"chr(10) || '{role}:' || r.text")} END"
+    user = [f(x, v) for x in ("v.e", "v.s", "v.a1") for f, v in ((keep, "u"), (turn, "user"))]
+    nothing = "NULL::STRUCT(c BIGINT, d VARCHAR, t VARCHAR)"
+    return rf"""WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32(ascii_codes("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"))} % 20 AS kind FROM conversations, {CRC_TABLE}),
+damaged AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy FROM k WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS place FROM damaged),
+rows AS (SELECT *, left(role, 1) AS initial, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault FROM placed),
+r AS (SELECT *, CASE WHEN fault = 'truncated' THEN {repair.CUT_OFF} ELSE 0 END AS charge, lag(initial) OVER (PARTITION BY conv_id ORDER BY place) AS earlier FROM rows),
+f AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE earlier || initial NOT IN {repair.LEGAL}) AS illegal, count(*) AS n FROM r GROUP BY conv_id),
+w AS (SELECT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'd': '', 't': ''}} AS e, {nothing} AS s, {nothing} AS u, {nothing} AS a FROM (SELECT DISTINCT conv_id FROM conversations) UNION ALL
+SELECT v.conv_id, v.i + 1, {drop('v.e')}, {best(drop('v.s'), keep('v.e', 's'))}, {best(drop('v.u1'), *user)}, {best(drop('v.a1'), keep('v.u1', 'a'), turn('v.u1', 'assistant'))} FROM ({closed}) v JOIN r ON r.conv_id IS NOT DISTINCT FROM v.conv_id AND r.place = v.i + 1),
+z AS (SELECT conv_id, i, {best('e', 'a1')} AS x FROM ({closed}))
+SELECT z.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, x.c AS cost, x.d AS audit, sha256(substring(x.t, 2)) AS repaired_sha256
+FROM z LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM z.conv_id WHERE z.i = coalesce(f.n, 0)"""
+
+
+def spellings() -> str:
+    """Near words by joins of all words with one code point taken out."""
+    codes = "list_concat(" + ascii_codes("coalesce(doc_id::VARCHAR, '') || ':'") + ", flatten(list_transform(string_split(run, ''), lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [195::BIGINT, ord(x) - 64] END)))"
+    return rf"""WITH RECURSIVE runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')), '{_UPPER}', '{_LOWER}') AS run FROM documents),
+h AS (SELECT run, {crc32(codes)} AS h FROM (SELECT doc_id, run FROM runs WHERE length(run) >= {LEAST}), {CRC_TABLE}),
+damaged AS (SELECT CASE WHEN h % {DAMAGE} = 0 THEN left(run, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word FROM h),
+words AS (SELECT word, count(*) AS n FROM damaged WHERE length(word) >= {LEAST} GROUP BY word HAVING count(*) >= {OCCURS}),
+less AS (SELECT word, n, length(word) AS size, i, left(word, i) || substring(word, i + 2) AS rest FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT x.word, y.word AS other, y.n FROM less x JOIN less y ON x.rest = y.rest AND x.i = y.i AND x.size = y.size AND x.word <> y.word
+UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON w.word = l.rest UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON w.word = l.rest),
+best AS (SELECT word, count(*) AS n_near, max(n) AS most FROM near GROUP BY word),
+forms AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= {MORE} * w.n THEN most END AS form_n, CASE WHEN most >= {MORE} * w.n THEN (SELECT min(other) FROM near x WHERE x.word = w.word AND x.n = most) END AS form FROM words w LEFT JOIN best b ON b.word = w.word),
+way AS (SELECT word, word AS root, form AS next FROM forms UNION ALL SELECT way.word, f.word, f.form FROM way JOIN forms f ON f.word = way.next)
+SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN way ON way.word = f.word AND way.next IS NULL"""

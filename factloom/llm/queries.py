@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, oracles, packing, quality_crf, suffix_dedup, url_automaton, warc_segments
+from . import chat_repair, chat_windows, decontaminate, hilbert_sharding, langid, minhash_dedup, oracles, packing, quality_crf, spelling_variants, suffix_dedup, token_automaton, url_automaton, warc_segments
 from .common import bounded, shared_dir, table
 
 
@@ -61,6 +61,20 @@ def op10_url_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_automaton.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op3_suffix_dedup, op4_chat_windows, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton)}
+def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_repair.repair(chat_repair.damaged(bounded(table(spark, sf_dir, "conversations"))))
 
-SQL: dict[str, str] = {"op3_suffix_dedup": oracles.repeats(suffix_dedup.LENGTH, suffix_dedup.SHARED), "op8_warc_segments": oracles.archives(), "op4_chat_windows": oracles.chats(), "op5_minhash_dedup": oracles.near_duplicates(4, 80), "op10_url_automaton": oracles.urls()}
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_token_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_automaton.count(bounded(table(spark, sf_dir, "documents")), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_hilbert_sharding, op2_quality_crf, op3_suffix_dedup, op4_chat_windows, op5_minhash_dedup, op6_packing, op7_decontaminate, op8_warc_segments, op9_langid, op10_url_automaton, op11_chat_repair, op12_spelling_variants, op13_token_automaton)}
+
+SQL: dict[str, str] = {"op3_suffix_dedup": oracles.repeats(suffix_dedup.LENGTH, suffix_dedup.SHARED), "op8_warc_segments": oracles.archives(), "op4_chat_windows": oracles.chats(), "op5_minhash_dedup": oracles.near_duplicates(4, 80), "op10_url_automaton": oracles.urls(), "op11_chat_repair": oracles.repairs(), "op12_spelling_variants": oracles.spellings()}
