@@ -60,7 +60,7 @@ def texts():
     out = []
     for i in range(120):
         out.append((i, " ".join(r.choice([w, w, w, typo(w), typo(typo(w) + "b")]) + r.choice([" ", "1", ", ", "\n"]) for w in r.choices(base[:10] + base, k=60))))
-    return [*out, (None, out[0][1]), (None, None), (1 << 60, None), (7, ""), out[3], out[3], (500, " ".join(["Wörterbuch"] * 400 + ["Worterbuch"] * 30 + ["Worterbuh"] * 2)), (501, ("x" * 30_000 + " ") * 3 + ("x" * 29_999 + " ") * 2)]
+    return [*out, (None, out[0][1]), (None, None), (1 << 60, None), (7, ""), out[3], out[3], (500, " ".join(["Wörterbuch"] * 400 + ["Worterbuch"] * 30 + ["Worterbuh"] * 2)), (501, ("x" * 900 + " ") * 3 + ("x" * 899 + " ") * 2)]
 
 
 @pytest.fixture(scope="module")
@@ -81,6 +81,12 @@ def test_against_all_pairs(docs, wanted, most, bucket):
     assert got == wanted and any(g[2] != g[0] and g[2] != g[1] for g in got)
 
 
+def test_very_long_words(spark):
+    rows = [(1, ("x" * 30_000 + " ") * 3 + ("x" * 29_999 + " ") * 2 + ("x" * 15_000 + "y" + "x" * 14_999 + " ") * 40)]
+    got = spelling_variants.group_variants(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert plain(got) == brute(rows) and len(got) == 3
+
+
 def test_empty(docs):
     assert spelling_variants.group_variants(docs.where("false")).collect() == []
 
