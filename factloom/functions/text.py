@@ -51,19 +51,6 @@ def first_year(name: Column, default: int) -> Column:
     return F.when(found != "", found.cast("int")).otherwise(default)
 
 
-def page_title(html: Column) -> Column:
-    """Text of the first title element, white space collapsed."""
-    raw = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return F.trim(F.regexp_replace(unescaped(raw), r"\s+", " "))
-
-
-def unescaped(text: Column) -> Column:
-    """The five character references of XML and the no-break space."""
-    for ref, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(ref), F.lit(char))
-    return text
-
-
 def is_valid_html(html: Column, least: int = 800) -> Column:
     return F.coalesce(F.contains(F.lower(html), F.lit("<html")) & (F.length(html) >= least), F.lit(False))
 

@@ -60,20 +60,57 @@ def expands(url: Column, text: Column, depth: Column) -> Column:
     return F.when(depth == 0, contains_any(u, V.EXPAND_URL_FIRST) | contains_any(t, V.EXPAND_TEXT_FIRST)).otherwise(contains_any(u, V.EXPAND_URL_DEEPER) | contains_any(t, V.EXPAND_TEXT_DEEPER))
 
 
+#: Schemes whose references may be relative, and those whose last path segment may have parameters after a semicolon.
+RELATIVE = ["", "ftp", "http", "gopher", "nntp", "imap", "wais", "file", "https", "shttp", "mms", "prospero", "rtsp", "rtsps", "rtspu", "sftp", "svn", "svn+ssh", "ws", "wss"]
+_SCHEME = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
+
+
+def url_parts(url: Column) -> Column:
+    """scheme (lower case), netloc, path, params (from the `;` of the last segment), query, fragment of a reference; missing ones are empty. Leading blanks and control characters, tabs and line ends are no part of it."""
+    clean = F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    bare = lambda u: F.regexp_replace(u, _SCHEME, "")
+    part = lambda u, pattern: F.regexp_extract(u, pattern, 1)
+    whole = lambda u: F.struct(
+        F.lower(part(u, _SCHEME)).alias("scheme"), part(bare(u), r"^//([^/?#]*)").alias("netloc"), part(bare(u), r"^(?://[^/?#]*+)?+((?:[^/?#]*+/)*+[^/?#;]*+)").alias("path"),
+        part(bare(u), r"^(?://[^/?#]*+)?+(?:[^/?#]*+/)*+[^/?#;]*+;([^?#]*)").alias("params"), part(bare(u), r"(?s)^[^?#]*\?([^#]*)").alias("query"), part(bare(u), r"(?s)^[^#]*#(.*)").alias("fragment"),
+    )
+    return F.transform(F.array(clean), whole)[0]
+
+
+def without_dots(segments: Column) -> Column:
+    """Path segments with `.` taken out and `..` taken out with the segment before it."""
+    step = lambda kept, s: F.when(s == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).when(s == ".", kept).otherwise(F.concat(kept, F.array(s)))
+    kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+    ends_open = F.element_at(segments, -1).isin(".", "..")
+    return F.when(ends_open, F.concat(kept, F.array(F.lit("")))).otherwise(kept)
+
+
 def joined(base: Column, href: Column) -> Column:
-    """href as seen from base: absolute, without scheme, from the root, a query or fragment, or relative (`.` and `..` segments are not resolved)."""
-    scheme, site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*:)", 1), F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
-    bare = F.regexp_replace(base, r"[?#].*$", "")
-    folder = F.when(bare == site, F.concat(site, F.lit("/"))).otherwise(F.regexp_replace(bare, r"[^/]*$", ""))
-    return (
-        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(F.startswith(href, F.lit("//")), F.concat(scheme, href))
-        .when(F.startswith(href, F.lit("/")), F.concat(site, href))
-        .when(href == "", base)
-        .when(F.startswith(href, F.lit("?")), F.concat(bare, href))
-        .when(F.startswith(href, F.lit("#")), F.concat(F.regexp_replace(base, "#.*$", ""), href))
-        .otherwise(F.concat(folder, href))
-    )
+    """href as seen from base by RFC 3986: merged with base's path, dot segments resolved. A url with its own host or of another scheme keeps its path as it is; an empty href is base, and without base href stays."""
+    optional = lambda mark, value: F.when(value != "", F.concat(F.lit(mark), value)).otherwise("")
+
+    def made(x: Column) -> Column:
+        b, h = x["b"], x["h"]
+        scheme = F.when(h["scheme"] == "", b["scheme"]).otherwise(h["scheme"])
+        same_page = (h["path"] == "") & (h["params"] == "")
+        own, folder = F.split(h["path"], "/", -1), F.split(F.regexp_extract(b["path"], r"^(.*/)?", 1), "/", -1)
+        # what stands before the last slash of base's path, then the reference's segments; empty ones between go
+        folder = F.when(F.contains(b["path"], F.lit("/")), F.when(F.endswith(b["path"], F.lit("/")), folder).otherwise(F.slice(folder, F.lit(1), F.size(folder) - 1))).otherwise(F.when(b["path"] == "", F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
+        both = F.concat(folder, own)
+        inner = F.filter(both, lambda s, i: (s != "") | (i == 0) | (i == F.size(both) - 1))
+        path = F.array_join(without_dots(F.when(F.startswith(h["path"], F.lit("/")), own).otherwise(inner)), "/")
+        path = F.when(path == "", "/").otherwise(path)
+        host = F.when(h["netloc"] != "", h["netloc"]).otherwise(b["netloc"])
+        path = F.when(h["netloc"] != "", h["path"]).when(same_page, b["path"]).otherwise(path)
+        params = F.when((h["netloc"] == "") & same_page, b["params"]).otherwise(h["params"])
+        query = F.when((h["netloc"] == "") & same_page & (h["query"] == ""), b["query"]).otherwise(h["query"])
+        rooted = F.when((path != "") & ~F.startswith(path, F.lit("/")), F.concat(F.lit("/"), path)).otherwise(path)
+        place = F.when(host != "", F.concat(F.lit("//"), host, rooted)).when((scheme != "") & ((path == "") | F.startswith(path, F.lit("/"))) | F.startswith(path, F.lit("//")), F.concat(F.lit("//"), path)).otherwise(path)
+        whole = F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""), place, optional(";", params), optional("?", query), optional("#", h["fragment"]))
+        return F.when(F.coalesce(x["base"], F.lit("")) == "", x["href"]).when(x["href"] == "", x["base"]).when((scheme != b["scheme"]) | ~scheme.isin(RELATIVE), x["href"]).otherwise(whole)
+
+    bound = F.struct(url_parts(base).alias("b"), url_parts(href).alias("h"), base.alias("base"), href.alias("href"))
+    return F.transform(F.array(bound), made)[0]
 
 
 def is_report_pdf(url: Column, text: Column) -> Column:

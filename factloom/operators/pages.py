@@ -6,24 +6,23 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
-from ..functions import text as T
+from ..functions import markup as M
 from ..functions import urls as U
 
 #: Rules that may be broadcast.
 MAX_RULES = 10_000
-_LINK = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["'][^>]*>(.*?)</a>"""
-
-
-def links(pages: DataFrame, key: str = "page_id") -> DataFrame:
+def links(pages: DataFrame, key: str = "page_id", with_base: bool = False) -> DataFrame:
     """key, page_url, position, url (resolved), text of every link of a page, in page order.
 
-    Regular expressions read the markup: attributes without quotes and nested links are not seen.
+    A tokenizer reads the markup in Arrow batches, the rest is built in. Links are resolved against the page's url; with_base
+    against its base element where it has one.
     """
-    found = F.regexp_extract_all("html", F.lit(_LINK), 0)
-    raw = pages.select(key, F.col("url").alias("page_url"), F.posexplode(found).alias("position", "tag"))
-    href, inner = T.unescaped(F.regexp_extract("tag", _LINK, 1)), F.regexp_extract("tag", _LINK, 2)
-    text = F.trim(F.regexp_replace(T.unescaped(F.regexp_replace(inner, r"<[^>]*>", " ")), r"\s+", " "))
-    return raw.select(key, "page_url", "position", U.joined(F.col("page_url"), href).alias("url"), text.alias("text"))
+    if with_base:
+        read = pages.select(key, F.col("url").alias("page_url"), M.page_links(F.col("html"), True).alias("read"))
+        read = read.select(key, "page_url", U.joined(F.col("page_url"), F.coalesce("read.base", F.lit(""))).alias("_from"), F.posexplode("read.links").alias("position", "link"))
+    else:
+        read = pages.select(key, F.col("url").alias("page_url"), F.posexplode(M.page_links(F.col("html"))).alias("position", "link")).withColumn("_from", F.col("page_url"))
+    return read.select(key, "page_url", "position", U.joined(F.col("_from"), F.col("link.href")).alias("url"), F.col("link.text").alias("text"))
 
 
 def keyword_points(spark: SparkSession, rules=None, negatives=None, penalty: int = V.NEGATIVE_PENALTY) -> DataFrame:
@@ -51,7 +50,7 @@ def level(score: Column) -> Column:
 
 def score_pages(pages: DataFrame, anchor: str | None = None) -> DataFrame:
     """pages with page_title, score, level, tags (sorted, `;`), reasons (rule order, `;`)."""
-    title = T.page_title(F.col("html"))
+    title = M.page_title(F.col("html"))
     words = F.concat_ws(" ", F.coalesce(F.col(anchor), F.lit("")) if anchor else F.lit(""), F.coalesce(title, F.lit("")))
     hit = pages.withColumn("page_title", title).withColumn("_hits", matched_rules(F.col("url"), words))
     score = F.aggregate("_hits", F.lit(0), lambda a, h: a + h["points"])
@@ -68,7 +67,7 @@ def score_by_join(pages: DataFrame, rules: DataFrame) -> DataFrame:
     """page_id, score, n_hits by a broadcast theta join with a rules table, for rules that come as data. The rules are counted: MAX_RULES at most."""
     if rules.count() > MAX_RULES:
         raise ValueError(f"more than {MAX_RULES} rules")
-    hit = pages.join(F.broadcast(rules), F.contains(F.lower("url"), F.lower("keyword")) | F.contains(F.lower(T.page_title(F.col("html"))), F.lower("keyword")))
+    hit = pages.join(F.broadcast(rules), F.contains(F.lower("url"), F.lower("keyword")) | F.contains(F.lower(M.page_title(F.col("html"))), F.lower("keyword")))
     return hit.groupBy("page_id").agg(F.sum("points").alias("score"), F.count("*").alias("n_hits"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
+from .functions import markup as M
 from .functions import text as T
 from .functions import urls as U
 from .operators import checks, chunks, crawl, downloads, extraction, metrics, pages, retrieval, vectors
@@ -130,13 +131,36 @@ def url_predicates(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", U.root_host(url).alias("root_host"), U.is_allowed(url, F.lit("example.com"), none).alias("allowed"), U.is_ir_domain(url).alias("ir_domain"), T.is_valid_html(F.col("html")).alias("valid_html"), U.is_pdf_url(url).alias("is_pdf"))
 
 
-LINKS = r"""WITH raw AS (SELECT page_id, url AS page_url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["''][^"'']*["''][^>]*>.*?</a>')) AS tag, generate_subscripts(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["''][^"'']*["''][^>]*>.*?</a>'), 1) - 1 AS position FROM pages),
-ref AS (SELECT page_id, page_url, position, regexp_extract(tag, '(?is)href\s*=\s*["'']([^"'']*)["'']', 1) AS h, regexp_extract(tag, '(?is)<a\s[^>]*?href\s*=\s*["''][^"'']*["''][^>]*>(.*?)</a>', 1) AS inner_html FROM raw),
-un AS (SELECT page_id, page_url, position, replace(replace(replace(replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS h,
-replace(replace(replace(replace(replace(replace(regexp_replace(inner_html, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&') AS t FROM ref),
-links AS (SELECT page_id, page_url, position::INT AS position, CASE WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN h WHEN starts_with(h, '//') THEN regexp_extract(page_url, '^([A-Za-z][A-Za-z0-9+.\-]*:)', 1) || h
-WHEN starts_with(h, '/') THEN regexp_extract(page_url, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)', 1) || h WHEN h = '' THEN page_url WHEN starts_with(h, '?') THEN regexp_replace(page_url, '[?#].*$', '') || h WHEN starts_with(h, '#') THEN regexp_replace(page_url, '#.*$', '') || h
-ELSE regexp_replace(regexp_replace(page_url, '[?#].*$', ''), '[^/]*$', '') || h END AS url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM un)"""
+# the page without comments, scripts and styles; stretches of text between tags, each stripped; references resolved by RFC 3986, dot segments one by one
+_BARE = r"regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '<!>', 'g'), '(?is)<(script|style)\b.*?</(script|style)\s*>', '<!>', 'g')"
+_REFERENCES = """replace(replace(replace(replace(replace(replace({0}, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')"""
+_STRETCHES = r"array_to_string(list_filter(list_transform(string_split_regex({0}, '<[^>]*>'), lambda t: regexp_replace(" + _REFERENCES.format("t") + r", '^[\s\x{{A0}}]+|[\s\x{{A0}}]+$', '', 'g')), lambda t: t <> ''), ' ')"
+
+
+def resolved(refs: str, *keys: str) -> str:
+    """CTEs from `refs` (keys, base, h) to `urls` (keys, url). One walk over the segments of all paths."""
+    scheme = r"^([A-Za-z][A-Za-z0-9+.\-]*):"
+    part = lambda c, pattern: f"regexp_extract({c}, '{pattern}', 1)"
+    ids = ", ".join(keys)
+    split = ", ".join(f"{part(c, scheme)} AS {k}s, {part(f'{c}_', '^//([^/?#]*)')} AS {k}n, {part(f'{c}_', '^(?://[^/?#]*)?([^?#]*)')} AS {k}p, {part(f'{c}_', '^[^?#]*[?]([^#]*)')} AS {k}q, {part(f'{c}_', '^[^#]*#(.*)')} AS {k}f" for c, k in (("base", "b"), ("h", "h")))
+    return rf"""seen AS (SELECT {ids}, base, h, regexp_replace(base, '{scheme}', '') AS base_, regexp_replace(h, '{scheme}', '') AS h_ FROM {refs}), cut AS (SELECT {ids}, base, h, {split} FROM seen),
+walk AS (SELECT {ids}, CASE WHEN starts_with(hp, '/') THEN string_split(hp, '/') ELSE list_concat([''], list_filter(string_split(regexp_replace(bp, '[^/]*$', ''), '/'), lambda x: x <> ''), list_filter(string_split(regexp_replace(hp, '[^/]*$', ''), '/'), lambda x: x <> ''), [regexp_extract(hp, '[^/]*$')]) END AS todo, 1 AS i, []::VARCHAR[] AS kept FROM cut
+UNION ALL SELECT {ids}, todo, i + 1, CASE todo[i] WHEN '..' THEN kept[:-2] WHEN '.' THEN kept ELSE list_append(kept, todo[i]) END FROM walk WHERE i <= len(todo)),
+flat AS (SELECT {ids}, array_to_string(CASE WHEN list_last(todo) IN ('.', '..') THEN list_append(kept, '') ELSE kept END, '/') AS path FROM walk WHERE i > len(todo)),
+urls AS (SELECT {", ".join("c." + k for k in keys)}, CASE WHEN h = '' THEN base WHEN hs <> '' AND lower(hs) <> lower(bs) THEN h ELSE lower(bs) || '://' || CASE WHEN hn <> '' THEN hn || hp ELSE bn || CASE WHEN hp = '' THEN bp WHEN starts_with(path, '/') THEN path ELSE '/' || path END END
+|| CASE WHEN hq <> '' THEN '?' || hq WHEN hn = '' AND hp = '' AND bq <> '' THEN '?' || bq ELSE '' END || CASE WHEN hf <> '' THEN '#' || hf ELSE '' END END AS url FROM cut c JOIN flat f ON {" AND ".join(f"f.{k} = c.{k}" for k in keys)})"""
+
+
+def page_refs(pages: str) -> str:
+    """CTEs from a table of pages to `links` (page_id, page_url, position, url, text)."""
+    return rf"""bare AS (SELECT page_id, url, {_BARE} AS html FROM {pages}), tags AS (SELECT page_id, url AS base, regexp_extract_all(html, '(?is)<a\s[^>]*href.*?</a\s*>') AS tags FROM bare),
+one AS (SELECT page_id, base, unnest(tags) AS tag, generate_subscripts(tags, 1) - 1 AS position FROM tags),
+h AS (SELECT *, regexp_extract(tag, '(?is)^<a[^>]*?href *= *("[^"]*"|''[^'']*''|[^\s"''>]+)', 1) AS quoted FROM one),
+refs AS (SELECT page_id, base, position, {_REFERENCES.format("CASE WHEN left(quoted, 1) IN ('\"', '''') THEN quoted[2:-2] ELSE quoted END")} AS h, {_STRETCHES.format("regexp_replace(tag, '(?is)^<a[^>]*>|</a[^>]*>$', '', 'g')")} AS text FROM h),
+{resolved("refs", "page_id", "position")}, links AS (SELECT r.page_id, r.base AS page_url, r.position::INT AS position, u.url, r.text FROM refs r JOIN urls u ON u.page_id = r.page_id AND u.position = r.position)"""
+
+
+LINKS = "WITH RECURSIVE " + page_refs("pages")
 
 
 @query(LINKS + " SELECT page_id, position, url, text FROM links")
@@ -153,7 +177,38 @@ def link_expansion(spark, sf_dir):
     return found.groupBy("page_id").agg(F.count("*").alias("n_links"), F.countDistinct("url").alias("n_distinct"), F.count_if(U.is_static_asset(url)).alias("n_assets"), F.count_if(U.expands(url, text, F.lit(0))).alias("n_first"), F.count_if(U.expands(url, text, F.lit(1))).alias("n_deeper"))
 
 
-TITLE = r"trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&'), '\s+', ' ', 'g'))".replace('\\"', '"')
+# references that a page's links might have: with dot segments, without path, with a host of their own
+REFERENCES = ["../{}", "./{}", "/abs/../{}", "d/../{}/", "..", "../..", ".", "?k=1", "#f", "//other.example.org/p/../{}", "https://h.example.com/a/../{}", "mailto:a@b.example", "", "{}//x/./y", "{}/?q#g"]
+
+
+@query(rf"""WITH RECURSIVE refs AS (SELECT page_id, k, rtrim(url, '/') AS base, replace(h, '{{}}', 'n' || page_id) AS h FROM pages, (VALUES {", ".join(f"({i}, '{h}')" for i, h in enumerate(REFERENCES))}) v(k, h)),
+{resolved("refs", "page_id", "k")} SELECT page_id, k, url FROM urls""")
+def resolved_references(spark, sf_dir):
+    """Every page's url with each kind of reference."""
+    kinds = F.array(*(F.struct(F.lit(i).alias("k"), F.lit(h).alias("h")) for i, h in enumerate(REFERENCES)))
+    rows = table(spark, sf_dir, "pages").select("page_id", F.rtrim("url", F.lit("/")).alias("base"), F.explode(kinds).alias("r"))
+    href = F.replace("r.h", F.lit("{}"), F.concat(F.lit("n"), F.col("page_id").cast("string")))
+    return rows.select("page_id", "r.k", U.joined(F.col("base"), href).alias("url"))
+
+
+# the pages' own links as report links, with comments, entities and each kind of quotes
+_REPORT_LINK = """<A class=x HREF = '../annual report/$1-2023.pdf'><!-- <a href="/hidden.pdf">10-k</a> --> <b>10-K</b> &amp;&lt;b&gt; """
+_REPORT_LIST = "<ul><li><a href=/forms/f.pdf>Form</a><li><a href=plain-2018.PDF>Plain<br>2020</a>"
+
+
+@query(rf"""WITH RECURSIVE p AS (SELECT page_id, url, replace(regexp_replace(html, '<a href="/([^"]*)">', '{_REPORT_LINK.replace("'", "''").replace("$1", chr(92) + "1")}', 'g'), '<ul>', '{_REPORT_LIST}') AS html FROM pages), {page_refs("p")},
+l AS (SELECT *, lower(url) AS lu, lower(text) AS lt FROM links),
+y AS (SELECT *, list_sort(list_distinct(list_concat(regexp_extract_all(lt, '\b(19[0-9]{{2}}|20[0-9]{{2}})\b', 1), regexp_extract_all(lu, '\b(19[0-9]{{2}}|20[0-9]{{2}})\b', 1)))) AS y, contains(lt, '10-k') OR contains(lt, '10k') OR contains(lu, '10-k') AS k FROM l WHERE ends_with(lu, '.pdf') AND NOT {any_in('lu', V.NOT_REPORTS)} AND NOT {any_in('lt', V.NOT_REPORTS)}),
+s AS (SELECT *, (10 + CASE WHEN contains(lt, 'annual report') OR contains(lu, 'annual report') THEN 20 WHEN contains(lt, 'annual') OR contains(lu, 'annual') THEN 10 ELSE 0 END + CASE WHEN k THEN 15 ELSE 0 END + coalesce(list_sum(list_transform(y, lambda v: CASE WHEN v::INT >= 2019 THEN 4 ELSE 2 END)), 0))::INT AS score FROM y),
+r AS (SELECT *, count(*) OVER (PARTITION BY page_id) AS n, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, position) AS place FROM s)
+SELECT page_id, n AS pdf_count_on_page, url AS best_pdf_url, score AS best_pdf_score, array_to_string(y, ', ') AS best_pdf_years, CASE WHEN k THEN 'YES' ELSE 'NO' END AS best_pdf_is_10k, text AS best_pdf_anchor FROM r WHERE place = 1""")
+def page_pdf_analysis(spark, sf_dir):
+    """From the markup of whole pages to the best report of each: links, filters, years, scores, the first of the best."""
+    html = F.replace(F.regexp_replace("html", r'<a href="/([^"]*)">', _REPORT_LINK), F.lit("<ul>"), F.lit(_REPORT_LIST))
+    return pages.best_pdfs(pages.links(table(spark, sf_dir, "pages").withColumn("html", html)))
+
+
+TITLE = _STRETCHES.format(f"regexp_extract({_BARE}, '(?is)<title[^>]*>(.*?)</title>', 1)")
 # the driver's pages name no reports, so the rule words here are frequent words of theirs, with the same weights
 DEMO_RULES = [("annual_report", 25, ["the of", "en/", "onth"]), ("10-K", 18, ["tion", "/de/"]), ("sec_filings", 8, ["html", "page="])]
 DEMO_NEGATIVES = ["ref=", "blog.", "ing"]
@@ -165,7 +220,7 @@ RULES_SQL = "(VALUES " + ", ".join(f"({i}, '{t}', '{k}', {w})" for i, (t, k, w)
 s AS (SELECT page_id, page_title, coalesce(sum(points), 0)::INT AS score, coalesce(array_to_string(list_sort(list_distinct(list(tag) FILTER (WHERE tag <> 'NEG'))), ';'), '') AS tags, coalesce(string_agg(tag || '::' || keyword, ';' ORDER BY place), '') AS reasons FROM h GROUP BY ALL)
 SELECT *, CASE WHEN score >= 30 THEN 'HIGH' WHEN score >= 15 THEN 'MEDIUM' WHEN score >= 5 THEN 'LOW' END AS level FROM s""")
 def page_scores(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").select("page_id", "url", T.page_title(F.col("html")).alias("page_title"))
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", M.page_title(F.col("html")).alias("page_title"))
     words = F.concat(F.lit(" "), F.col("page_title"))
     hit = rows.withColumn("h", pages.matched_rules(F.col("url"), words, DEMO_RULES, DEMO_NEGATIVES))
     positive = F.filter("h", lambda r: r["tag"] != "NEG")
