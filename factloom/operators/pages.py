@@ -19,7 +19,8 @@ def links(pages: DataFrame, key: str = "page_id", with_base: bool = False) -> Da
     """
     if with_base:
         read = pages.select(key, F.col("url").alias("page_url"), M.page_links(F.col("html"), True).alias("read"))
-        read = read.select(key, "page_url", U.joined(F.col("page_url"), F.coalesce("read.base", F.lit(""))).alias("_from"), F.posexplode("read.links").alias("position", "link"))
+        read = read.select(key, "page_url", "read.links", U.joined(F.col("page_url"), F.coalesce("read.base", F.lit(""))).alias("_from"))
+        read = read.select(key, "page_url", "_from", F.posexplode("links").alias("position", "link"))
     else:
         read = pages.select(key, F.col("url").alias("page_url"), F.posexplode(M.page_links(F.col("html"))).alias("position", "link")).withColumn("_from", F.col("page_url"))
     return read.select(key, "page_url", "position", U.joined(F.col("_from"), F.col("link.href")).alias("url"), F.col("link.text").alias("text"))
