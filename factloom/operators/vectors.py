@@ -10,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import scratch
+from . import products
+
 #: Queries that may be broadcast; more are processed in blocks of this size.
 BROADCAST_QUERIES = 1000
 
@@ -39,15 +42,6 @@ def hashed_embedding(text: Column, dims: int = 64) -> Column:
     return embed(text)
 
 
-def scored(queries: DataFrame, vectors: DataFrame, digits: int | None = None) -> DataFrame:
-    """Every query against every vector: query_id, the vectors' columns but the vector, score. The queries (query_id, query) are a checked, bounded set."""
-    if queries.count() > BROADCAST_QUERIES:
-        raise ValueError(f"more than {BROADCAST_QUERIES} queries at once; use top_k, which takes them in blocks")
-    out = vectors.crossJoin(F.broadcast(queries)).withColumn("score", dot(F.col("embedding"), F.col("query")))
-    out = out.withColumn("score", F.round("score", digits)) if digits is not None else out
-    return out.drop("embedding", "query")
-
-
 def blocks(rows: DataFrame, key: str = "query_id", most: int | None = None) -> list[DataFrame]:
     """The rows in parts that may be broadcast: one where they are counted and few, else by the hash of a key."""
     n = -(-rows.count() // (most or BROADCAST_QUERIES))
@@ -55,21 +49,22 @@ def blocks(rows: DataFrame, key: str = "query_id", most: int | None = None) -> l
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 50, tie: str = "vec_id", digits: int | None = None) -> DataFrame:
-    """The k best vectors of each query with their rank; equal scores by id. The rank limit runs before the shuffle, so each task sends k rows a query."""
+    """The k best vectors of each query with their rank; equal scores by id. Scores are matrix products over Arrow batches, and each task sends k rows a query to the one shuffle.
+
+    Vectors of other length than the queries, and null ones, are no hits.
+    """
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), tie)
     out = None
-    for part in blocks(queries):
-        crossed = vectors.crossJoin(F.broadcast(part)).withColumn("score", dot(F.col("embedding"), F.col("query")))
-        crossed = (crossed.withColumn("score", F.round("score", digits)) if digits is not None else crossed).drop("embedding", "query")
-        top = crossed.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    for part in blocks(queries, most=max(1, min(BROADCAST_QUERIES, products.KEPT // max(1, k)))):
+        top = products.partial_top_k(part, vectors, k, tie, digits)
         out = top if out is None else out.unionByName(top)
-    return out
+    return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column, want: Column | int, first_k: int = 200, most_k: int = 20_000, tie: str = "vec_id", digits: int | None = None) -> DataFrame:
-    """`adaptive_k` without ranking what it doesn't need: how many vectors are ahead of the entity's best is counted first, and ranks go as deep as the deepest query asks for.
+    """`adaptive_k` without ranking what it doesn't need: the entity's `want` best rows come from its own rows alone, and one pass over all vectors counts what is ahead of each.
 
-    queries: query_id, query and columns that entity and want name.
+    queries: query_id, query and columns that entity and want name. `want` is at most products.KEPT over the queries of a block.
     """
     parts = [_adaptive_top_k(part, vectors, entity, want, first_k, most_k, tie, digits) for part in blocks(queries)]
     out = parts[0]
@@ -79,18 +74,17 @@ def adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column, want:
 
 
 def _adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column, want: Column | int, first_k: int, most_k: int, tie: str, digits: int | None) -> DataFrame:
-    asked = queries.drop("query")
-
-    def placed() -> DataFrame:
-        return scored(queries.select("query_id", "query"), vectors, digits).join(F.broadcast(asked), "query_id").withColumn("_at", F.struct((-F.col("score")).alias("s"), F.col(tie).alias("t")))
-
-    best = placed().where(entity).groupBy("query_id").agg(F.min("_at").alias("_best"))
-    ahead = placed().join(F.broadcast(best), "query_id").groupBy("query_id").agg(F.count_if(F.col("_at") <= F.col("_best")).alias("r"))
-    deepest = ahead.where(F.col("r") <= 2 * most_k).agg(F.max("r")).first()[0] or 1
-    k = first_k
-    while k < deepest:
-        k *= 2
-    return adaptive_k(top_k(queries.select("query_id", "query"), vectors, k, tie, digits).join(F.broadcast(asked), "query_id"), entity, want, first_k, most_k)
+    # the rows of the entities asked for are scored pair by pair; a filter on the vectors alone reaches their scan
+    pairs = vectors.join(F.broadcast(queries), entity).withColumn("score", products.inner(F.col("embedding"), F.col("query"))).drop("embedding", "query")
+    pairs = (pairs.withColumn("score", F.round("score", digits)) if digits is not None else pairs).where("score IS NOT NULL")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), tie))
+    own = scratch.written(pairs.withColumn("place", place).where(F.col("place") <= want), "adaptive")
+    hits = own.select("query_id", "place", "score", tie)
+    if hits.count() > products.KEPT:
+        raise ValueError(f"more than {products.KEPT} hits for a block of queries; ask for fewer")
+    ahead = products.ahead(queries, hits.toArrow(), vectors, tie, digits).groupBy("query_id", "place").agg(F.sum("ahead").alias("ahead"))
+    ranked = own.join(F.broadcast(ahead), ["query_id", "place"]).withColumn("rank", (F.col("ahead") + 1).cast("int")).drop("ahead", "place")
+    return adaptive_k(ranked, F.lit(True), want, first_k, most_k)
 
 
 def adaptive_k(ranked: DataFrame, entity: Column, want: Column | int, first_k: int = 200, most_k: int = 20_000) -> DataFrame:

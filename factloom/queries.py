@@ -355,6 +355,15 @@ def adaptive_k_entity(spark, sf_dir):
     return vectors.adaptive_top_k(asked, v, F.col("label") == 3, 10, 20, 20_000, "vec_id", 9).select("query_id", "vec_id", "rank", "k_used")
 
 
+@query(RANKED + """, m AS (SELECT *, min(rank) OVER (PARTITION BY query_id) AS r1 FROM r WHERE label = (query_id // 20) % 10), k AS (SELECT *, 20 * 2 ** greatest(0, ceil(log2(r1 / 20.0))) AS k FROM m)
+SELECT query_id, vec_id, label, rank::INT AS rank, k::INT AS k_used FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rank) AS n FROM k WHERE rank <= k) WHERE n <= 10 + query_id % 3""")
+def adaptive_k_entities(spark, sf_dir):
+    """Each query asks for an entity of its own, and for a number of its own."""
+    v = table(spark, sf_dir, "embeddings")
+    asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"), F.expr("(vec_id div 20) % 10").alias("asked"), (F.col("vec_id") % 3 + 10).alias("want"))
+    return vectors.adaptive_top_k(asked, v, F.col("label") == F.col("asked"), F.col("want"), 20, 20_000, "vec_id", 9).select("query_id", "vec_id", "label", "rank", "k_used")
+
+
 HITS = RANKED + """, h AS (SELECT query_id AS target, vec_id // 10 AS stem, vec_id % 10 AS chunk_id, label AS bank, vec_id, score, rank FROM r WHERE rank <= 60)"""
 
 
