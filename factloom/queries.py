@@ -6,6 +6,8 @@ financial reports, so patterns that need them are also tested on literal cases i
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from . import fixed_values as V
 from .functions import markup as M
 from .functions import text as T
 from .functions import urls as U
-from .operators import checks, chunks, crawl, downloads, extraction, metrics, pages, retrieval, vectors
+from .operators import checks, chunks, crawl, downloads, extraction, metrics, pages, retrieval, vector_index, vectors
+from .sources import scratch
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -364,6 +367,17 @@ def adaptive_k_entities(spark, sf_dir):
     return vectors.adaptive_top_k(asked, v, F.col("label") == F.col("asked"), F.col("want"), 20, 20_000, "vec_id", 9).select("query_id", "vec_id", "label", "rank", "k_used")
 
 
+@query(RANKED + " SELECT query_id, vec_id, label, rank::INT AS rank, round(score, 6) AS score FROM r WHERE rank <= 10")
+def indexed_top_k(spark, sf_dir):
+    """An index of the vectors, built in two batches, searched for every query; cells that can't hold a hit are not read."""
+    v = table(spark, sf_dir, "embeddings")
+    at = f"{scratch.shared_dir(spark)}/index-{uuid.uuid4().hex}"
+    vector_index.build(v.where("vec_id % 3 <> 0"), at, 24)
+    vector_index.append(v.where("vec_id % 3 = 0"), at)
+    asked = v.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    return vector_index.search(asked, at, 10, "vec_id", 9).select("query_id", "vec_id", "label", "rank", F.round("score", 6).alias("score"))
+
+
 HITS = RANKED + """, h AS (SELECT query_id AS target, vec_id // 10 AS stem, vec_id % 10 AS chunk_id, label AS bank, vec_id, score, rank FROM r WHERE rank <= 60)"""
 
 
