@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from .. import fixed_values as V
 from ..functions import markup as M
 from ..functions import urls as U
+from . import keywords as K
 
-#: Rules that may be broadcast.
-MAX_RULES = 10_000
 def links(pages: DataFrame, key: str = "page_id", with_base: bool = False) -> DataFrame:
     """key, page_url, position, url (resolved), text of every link of a page, in page order.
 
@@ -64,12 +63,13 @@ def score_pages(pages: DataFrame, anchor: str | None = None) -> DataFrame:
     )
 
 
-def score_by_join(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """page_id, score, n_hits by a broadcast theta join with a rules table, for rules that come as data. The rules are counted: MAX_RULES at most."""
-    if rules.count() > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    hit = pages.join(F.broadcast(rules), F.contains(F.lower("url"), F.lower("keyword")) | F.contains(F.lower(M.page_title(F.col("html"))), F.lower("keyword")))
-    return hit.groupBy("page_id").agg(F.sum("points").alias("score"), F.count("*").alias("n_hits"))
+def score_by_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """page_id, score, n_hits, tags (sorted, `;`), reasons (rule order, `;`) of the pages that any rule (place, tag, keyword, points) fits, for rules that come as data, however many."""
+    hit = K.matched_rules(pages, rules, "page_id", F.col("url"), M.page_title(F.col("html")))
+    one = hit.select("page_id", F.explode("hits").alias("h")).select("page_id", "h.*")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("place", F.concat_ws("::", "tag", "keyword").alias("reason")))), lambda r: r["reason"])
+    tags = F.array_sort(F.collect_set(F.when(F.col("tag") != "NEG", F.col("tag"))))
+    return one.groupBy("page_id").agg(F.sum("points").alias("score"), F.count("*").alias("n_hits"), F.array_join(tags, ";").alias("tags"), F.array_join(ordered, ";").alias("reasons"))
 
 
 def pdf_links(found: DataFrame) -> DataFrame:

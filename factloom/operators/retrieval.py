@@ -11,10 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions import text as T
-from .vectors import blocks
 
-#: Entities that may be broadcast.
-BROADCAST_ENTITIES = 50_000
 KEY = ["bank", "stem", "chunk_id"]
 
 
@@ -31,13 +28,35 @@ def same_entity(a: Column, b: Column, bare: bool = False, least: int = 8) -> Col
     )
 
 
-def entity_pairs(left: DataFrame, right: DataFrame, a: str, b: str, bare: bool = False) -> DataFrame:
-    """A theta join of two lists of entities; the right one is counted and broadcast in parts."""
-    out = None
-    for part in blocks(right, b, BROADCAST_ENTITIES):
-        found = left.join(F.broadcast(part), same_entity(F.col(a), F.col(b), bare))
-        out = found if out is None else out.unionByName(found)
-    return out
+def entity_pairs(left: DataFrame, right: DataFrame, a: str, b: str, bare: bool = False, least: int = 8) -> DataFrame:
+    """All rows of two lists whose names are the same entity by `same_entity`, found by equality joins alone: names are compared only if they share what they must share."""
+    x = left.select(entity_key(F.col(a), bare).alias("x")).where("x <> ''").distinct()
+    y = right.select(entity_key(F.col(b), bare).alias("y")).where("y <> ''").distinct()
+    same = contained(x, y, "x", "y", least).union(contained(y, x, "y", "x", least).select("x", "y")).distinct()
+    own = left.withColumn("_x", entity_key(F.col(a), bare)).join(same, F.col("_x") == F.col("x")).drop("_x", "x")
+    return own.join(right.withColumn("_y", entity_key(F.col(b), bare)), F.col("y") == F.col("_y")).drop("_y", "y")
+
+
+def grams(text: Column, q: int) -> Column:
+    """The distinct stretches of q characters."""
+    return F.when(F.length(text) >= q, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - q + 1), lambda i: F.substring(text, i, F.lit(q))))).otherwise(F.array().cast("array<string>"))
+
+
+def contained(needles: DataFrame, hays: DataFrame, n: str, h: str, least: int = 8) -> DataFrame:
+    """(n, h): a needle starts a hay, or stands in it if it has `least` characters. Both are distinct.
+
+    A short needle equals one of the hay's first stretches. A longer one must share each of its stretches of `least`
+    characters; an index of all hays' stretches is asked for the one that fewest hays have, and only those are compared.
+    """
+    short, long = needles.where(F.length(n) < least), needles.where(F.length(n) >= least)
+    starts = F.transform(F.sequence(F.lit(1), F.least(F.length(h), F.lit(least - 1))), lambda i: F.left(F.col(h), i))
+    found = short.join(hays.select(h, F.explode(starts).alias("_start")), F.col(n) == F.col("_start")).select(n, h)
+    index = hays.select(h, F.explode(grams(F.col(h), least)).alias("_gram"))
+    often = index.groupBy("_gram").agg(F.count("*").alias("_hays"))
+    own = long.select(n, F.explode(grams(F.col(n), least)).alias("_gram")).join(often, "_gram", "left")
+    # a needle with a stretch that no hay has is in none
+    rare = own.groupBy(n).agg(F.min_by("_gram", F.struct("_hays", "_gram")).alias("_gram"), F.count_if(F.col("_hays").isNull()).alias("_none")).where("_none = 0").drop("_none")
+    return found.union(rare.join(index, "_gram").where(F.contains(F.col(h), F.col(n))).select(n, h))
 
 
 def canonical(asked: DataFrame, known: DataFrame) -> DataFrame:

@@ -236,7 +236,19 @@ def page_scores(spark, sf_dir):
 
 @query(f"""WITH p AS (SELECT page_id, url, {TITLE} AS t FROM pages) SELECT page_id, sum(points)::BIGINT AS score, count(*) AS n_hits FROM p JOIN {RULES_SQL} ON contains(lower(url), keyword) OR contains(lower(t), keyword) GROUP BY page_id""")
 def rule_keyword_join(spark, sf_dir):
-    return pages.score_by_join(table(spark, sf_dir, "pages"), pages.keyword_points(spark, DEMO_RULES, DEMO_NEGATIVES))
+    return pages.score_by_rules(table(spark, sf_dir, "pages"), pages.keyword_points(spark, DEMO_RULES, DEMO_NEGATIVES)).select("page_id", "score", "n_hits")
+
+
+@query(f"""WITH w AS (SELECT DISTINCT unnest(string_split(lower(text), ' ')) AS keyword FROM benchmark), r AS (SELECT keyword, row_number() OVER (ORDER BY keyword)::INT AS place FROM w WHERE length(keyword) > 3),
+p AS (SELECT page_id, url, {TITLE} AS t FROM pages), h AS (SELECT page_id, place, keyword, place % 7 - 2 AS points, CASE WHEN place % 7 < 2 THEN 'NEG' ELSE 'kind' || place % 7 END AS tag FROM p JOIN r ON contains(lower(url), keyword) OR contains(lower(t), keyword))
+SELECT page_id, sum(points)::BIGINT AS score, count(*) AS n_hits, coalesce(array_to_string(list_sort(list_distinct(list(tag) FILTER (WHERE tag <> 'NEG'))), ';'), '') AS tags, string_agg(tag || '::' || keyword, ';' ORDER BY place) AS reasons FROM h GROUP BY page_id""")
+def rules_from_a_table(spark, sf_dir):
+    """Thousands of rules that come as data: every longer word of the benchmark is one."""
+    words = table(spark, sf_dir, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("keyword")).distinct().where("length(keyword) > 3")
+    words = chunks.numbered(words, ["keyword"]).withColumn("place", (F.col("global_id") + 1).cast("int"))
+    kind = F.col("place") % 7
+    rules = words.select("place", F.when(kind < 2, "NEG").otherwise(F.concat(F.lit("kind"), kind.cast("string"))).alias("tag"), "keyword", (kind - 2).alias("points"))
+    return pages.score_by_rules(table(spark, sf_dir, "pages"), rules)
 
 
 # report links made of the part table: a name as text, a year and a kind in the url
