@@ -8,10 +8,13 @@ cut into runs of equal row counts. Neighbouring cells lie in the same shard, so
 reader with predicates on several of the dimensions skips whole shards and row groups.
 
 Equal texts are a group: they take the cell of the least of them and go to one shard.
-Groups go to the shard in which they begin; the other rows fill the shards up in
-their order, so the counts differ by one at most. A group with more than
-1 / GROUP_SHARE of a shard's rows is no group but rows like others, for no law could hold
-with it; and where groups alone would overfill a shard, all are cut like other rows.
+Large groups (more than 1 / GROUP_SHARE of a shard's rows, so their number is bounded)
+come first, the largest first: each goes whole to the shard with room for it that is
+nearest to its place on the curve. Only a group that no shard has room for is cut, as
+rows like others. Other groups go to the shard in which they begin; the other rows fill
+the shards up in their order, so the counts differ by one at most. Where groups alone
+would overfill a shard, all but the large ones are cut along the order, so that one
+group at each cut is split, which the law asks for.
 
 The rows themselves never pass a single task: counts of (cell, salt) buckets give
 each bucket its place in the order, and a row's rank is that place plus its number
@@ -30,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 BITS = 5
 DIMS = 3
@@ -103,16 +106,28 @@ def shard(docs: DataFrame, n_shards: int = 8, bits: int = BITS, bucket_rows: int
     rows = written(rows, "rows")
     total = rows.count()
     cell = [f"q{i}" for i in range(DIMS)]
+    quota = [-(-(k + 1) * total // n_shards) - -(-k * total // n_shards) for k in range(n_shards)]
+    first = rows
     rows = quantised(rows, total, bits).drop("lang", "source")
-    # a bound on groups that are kept whole, and the cell of each
+    groups = written(rows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct(*cell)).alias("cell")).where("n > 1"), "groups")
     most = max(1, total // n_shards // GROUP_SHARE)
-    groups = rows.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct(*cell)).alias("cell")).where(f"n between 2 and {most}")
-    rows = rows.join(written(groups, "groups").select("h1", "h2", "cell"), ["h1", "h2"], "left")
+    placed, room = _large(rows, groups.where(F.col("n") > most), quota, cell, bits)
+    large = None
+    if placed:
+        own = F.broadcast(docs.sparkSession.createDataFrame(placed, "h1 long, h2 long, shard int, base long, a0 int, a1 int, a2 int"))
+        large = _whole(rows.join(own, ["h1", "h2"]), max(LEAST_SALTS, -(-total // bucket_rows)), cell, bits)
+        rows = rows.join(own.select("h1", "h2"), ["h1", "h2"], "left_anti")
+        groups = groups.join(own.select("h1", "h2"), ["h1", "h2"], "left_anti")
+    total = sum(room)
+    # a group that is too large for any shard is cut like other rows
+    groups = groups.where(F.col("n") <= most)
+    rows = rows.join(groups.select("h1", "h2", "cell"), ["h1", "h2"], "left")
     grouped = F.col("cell").isNotNull()
     salts = max(LEAST_SALTS, -(-total // bucket_rows))
     salt = F.pmod(F.when(grouped, F.xxhash64("h1")).otherwise(F.xxhash64("doc_id", "h1")), F.lit(salts)).cast("int")
     rows = rows.select("doc_id", "size", "text_crc32", "h1", "h2", *(F.coalesce(F.col("cell")[c], F.col(c)).alias(f"at{i}") for i, c in enumerate(cell)), *cell, grouped.alias("grouped"), salt.alias("salt"))
     rows = written(rows, "cells")
+    discard(first)
     at = [f"at{i}" for i in range(DIMS)]
 
     @F.pandas_udf("long")
@@ -136,13 +151,54 @@ def shard(docs: DataFrame, n_shards: int = 8, bits: int = BITS, bucket_rows: int
         # singles and members that come before the row, and before its group
         (F.col("s") + F.when(F.col("grouped"), F.col("singles")).otherwise(F.col("own"))).alias("s"), (F.col("m") + F.when(F.col("grouped"), F.col("own")).otherwise(0)).alias("m"), (F.col("m") + F.col("first")).alias("first"),
     )
-    ranked = written(ranked.withColumn("begins", F.expr(f"((s + first) * {n_shards}L) div {max(1, total)}").cast("int")), "ranks")
-    return _cut(ranked, total, n_shards, cell)
+    ranked = written(ranked.withColumn("begins", _place(F.col("s") + F.col("first"), [sum(room[:k]) for k in range(n_shards)])), "ranks")
+    discard(rows)
+    others = _cut(ranked, room, cell)
+    return others if large is None else others.unionByName(large)
+
+
+def _large(rows: DataFrame, groups: DataFrame, quota: list[int], cell: list[str], bits: int) -> tuple[list[tuple], list[int]]:
+    """(h1, h2, shard, first slot, cell) of each large group that a shard has room for, and the rows that are left to each shard. The groups and the cells are few by their bounds."""
+    found = sorted(groups.collect(), key=lambda g: (-g.n, g.h1, g.h2))
+    room = list(quota)
+    if not found:
+        return [], room
+    cells = [(tuple(r[c] for c in cell), r.n) for r in rows.groupBy(*cell).agg(F.count("*").alias("n")).collect()]
+    at = hilbert_index(list(np.array([c for c, _ in cells]).T), bits)
+    before, wanted = 0, {}
+    for i in np.argsort(at, kind="stable").tolist():
+        wanted[cells[i][0]] = before
+        before += cells[i][1]
+    starts, out = np.cumsum([0, *quota])[:-1], []
+    for g in found:
+        here = int(np.searchsorted(starts, wanted[tuple(g.cell)], side="right")) - 1
+        fits = [k for k in range(len(room)) if room[k] >= g.n]
+        if fits:
+            k = min(fits, key=lambda k: (abs(k - here), k))
+            room[k] -= g.n
+            out.append((g.h1, g.h2, k, room[k], *g.cell))
+    return out, room
+
+
+def _whole(rows: DataFrame, salts: int, cell: list[str], bits: int) -> DataFrame:
+    """The rows of large groups with their slots, from the first one of their group on: a group is numbered in salted parts."""
+    salt = F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(salts)).cast("int")
+    rows = written(rows.withColumn("salt", salt), "large")
+    upto = Window.partitionBy("h1", "h2").orderBy("salt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = rows.groupBy("h1", "h2", "salt").agg(F.count("*").alias("n")).withColumn("earlier", F.sum("n").over(upto) - F.col("n"))
+    own = F.row_number().over(Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "size")) - 1
 
+    @F.pandas_udf("long")
+    def index(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        return pd.Series(hilbert_index([a.to_numpy(), b.to_numpy(), c.to_numpy()], bits))
 
-def _cut(ranked: DataFrame, total: int, n_shards: int, cell: list[str]) -> DataFrame:
-    """The shards: a few numbers of each shard decide."""
-    quota = [-(-(k + 1) * total // n_shards) - -(-k * total // n_shards) for k in range(n_shards)]
+    ranked = rows.withColumn("own", own).join(counts.drop("n"), ["h1", "h2", "salt"]).withColumn("slot", (F.col("base") + F.col("earlier") + F.col("own")).cast("long"))
+    return ranked.withColumn("hilbert", index("a0", "a1", "a2")).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "hilbert", *cell)
+
+
+def _cut(ranked: DataFrame, quota: list[int], cell: list[str]) -> DataFrame:
+    """The shards, with so many rows each: a few numbers of each shard decide."""
+    n_shards = len(quota)
     held = {r.begins: r.n for r in ranked.where("grouped").groupBy("begins").agg(F.count("*").alias("n")).collect()}
     members = [held.get(k, 0) for k in range(n_shards)]
     out = ["doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "hilbert", *cell]
