@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
 import tempfile
 import uuid
 
@@ -127,6 +128,63 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((total[end] - total[start]) * inverse_powers(len(data))[start] + (end - start).astype(np.uint64))
 
 
+_digests: dict[bytes, bytes] = {}
+
+
+def word_digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Two 64-bit numbers for each word, its 128-bit BLAKE2b digest, so that different words differ whatever their bytes are.
+
+    A polynomial hash groups the words; each is compared byte by byte with its group's first, which alone is digested.
+    """
+    if not len(start):
+        return np.zeros((0, 2), np.uint64)
+    _, first, of = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
+    like, size = first[of], end - start
+    others = np.flatnonzero((like != np.arange(len(start))) & (size == size[like]))
+    n = size[others]
+    to = np.cumsum(n) - n
+    at = np.repeat(start[others] - to, n) + np.arange(int(n.sum()))
+    wrong = np.flatnonzero(data[at] != data[at + np.repeat(start[like[others]] - start[others], n)])
+    odd = np.union1d(others[np.unique(np.searchsorted(to, wrong, side="right") - 1)], np.flatnonzero(size != size[like]))
+    if len(_digests) > 400_000:
+        _digests.clear()
+
+    def digest(i: int) -> bytes:
+        word = data[start[i] : end[i]].tobytes()
+        got = _digests.get(word)
+        if got is None:
+            got = hashlib.blake2b(word, digest_size=16).digest()
+            if len(word) <= 64:
+                _digests[word] = got
+        return got
+
+    out = np.frombuffer(b"".join(map(digest, first.tolist())), np.uint64).reshape(-1, 2)[of]
+    for i in odd.tolist():
+        out[i] = np.frombuffer(digest(i), np.uint64)
+    return out
+
+
+def secret_factors(secret: bytes, k: int) -> np.ndarray:
+    """2 * k odd 64-bit factors for `keyed_shingles`."""
+    raw = b"".join(hashlib.blake2b(secret, digest_size=16, salt=i.to_bytes(8, "little")).digest() for i in range(k))
+    return np.frombuffer(raw, np.uint64).reshape(k, 2) | np.uint64(1)
+
+
+def keyed_shingles(digests: np.ndarray, at: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """The shingles of `shingle_hashes` as sums of their words' digests times factors drawn for one job: nobody can choose words whose shingles agree in it."""
+    k, n = len(factors), np.diff(at)
+    size = np.where(n >= k, n - k + 1, np.minimum(n, 1))
+    to = np.concatenate(([0], np.cumsum(size)))
+    origin = np.repeat(at[:-1] - to[:-1], size) + np.arange(to[-1])
+    length = np.repeat(np.minimum(n, k), size)
+    out, short = length.astype(np.uint64), bool((length < k).any())
+    for i in range(k):
+        place = np.minimum(origin + i, len(digests) - 1) if short else origin + i
+        grown = out + digests[place, 0] * factors[i, 0] + digests[place, 1] * factors[i, 1]
+        out = np.where(i < length, grown, out) if short else grown
+    return mix(out)
+
+
 def shingle_hashes(words: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the k-word shingles of each text and their n + 1 offsets; a text of 1 to k - 1 words has one shingle, the whole sequence."""
     n = np.diff(at)

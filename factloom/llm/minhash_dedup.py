@@ -23,6 +23,10 @@ A pair of Jaccard similarity J differs in a share 1 - J of its symbols on averag
 0.8, 12.8 of 64 (standard deviation 3.2), so DISTANCE = 26 leaves less than one pair
 in 10,000 at the very threshold, and fewer above.
 
+Full sets are held as 64-bit sums over 128-bit digests of the words with factors that are drawn anew for each job, so
+no choice of words makes different shingles one, and two of a text's or a pair's agree by chance once in 2**64.
+Signatures, which only choose candidates, don't depend on the draw.
+
 Defined results: no words (null, empty, white space): set size 0, a component of its
 own, kept; a null doc_id: linked with nothing, component null, kept; rows of one
 doc_id are one node; an empty table gives no rows; further columns are ignored.
@@ -31,6 +35,7 @@ doc_id are one node; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -76,6 +81,12 @@ def signatures(shingles: np.ndarray, to: np.ndarray) -> np.ndarray:
     return out
 
 
+def shingle_places(at: np.ndarray, k: int) -> np.ndarray:
+    """n + 1 offsets of the texts' shingles."""
+    n = np.diff(at)
+    return np.concatenate(([0], np.cumsum(np.where(n >= k, n - k + 1, np.minimum(n, 1)))))
+
+
 def distinct_sizes(shingles: np.ndarray, to: np.ndarray) -> list[int]:
     return [len(np.unique(shingles[a:b])) for a, b in zip(to[:-1].tolist(), to[1:].tolist(), strict=True)]
 
@@ -83,8 +94,9 @@ def distinct_sizes(shingles: np.ndarray, to: np.ndarray) -> list[int]:
 SIGNED = "doc_id long, text_key binary, n_shingles long, signature array<long>"
 
 
-def sign(docs: DataFrame, k: int) -> DataFrame:
-    """A row of SIGNED for each document; key and signature are null without words."""
+def sign(docs: DataFrame, k: int, secret: bytes) -> DataFrame:
+    """A row of SIGNED for each document; key and signature are null without words. Sizes are those of the keyed sets."""
+    factors = common.secret_factors(secret, k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,15 +106,16 @@ def sign(docs: DataFrame, k: int) -> DataFrame:
                 data, offsets = common.text_buffer(texts)
                 data = common.LOWER[data]
                 start, end, at = common.word_spans(data, offsets)
-                shingles, to = common.shingle_hashes(common.word_hashes(data, start, end), at, k)
+                words = common.word_digests(data, start, end)
+                shingles, to = common.shingle_hashes(words[:, 0], at, k)
                 some = np.flatnonzero(np.diff(to))
                 rows = [None] * len(texts)
                 if len(some):
                     for i, s in zip(some.tolist(), signatures(shingles, np.append(to[some], to[-1])), strict=True):
                         rows[i] = s
-                keys = [None if s is None else hashlib.md5(b" ".join(data[a:b].tobytes().split())).digest() for s, a, b in zip(rows, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                keys = [None if s is None else hashlib.blake2b(b" ".join(data[a:b].tobytes().split()), digest_size=16).digest() for s, a, b in zip(rows, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(keys, pa.binary()), pa.array(distinct_sizes(shingles, to), pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
+                    [batch.column("doc_id").slice(lo, hi - lo), pa.array(keys, pa.binary()), pa.array(distinct_sizes(common.keyed_shingles(words, at, factors), to), pa.int64()), pa.array(rows, pa.list_(pa.int64()))],
                     ["doc_id", "text_key", "n_shingles", "signature"],
                 )
         common.release()
@@ -144,11 +157,12 @@ def near(a: str, b: str, percent: int, distance: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (hamming(f"{a}.signature", f"{b}.signature") <= distance)
 
 
-def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: int = HUB_ROWS, keep_sets: bool = False) -> DataFrame:
+def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, secret: bytes, hub_rows: int = HUB_ROWS, keep_sets: bool = False) -> DataFrame:
     """The pairs (x, hub) with `linked`, that is 100 * intersection >= percent * union of the full sets; `bits`: which shingles of the hub x has; `others`: the hashes of those it has besides.
 
     Texts meet their hub's in sorted runs and pass one at a time; a hub with many pairs is dealt to as many runs as needed.
     """
+    factors = common.secret_factors(secret, k)
     load = pairs.groupBy("hub").agg(F.count("*").alias("load"))
     dealt = pairs.join(load, "hub").select("hub", "x", F.pmod(F.xxhash64("x"), F.ceil(F.col("load") / hub_rows)).alias("run"))
     asked = dealt.select(F.col("x").alias("doc_id"), "hub", "run").union(dealt.select(F.col("hub").alias("doc_id"), "hub", "run").distinct())
@@ -166,7 +180,7 @@ def verify(pairs: DataFrame, docs: DataFrame, k: int, percent: int, hub_rows: in
                 data, offsets = common.text_buffer(part.column("text"))
                 data = common.LOWER[data]
                 start, end, at = common.word_spans(data, offsets)
-                shingles, to = common.shingle_hashes(common.word_hashes(data, start, end), at, k)
+                shingles, to = common.keyed_shingles(common.word_digests(data, start, end), at, factors), shingle_places(at, k)
                 for i, (x, hub, r) in enumerate(zip(*(part.column(c).to_pylist() for c in ("doc_id", "hub", "run")), strict=True)):
                     mine = np.unique(shingles[to[i] : to[i + 1]])
                     if x == hub:
@@ -311,7 +325,8 @@ def compared(groups: DataFrame, key: str, attach, extra: list[str], solve, block
 
 def link(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANCE, block: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
     """(signed documents, text_key and component of the texts); a node is the smallest doc_id of a word sequence."""
-    signed = common.cut(sign(docs, k))
+    secret = os.urandom(16)
+    signed = common.cut(sign(docs, k, secret))
     texts = signed.where("text_key is not null and doc_id is not null")
     nodes = common.cut(texts.groupBy("text_key").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")))
     keyed = nodes.select("node", F.posexplode(index_keys(distance)).alias("place", "key"))
@@ -321,7 +336,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANC
     x, h = signs.alias("x"), signs.alias("h")
     stars = members.where("node <> hub").select("node", "hub").distinct()
     stars = stars.join(x, stars.node == F.col("x.node")).join(h, stars.hub == F.col("h.node")).where(near("x", "h", percent, distance)).select(stars.node.alias("x"), stars.hub.alias("hub"))
-    verified = common.cut(verify(common.cut(stars), docs, k, percent, keep_sets=True))
+    verified = common.cut(verify(common.cut(stars), docs, k, percent, secret, keep_sets=True))
 
     def placed(rows: DataFrame, found: DataFrame) -> DataFrame:
         return rows.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -342,7 +357,7 @@ def link(docs: DataFrame, k: int = 5, percent: int = 80, distance: int = DISTANC
     far = compared(rest, "key", lambda rows: rows.join(signs, "node").join(lists, "node", "left"), ["hubs", "place"], lambda a, b: far_pairs(a, b, percent, distance), block)
     far = common.cut(far.select(F.col("u").alias("hub"), F.col("v").alias("x")))
     if not far.isEmpty():
-        found = components(edges.union(verify(far, docs, k, percent).where("linked").select(F.col("x").alias("u"), F.col("hub").alias("v"))))
+        found = components(edges.union(verify(far, docs, k, percent, secret).where("linked").select(F.col("x").alias("u"), F.col("hub").alias("v"))))
     return signed, placed(nodes.select("text_key", "node"), found).select("text_key", "component")
 
 
