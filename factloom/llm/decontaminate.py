@@ -7,7 +7,8 @@ RADIUS bits has, by the pigeonhole principle, at least one block with no more er
 than the block's allowance. The items' blocks are indexed with up to ITEM_ERRORS of
 them, a window's block is looked up with the others, so every pair within the radius
 is found; of unrelated fingerprints one in 30 is a candidate. Candidates are then verified
-by the exact weighted Jaccard similarity of the shingles.
+by the exact weighted Jaccard similarity of the shingles, which are told apart by keyed
+sums of their words' digests (`common.keyed_shingles`), not by what fingerprints are made of.
 
 At similarity 0.8 bits differ with a probability of 0.15, 18.2 of 120 on average with a
 standard deviation of 3.9, so RADIUS = 29 misses about two windows in 1000 at the very
@@ -27,6 +28,7 @@ similar counts, of equals the first; an empty table on either side gives no rows
 
 from __future__ import annotations
 
+import os
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import combinations
@@ -100,8 +102,9 @@ class Keys:
 class Index:
     """Items by their number of shingles, with a multi-index for each such class."""
 
-    def __init__(self, items: list[tuple[int, str | None]], radius: int = RADIUS, similarity: float = SIMILARITY):
-        self.radius, self.similarity = radius, similarity
+    def __init__(self, items: list[tuple[int, str | None]], radius: int = RADIUS, similarity: float = SIMILARITY, secret: bytes = b""):
+        """secret: what the shingles' keys are made of, which the texts' must be, too."""
+        self.radius, self.similarity, self.factors = radius, similarity, common.secret_factors(secret, SHINGLE)
         data, offsets = common.text_buffer(pa.array([t for _, t in items], pa.large_string()))
         self.classes: dict[int, dict] = {}
         vocabulary, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -109,14 +112,16 @@ class Index:
         if len(data):
             data = common.LOWER[data]
             start, end, at = common.word_spans(data, offsets)
-            shingles, to = common.shingle_hashes(common.word_hashes(data, start, end), at, SHINGLE)
+            words = common.word_digests(data, start, end)
+            plain, to = common.shingle_hashes(words[:, 0], at, SHINGLE)
+            shingles = common.keyed_shingles(words, at, self.factors)
             for k, (item, _) in enumerate(items):
                 own = shingles[to[k] : to[k + 1]]
                 if len(own):
-                    by_size[len(own), int(at[k + 1] - at[k])].append((item, own))
+                    by_size[len(own), int(at[k + 1] - at[k])].append((item, own, plain[to[k] : to[k + 1]]))
         self.shapes = list(by_size)
         for c, members in enumerate(by_size.values()):
-            vocabulary.append(np.unique(np.concatenate([own for _, own in members])))
+            vocabulary.append(np.unique(np.concatenate([own for _, own, _ in members])))
             sizes.append(np.full(len(vocabulary[-1]), c))
         self.vocabulary, of = np.unique(np.concatenate(vocabulary), return_inverse=True)
         # the classes of each shingle of the vocabulary
@@ -129,7 +134,7 @@ class Index:
         own = [min(ITEM_ERRORS, a) for a in allowed]
         self.asked = [flips(a - e) if a >= 0 else np.zeros(0, np.uint32) for a, e in zip(allowed, own, strict=True)]
         for (size, words), members in by_size.items():
-            prints = np.concatenate([pack(projections(shingles).sum(axis=0)[None]) for _, shingles in members])
+            prints = np.concatenate([pack(projections(plain).sum(axis=0)[None]) for *_, plain in members])
             self.classes[size, words] = {"members": members, "prints": prints, "blocks": [Keys(prints[:, b], max(0, e)) for b, e in enumerate(own)]}
 
     def places(self, shingles: np.ndarray) -> np.ndarray:
@@ -164,8 +169,8 @@ class Index:
         near = distance <= self.radius
         return window[near], member[near], distance[near]
 
-    def hits(self, shingles: np.ndarray, places: np.ndarray, n_words: int) -> list[tuple]:
-        """(item, start, words, similarity, distance) of a document's best window for each item that it holds."""
+    def hits(self, shingles: np.ndarray, plain: np.ndarray, places: np.ndarray, n_words: int) -> list[tuple]:
+        """plain: the shingles' hashes that fingerprints are made of. (item, start, words, similarity, distance) of a document's best window for each item that it holds."""
         n, sums, out = len(shingles), None, []
         for c, position in self.shared(places):
             size, words = self.shapes[c]
@@ -177,7 +182,7 @@ class Index:
             if not len(starts):
                 continue
             if sums is None:
-                sums = np.concatenate((np.zeros((1, BITS), np.int32), np.cumsum(projections(shingles), axis=0, dtype=np.int32)))
+                sums = np.concatenate((np.zeros((1, BITS), np.int32), np.cumsum(projections(plain), axis=0, dtype=np.int32)))
             prints = [pack(sums[some + width] - sums[some]) for some in np.array_split(starts, -(-len(starts) // 4096))]
             window, member, distance = self.candidates(group, np.concatenate(prints))
             best: dict[int, tuple] = {}
@@ -205,10 +210,12 @@ def document_hits(column, index: Index) -> list[tuple[int, tuple]]:
             continue
         data = common.LOWER[data]
         start, end, at = common.word_spans(data, offsets)
-        shingles, to = common.shingle_hashes(common.word_hashes(data, start, end), at, SHINGLE)
+        words = common.word_digests(data, start, end)
+        plain, to = common.shingle_hashes(words[:, 0], at, SHINGLE)
+        shingles = common.keyed_shingles(words, at, index.factors)
         places = index.places(shingles)
         for k in np.unique(np.searchsorted(to, np.flatnonzero(places >= 0), side="right") - 1).tolist():
-            out += [(a + k, h) for h in index.hits(shingles[to[k] : to[k + 1]], places[to[k] : to[k + 1]], int(at[k + 1] - at[k]))]
+            out += [(a + k, h) for h in index.hits(shingles[to[k] : to[k + 1]], plain[to[k] : to[k + 1]], places[to[k] : to[k + 1]], int(at[k + 1] - at[k]))]
     return out
 
 
@@ -224,12 +231,12 @@ def item_blocks(benchmark: DataFrame, index_bytes: int = INDEX_BYTES) -> Iterato
 
 def find(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """A row of HITS for each document and item that the document holds."""
-    out = None
+    out, secret = None, os.urandom(16)
     for items in item_blocks(benchmark, index_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, radius, similarity)
+            index = Index(shared.value, radius, similarity, secret)
             for b in batches:
                 hits = document_hits(b.column("text"), index)
                 ids = b.column("doc_id").take(pa.array([r for r, _ in hits], pa.int64()))
@@ -243,11 +250,12 @@ def find(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity
 
 def clean(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The documents, with all their columns, that hold no item. Filters in place: nothing is shuffled."""
+    secret = os.urandom(16)
     for items in item_blocks(benchmark, index_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = Index(shared.value, radius, similarity)
+            index = Index(shared.value, radius, similarity, secret)
             for b in batches:
                 bad = {r for r, _ in document_hits(b.column("text"), index)}
                 yield b.filter(pa.array([k not in bad for k in range(b.num_rows)], pa.bool_())) if bad else b
