@@ -2,7 +2,7 @@
 
 Documents are tokenised, ended by an end id, and cut into pieces of at most the
 sequence length (only documents longer than a sequence are cut: full pieces and a
-rest). Pieces are dealt at random into groups of about GROUP_DOCS documents. Each
+rest). Pieces are dealt at random into groups of about GROUP_PIECES of them. Each
 group is packed on its own: pieces by decreasing length, each into the first bin
 with room, which a tournament tree over the bins' free capacities finds in a
 logarithmic number of steps. Groups don't depend on each other, so packing scales
@@ -26,15 +26,15 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release
+from .common import release, written
 
 SEQUENCE = 4096
-GROUP_DOCS = 4096
+GROUP_PIECES = 4096
 MEMO = 400_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -178,23 +178,26 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int = SEQUENCE) -> tuple
     return bins, offsets
 
 
-def pack(pieces: DataFrame, n_docs: int, sequence: int = SEQUENCE, group_docs: int = GROUP_DOCS) -> DataFrame:
-    """The pieces with sequence_id and offset. n_docs sets the number of groups.
+def pack(pieces: DataFrame, sequence: int = SEQUENCE, group_pieces: int = GROUP_PIECES) -> DataFrame:
+    """The pieces, a written table, with sequence_id and offset. Their number sets the number of groups, so a group has about as many pieces whatever the documents' lengths are.
 
     A piece's group comes from its own content and its row's place, so that copies of one document, however many, are spread, too.
     """
-    groups = max(1, -(-n_docs // group_docs))
+    groups = max(1, -(-pieces.count() // group_pieces))
     place = F.monotonically_increasing_id()
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", place), F.lit(groups)).cast("long"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True], kind="stable")
-        bins, offsets = first_fit_decreasing(pdf["length"].to_numpy(), sequence)
-        return pdf.assign(sequence_id=pdf["group"] * (1 << 32) + bins, offset=offsets).drop(columns="group")
+    def run(table: pa.Table) -> pa.Table:
+        keys = [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]
+        table = table.take(pc.sort_indices(table, sort_keys=keys))
+        bins, offsets = first_fit_decreasing(table.column("length").to_numpy(), sequence)
+        group = table.column("group").to_numpy()
+        return table.drop_columns(["group"]).append_column("sequence_id", pa.array(group * (1 << 32) + bins)).append_column("offset", pa.array(offsets))
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return dealt.groupBy("group").applyInPandas(run, f"{fields}, sequence_id long, offset long")
+    return dealt.groupBy("group").applyInArrow(run, f"{fields}, sequence_id long, offset long")
 
 
-def pack_documents(docs: DataFrame, path: str, end_id: int, sequence: int = SEQUENCE, group_docs: int = GROUP_DOCS, with_ids: bool = False) -> DataFrame:
-    return pack(tokenised(docs, path, end_id, sequence, with_ids), docs.count(), sequence, group_docs)
+def pack_documents(docs: DataFrame, path: str, end_id: int, sequence: int = SEQUENCE, group_pieces: int = GROUP_PIECES, with_ids: bool = False) -> DataFrame:
+    """Each text is tokenised once: its pieces are a table in the shared folder, which the result reads."""
+    return pack(written(tokenised(docs, path, end_id, sequence, with_ids), "pieces"), sequence, group_pieces)
