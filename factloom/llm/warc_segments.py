@@ -200,7 +200,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def row(head: dict[str, str], block: bytes, error: str | None) -> tuple:
         own, page = head.get("warc-record-id"), head.get("x-page-id")
         digest, place = head.get("warc-payload-digest"), head.get("warc-segment-number")
-        page_id = int(page) if page and re.fullmatch(r"-?[0-9]{1,18}", page) else None
+        page_id = int(page) if page and re.fullmatch(r"-?[0-9]{1,19}", page) and -(1 << 63) <= int(page) < 1 << 63 else None
         return (
             head.get("warc-type"), own, page_id, head.get("warc-target-uri"), digest and digest.partition(":")[2], head.get("warc-refers-to"), head.get("warc-segment-origin-id", own),
             number(place) if place is not None else 1, number(head.get("warc-segment-total-length")), place is not None and error is None, block, error,
