@@ -271,7 +271,7 @@ def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
     path = public.path("word_bpe_49k.json")
-    got = packing.pack_documents(docs, path, 2, sequence=512, group_docs=5).collect()
+    got = packing.pack_documents(docs, path, 2, sequence=512, group_pieces=5).collect()
     plain, text = Tokenizer.from_file(path), dict(local(docs))
     seqs, pieces = defaultdict(list), defaultdict(list)
     for r in got:
@@ -292,9 +292,9 @@ def test_packing(docs, empty):
         ids = np.array([*plain.encode(t or "", add_special_tokens=False).ids, 2], "<u4")
         want.update((i, a, len(ids[a : a + 512]), zlib.crc32(ids[a : a + 512].tobytes()), len(ids)) for a in range(0, len(ids), 512))
     assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == want
-    with_ids = packing.pack_documents(docs, path, 2, sequence=512, group_docs=5, with_ids=True).collect()
+    with_ids = packing.pack_documents(docs, path, 2, sequence=512, group_pieces=5, with_ids=True).collect()
     assert Counter((r.doc_id, r.start, zlib.crc32(np.array(r.ids, "<u4").tobytes())) for r in with_ids) == Counter((i, a, c) for (i, a, _, c, _), n in want.items() for _ in range(n))
-    one = packing.pack_documents(docs, path, 2, sequence=512, group_docs=1000).collect()
+    one = packing.pack_documents(docs, path, 2, sequence=512, group_pieces=1000).collect()
     full = sum(r.length for r in one) / (512 * len({r.sequence_id for r in one}))
     assert full > 0.97
     assert packing.pack_documents(empty, path, 2).count() == 0
@@ -401,3 +401,55 @@ def test_pipeline_and_queries(spark):
     assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert out and [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "repeated_passages", "benchmark_leaks", "packed"]
+
+
+@pytest.mark.parametrize("sizes", [[40], [250], [249, 200, 100, 33], [250] * 8, [125] * 15 + [17] * 3, [16, 15, 2, 2, 2], [300, 250]])
+def test_groups_that_fit_stay_whole(spark, sizes):
+    """Of 2000 rows in eight shards any group of up to 250; a larger one is cut, and nothing else."""
+    texts = [f"group {g}" for g, n in enumerate(sizes) for _ in range(n)]
+    texts += [f"single {i}" for i in range(2000 - len(texts))]
+    rows = [(i if i % 7 else None, t, ["en", "de", None][len(t) * i % 3], f"s{i % 11}") for i, t in enumerate(texts)]
+    got = hilbert_sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(6), 8, bucket_rows=90).collect()
+    assert sorted((r.shard, r.slot) for r in got) == [(k, j) for k in range(8) for j in range(250)]
+    where = defaultdict(set)
+    for r in got:
+        where[r.text_crc32].add(r.shard)
+    assert [len(where[zlib.crc32(f"group {g}".encode())]) == 1 for g in range(len(sizes))] == [n <= 250 for n in sizes]
+
+
+IDS = [None, 1 << 60, (1 << 60) + 1, -(1 << 63), (1 << 63) - 1, 10**18, 10**18 + 5, -1, 0]
+
+
+def test_long_ids_beside_null(spark):
+    """No id is rounded or lost, whatever stands beside it."""
+    import public_tokenizers
+
+    docs = spark.createDataFrame([(i, f"text {k}") for k, i in enumerate(IDS)], "doc_id long, text string").coalesce(1)
+    got = packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), 2).collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted(IDS, key=str)
+    pages = spark.createDataFrame([(i, f"http://h{k}.org/es/", f"<p>{k % 4}</p>") for k, i in enumerate(IDS)], "page_id long, url string, html string").coalesce(1)
+    assert sorted((r.page_id for r in url_automaton.judge(pages).collect()), key=str) == sorted(IDS, key=str)
+
+
+def test_archives_of_long_ids(spark, tmp_path):
+    ids = [i for i in IDS if i is not None]
+    pages = spark.createDataFrame([(i, f"http://h{k}.org/", f"<p>{k % 3}</p>") for k, i in enumerate(ids)], "page_id long, url string, html string")
+    warc_segments.write_archives(pages, str(tmp_path / "w"), min_revisit=0)
+    got = {r.page_id: r.refers_to for r in warc_segments.summary(warc_segments.reassembled(warc_segments.read_records(spark, str(tmp_path / "w")))).collect()}
+    best = {k: max(i for j, i in enumerate(ids) if j % 3 == k) for k in range(3)}
+    assert got == {i: None if best[k % 3] == i else best[k % 3] for k, i in enumerate(ids)}
+
+
+def thue_morse(n, swap):
+    return "".join("ab"[(bin(i).count("1") + swap) % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 2048])
+def test_words_that_fool_polynomial_hashes(spark, n):
+    """Words of one polynomial hash modulo 2**64 are different words: no links, no leaks, whole sets."""
+    x, y = thue_morse(n, 0), thue_morse(n, 1)
+    docs = spark.createDataFrame([(1, " ".join([x] * 9)), (2, " ".join([y] * 9)), (3, " ".join([x, y, x, x, y, y, x, y, x])), (4, " ".join([y, x, y, y, x, x, y, x, y])), (5, " ".join([x] * 9))], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.dedup(docs, 4).collect()}
+    assert got == {1: (1, 1), 2: (1, 2), 3: (6, 3), 4: (6, 4), 5: (1, 1)}
+    items = spark.createDataFrame([(7, " ".join([y] * 9))], "item_id long, text string")
+    assert [r.doc_id for r in decontaminate.find(docs, items).collect()] == [2]
