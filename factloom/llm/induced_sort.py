@@ -531,7 +531,8 @@ class InducedSort:
 def repeated_starts(text: np.ndarray, symbols: int, lengths: tuple[int, ...], space: Space | None = None, owned: np.ndarray | None = None) -> list[np.ndarray]:
     """For each length and position whether the string of that many symbols from there also starts at another position, both of them owned.
 
-    text[-1] is a unique least symbol. Without `owned` all positions are.
+    text[-1] is a unique least symbol. Without `owned` all positions are. `owned` may hold multiplicities: a suffix of
+    multiplicity 2 or more stands for several equal ones, each of which has the others beside it in the order.
     """
     space = space or Space()
     out = [space.array(len(text), bool) for _ in lengths]
@@ -546,7 +547,9 @@ def repeated_starts(text: np.ndarray, symbols: int, lengths: tuple[int, ...], sp
         rest = prefix[at[-1] + 1 :]
         low = int(rest.min()) if len(rest) else max(lengths)
         own = position[at]
+        several = own[owned[own] > 1] if owned is not None else own[:0]
         for found, length in zip(out, lengths, strict=True):
+            found[several] = True
             long = least >= length
             found[own[long]] = True
             found[own[:-1][long[1:]]] = True

@@ -25,7 +25,8 @@ each of its windows goes to the shard of its gram of second least hash, too.
 Defined results: a null text is empty; a text shorter than LENGTH loses nothing; rows
 that are equal throughout are copies of each other (both are removed where they are
 long enough); an empty table gives no rows; further columns are ignored. Texts are
-told apart by a 128-bit hash, stretches of one gram by a 64-bit one.
+told apart by 128 bits of SHA-256, stretches by 128-bit BLAKE2b digests; what grams are
+dealt by is a polynomial hash, on which no result depends.
 """
 
 from __future__ import annotations
@@ -59,6 +60,7 @@ MAX_TASKS = 100_000
 STRETCH = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
 _KEY = ["h1", "h2"]
+_BODY = ["gram", "b1", "b2"]
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -107,24 +109,25 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
             yield lo + k, data[offsets[k] : offsets[k + 1]]
 
 
-OWNERS = "doc_id long, h1 long, h2 long, gram long, body long, start long, owned long, size long"
+OWNERS = "doc_id long, h1 long, h2 long, gram long, b1 long, b2 long, start long, owned long, size long"
 
 
 def owners(docs: DataFrame, lengths: tuple[int, ...], gram: int) -> DataFrame:
-    """A row of OWNERS for each occurrence of a gram that owns windows: its first window, how many follow each other, and size and hash of its stretch."""
+    """A row of OWNERS for each occurrence of a gram that owns windows: its first window, how many follow each other, and size and digest of its stretch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             none = np.zeros(0, np.int64)
-            found = [[none] * 6]
+            found = [[none] * 7]
             for k, raw in _texts(batch):
-                total = prefix_sums(raw)
-                h, _, a, b = anchors(raw, lengths[0], gram, total)
+                h, _, a, b = anchors(raw, lengths[0], gram)
                 end = np.minimum(b + lengths[-1], len(raw))
-                body = common.mix((total[end] - total[a]) * common.inverse_powers(len(raw))[a] + (end - a).astype(np.uint64)) if len(a) else none
-                found.append([np.full(len(h), k), h, body.view(np.int64), a, b - a + 1, end - a])
+                view = memoryview(np.ascontiguousarray(raw))
+                digests = b"".join([hashlib.blake2b(view[i:j], digest_size=16).digest() for i, j in zip(a.tolist(), end.tolist(), strict=True)])
+                body = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                found.append([np.full(len(h), k), h, body[:, 0], body[:, 1], a, b - a + 1, end - a])
             at, *rest = (pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("doc_id", *_KEY)), *rest], ["doc_id", *_KEY, "gram", "body", "start", "owned", "size"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in ("doc_id", *_KEY)), *rest], ["doc_id", *_KEY, *_BODY, "start", "owned", "size"])
         common.release()
 
     return docs.mapInArrow(run, OWNERS)
@@ -143,68 +146,67 @@ def split_stretch(raw: np.ndarray, owned: int, gram_hash: int, lengths: tuple[in
         yield key, a, b - a, min(b - a - 1 + lengths[-1], len(raw) - a)
 
 
-STRETCHES = "shard long, h1 long, h2 long, start long, owned long, body binary, known boolean"
+STRETCHES = "shard long, gram long, b1 long, b2 long, start long, owned long, several boolean, body binary"
 
 
 def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int) -> DataFrame:
-    """A row of STRETCHES for each stretch that is to be sorted."""
+    """A row of STRETCHES for each stretch that is to be sorted; start: of a split stretch where the part begins."""
+    names = [f.split()[0] for f in STRETCHES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists, out, held = batch.column("parts"), [], 0
             ends, flat = lists.offsets.to_numpy(), lists.values
-            part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "owned", "size", "gram", "known", "sort", "hot")}
+            columns = ("start", "owned", "size", *_BODY, "several", "hot")
+            part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in (*columns, "sort")}
             for k, raw in _texts(batch):
                 mine = np.arange(ends[k], ends[k + 1])
                 mine = mine[part["sort"][mine]]
-                for start, windows, size, gram_hash, known, hot in zip(*(part[c][mine].tolist() for c in ("start", "owned", "size", "gram", "known", "hot")), strict=True):
+                for start, windows, size, gram_hash, b1, b2, several, hot in zip(*(part[c][mine].tolist() for c in columns), strict=True):
                     whole = raw[start : start + size]
                     for key, at, owned, n in split_stretch(whole, windows, gram_hash, lengths, gram) if hot else [(gram_hash, 0, windows, size)]:
-                        out.append((k, key % shards, start + at, owned, whole[at : at + n].tobytes(), known))
+                        out.append((key % shards, gram_hash, b1, b2, at, owned, several, whole[at : at + n].tobytes()))
                         held += n
                 if held > 8 << 20:
-                    yield pack(batch, out)
+                    yield pack(out)
                     out, held = [], 0
-            yield pack(batch, out)
+            yield pack(out)
         common.release()
 
-    def pack(batch: pa.RecordBatch, out: list[tuple]) -> pa.RecordBatch:
-        row, shard, start, owned, body, known = zip(*out, strict=True) if out else [()] * 6
-        at = pa.array(row, pa.int64())
-        fields = [pa.array(shard, pa.int64()), batch.column("h1").take(at), batch.column("h2").take(at), pa.array(start, pa.int64()), pa.array(owned, pa.int64()), pa.array(body, pa.binary()), pa.array(known, pa.bool_())]
-        return pa.RecordBatch.from_arrays(fields, ["shard", *_KEY, "start", "owned", "body", "known"])
+    def pack(out: list[tuple]) -> pa.RecordBatch:
+        kinds = [*[pa.int64()] * 6, pa.bool_(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
     return texts.mapInArrow(run, STRETCHES)
 
 
 _SEPARATOR = np.uint16(1).tobytes()
-FOUND = "h1 long, h2 long, length int, start long, end long"
+FOUND = "gram long, b1 long, b2 long, length int, start long, end long"
 
 
 def repeats(parts: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
-    """A row of FOUND for each covered run that a shard's suffix order shows. A shard is read in a stream into two files, its string and which positions are owned."""
+    """A row of FOUND for each covered run of a stretch that a shard's suffix order shows. A shard is read in a stream into two files, its string and the multiplicity (2 for more) of each position that is owned."""
 
     def solve(text_file, owned_file, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         text_file.write(np.zeros(1, np.uint16).tobytes())
         owned_file.write(b"\0")
         text_file.flush(), owned_file.flush()
-        text, owned = (np.asarray(np.memmap(f, kind, "r")) for f, kind in ((text_file, np.uint16), (owned_file, bool)))
+        text, owned = (np.asarray(np.memmap(f, kind, "r")) for f, kind in ((text_file, np.uint16), (owned_file, np.uint8)))
         flags = repeated_starts(text, 258, lengths, Space(os.path.dirname(text_file.name)), owned)
-        h1, h2, start, windows, size = (np.array([r[i] for r in rows], np.int64) for i in range(5))
-        known = np.array([r[5] for r in rows], bool)
+        *body, start, windows, size = (np.array([r[i] for r in rows], np.int64) for i in range(6))
         begin = np.cumsum(size + 1) - size - 1
         for flag, length in zip(flags, lengths, strict=True):
             at = np.flatnonzero(flag)
             row = np.searchsorted(begin, at, "right") - 1
             at = at - begin[row]
             # a shorter rest of a text is no string of this length
-            use = ~known[row] & (at < np.minimum(windows, size - length + 1)[row])
+            use = at < np.minimum(windows, size - length + 1)[row]
             at, row = at[use], row[use]
             if len(at):
                 first = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (at[1:] - at[:-1] > length)))
                 last, of = np.append(first[1:], len(at)) - 1, row[first]
-                fields = [h1[of], h2[of], np.full(len(first), length, np.int32), start[of] + at[first], start[of] + at[last] + length]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in fields], [*_KEY, "length", "start", "end"])
+                fields = [*(b[of] for b in body), np.full(len(first), length, np.int32), start[of] + at[first], start[of] + at[last] + length]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in fields], [*_BODY, "length", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as folder:
@@ -218,15 +220,15 @@ def repeats(parts: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
                     os.unlink(f.name)
 
             for batch in batches:
-                for shard, h1, h2, start, owned, body, known in zip(*(batch.column(c).to_pylist() for c in ("shard", *_KEY, "start", "owned", "body", "known")), strict=True):
+                for shard, gram, b1, b2, start, owned, several, body in zip(*(batch.column(c).to_pylist() for c in ("shard", *_BODY, "start", "owned", "several", "body")), strict=True):
                     if shard != now:
                         yield from closed()
                         now, rows, files = shard, [], [open(os.path.join(folder, f"{shard}{x}"), "w+b") for x in "to"]  # noqa: SIM115
-                    if rows and rows[-1][:3] == (h1, h2, start):
+                    if rows and rows[-1][:4] == (gram, b1, b2, start):
                         continue  # a repeated row of one text
                     files[0].write((np.frombuffer(body, np.uint8).astype(np.uint16) + np.uint16(2)).tobytes() + _SEPARATOR)
-                    files[1].write(b"\1" * owned + bytes(len(body) + 1 - owned))
-                    rows.append((h1, h2, start, owned, len(body), known))
+                    files[1].write((b"\2" if several else b"\1") * owned + bytes(len(body) + 1 - owned))
+                    rows.append((gram, b1, b2, start, owned, len(body)))
             yield from closed()
         common.release()
 
@@ -244,9 +246,14 @@ def runs(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def text_keys(text: Column) -> list[Column]:
+    """Two numbers that tell texts apart: 128 bits of SHA-256."""
+    return [F.conv(F.substring(F.sha2(text, 256), at, 16), 16, -10).cast("long") for at in (1, 17)]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(F.lit(1), text).alias("h1"), F.xxhash64(F.lit(2), text).alias("h2"))
+    return docs.select("doc_id", text.alias("text"), *(k.alias(n) for k, n in zip(text_keys(text), _KEY, strict=True)))
 
 
 def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_bytes: int = SHARD_BYTES, hot: int = HOT_BODIES) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -259,31 +266,30 @@ def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_b
     repeated = written(own.join(often.hint("shuffle_hash"), "gram"), "repeated")
     discard(own, often)
     place = F.struct(*_KEY, "start")
-    bodies = written(repeated.groupBy("gram", "body").agg(F.count("*").alias("n"), F.min(place).alias("one")), "bodies")
-    differ = written(bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where("bodies > 1"), "differ")
-    known = bodies.join(differ, "gram", "left").select("gram", "body", "one", (F.col("n") > 1).alias("known"), F.coalesce("bodies", F.lit(1)).alias("bodies"))
-    part = F.struct("start", "owned", "size", "gram", "known", ((F.col("bodies") > 1) & (place == F.col("one"))).alias("sort"), (F.col("bodies") > hot).alias("hot"))
-    placed = repeated.join(known.hint("shuffle_hash"), ["gram", "body"]).select("doc_id", *_KEY, part.alias("part"))
+    bodies = written(repeated.groupBy(*_BODY).agg(F.count("*").alias("n"), F.min(place).alias("one")), "bodies")
+    split = written(bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where(F.col("bodies") > hot).select("gram", F.lit(True).alias("hot")), "hot")
+    known = bodies.join(split, "gram", "left").select(*_BODY, "one", (F.col("n") > 1).alias("several"), F.coalesce("hot", F.lit(False)).alias("hot"))
+    part = F.struct("start", "owned", "size", *_BODY, "several", (place == F.col("one")).alias("sort"), "hot")
+    placed = repeated.join(known.hint("shuffle_hash"), _BODY).select("doc_id", *_KEY, part.alias("part"))
     # one row stands for all with its text
     wanted = placed.groupBy(*_KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.collect_set("part").alias("parts"))
     a, b = long.alias("a"), wanted.alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
     texts = written(a.join(b, same).select("a.h1", "a.h2", "text", F.expr("n div size(parts)").alias("copies"), "parts"), "repeats")
-    discard(repeated, bodies, differ)
+    discard(repeated, bodies, split)
     total = texts.agg(F.sum(F.expr("aggregate(parts, 0L, (s, p) -> s + if(p.sort, p.size, 0L))"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, MAX_TASKS))
-    dealt = stretches(texts, shards, lengths, gram).repartition(tasks, "shard").sortWithinPartitions("shard", *_KEY, "start")
-    found = repeats(dealt, lengths).groupBy(*_KEY).agg(*(F.collect_set(F.when(F.col("length") == n, F.struct("start", "end"))).alias(f"found_{n}") for n in lengths))
-    slim = texts.select(*_KEY, "copies", "parts").dropDuplicates(_KEY).join(found, _KEY, "left")
-    marked = slim.select(*_KEY, "copies", *(_runs(n).alias(f"runs_{n}") for n in lengths))
-    return rows, texts, written(marked.where(" or ".join(f"size(runs_{n}) > 0" for n in lengths)), "runs")
-
-
-def _runs(length: int) -> Column:
-    """What a text's stretches that stand twice cover at a length, and what was found."""
-    known = f"transform(filter(parts, p -> p.known and p.size >= {length}), p -> struct(p.start as start, p.start + least(p.owned, p.size - {length - 1}) + {length - 1} as end))"
-    return F.expr(f"concat({known}, coalesce(found_{length}, array()))")
+    dealt = stretches(texts, shards, lengths, gram).repartition(tasks, "shard").sortWithinPartitions("shard", *_BODY, "start")
+    found = written(repeats(dealt, lengths).groupBy(*_BODY).agg(*(F.collect_set(F.when(F.col("length") == n, F.struct("start", "end"))).alias(f"found_{n}") for n in lengths)), "found")
+    # every occurrence of a stretch takes what the order shows for it
+    each = texts.select(*_KEY, "copies", "parts").dropDuplicates(_KEY).select(*_KEY, "copies", F.explode("parts").alias("p")).select(*_KEY, "copies", "p.start", *(f"p.{c}" for c in _BODY))
+    moved = lambda n: F.transform(f"found_{n}", lambda r: F.struct((r["start"] + F.col("start")).alias("start"), (r["end"] + F.col("start")).alias("end")))
+    met = each.join(found.hint("shuffle_hash"), _BODY).select(*_KEY, "copies", *(moved(n).alias(f"found_{n}") for n in lengths))
+    marked = met.groupBy(*_KEY).agg(F.first("copies").alias("copies"), *(F.flatten(F.collect_list(f"found_{n}")).alias(f"runs_{n}") for n in lengths))
+    marked = written(marked.where(" or ".join(f"size(runs_{n}) > 0" for n in lengths)), "runs")
+    discard(found)
+    return rows, texts, marked
 
 
 def run_lists(column: pa.ListArray) -> Iterator[list[tuple[int, int]]]:
@@ -435,7 +441,7 @@ def _without(docs: DataFrame, marked: DataFrame, chosen: Callable) -> DataFrame:
     while any(n.lower().startswith(own) for n in names):  # names that the documents don't have
         own += "_"
     key = [own + c for c in _KEY]
-    rows = docs.withColumns({key[0]: F.xxhash64(F.lit(1), text), key[1]: F.xxhash64(F.lit(2), text)})
+    rows = docs.withColumns(dict(zip(key, text_keys(text), strict=True)))
     marks = marked.select(*(F.col(c).alias(own + c) for c in (*_KEY, "spans", "lonely")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
