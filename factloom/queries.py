@@ -325,7 +325,7 @@ def graph_pages(spark, sf_dir) -> DataFrame:
     """The pages as a graph whose links are made of their places, as html that the crawl parses."""
     rows = table(spark, sf_dir, "pages").select("page_id")
     n = rows.count()
-    counts = rows.withColumn("i", F.row_number().over(Window.orderBy("page_id")) - 1)
+    counts = chunks.numbered(rows, ["page_id"]).withColumnRenamed("global_id", "i")
     to = lambda j: F.concat(F.lit('<a href="/annual/'), (j % n).cast("string"), F.lit('">annual</a>'))
     i = F.col("i")
     return counts.select("page_id", i, F.concat(F.lit("https://b.example.com/annual/"), i.cast("string")).alias("url"), F.concat(to(i * 3 + 1), to(i * 3 + 2), to(i + 7)).alias("html"))
@@ -339,6 +339,27 @@ def bounded_crawl(spark, sf_dir):
     return out.join(made.select("url", F.col("page_id").alias("node")), "url").select("bank", "node", "depth")
 
 
+# the pages as a site: each is named by two letters of its first link, the first of one name counts, and their own links lead to such names
+_SITE = """WITH RECURSIVE named AS (SELECT page_id, regexp_extract(html, '<a href="/([A-Za-z]{2})[^"]*">', 1) AS name, regexp_replace(html, 'href="/([A-Za-z]{2})[^"]*"', 'href="/annual/x/../\\1"', 'g') AS html FROM pages),
+site AS (SELECT min(page_id) AS page_id, 'https://b.example.com/annual/' || name AS url, arg_min(html, page_id) AS html FROM named WHERE name <> '' GROUP BY name)"""
+
+
+@query(_SITE + ", " + page_refs("site") + """, e AS (SELECT DISTINCT l.page_url AS src, l.url AS dst, l.position AS p FROM links l JOIN site s ON s.url = l.url),
+w0 AS (SELECT page_id AS bank, url AS node, 0 AS depth, []::INT[] AS path, NULL AS parent_url FROM site),
+w1 AS (SELECT bank, dst AS node, 1 AS depth, min(list_append(path, p)) AS path, arg_min(src, list_append(path, p)) AS parent_url FROM w0 JOIN e ON src = node WHERE dst <> node GROUP BY 1, 2),
+k1 AS (SELECT *, row_number() OVER (PARTITION BY bank ORDER BY path, node) + 1 AS place FROM w1), c1 AS (SELECT * FROM k1 WHERE place <= 8),
+w2 AS (SELECT c1.bank, dst AS node, 2 AS depth, min(list_append(path, p)) AS path, arg_min(src, list_append(path, p)) AS parent_url FROM c1 JOIN e ON src = node WHERE NOT EXISTS (SELECT 1 FROM c1 x WHERE x.bank = c1.bank AND x.node = dst) AND NOT EXISTS (SELECT 1 FROM w0 x WHERE x.bank = c1.bank AND x.node = dst) GROUP BY 1, 2),
+k2 AS (SELECT w2.*, row_number() OVER (PARTITION BY bank ORDER BY path, node) + 1 + (SELECT count(*) FROM c1 x WHERE x.bank = w2.bank) AS place FROM w2)
+SELECT bank, node AS url, depth, parent_url, place::INT AS place FROM (SELECT bank, node, depth, parent_url, 1 AS place FROM w0 UNION ALL SELECT bank, node, depth, parent_url, place FROM c1 UNION ALL SELECT bank, node, depth, parent_url, place FROM k2 WHERE place <= 8)""")
+def page_crawl(spark, sf_dir):
+    """A crawl through the markup of whole pages from each of them, cut to eight pages."""
+    name, html = F.regexp_extract("html", r'<a href="/([A-Za-z]{2})[^"]*">', 1), F.regexp_replace("html", r'href="/([A-Za-z]{2})[^"]*"', 'href="/annual/x/../$1"')
+    named = table(spark, sf_dir, "pages").select("page_id", name.alias("name"), html.alias("html")).where("name <> ''")
+    site = named.groupBy("name").agg(F.min("page_id").alias("page_id"), F.min_by("html", "page_id").alias("html")).select("page_id", F.concat(F.lit("https://b.example.com/annual/"), "name").alias("url"), "html")
+    starts = site.select(F.col("page_id").alias("bank"), F.col("url").alias("start_url"), F.lit("example.com").alias("base_root"), F.lit("example.com").alias("entry_root"))
+    return crawl.crawl(starts, site, max_pages=8).select("bank", "url", "depth", "parent_url", "place")
+
+
 # --- vectors and retrieval ----------------------------------------------------------------------------------------
 DOT = "list_sum(list_transform(range(1, 65), lambda i: v.embedding[i]::DOUBLE * q.embedding[i]::DOUBLE))"
 RANKED = f"""WITH s AS (SELECT q.vec_id AS query_id, v.vec_id, v.label, round({DOT}, 9) AS score FROM embeddings v, (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q),

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import fixed_values as V
 from . import stand_ins
-from .operators import checks, crawl, downloads, external, extraction, metrics, pages, retrieval, vectors
+from .operators import checks, chunks, crawl, downloads, external, extraction, metrics, pages, retrieval, vectors
 from .plans import extract
 from .queries import HITS, TITLE, _hits, query, quoted, table
 from .sources import files
@@ -214,7 +214,7 @@ def _wide_graph(spark, sf_dir, word: str) -> tuple[DataFrame, DataFrame]:
     rows = table(spark, sf_dir, "pages").select("page_id")
     n = rows.count()
     i = F.col("i")
-    made = rows.withColumn("i", F.row_number().over(Window.orderBy("page_id")) - 1)
+    made = chunks.numbered(rows, ["page_id"]).withColumnRenamed("global_id", "i")
     to = [F.concat(F.lit(f'<a href="/{word}/'), ((i * 6 + p * 5 + 1) % n).cast("string"), F.lit('">annual</a>')) for p in range(6)]
     made = made.select("page_id", F.concat(F.lit(f"https://b.example.com/{word}/"), i.cast("string")).alias("url"), F.concat(F.lit('<a href="https://other.org/annual/1">annual</a>'), *to).alias("html"))
     starts = made.select(F.col("page_id").alias("bank"), F.col("url").alias("start_url"), F.lit("example.com").alias("base_root"), F.lit("example.com").alias("entry_root"))
