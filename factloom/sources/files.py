@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import stores
+
 BANKS = "idrssd string, username string, url string, `financial report` string, `financial report link` string"
 CHUNKS = "year string, bank_folder string, source_txt string, chunk_id int, char_start int, char_end int, text string"
 METRICS = "bank string, year string, metric_name string, val string, unit string, source_chunk_id string"
@@ -56,24 +58,6 @@ def read_pdfs(spark: SparkSession, root: str) -> DataFrame:
     return raw.select("path", F.element_at(F.split("path", "/"), -2).alias("bank_folder"), "length", "content")
 
 
-def read_matrices(spark: SparkSession, path: str) -> DataFrame:
-    """path, row, embedding of .npy files of 32-bit floats, a file per task."""
-    import io
-
-    import numpy as np
-    import pandas as pd
-
-    def run(batches):
-        for pdf in batches:
-            for p, c in zip(pdf["path"], pdf["content"], strict=True):
-                m = np.load(io.BytesIO(c)).astype(np.float32)
-                for a in range(0, len(m), 4096):
-                    part = m[a : a + 4096]
-                    yield pd.DataFrame({"path": p, "row": np.arange(a, a + len(part)), "embedding": list(part)})
-
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").load(path).select("path", "content").mapInPandas(run, "path string, row long, embedding array<float>")
-
-
 def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:
     """CSV with a header line; with bom its first field begins with a byte-order mark, as spreadsheets like it."""
     out = df.withColumnRenamed(df.columns[0], "﻿" + df.columns[0]) if bom else df
@@ -94,9 +78,7 @@ def write_files(files: DataFrame, root: str) -> DataFrame:
     import pandas as pd
 
     def run(batches):
-        from pyarrow import fs
-
-        system, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        system, base = stores.at(root)
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
                 system.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)

@@ -9,7 +9,7 @@ from factloom.functions import text as T
 from factloom.functions import urls as U
 from factloom.operators import checks, chunks, crawl, downloads, external, extraction, metrics, pages, retrieval, vectors
 from factloom.plans import extract as plans
-from factloom.sources import files
+from factloom.sources import files, matrices
 from factloom.streaming import ingest
 
 
@@ -172,7 +172,7 @@ def test_sources(spark, tmp_path):
     assert files.read_pdfs(spark, str(tmp_path / "in")).count() == 1
     assert [r.value for r in files.read_lines(spark, str(tmp_path / "ids.txt")).collect()] == ["a_1", "b_2"]
     np.save(tmp_path / "m.npy", np.eye(3, dtype=np.float32))
-    assert files.read_matrices(spark, str(tmp_path)).count() == 3
+    assert matrices.read_matrices(spark, str(tmp_path)).count() == 3
     df = spark.createDataFrame([("é", None)], "a string, b string")
     files.write_jsonl(df, str(tmp_path / "j"))
     assert files.read_jsonl(spark, str(tmp_path / "j"), "a string, b string").first().a == "é"
