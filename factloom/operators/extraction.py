@@ -11,11 +11,13 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions import text as T
+from ..sources import scratch
 
 MISSING = T.MISSING
 _FLAGS = re.I | re.S
@@ -354,25 +356,90 @@ def repair_prompt(answer: str, metric: str, year: int) -> str:
     return f"Turn this answer about {metric} ({year}) into JSON of the form {{\"results\": [{{metric_name, value, unit, fiscal_year, source_chunk_id}}]}}. Add nothing; use {MISSING} for what is missing.\n\n{answer}"
 
 
-def asked_of_model(evidence: DataFrame, model, year: int) -> DataFrame:
-    """target and FOUND (origin model) from one prompt for each (target, metric, context); an answer out of form is repaired once; a failure is a row of errors."""
+def called(prompts: DataFrame, model) -> DataFrame:
+    """target, metric, prompt with raw and error: one call of the model for each prompt; a call that fails is a row with its error."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = []
-            for t, m, c in zip(pdf["target"], pdf["metric"], pdf["context"], strict=True):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw, errors = [], []
+            for prompt in b.column("prompt").to_pylist():
                 try:
-                    raw = model(one_metric_prompt(m, c, year))
-                    obj = parsed_answer(raw, year)
-                    if not (is_results(obj) or (isinstance(obj, dict) and "value" in obj)):
-                        obj = parsed_answer(model(repair_prompt(raw, m, year)), year)
-                    value = normalised(obj, m).get(m, (MISSING, MISSING, MISSING))
-                    rows.append((t, m, *value, "model", None))
+                    raw.append(model(prompt))
+                    errors.append(None)
                 except Exception as e:  # one failing call must not end the job
-                    rows.append((t, m, MISSING, MISSING, MISSING, "model", f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=["target", "metric_name", "value", "unit", "source_chunk_id", "origin", "error"])
+                    raw.append(None)
+                    errors.append(f"{type(e).__name__}: {e}")
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(raw, pa.string()), pa.array(errors, pa.string())], [*b.schema.names, "raw", "error"])
+
+    return prompts.mapInArrow(run, "target string, metric string, prompt string, raw string, error string")
+
+
+def _plain(field: str) -> Column:
+    """Whether a field of the chosen row is a string, null, or not there."""
+    kind = F.expr(f"schema_of_variant(try_variant_get(chosen, '$.{field}', 'variant'))")
+    return F.coalesce(kind.isin("STRING", "VOID"), F.lit(True))
+
+
+def read_answers(answers: DataFrame) -> DataFrame:
+    """answers (target, metric, raw) with value, unit, source_chunk_id and is_read, by built-in functions alone.
 
-    return evidence.select("target", "metric", "context").mapInPandas(run, f"target string, {FOUND}, error string")
+    Read are answers that are JSON as a whole and of a known form (a list of results, or one flat record) whose fields are
+    strings; of several results for the metric the last one counts. All others are left to `parsed_answer`.
+    """
+    v = answers.withColumn("v", F.expr("try_parse_json(raw)")).withColumn("rows", F.expr("try_variant_get(v, '$.results', 'array<variant>')"))
+    has = lambda x, k: f"try_variant_get({x}, '$.{k}', 'variant') IS NOT NULL"
+    listed = F.expr(f"rows IS NOT NULL AND exists(rows, r -> {has('r', 'metric_name')} AND {has('r', 'value')})")
+    flat = F.expr(f"rows IS NULL AND {has('v', 'value')} AND {has('v', 'source_chunk_id')} AND NOT {has('v', 'results')}")
+    own = F.expr("element_at(filter(rows, r -> try_variant_get(r, '$.metric_name', 'string') = metric AND schema_of_variant(try_variant_get(r, '$.metric_name', 'variant')) = 'STRING'), -1)")
+    own = F.when(F.expr("size(filter(rows, r -> try_variant_get(r, '$.metric_name', 'string') = metric)) > 0"), own)
+    found = v.withColumn("is_listed", F.coalesce(listed, F.lit(False))).withColumn("is_flat", F.coalesce(flat, F.lit(False)))
+    found = found.withColumn("chosen", F.when(F.col("is_listed"), own).when(F.col("is_flat"), F.col("v")))
+    fields = ("value", "unit", "source_chunk_id")
+    known = F.col("metric").isin(V.METRICS)
+    read = F.coalesce((F.col("is_listed") & known | F.col("is_flat")) & _plain("value") & _plain("unit") & _plain("source_chunk_id"), F.lit(False))
+    text = lambda c: F.coalesce(F.nullif(F.expr(f"try_variant_get(chosen, '$.{c}', 'string')"), F.lit("")), F.lit(MISSING)).alias(c)
+    return found.select(*answers.columns, *(text(c) for c in fields), read.alias("is_read"))
+
+
+def _scanned(answers: DataFrame, year: int) -> DataFrame:
+    """answers (target, metric, raw) with value, unit, source_chunk_id and is_formed, row by row: for answers that `read_answers` leaves."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for metric, raw in zip(b.column("metric").to_pylist(), b.column("raw").to_pylist(), strict=True):
+                obj = parsed_answer(raw, year)
+                formed = is_results(obj) or (isinstance(obj, dict) and "value" in obj)
+                rows.append((*normalised(obj, metric).get(metric, (MISSING, MISSING, MISSING)), formed))
+            kinds = (pa.string(), pa.string(), pa.string(), pa.bool_())
+            made = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *made], [*b.schema.names, "value", "unit", "source_chunk_id", "is_formed"])
+
+    answers = answers.select("target", "metric", "raw")
+    return answers.mapInArrow(run, "target string, metric string, raw string, value string, unit string, source_chunk_id string, is_formed boolean")
+
+
+def asked_of_model(evidence: DataFrame, model, year: int) -> DataFrame:
+    """target and FOUND (origin model) from one prompt for each (target, metric, context); an answer out of form is repaired once; a failure is a row of errors.
+
+    Answers are written before they are read, so that no call is made twice. Those of a known form are read by built-in
+    functions; Python reads the others, and asks for the repair of what has no form.
+    """
+    prompt = F.udf(lambda m, c: one_metric_prompt(m, c, year), "string", useArrow=True)
+    asked = evidence.select(F.col("target").cast("string").alias("target"), "metric", prompt("metric", "context").alias("prompt"))
+    first = scratch.written(called(asked, model).drop("prompt"), "answers")
+    done = read_answers(first.where("error IS NULL"))
+    hard = scratch.written(_scanned(done.where("NOT is_read"), year), "answers-hard")
+    mend = F.udf(lambda raw, m: repair_prompt(raw, m, year), "string", useArrow=True)
+    open_ = hard.where("NOT is_formed").select("target", "metric", mend("raw", "metric").alias("prompt"))
+    second = scratch.written(called(open_, model).drop("prompt"), "answers-repaired")
+    again = read_answers(second.where("error IS NULL"))
+    result = lambda df: df.select("target", F.col("metric").alias("metric_name"), "value", "unit", "source_chunk_id", F.lit("model").alias("origin"), F.lit(None).cast("string").alias("error"))
+    failed = first.where("error IS NOT NULL").unionByName(second.where("error IS NOT NULL"))
+    missing = [F.lit(MISSING).alias(c) for c in ("value", "unit", "source_chunk_id")]
+    failed = failed.select("target", F.col("metric").alias("metric_name"), *missing, F.lit("model").alias("origin"), "error")
+    out = result(done.where("is_read")).unionByName(result(hard.where("is_formed"))).unionByName(result(again.where("is_read")))
+    return out.unionByName(result(_scanned(again.where("NOT is_read"), year))).unionByName(failed)
 
 
 def merged(targets: DataFrame, found: DataFrame, key: str, year: int) -> DataFrame:
