@@ -123,9 +123,10 @@ def guessed_unit(text: Column) -> Column:
     low = F.lower(F.coalesce(text, F.lit("")))
     dollar = F.contains(low, F.lit("$"))
     money_word = F.contains(low, F.lit("dollar")) | dollar | F.contains(low, F.lit("usd"))
-    out = F.when(low.rlike("in thousands|amounts \\(in thousands\\)"), "thousand")
-    for scale in ("million", "billion"):
-        out = out.when(F.contains(low, F.lit(f"in {scale}s")), scale)
+    out = None
+    for scale in ("thousand", "million", "billion"):
+        stated = low.rlike(rf"in {scale}s|\(\s*(\$|dollars)?\s*in\s+{scale}s\s*\)")
+        out = F.when(stated, scale) if out is None else out.when(stated, scale)
     for scale in ("thousand", "million", "billion"):
         out = out.when(low.rlike(rf"\b{scale}s\b") & money_word, scale)
     return out.when(dollar, "dollars").otherwise(MISSING)

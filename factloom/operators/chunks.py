@@ -64,19 +64,25 @@ def log(texts: DataFrame, keys: list[str], least: int = V.MIN_CHARS) -> DataFram
     return texts.select(*keys, n.alias("num_chars"), F.when(short, 0).otherwise(count_chunks(n)).alias("num_chunks"), F.when(short, "fail").otherwise("success").alias("status"), F.when(short, "text_too_short").otherwise("").alias("error"))
 
 
-def window_starts(length: Column, window: int = 300_000, most: int = 6) -> Column:
-    """Starts of windows that cover a long text: head, middle, tail and evenly between them."""
+def window_starts(length: Column, window: int = 300_000, most: int | None = 6) -> Column:
+    """Starts of windows that cover a long text: head, middle, tail and evenly between them. Without `most` as many as leave no gap."""
     last = F.greatest(length - window, F.lit(0))
-    even = F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda i: F.floor(last * i / (most - 1)).cast("int"))
-    many = F.slice(F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0), F.floor(last / 2).cast("int"), last), even))), 1, 2 * most)
-    return F.when(length <= window, F.array(F.lit(0))).otherwise(many)
+    steps = F.lit(most - 1) if most is not None else F.greatest(F.ceil(length / window).cast("int") - 1, F.lit(1))
+    even = F.transform(F.sequence(F.lit(0), steps), lambda i: F.floor(last.cast("long") * i / steps).cast("int"))
+    many = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0), F.floor(last / 2).cast("int"), last), even)))
+    return F.when(length <= window, F.array(F.lit(0))).otherwise(many if most is None else F.slice(many, 1, 2 * most))
 
 
-def covered(texts: DataFrame, keys: list[str], window: int = 300_000, windows: int = 6, size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP, most: int = 3000) -> DataFrame:
-    """Chunks of the windows of long texts, each start once, at most `most` for each text (the mode's limit)."""
+def covered(texts: DataFrame, keys: list[str], window: int = 300_000, windows: int | None = 6, size: int = V.CHUNK_SIZE, overlap: int = V.CHUNK_OVERLAP, most: int | None = 3000) -> DataFrame:
+    """Chunks of the windows of long texts, each start once, at most `most` for each text (the mode's limit).
+
+    With the mode's own numbers what lies between six windows of a text of over 1.8 million characters, and what comes after
+    3000 chunks, is left out; without numbers (None for windows and most) every character is in a chunk.
+    """
     n = F.length("text")
     inner = F.transform(window_starts(n, window, windows), lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.least(F.lit(window), n - w) - 1, F.lit(0)), F.lit(size - overlap)), lambda s: (w + s).cast("int")))
-    at = F.slice(F.array_sort(F.array_distinct(F.flatten(inner))), 1, most)
+    at = F.array_sort(F.array_distinct(F.flatten(inner)))
+    at = at if most is None else F.slice(at, 1, most)
     return _cut(texts.where(n > 0).select(*keys, "text", at.alias("at")), keys, size)
 
 

@@ -25,7 +25,7 @@ _HEADER = re.compile("^" + V.HEADER, re.M)
 _NII, _PERCENT, _NIM = re.compile(V.NII_VALUE, _FLAGS), re.compile(V.PERCENT), re.compile(V.NIM_WORDS, re.I)
 _RATIO_WORDS = {"ROA": (re.compile(V.ROA_WORDS, re.I), 220, 10, 5), "ROE": (re.compile(V.ROE_WORDS, re.I), 240, 40, 25)}
 _JOINT = re.compile(V.JOINT_RATIOS, _FLAGS)
-_PHRASED = [(re.compile(rf"in {s}s" + (r"|amounts \(in thousands\)" if s == "thousand" else "")), s) for s in ("thousand", "million", "billion")]
+_PHRASED = [(re.compile(rf"in {s}s|\(\s*(\$|dollars)?\s*in\s+{s}s\s*\)"), s) for s in ("thousand", "million", "billion")]
 _PLURAL = [(re.compile(rf"\b{s}s\b"), s) for s in ("thousand", "million", "billion")]
 
 

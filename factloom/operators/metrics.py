@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as V
 from ..functions import text as T
+from .chunks import numbered
 
 
 def as_records(merged: DataFrame, key: str, topk: DataFrame | None = None) -> DataFrame:
@@ -79,6 +80,6 @@ def evidence_count(hits: DataFrame, by: str = "target") -> DataFrame:
 
 
 def numbered_categories(rows: DataFrame, column: str) -> DataFrame:
-    """column, n, place by falling count."""
-    n = rows.groupBy(column).agg(F.count("*").alias("n"))
-    return n.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), column)))
+    """column, n, place by falling count. Categories are dealt by ranges of counts, so their number is not bounded by a task."""
+    n = rows.groupBy(column).agg(F.count("*").alias("n")).withColumn("_less", -F.col("n"))
+    return numbered(n, ["_less", column]).select(column, "n", (F.col("global_id") + 1).cast("int").alias("place"))

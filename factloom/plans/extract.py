@@ -33,7 +33,7 @@ def extract(banks: list[str] | DataFrame, chunks: DataFrame, year: int, model=No
     contexts = R.context(pool, ["target"])
     found = X.extracted(contexts, "target", year).withColumn("error", F.lit(None).cast("string"))
     if model is not None:
-        hits = ranked_hits(queries, chunks, 60, embed).join(F.broadcast(queries.select("query_id", "target", "metric", "place")), "query_id")
+        hits = ranked_hits(queries, chunks, 60, embed).join(queries.select("query_id", "target", "metric", "place"), "query_id")
         shown = R.evidence(R.per_metric(hits, chunks, parameters), parameters)
         prefilled = found.where("origin = 'regex'").select("target", F.col("metric_name").alias("metric"))
         open_ = R.context(shown.where("metric <> 'NII'"), ["target", "metric"]).join(prefilled, ["target", "metric"], "left_anti")

@@ -78,12 +78,13 @@ def global_row_ids(spark, sf_dir):
     return chunks.numbered(rows, ["bank_folder", "doc_id"]).select("bank_folder", "doc_id", "global_id")
 
 
-@query(r"""WITH d AS (SELECT doc_id, length(text) AS n FROM documents), w AS (
-SELECT doc_id, n, CASE WHEN n <= 3000 THEN [0] ELSE list_sort(list_distinct(list_concat([0, (n - 3000) // 2, n - 3000], list_transform(range(0, 4), lambda i: ((n - 3000) * i) // 3)))) END AS ws FROM d WHERE n > 0),
+@query(r"""WITH d AS (SELECT doc_id, length(text) AS n, greatest(ceil(length(text) / 3000.0)::BIGINT - 1, 1) AS steps FROM documents), w AS (
+SELECT doc_id, n, CASE WHEN n <= 3000 THEN [0] ELSE list_sort(list_distinct(list_concat([0, (n - 3000) // 2, n - 3000], list_transform(range(0, steps + 1), lambda i: ((n - 3000) * i) // steps)))) END AS ws FROM d WHERE n > 0),
 s AS (SELECT DISTINCT doc_id, n, w0 + st AS char_start FROM (SELECT doc_id, n, w0, unnest(range(0, least(3000, n - w0), 1200)) AS st FROM (SELECT doc_id, n, unnest(ws) AS w0 FROM w)))
 SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY char_start) - 1)::INT AS chunk_id, char_start::INT AS char_start, least(char_start + 1400, n)::INT AS char_end FROM s""")
 def full_coverage_windows(spark, sf_dir):
-    return chunks.covered(table(spark, sf_dir, "documents"), ["doc_id"], window=3000, windows=4).drop("text")
+    """Every character of every text is in a chunk: as many windows as leave no gap, and no limit on chunks."""
+    return chunks.covered(table(spark, sf_dir, "documents"), ["doc_id"], window=3000, windows=None, most=None).drop("text")
 
 
 @query(r"""WITH d AS (SELECT doc_id, length(text) AS n FROM documents), w AS (
@@ -92,7 +93,7 @@ s AS (SELECT DISTINCT doc_id, n, w0 + st AS char_start FROM (SELECT doc_id, n, w
 c AS (SELECT doc_id, n, char_start, row_number() OVER (PARTITION BY doc_id ORDER BY char_start) - 1 AS chunk_id FROM s)
 SELECT doc_id, chunk_id::INT AS chunk_id, char_start::INT AS char_start, least(char_start + 1400, n)::INT AS char_end FROM c WHERE chunk_id < 3000""")
 def full_coverage_production(spark, sf_dir):
-    """full_coverage_windows at the reference's sizes, which leave no gap in texts of up to 1.8 million characters."""
+    """full_coverage_windows with the mode's own limits, which leave no gap in texts of up to 1.8 million characters and 3000 chunks."""
     return chunks.covered(table(spark, sf_dir, "documents"), ["doc_id"]).drop("text")
 
 
@@ -585,6 +586,21 @@ def unit_guess(spark, sf_dir):
     return lines.select("doc_id", (F.col("i") + 1).alias("i"), T.guessed_unit(F.col("line")).alias("unit"))
 
 
+UNIT_PHRASES = ["(in thousands)", "(dollars in  millions)", "in billions", "( $ in", "thousands of dollars", "USD millions", "billions", "amounts (in millions)", "in Thousands and $ in millions", "$ 5", "(in ", ""]
+
+
+@query(rf"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+p AS (SELECT doc_id, i, lower(line || ' ' || ([{quoted(UNIT_PHRASES)}])[(doc_id + i) % {len(UNIT_PHRASES)} + 1] || CASE WHEN i % 5 = 0 THEN '  billions )' ELSE '' END) AS t FROM l),
+m AS (SELECT *, contains(t, 'dollar') OR contains(t, '$') OR contains(t, 'usd') AS money FROM p)
+SELECT doc_id, i::INT AS i, CASE WHEN contains(t, 'in thousands') OR regexp_matches(t, '[(]\s*([$]|dollars)?\s*in\s+thousands\s*[)]') THEN 'thousand' WHEN contains(t, 'in millions') OR regexp_matches(t, '[(]\s*([$]|dollars)?\s*in\s+millions\s*[)]') THEN 'million' WHEN contains(t, 'in billions') OR regexp_matches(t, '[(]\s*([$]|dollars)?\s*in\s+billions\s*[)]') THEN 'billion'
+WHEN money AND regexp_matches(t, '\bthousands\b') THEN 'thousand' WHEN money AND regexp_matches(t, '\bmillions\b') THEN 'million' WHEN money AND regexp_matches(t, '\bbillions\b') THEN 'billion' WHEN contains(t, '$') THEN 'dollars' ELSE 'NOT FOUND' END AS unit FROM m""")
+def unit_phrases(spark, sf_dir):
+    """The documents' lines as table heads, with each kind of phrase."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("i", "line")).withColumn("i", F.col("i") + 1)
+    phrase = F.element_at(F.array(*(F.lit(x) for x in UNIT_PHRASES)), ((F.col("doc_id") + F.col("i")) % len(UNIT_PHRASES) + 1).cast("int"))
+    return lines.select("doc_id", "i", T.guessed_unit(F.concat("line", F.lit(" "), phrase, F.when(F.col("i") % 5 == 0, "  billions )").otherwise(""))).alias("unit"))
+
+
 # contexts made of customers: the sentence patterns with numbers of the row
 STATEMENTS = """WITH c AS (SELECT c_custkey AS k, c_custkey * 37 % 900000 + 100000 AS nii, c_custkey % 900 + 100 AS nim, c_custkey % 300 + 100 AS roa, c_custkey % 1500 + 100 AS roe FROM customer)"""
 

@@ -88,11 +88,40 @@ def index_build(spark, sf_dir):
     return log.join(built, ["bank_folder", "stem"], "left").select("bank_folder", "stem", "num_vec", "status", F.coalesce("n", F.lit(0).cast("long")).alias("n_indexed"))
 
 
-@query("""SELECT s.t AS tab, s.c AS missing FROM (VALUES ('orders', 'o_comment'), ('orders', 'o_clerk'), ('part', 'p_size_2')) s(t, c)""")
+@query("""SELECT s.t AS tab, s.c AS missing, CASE s.t WHEN 'orders' THEN (SELECT count(*) FROM orders) ELSE (SELECT count(*) FROM part) END AS n_rows FROM (VALUES ('orders', 'o_comment'), ('orders', 'o_clerk'), ('part', 'p_size_2')) s(t, c)""")
 def required_columns(spark, sf_dir):
+    """The columns that a table lacks, and how many of its rows that concerns."""
     asked = {"orders": ["o_orderkey", "o_comment", "o_clerk"], "part": ["p_partkey", "p_size_2"], "nation": ["n_name"]}
-    rows = [(t, m) for t, names in asked.items() for m in checks.missing_columns(table(spark, sf_dir, t), names)]
-    return spark.createDataFrame(rows, "tab string, missing string")
+    out = None
+    for t, names in asked.items():
+        missing = F.array(*(F.lit(m) for m in checks.missing_columns(table(spark, sf_dir, t), names))).cast("array<string>")
+        rows = table(spark, sf_dir, t).agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("tab"), F.explode(missing).alias("missing"), "n_rows")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+# --- shards that arrive -------------------------------------------------------------------------------------------
+@query("""WITH v AS (SELECT o_custkey % 50 AS s, count(*) AS n FROM orders GROUP BY 1), m AS (SELECT c_custkey % 60 AS s, count(*) * 10 AS n FROM customer GROUP BY 1), d AS (SELECT DISTINCT c_custkey % 60 AS s FROM customer WHERE c_custkey % 60 % 7 <> 3)
+SELECT 'shard' AS bank_folder, coalesce(v.s, m.s)::VARCHAR AS stem, v.n AS num_vec, m.n AS num_meta, d.s IS NOT NULL AS is_done, CASE WHEN v.n IS NULL OR m.n IS NULL OR d.s IS NULL THEN 'waiting' WHEN v.n = m.n THEN 'ok' ELSE 'mismatch' END AS status
+FROM v FULL JOIN m ON v.s = m.s LEFT JOIN d ON d.s = coalesce(v.s, m.s)""")
+def tracked_shards(spark, sf_dir):
+    """Vectors arrive first, metadata and markers in a second run that goes on from the first one's checkpoint."""
+    from .streaming import completeness
+
+    own, at = completeness.session(spark), files.scratch(spark)
+    o, c = table(own, sf_dir, "orders"), table(own, sf_dir, "customer")
+    name = lambda k: [F.lit("shard").alias("bank_folder"), k.cast("string").alias("stem")]
+    at_time = lambda t: F.timestamp_seconds(F.lit(t)).alias("ts")
+    came = [
+        o.groupBy((F.col("o_custkey") % 50).alias("k")).agg(F.count("*").alias("n")).select(F.lit("vectors").alias("kind"), *name(F.col("k")), "n", at_time(100)),
+        c.groupBy((F.col("c_custkey") % 60).alias("k")).agg((F.count("*") * 10).alias("n")).select(F.lit("metadata").alias("kind"), *name(F.col("k")), "n", at_time(200)),
+        c.select((F.col("c_custkey") % 60).alias("k")).distinct().where("k % 7 <> 3").select(F.lit("done").alias("kind"), *name(F.col("k")), F.lit(None).cast("long").alias("n"), at_time(300)),
+    ]
+    for part in (came[:1], came[1:]):
+        for rows in part:
+            rows.write.mode("append").json(f"{at}/events")
+        completeness.track(completeness.events_stream(own, f"{at}/events"), f"{at}/log", f"{at}/state").awaitTermination()
+    return completeness.latest(spark.read.parquet(f"{at}/log"))
 
 
 @query("SELECT c_custkey, c_name FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 40")
@@ -243,9 +272,11 @@ def metric_query_bank(spark, sf_dir):
     return retrieval.metric_queries(spark, targets, 2024).select("target", "metric", "place", "text")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"({literal(m)}, {12 if m == 'NIM' else 10}, {60 if m in ('ROA', 'ROE') else 40}, {40 if m in ('ROA', 'ROE') else 8}, {12 if m in ('ROA', 'ROE') else 8}, {0.47 if m in ('ROA', 'ROE') else 0.5}::DOUBLE)" for m in V.METRICS) + ") v(metric, pool, asked, kept, shown, least)")
+@query("SELECT s_name AS target, v.* FROM supplier, (VALUES " + ", ".join(f"({literal(m)}, {12 if m == 'NIM' else 10}, {60 if m in ('ROA', 'ROE') else 40}, {40 if m in ('ROA', 'ROE') else 8}, {12 if m in ('ROA', 'ROE') else 8}, {0.47 if m in ('ROA', 'ROE') else 0.5}::DOUBLE)" for m in V.METRICS) + ") v(metric, pool, asked, kept, shown, least)")
 def metric_parameters(spark, sf_dir):
-    return retrieval.wants(spark)
+    """What each entity is asked for each metric."""
+    targets = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("target"))
+    return targets.crossJoin(F.broadcast(retrieval.wants(spark)))
 
 
 # five queries make a target's five metrics; documents of ten chunks, of which a third name the year

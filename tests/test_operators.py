@@ -196,3 +196,19 @@ def test_index(spark, tmp_path):
         checks.same_size(df, df.limit(1))
     found = checks.artifacts(spark.createDataFrame([("a/b.pdf",), ("b.pdf",)], "path string"), {"pdf": r"\.pdf$", "txt": r"\.txt$"})
     assert {r.stage: (r.n_files, r.first_path, r.present) for r in found.collect()} == {"pdf": (2, "b.pdf", True), "txt": (0, None, False)}
+
+
+def test_full_coverage_leaves_no_gap(spark):
+    """Every character of texts of any length is in a chunk."""
+    sizes = [1, 49, 99, 100, 101, 250, 1000, 1234, 5000, 30_001]
+    texts = spark.createDataFrame([(n, "x" * n) for n in [*sizes, 0]] + [(-1, None)], "doc_id int, text string")
+    got = {}
+    for r in chunks.covered(texts, ["doc_id"], window=100, windows=None, size=40, overlap=10, most=None).collect():
+        got.setdefault(r.doc_id, []).append((r.char_start, r.char_end))
+    for n in sizes:
+        at = 0
+        for a, b in sorted(got[n]):
+            assert a <= at
+            at = max(at, b)
+        assert at == n
+    assert set(got) == set(sizes)
