@@ -146,35 +146,56 @@ def split_stretch(raw: np.ndarray, owned: int, gram_hash: int, lengths: tuple[in
         yield key, a, b - a, min(b - a - 1 + lengths[-1], len(raw) - a)
 
 
-STRETCHES = "shard long, gram long, b1 long, b2 long, start long, owned long, several boolean, body binary"
+STRETCHES = "shard long, k1 long, k2 long, k3 long, at long, offset long, gram long, b1 long, b2 long, owned long, size long, several boolean, body binary"
+_STRING = ["k1", "k2", "k3", "at"]
 
 
 def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int) -> DataFrame:
-    """A row of STRETCHES for each stretch that is to be sorted; start: of a split stretch where the part begins."""
+    """A row of STRETCHES for each stretch that is to be sorted.
+
+    k1, k2, k3: the first stretch of its string; at: of a split stretch where the part begins; offset: where the stretch
+    begins in its string, whose bytes are with the first.
+    """
     names = [f.split()[0] for f in STRETCHES.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists, out, held = batch.column("parts"), [], 0
             ends, flat = lists.offsets.to_numpy(), lists.values
-            columns = ("start", "owned", "size", *_BODY, "several", "hot")
+            columns = ("start", "owned", "size", *_BODY, "several", "single", "hot")
             part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in (*columns, "sort")}
             for k, raw in _texts(batch):
                 mine = np.arange(ends[k], ends[k + 1])
                 mine = mine[part["sort"][mine]]
-                for start, windows, size, gram_hash, b1, b2, several, hot in zip(*(part[c][mine].tolist() for c in columns), strict=True):
+                mine = mine[np.argsort(part["start"][mine], kind="stable")]
+                string: list[tuple] = []  # stretches that follow each other: (start, owned, size, body)
+                for start, windows, size, *body, several, single, hot in zip(*(part[c][mine].tolist() for c in columns), strict=True):
+                    if string and not (single and string[-1][0] + string[-1][1] == start):
+                        held += add(out, raw, string)
+                        string = []
+                    if single:
+                        string.append((start, windows, size, body))
+                        continue
                     whole = raw[start : start + size]
-                    for key, at, owned, n in split_stretch(whole, windows, gram_hash, lengths, gram) if hot else [(gram_hash, 0, windows, size)]:
-                        out.append((key % shards, gram_hash, b1, b2, at, owned, several, whole[at : at + n].tobytes()))
+                    for key, at, owned, n in split_stretch(whole, windows, body[0], lengths, gram) if hot else [(body[0], 0, windows, size)]:
+                        out.append((key % shards, *body, at, 0, *body, owned, n, several, whole[at : at + n].tobytes()))
                         held += n
+                held += add(out, raw, string) if string else 0
                 if held > 8 << 20:
                     yield pack(out)
                     out, held = [], 0
             yield pack(out)
         common.release()
 
+    def add(out: list[tuple], raw: np.ndarray, string: list[tuple]) -> int:
+        first, key = string[0][0], string[0][3]
+        end = max(start + size for start, _, size, _ in string)
+        for start, owned, size, body in string:
+            out.append((key[0] % shards, *key, 0, start - first, *body, owned, size, True, raw[first:end].tobytes() if start == first else b""))
+        return end - first
+
     def pack(out: list[tuple]) -> pa.RecordBatch:
-        kinds = [*[pa.int64()] * 6, pa.bool_(), pa.binary()]
+        kinds = [*[pa.int64()] * 11, pa.bool_(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)], names)
 
     return texts.mapInArrow(run, STRETCHES)
@@ -193,8 +214,7 @@ def repeats(parts: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
         text_file.flush(), owned_file.flush()
         text, owned = (np.asarray(np.memmap(f, kind, "r")) for f, kind in ((text_file, np.uint16), (owned_file, np.uint8)))
         flags = repeated_starts(text, 258, lengths, Space(os.path.dirname(text_file.name)), owned)
-        *body, start, windows, size = (np.array([r[i] for r in rows], np.int64) for i in range(6))
-        begin = np.cumsum(size + 1) - size - 1
+        *body, start, windows, size, begin = (np.array([r[i] for r in rows], np.int64) for i in range(7))
         for flag, length in zip(flags, lengths, strict=True):
             at = np.flatnonzero(flag)
             row = np.searchsorted(begin, at, "right") - 1
@@ -210,25 +230,37 @@ def repeats(parts: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as folder:
-            now, files, rows = None, None, []
+            now, files, rows, string, held, flags = None, None, [], None, 0, 0
+
+            def ended() -> None:
+                """The string is over: what of it is not owned, and the separator."""
+                if string is not None:
+                    files[1].write(bytes(held - flags))
 
             def closed() -> Iterator[pa.RecordBatch]:
                 if files:
+                    ended()
                     yield from solve(*files, rows)
                 for f in files or ():
                     f.close()
                     os.unlink(f.name)
 
             for batch in batches:
-                for shard, gram, b1, b2, start, owned, several, body in zip(*(batch.column(c).to_pylist() for c in ("shard", *_BODY, "start", "owned", "several", "body")), strict=True):
+                for shard, *key, offset, gram, b1, b2, owned, size, several, body in zip(*(batch.column(f.split()[0]).to_pylist() for f in STRETCHES.split(", ")), strict=True):
                     if shard != now:
                         yield from closed()
-                        now, rows, files = shard, [], [open(os.path.join(folder, f"{shard}{x}"), "w+b") for x in "to"]  # noqa: SIM115
-                    if rows and rows[-1][:4] == (gram, b1, b2, start):
+                        now, rows, string, held, flags = shard, [], None, 0, 0
+                        files = [open(os.path.join(folder, f"{shard}{x}"), "w+b") for x in "to"]  # noqa: SIM115
+                    if key != string:
+                        ended()
+                        flags, string = held, key
+                        files[0].write((np.frombuffer(body, np.uint8).astype(np.uint16) + np.uint16(2)).tobytes() + _SEPARATOR)
+                        begin, held = held, held + len(body) + 1
+                    elif offset + begin != flags:
                         continue  # a repeated row of one text
-                    files[0].write((np.frombuffer(body, np.uint8).astype(np.uint16) + np.uint16(2)).tobytes() + _SEPARATOR)
-                    files[1].write((b"\2" if several else b"\1") * owned + bytes(len(body) + 1 - owned))
-                    rows.append((gram, b1, b2, start, owned, len(body)))
+                    files[1].write((b"\2" if several else b"\1") * owned)
+                    flags += owned
+                    rows.append((gram, b1, b2, key[3], owned, size, begin + offset))
             yield from closed()
         common.release()
 
@@ -267,20 +299,21 @@ def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_b
     discard(own, often)
     place = F.struct(*_KEY, "start")
     bodies = written(repeated.groupBy(*_BODY).agg(F.count("*").alias("n"), F.min(place).alias("one")), "bodies")
-    split = written(bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where(F.col("bodies") > hot).select("gram", F.lit(True).alias("hot")), "hot")
-    known = bodies.join(split, "gram", "left").select(*_BODY, "one", (F.col("n") > 1).alias("several"), F.coalesce("hot", F.lit(False)).alias("hot"))
-    part = F.struct("start", "owned", "size", *_BODY, "several", (place == F.col("one")).alias("sort"), "hot")
+    differ = written(bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where("bodies > 1"), "differ")
+    known = bodies.join(differ, "gram", "left").select(*_BODY, "one", (F.col("n") > 1).alias("several"), F.col("bodies").isNull().alias("single"), (F.coalesce("bodies", F.lit(1)) > hot).alias("hot"))
+    part = F.struct("start", "owned", "size", *_BODY, "several", (place == F.col("one")).alias("sort"), "single", "hot")
     placed = repeated.join(known.hint("shuffle_hash"), _BODY).select("doc_id", *_KEY, part.alias("part"))
     # one row stands for all with its text
     wanted = placed.groupBy(*_KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.collect_set("part").alias("parts"))
     a, b = long.alias("a"), wanted.alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
     texts = written(a.join(b, same).select("a.h1", "a.h2", "text", F.expr("n div size(parts)").alias("copies"), "parts"), "repeats")
-    discard(repeated, bodies, split)
-    total = texts.agg(F.sum(F.expr("aggregate(parts, 0L, (s, p) -> s + if(p.sort, p.size, 0L))"))).first()[0] or 0
+    discard(repeated, bodies, differ)
+    # of strings of several stretches the owned bytes count, and at least one has more
+    total = texts.agg(F.sum(F.expr("aggregate(parts, 0L, (s, p) -> s + if(p.sort, if(p.single, p.owned, p.size), 0L))"))).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, MAX_TASKS))
-    dealt = stretches(texts, shards, lengths, gram).repartition(tasks, "shard").sortWithinPartitions("shard", *_BODY, "start")
+    dealt = stretches(texts, shards, lengths, gram).repartition(tasks, "shard").sortWithinPartitions("shard", *_STRING, "offset")
     found = written(repeats(dealt, lengths).groupBy(*_BODY).agg(*(F.collect_set(F.when(F.col("length") == n, F.struct("start", "end"))).alias(f"found_{n}") for n in lengths)), "found")
     # every occurrence of a stretch takes what the order shows for it
     each = texts.select(*_KEY, "copies", "parts").dropDuplicates(_KEY).select(*_KEY, "copies", F.explode("parts").alias("p")).select(*_KEY, "copies", "p.start", *(f"p.{c}" for c in _BODY))
