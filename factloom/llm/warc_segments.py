@@ -19,7 +19,8 @@ records of their own; an empty table gives no rows; further columns of the input
 are ignored. A record whose segments are not complete, whose length or whose
 digest is wrong gets `error` instead of a payload when it is read. So does what is
 no record, or is cut off: reading goes on at the next line that begins a record.
-Files may be one gzip stream or one for each record.
+Files may be one gzip stream or one for each record; they are inflated and parsed
+in parts, so that beside a file's compressed bytes one record is held.
 """
 
 from __future__ import annotations
@@ -38,8 +39,10 @@ from .common import discard, written
 
 SEGMENT = 16 << 10
 CHUNK = 4 << 10
-#: Bytes of payload in one archive file, about: a file is read by one task as a whole.
+#: Bytes of payload in one archive file, about.
 FILE_BYTES = 16 << 20
+#: Bytes that are inflated at a time, and that a record's header may have.
+PART, HEADER = 1 << 20, 1 << 20
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -144,44 +147,100 @@ def write_archives(pages: DataFrame, path: str, min_revisit: int = 0, segment: i
     discard(linked)
 
 
-def inflated(content: bytes) -> tuple[bytes, bool]:
-    """All members of a gzip file, and whether they are whole."""
-    out = []
-    while content:
-        stream = zlib.decompressobj(31)
-        try:
-            out.append(stream.decompress(content))
-        except zlib.error:
-            return b"".join(out), False
-        if not stream.eof:
-            return b"".join(out), False
-        content = stream.unused_data.lstrip(b"\0")
-    return b"".join(out), True
-
-
-_BEGIN = re.compile(rb"(?:\A|\r\n)WARC/\d")
-
-
-def parse(raw: bytes) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
-    """Headers, block and error of each record of an archive."""
-    at = 0
-    while at < len(raw):
-        if raw[at : at + 2] == b"\r\n":
-            at += 2
+class Damaged(ValueError):
+    """A gzip file that ends early or is not one."""
+
+
+def inflated(content, part: int = PART) -> Iterator[bytes]:
+    """All members of a gzip file, in parts of bounded size; Damaged at the first fault."""
+    left = memoryview(content)
+    while len(left):
+        stream, rest = zlib.decompressobj(31), b""
+        while not stream.eof:
+            if not rest and not len(left):
+                raise Damaged
+            if not rest:
+                rest, left = left[:part], left[part:]
+            try:
+                out = stream.decompress(rest, part)
+            except zlib.error:
+                raise Damaged from None
+            rest = stream.unconsumed_tail
+            if out:
+                yield out
+        back = len(stream.unused_data)
+        at = len(content) - len(left) - back
+        while at < len(content) and content[at] == 0:
+            at += 1
+        left = memoryview(content)[at:]
+
+
+class Window:
+    """The part of a stream that is being read."""
+
+    def __init__(self, parts: Iterator[bytes]):
+        self.parts, self.held, self.at, self.is_open, self.is_sound = iter(parts), b"", 0, True, True
+
+    def fill(self, n: int) -> bool:
+        """Holds n bytes from here on, if there are as many."""
+        found, size = [self.held[self.at :]], len(self.held) - self.at
+        if size >= n:
+            return True
+        while size < n and self.is_open:
+            try:
+                found.append(next(self.parts))
+                size += len(found[-1])
+            except StopIteration:
+                self.is_open = False
+            except Damaged:
+                self.is_open = self.is_sound = False
+        self.held, self.at = b"".join(found), 0
+        return size >= n
+
+    def find(self, what: bytes, most: int) -> int:
+        """Where `what` begins, as far from here as given; -1 if it doesn't within `most` bytes."""
+        n = PART
+        while True:
+            more = self.fill(min(n, most))
+            found = self.held.find(what, self.at, self.at + most)
+            if found >= 0 or not more or n >= most:
+                return found - self.at if found >= 0 else -1
+            n *= 2
+
+    def take(self, n: int) -> bytes:
+        self.fill(n)
+        out = self.held[self.at : self.at + n]
+        self.at += len(out)
+        return out
+
+
+_BEGIN = re.compile(rb"\r\nWARC/\d")
+
+
+def parse(stream: Window) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Headers, block and error of each record of an archive. What is held is a record's block, or a header of at most HEADER bytes."""
+    while stream.fill(1):
+        if stream.fill(2) and stream.held[stream.at : stream.at + 2] == b"\r\n":
+            stream.at += 2
             continue
-        end = raw.find(b"\r\n\r\n", at)
-        lines = raw[at : max(at, end)].split(b"\r\n")
+        end = stream.find(b"\r\n\r\n", HEADER)
+        lines = stream.held[stream.at : stream.at + max(0, end)].split(b"\r\n")
         head = {k.strip().decode("utf-8", "replace").lower(): v.strip().decode("utf-8", "replace") for k, _, v in (x.partition(b":") for x in lines[1:])}
         size = head.get("content-length", "")
         if end < 0 or not lines[0].startswith(b"WARC/") or not (size.isascii() and size.isdigit()) or not {"warc-type", "warc-record-id"} <= head.keys():
             yield head, b"", "no record"
-            following = _BEGIN.search(raw, at + 1)
-            at = following.start() if following else len(raw)
+            stream.at += 1
+            while stream.fill(8):  # on to the next line that begins a record
+                following = _BEGIN.search(stream.held, stream.at)
+                stream.at = following.start() if following else len(stream.held) - 7
+                if following:
+                    break
+            else:
+                stream.at = len(stream.held)
             continue
-        n = int(size)
-        block = raw[end + 4 : end + 4 + n]
-        yield head, block, None if len(block) == n else "block cut off"
-        at = end + 4 + n
+        stream.at += end + 4
+        block = stream.take(int(size))
+        yield head, block, None if len(block) == int(size) else "block cut off"
 
 
 RECORDS = "type string, id string, page_id long, url string, digest string, refers_to string, origin string, number int, total long, segmented boolean, block binary, error string"
@@ -209,15 +268,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
-                raw, sound = inflated(content.as_py())
-                rows, held = [], 0
-                for head, block, error in parse(raw):
+                stream, rows, held = Window(inflated(content.as_buffer())), [], 0
+                for head, block, error in parse(stream):
                     rows.append(row(head, block, error))
                     held += len(block)
                     if held > 4 << 20:
                         yield pack(rows)
                         rows, held = [], 0
-                if not sound:
+                if not stream.is_sound:
                     rows.append(row({}, b"", "damaged file"))
                 yield pack(rows)
 

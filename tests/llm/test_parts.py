@@ -188,7 +188,7 @@ def test_chunked_framing(text, size):
 def test_records_parse():
     page = warc_segments.records_of("1", 7, "http://x/", "D", "é" * 500 + "\r\n\r\nWARC/1.1", None, 200)
     raw = "".join(r + warc_segments.END for r in page).encode()
-    found = list(warc_segments.parse(raw))
+    found = list(warc_segments.parse(warc_segments.Window([raw])))
     assert len(found) == len(page) > 3 and found[-1][0]["warc-segment-total-length"] == str(sum(len(b) for _, b, _ in found))
 
 
@@ -333,3 +333,24 @@ def test_grams_by_hand(text):
         for a in range(1 if n == 1 else 0, len(raw) - n + 1):
             want[((int.from_bytes(raw[a : a + n], "big") * 2654435761 + salt) % (1 << 32)) >> (33 - langid.DIMS.bit_length())] += 1
     assert langid.grams(text).tolist() == want.tolist()
+
+
+@pytest.mark.parametrize("part", [1, 7, 1000])
+def test_records_parse_in_parts(monkeypatch, part):
+    """What parts a stream comes in makes no difference; damage after the first member costs what follows."""
+    import gzip
+
+    record = lambda k, body: b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <%d>\r\nContent-Length: %d\r\n\r\n" % (k, len(body)) + body + b"\r\n\r\n"  # noqa: E731, UP031
+    raw = [record(1, b"one"), b"junk\r\nWARC/x\r\n", record(2, b"\r\n\r\nWARC/1 inside"), b"WARC/1.0\r\nno: length\r\n\r\n", record(3, b""), record(4, b"cut off")[:-8]]
+    whole = list(warc_segments.parse(warc_segments.Window([b"".join(raw)])))
+    assert [(h.get("warc-record-id"), b, e) for h, b, e in whole if e is None or b] == [("<1>", b"one", None), ("<2>", b"\r\n\r\nWARC/1 inside", None), ("<3>", b"", None), ("<4>", b"cut", "block cut off")]
+    monkeypatch.setattr(warc_segments, "PART", part)
+    joined = b"".join(raw)
+    assert list(warc_segments.parse(warc_segments.Window(joined[a : a + part] for a in range(0, len(joined), part)))) == whole
+    content = b"".join(gzip.compress(x) for x in raw) + b"\0\0"
+    stream = warc_segments.Window(warc_segments.inflated(content, part))
+    assert list(warc_segments.parse(stream)) == whole and stream.is_sound
+    bad = warc_segments.Window(warc_segments.inflated(gzip.compress(raw[0]) + gzip.compress(raw[2])[:-9], part))
+    assert [h.get("warc-record-id") for h, _, _ in warc_segments.parse(bad)][:1] == ["<1>"] and not bad.is_sound
+    none = warc_segments.Window(warc_segments.inflated(b"no gzip at all", part))
+    assert list(warc_segments.parse(none)) == [] and not none.is_sound
