@@ -36,10 +36,19 @@ def shard_totals(counts: DataFrame) -> DataFrame:
     return counts.agg(F.count("*").alias("items"), F.count_if(F.col("status") != "ok").alias("bad"))
 
 
+def sizes(index: DataFrame, metadata: DataFrame, by: list[str]) -> DataFrame:
+    """n_vectors and n_metadata of each group on either side, and whether they agree."""
+    a, b = index.groupBy(*by).agg(F.count("*").alias("n_vectors")), metadata.groupBy(*by).agg(F.count("*").alias("n_metadata"))
+    out = a.join(b, by, "full_outer").fillna(0, ["n_vectors", "n_metadata"])
+    return out.withColumn("agrees", F.col("n_vectors") == F.col("n_metadata"))
+
+
 def same_size(index: DataFrame, metadata: DataFrame) -> None:
-    a, b = index.count(), metadata.count()
-    if a != b:
-        raise ValueError(f"index has {a} rows, metadata {b}")
+    """An error where an index and its metadata have other numbers of rows."""
+    one = [F.lit(0).alias("all")]
+    bad = sizes(index.select(*one), metadata.select(*one), ["all"]).where("NOT agrees").first()
+    if bad:
+        raise ValueError(f"index has {bad.n_vectors} rows, metadata {bad.n_metadata}")
 
 
 def stages_of(year: int) -> dict[str, list[str]]:

@@ -321,13 +321,15 @@ f AS (SELECT *, row_number() OVER (PARTITION BY target, metric, bank, stem, chun
 t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY target, metric ORDER BY score DESC, query_place, rank) AS place FROM f WHERE n = 1) WHERE place <= kept)""" + _neighbours("target, metric", 2)
 
 
-def _per_metric(spark, sf_dir, by_chunk_alone: bool = False) -> tuple[DataFrame, DataFrame]:
+def _per_metric(spark, sf_dir, by_chunk_alone: bool = False, every: bool = False) -> tuple[DataFrame, DataFrame]:
     parameters = spark.createDataFrame([(m, 30 if i % 2 else 50, 4 + i, 3 + i, 0.3 + i / 20) for i, m in enumerate(V.METRICS)], "metric string, asked int, kept int, shown int, least double")
     hits = _metric_hits(spark, sf_dir).withColumn("place", F.col("target")).drop("arrival")
     # two targets, each the union of several queries; a target matches its own bank's names, and bank1 for both
     both = F.col("place") % 2
     hits = hits.withColumn("target", F.concat(F.lit("bank"), (2 + both).cast("string")))
     hits = hits.withColumn("owner", F.when(F.col("bank") == "bank1", F.col("target")).otherwise(F.col("bank")))
+    if every:  # the banks of even and of odd labels are two groups, so all banks are some target's
+        hits = hits.withColumn("owner", F.concat(F.lit("bank"), (2 + F.substring("bank", 5, 9).cast("int") % 2).cast("string")))
     named = hits.withColumnRenamed("bank", "real").withColumnRenamed("owner", "bank")
     out = named.withColumn("bank", F.when(retrieval.same_entity(F.col("bank"), F.col("target"), bare=True), F.col("real"))).where("bank is not null").drop("real")
     # the entity filter inside compares names, so the target is put in front of the bank's
@@ -342,6 +344,60 @@ def per_metric_retrieval(spark, sf_dir):
     return _per_metric(spark, sf_dir)[0].select("target", "metric", "bank", "stem", "chunk_id", F.round("score", 5).alias("score"), "place")
 
 
+_EVERY = _PER_METRIC.replace("bank IN ('bank1', 'bank' || (2 + k.target % 2))", "substring(bank, 5)::INT % 2 = k.target % 2")
+
+
+@query(_EVERY + " SELECT 'bank' || (2 + target) AS target, metric, bank, stem, chunk_id, round(score, 5) AS score, pos::INT AS place FROM z")
+def per_metric_every_bank(spark, sf_dir):
+    return _per_metric(spark, sf_dir, every=True)[0].select("target", "metric", "bank", "stem", "chunk_id", F.round("score", 5).alias("score"), "place")
+
+
+@query(_EVERY.replace("PARTITION BY target, metric, bank, stem, chunk_id ORDER BY score DESC, query_place, rank) AS n FROM l)", "PARTITION BY target, metric, chunk_id ORDER BY score DESC, query_place, rank) AS n FROM l WHERE chunk_id <> 0)") + " SELECT 'bank' || (2 + target) AS target, metric, bank, stem, chunk_id, round(score, 5) AS score, pos::INT AS place FROM z")
+def per_metric_older_key(spark, sf_dir):
+    """Hits told apart by their chunk's number alone, as older results have it."""
+    return _per_metric(spark, sf_dir, True, True)[0].select("target", "metric", "bank", "stem", "chunk_id", F.round("score", 5).alias("score"), "place")
+
+
+_PROMPT_ROWS = "(SELECT c_custkey AS k, 'balance ' || c_name || chr(10) || c_mktsegment || ' \"quoted\" {braces}' AS context, 2000 + c_custkey % 30 AS y FROM customer)"
+
+
+def _prompt_sql(build, *marks: str) -> str:
+    """A prompt's text with its variable parts put in by SQL. Marks are what `build` is called with."""
+    out = literal(build(*marks))
+    for mark, column in (("@C@", "context"), ("4711", "y::VARCHAR"), ("@Q@", "'Which figures of ' || y || '?'")):
+        out = f"replace({out}, '{mark}', {column})"
+    return f"md5({out})"
+
+
+@query(f"""SELECT k, {_prompt_sql(lambda c, y: extraction.one_metric_prompt("NIM", c, int(y)), "@C@", "4711")} AS one_metric, {_prompt_sql(lambda q, c, y: extraction.many_metrics_prompt(q, c, int(y)), "@Q@", "@C@", "4711")} AS many_metrics,
+{_prompt_sql(lambda q, c, y: extraction.strict_prompt(q, c, int(y)), "@Q@", "@C@", "4711")} AS strict, {_prompt_sql(lambda c, y: extraction.loose_nii_prompt(c, int(y)), "@C@", "4711")} AS loose_nii, {_prompt_sql(lambda c, y: extraction.repair_prompt(c, "ROE", int(y)), "@C@", "4711")} AS repair FROM {_PROMPT_ROWS}""")
+def prompts(spark, sf_dir):
+    """Each kind of prompt for each customer's context."""
+    c = table(spark, sf_dir, "customer")
+    rows = c.select(F.col("c_custkey").alias("k"), F.concat(F.lit("balance "), "c_name", F.lit("\n"), "c_mktsegment", F.lit(' "quoted" {braces}')).alias("context"), (F.col("c_custkey") % 30 + 2000).cast("int").alias("y"))
+    question = F.concat(F.lit("Which figures of "), F.col("y").cast("string"), F.lit("?"))
+    X = extraction  # noqa: N806
+    kinds = {
+        "one_metric": (lambda c, y, q: X.one_metric_prompt("NIM", c, y)), "many_metrics": (lambda c, y, q: X.many_metrics_prompt(q, c, y)), "strict": (lambda c, y, q: X.strict_prompt(q, c, y)),
+        "loose_nii": (lambda c, y, q: X.loose_nii_prompt(c, y)), "repair": (lambda c, y, q: X.repair_prompt(c, "ROE", y)),
+    }
+    return rows.select("k", *(F.md5(F.udf(f, "string", useArrow=True)("context", "y", question)).alias(name) for name, f in kinds.items()))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '/data/' || p_name WHEN 1 THEN 's3://b/' || p_name WHEN 2 THEN 'file:' || p_name ELSE '/root/of/it/in/' || p_name END AS path FROM part")
+def resolved_paths(spark, sf_dir):
+    k = F.col("p_partkey") % 4
+    path = F.concat(F.when(k == 0, "/data/").when(k == 1, "s3://b/").when(k == 2, "file:").otherwise("in/"), "p_name")
+    return table(spark, sf_dir, "part").select("p_partkey", files.resolved_path("/root/of/it/", path).alias("path"))
+
+
+@query("SELECT label, count(*) AS n_vectors, count(*) FILTER (WHERE vec_id % 11 <> 0) AS n_metadata, count(*) = count(*) FILTER (WHERE vec_id % 11 <> 0) AS agrees FROM embeddings GROUP BY label")
+def index_sizes(spark, sf_dir):
+    """Vectors and metadata rows of each entity's index, and whether they agree."""
+    v = table(spark, sf_dir, "embeddings").select("label", "vec_id")
+    return checks.sizes(v, v.where("vec_id % 11 <> 0"), ["label"])
+
+
 @query(_PER_METRIC + f", e AS (SELECT z.*, w.shown FROM z JOIN {_PARAMETERS} ON w.metric = z.metric) SELECT 'bank' || (2 + target) AS target, metric, count(*) AS n_blocks, max(pos)::INT AS last FROM e WHERE pos <= shown GROUP BY 1, 2")
 def evidence_cap(spark, sf_dir):
     hits, parameters = _per_metric(spark, sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import stores
@@ -122,6 +122,11 @@ def resolved(root: str, path: str) -> str:
     return path if path.startswith("/") or "://" in path or path.startswith("file:") else f"{root.rstrip('/')}/{path}"
 
 
+def resolved_path(root: str, path: Column) -> Column:
+    """`resolved` for a column of paths."""
+    return F.when(path.rlike("^/|://|^file:"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+
+
 def limited(rows: DataFrame, most: int | None, order: list[str]) -> DataFrame:
     """The first `most` rows in order; all without a number. For inputs of which a run shall take a part, as asked."""
     return rows if most is None else rows.orderBy(*order).limit(most)
