@@ -201,6 +201,25 @@ def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int
     return texts.mapInArrow(run, STRETCHES)
 
 
+def sorted_bytes(texts: DataFrame) -> DataFrame:
+    """n: the bytes that `stretches` sends to be sorted, for each batch of texts (but for stretches that are split)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("parts")
+            flat = lists.values
+            part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "owned", "size", "sort", "single")}
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            mine = np.flatnonzero(part["sort"])
+            mine = mine[np.lexsort((part["start"][mine], row[mine]))]
+            start, owned, size, single, row = part["start"][mine], part["owned"][mine], part["size"][mine], part["single"][mine], row[mine]
+            goes_on = np.zeros(len(mine), bool)
+            goes_on[:-1] = single[:-1] & single[1:] & (row[:-1] == row[1:]) & (start[:-1] + owned[:-1] == start[1:])
+            yield pa.RecordBatch.from_arrays([pa.array([int(np.where(goes_on, owned, size).sum())], pa.int64())], ["n"])
+
+    return texts.select("parts").mapInArrow(run, "n long")
+
+
 _SEPARATOR = np.uint16(1).tobytes()
 FOUND = "gram long, b1 long, b2 long, length int, start long, end long"
 
@@ -309,8 +328,7 @@ def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_b
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
     texts = written(a.join(b, same).select("a.h1", "a.h2", "text", F.expr("n div size(parts)").alias("copies"), "parts"), "repeats")
     discard(repeated, bodies, differ)
-    # of strings of several stretches the owned bytes count, and at least one has more
-    total = texts.agg(F.sum(F.expr("aggregate(parts, 0L, (s, p) -> s + if(p.sort, if(p.single, p.owned, p.size), 0L))"))).first()[0] or 0
+    total = sorted_bytes(texts).agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, MAX_TASKS))
     dealt = stretches(texts, shards, lengths, gram).repartition(tasks, "shard").sortWithinPartitions("shard", *_STRING, "offset")
