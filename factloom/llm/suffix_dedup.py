@@ -207,7 +207,7 @@ def sorted_bytes(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("parts")
-            flat = lists.values
+            flat = lists.flatten()
             part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "owned", "size", "sort", "single")}
             row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
             mine = np.flatnonzero(part["sort"])
