@@ -176,13 +176,13 @@ def repair(rows: DataFrame) -> DataFrame:
     kind = rows.schema["conv_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("conv_id", id_type), *((x.split()[0], pa.string() if x.endswith("string") else pa.int64()) for x in RESULT.split(", "))])
-        made, size, key, now = [], 0, None, None
+        made, size, key, now, schema = [], 0, None, None, None
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*made, strict=True), schema, strict=True)], schema=schema)
 
         for b in batches:
+            schema = pa.schema([("conv_id", b.schema.field("conv_id").type), *((x.split()[0], pa.string() if x.endswith("string") else pa.int64()) for x in RESULT.split(", "))])
             columns = (b.column(c).to_pylist() for c in ("conv_id", "turn", "role", "text", "copies", "is_blank", "is_repeat", "is_cut_off"))
             for conv_id, turn, role, text, copies, is_blank, is_repeat, is_cut_off in zip(*columns, strict=True):
                 if now is None or conv_id != key:
@@ -199,5 +199,4 @@ def repair(rows: DataFrame) -> DataFrame:
             made.append((key, *now.result()))
             yield block()
 
-    id_type = pa.int32() if kind == "int" else pa.string() if kind == "string" else pa.int64()
     return faulty(rows).mapInArrow(run, f"conv_id {kind}, {RESULT}")
