@@ -22,10 +22,13 @@ def entity_key(name: Column, bare: bool = False) -> Column:
 
 def same_entity(a: Column, b: Column, bare: bool = False, least: int = 8) -> Column:
     """Equal, one the start of the other, or one within the other if that has `least` characters."""
-    x, y = entity_key(a, bare), entity_key(b, bare)
-    return (x != "") & (y != "") & (
-        F.startswith(x, y) | F.startswith(y, x) | (F.contains(x, y) & (F.length(y) >= least)) | (F.contains(y, x) & (F.length(x) >= least))
-    )
+
+    def same(k: Column) -> Column:
+        x, y = k["x"], k["y"]
+        return (x != "") & (y != "") & (F.startswith(x, y) | F.startswith(y, x) | (F.contains(x, y) & (F.length(y) >= least)) | (F.contains(y, x) & (F.length(x) >= least)))
+
+    # the keys are bound once, or the generated code would hold each of them many times
+    return F.transform(F.array(F.struct(entity_key(a, bare).alias("x"), entity_key(b, bare).alias("y"))), same)[0]
 
 
 def entity_pairs(left: DataFrame, right: DataFrame, a: str, b: str, bare: bool = False, least: int = 8) -> DataFrame:
