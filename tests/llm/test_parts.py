@@ -354,3 +354,16 @@ def test_records_parse_in_parts(monkeypatch, part):
     assert [h.get("warc-record-id") for h, _, _ in warc_segments.parse(bad)][:1] == ["<1>"] and not bad.is_sound
     none = warc_segments.Window(warc_segments.inflated(b"no gzip at all", part))
     assert list(warc_segments.parse(none)) == [] and not none.is_sound
+
+
+def test_multiplicities_in_the_suffix_order():
+    """A suffix that stands for several is repeated by itself; one that is not owned makes nothing repeated."""
+    rng = np.random.default_rng(8)
+    for n, length in ((1, 1), (30, 2), (200, 4), (700, 7)):
+        text = np.append(rng.integers(1, 4, n), 0).astype(np.uint16)
+        owned = rng.integers(0, 3, n + 1).astype(np.uint8)
+        owned[-1] = 0
+        (found,) = induced_sort.repeated_starts(text, 4, (length,), induced_sort.Space(), owned)
+        starts = {i: tuple(text[i : i + length]) for i in range(n - length + 1)}
+        same = Counter(s for i, s in starts.items() if owned[i])
+        assert all(bool(found[i]) == bool(owned[i] and (owned[i] > 1 or same[s] > 1)) for i, s in starts.items())
