@@ -61,10 +61,11 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 50, tie: str = "vec_i
     return out.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column, want: Column | int, first_k: int = 200, most_k: int = 20_000, tie: str = "vec_id", digits: int | None = None) -> DataFrame:
+def adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column | DataFrame, want: Column | int, first_k: int = 200, most_k: int = 20_000, tie: str = "vec_id", digits: int | None = None) -> DataFrame:
     """`adaptive_k` without ranking what it doesn't need: the entity's `want` best rows come from its own rows alone, and one pass over all vectors counts what is ahead of each.
 
-    queries: query_id, query and columns that entity and want name. `want` is at most products.KEPT over the queries of a block.
+    queries: query_id, query and columns that entity and want name. entity: a condition, or a table of which query_id goes with
+    which values of some of the vectors' columns, which is joined by equality. `want` is at most products.KEPT over the queries of a block.
     """
     parts = [_adaptive_top_k(part, vectors, entity, want, first_k, most_k, tie, digits) for part in blocks(queries)]
     out = parts[0]
@@ -73,9 +74,13 @@ def adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column, want:
     return out
 
 
-def _adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column, want: Column | int, first_k: int, most_k: int, tie: str, digits: int | None) -> DataFrame:
+def _adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column | DataFrame, want: Column | int, first_k: int, most_k: int, tie: str, digits: int | None) -> DataFrame:
     # the rows of the entities asked for are scored pair by pair; a filter on the vectors alone reaches their scan
-    pairs = vectors.join(F.broadcast(queries), entity).withColumn("score", products.inner(F.col("embedding"), F.col("query"))).drop("embedding", "query")
+    if isinstance(entity, DataFrame):
+        pairs = vectors.join(entity, [c for c in entity.columns if c != "query_id"]).join(F.broadcast(queries), "query_id").select(*vectors.columns, *queries.columns)
+    else:
+        pairs = vectors.join(F.broadcast(queries), entity)
+    pairs = pairs.withColumn("score", products.inner(F.col("embedding"), F.col("query"))).drop("embedding", "query")
     pairs = (pairs.withColumn("score", F.round("score", digits)) if digits is not None else pairs).where("score IS NOT NULL")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), tie))
     own = scratch.written(pairs.withColumn("place", place).where(F.col("place") <= want), "adaptive")

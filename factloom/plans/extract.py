@@ -27,7 +27,9 @@ def extract(banks: list[str] | DataFrame, chunks: DataFrame, year: int, model=No
     pool_queries = queries.where("place = 0")
     asked = pool_queries.join(F.broadcast(parameters.select("metric", "pool")), "metric").select("query_id", "target", "metric", "pool", embed(F.col("text")).alias("query"))
     known = chunks.withColumn("vec_id", F.struct("bank", "stem", "chunk_id"))
-    own = W.adaptive_top_k(asked, known, R.same_entity(F.col("bank"), F.col("target")), F.col("pool"), first_k, most_k, "vec_id", 9).drop("vec_id", "pool")
+    # which banks a target's name goes with is found on the names alone
+    named = R.entity_pairs(known.select("bank").distinct(), targets.distinct(), "bank", "target").join(asked.select("query_id", "target"), "target").select("bank", "query_id")
+    own = W.adaptive_top_k(asked, known, named, F.col("pool"), first_k, most_k, "vec_id", 9).drop("vec_id", "pool")
     arrival = F.array_position(F.array(*[F.lit(m) for m in X.V.METRICS]), F.col("metric")).cast("int")
     pool = R.pooled(own.withColumn("arrival", arrival), chunks, year)
     contexts = R.context(pool, ["target"])
