@@ -146,7 +146,7 @@ def word_digests(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     at = np.repeat(start[others] - to, n) + np.arange(int(n.sum()))
     wrong = np.flatnonzero(data[at] != data[at + np.repeat(start[like[others]] - start[others], n)])
     odd = np.union1d(others[np.unique(np.searchsorted(to, wrong, side="right") - 1)], np.flatnonzero(size != size[like]))
-    if len(_digests) > 400_000:
+    if len(_digests) > 200_000:
         _digests.clear()
 
     def digest(i: int) -> bytes:
@@ -220,6 +220,8 @@ def release() -> None:
     """Gives memory that this worker holds free back to the system: a worker lives on after its task, and several share an executor."""
     import pyarrow as pa
 
+    _digests.clear()
+    _powers.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -181,7 +181,7 @@ def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int
                         out.append((key % shards, *body, at, 0, *body, owned, n, several, whole[at : at + n].tobytes()))
                         held += n
                 held += add(out, raw, string) if string else 0
-                if held > 8 << 20:
+                if held > 4 << 20 or len(out) > 1 << 14:
                     yield pack(out)
                     out, held = [], 0
             yield pack(out)
