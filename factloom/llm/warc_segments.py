@@ -199,13 +199,14 @@ class Window:
 
     def find(self, what: bytes, most: int) -> int:
         """Where `what` begins, as far from here as given; -1 if it doesn't within `most` bytes."""
-        n = PART
         while True:
-            more = self.fill(min(n, most))
             found = self.held.find(what, self.at, self.at + most)
-            if found >= 0 or not more or n >= most:
-                return found - self.at if found >= 0 else -1
-            n *= 2
+            if found >= 0:
+                return found - self.at
+            size = len(self.held) - self.at
+            if size >= most or not self.is_open:
+                return -1
+            self.fill(min(most, size + PART))
 
     def take(self, n: int) -> bytes:
         self.fill(n)
