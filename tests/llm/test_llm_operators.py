@@ -398,7 +398,7 @@ def test_urls(spark):
 
 
 def test_pipeline_and_queries(spark):
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{n}" for n in range(1, 14)}
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert out and [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "repeated_passages", "benchmark_leaks", "packed"]
 
