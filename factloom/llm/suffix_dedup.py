@@ -55,6 +55,8 @@ PASSAGE_ANCHOR = 32
 SHARD_BYTES = 3 << 19
 #: Different stretches of one gram beyond which they are dealt to several shards.
 HOT_BODIES = 4096
+#: Different stretches of a gram that may be dealt with its neighbours, and bytes of a text whose grams are neighbours.
+NEAR, PIECE = 128, 2048
 MAX_TASKS = 100_000
 #: Windows that are dealt to their grams at a time; a place in them has 20 bits.
 STRETCH = 1 << 19
@@ -162,23 +164,23 @@ def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int
         for batch in batches:
             lists, out, held = batch.column("parts"), [], 0
             ends, flat = lists.offsets.to_numpy(), lists.values
-            columns = ("start", "owned", "size", *_BODY, "several", "single", "hot")
+            columns = ("start", "owned", "size", *_BODY, "several", "key", "hot")
             part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in (*columns, "sort")}
             for k, raw in _texts(batch):
                 mine = np.arange(ends[k], ends[k + 1])
                 mine = mine[part["sort"][mine]]
                 mine = mine[np.argsort(part["start"][mine], kind="stable")]
-                string: list[tuple] = []  # stretches that follow each other: (start, owned, size, body)
-                for start, windows, size, *body, several, single, hot in zip(*(part[c][mine].tolist() for c in columns), strict=True):
-                    if string and not (single and string[-1][0] + string[-1][1] == start):
+                string: list[tuple] = []  # stretches that follow each other: (start, owned, size, body, several, key)
+                for start, windows, size, *body, several, key, hot in zip(*(part[c][mine].tolist() for c in columns), strict=True):
+                    if string and (hot or string[-1][0] + string[-1][1] != start or string[-1][5] != key):
                         held += add(out, raw, string)
                         string = []
-                    if single:
-                        string.append((start, windows, size, body))
+                    if not hot:
+                        string.append((start, windows, size, body, several, key))
                         continue
                     whole = raw[start : start + size]
-                    for key, at, owned, n in split_stretch(whole, windows, body[0], lengths, gram) if hot else [(body[0], 0, windows, size)]:
-                        out.append((key % shards, *body, at, 0, *body, owned, n, several, whole[at : at + n].tobytes()))
+                    for own, at, owned, n in split_stretch(whole, windows, body[0], lengths, gram):
+                        out.append((own % shards, *body, at, 0, *body, owned, n, several, whole[at : at + n].tobytes()))
                         held += n
                 held += add(out, raw, string) if string else 0
                 if held > 4 << 20 or len(out) > 1 << 14:
@@ -188,10 +190,10 @@ def stretches(texts: DataFrame, shards: int, lengths: tuple[int, ...], gram: int
         common.release()
 
     def add(out: list[tuple], raw: np.ndarray, string: list[tuple]) -> int:
-        first, key = string[0][0], string[0][3]
-        end = max(start + size for start, _, size, _ in string)
-        for start, owned, size, body in string:
-            out.append((key[0] % shards, *key, 0, start - first, *body, owned, size, True, raw[first:end].tobytes() if start == first else b""))
+        first, id_, key = string[0][0], string[0][3], string[0][5]
+        end = max(start + size for start, _, size, *_ in string)
+        for start, owned, size, body, several, _ in string:
+            out.append((key % shards, *id_, 0, start - first, *body, owned, size, several, raw[first:end].tobytes() if start == first else b""))
         return end - first
 
     def pack(out: list[tuple]) -> pa.RecordBatch:
@@ -208,13 +210,13 @@ def sorted_bytes(texts: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch.column("parts")
             flat = lists.flatten()
-            part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "owned", "size", "sort", "single")}
+            part = {c: flat.field(c).to_numpy(zero_copy_only=False) for c in ("start", "owned", "size", "sort", "key", "hot")}
             row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
             mine = np.flatnonzero(part["sort"])
             mine = mine[np.lexsort((part["start"][mine], row[mine]))]
-            start, owned, size, single, row = part["start"][mine], part["owned"][mine], part["size"][mine], part["single"][mine], row[mine]
+            start, owned, size, key, hot, row = (*(part[c][mine] for c in ("start", "owned", "size", "key", "hot")), row[mine])
             goes_on = np.zeros(len(mine), bool)
-            goes_on[:-1] = single[:-1] & single[1:] & (row[:-1] == row[1:]) & (start[:-1] + owned[:-1] == start[1:])
+            goes_on[:-1] = ~hot[:-1] & ~hot[1:] & (key[:-1] == key[1:]) & (row[:-1] == row[1:]) & (start[:-1] + owned[:-1] == start[1:])
             yield pa.RecordBatch.from_arrays([pa.array([int(np.where(goes_on, owned, size).sum())], pa.int64())], ["n"])
 
     return texts.select("parts").mapInArrow(run, "n long")
@@ -318,16 +320,17 @@ def spans(docs: DataFrame, lengths: tuple[int, ...], gram: int = ANCHOR, shard_b
     discard(own, often)
     place = F.struct(*_KEY, "start")
     bodies = written(repeated.groupBy(*_BODY).agg(F.count("*").alias("n"), F.min(place).alias("one")), "bodies")
-    differ = written(bodies.groupBy("gram").agg(F.count("*").alias("bodies")).where("bodies > 1"), "differ")
-    known = bodies.join(differ, "gram", "left").select(*_BODY, "one", (F.col("n") > 1).alias("several"), F.col("bodies").isNull().alias("single"), (F.coalesce("bodies", F.lit(1)) > hot).alias("hot"))
-    part = F.struct("start", "owned", "size", *_BODY, "several", (place == F.col("one")).alias("sort"), "single", "hot")
+    grams = written(bodies.groupBy("gram").agg(F.count("*").alias("bodies"), F.min("one").alias("home")), "grams")
+    key = F.when(F.col("bodies") <= NEAR, F.xxhash64("home.h1", "home.h2", F.expr(f"home.start div {PIECE}"))).otherwise(F.col("gram"))
+    known = bodies.join(grams, "gram").select(*_BODY, "one", (F.col("n") > 1).alias("several"), key.alias("key"), (F.col("bodies") > hot).alias("hot"))
+    part = F.struct("start", "owned", "size", *_BODY, "several", (place == F.col("one")).alias("sort"), "key", "hot")
     placed = repeated.join(known.hint("shuffle_hash"), _BODY).select("doc_id", *_KEY, part.alias("part"))
     # one row stands for all with its text
     wanted = placed.groupBy(*_KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"), F.collect_set("part").alias("parts"))
     a, b = long.alias("a"), wanted.alias("b")
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.h1") == F.col("b.h1")) & (F.col("a.h2") == F.col("b.h2"))
     texts = written(a.join(b, same).select("a.h1", "a.h2", "text", F.expr("n div size(parts)").alias("copies"), "parts"), "repeats")
-    discard(repeated, bodies, differ)
+    discard(repeated, bodies, grams)
     total = sorted_bytes(texts).agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(shards, MAX_TASKS))
