@@ -146,8 +146,11 @@ def gone_bytes(raw, length):
         yield gone
 
 
-@pytest.mark.parametrize(("length", "hot"), [(100, 4096), (400, 4096), (400, 1)])
-def test_suffix_dedup(docs, empty, length, hot, monkeypatch):
+@pytest.mark.parametrize(("length", "hot", "near", "piece"), [(100, 4096, 128, 2048), (400, 4096, 128, 2048), (400, 1, 128, 2048), (400, 2, 3, 200), (100, 4096, 0, 1)])
+def test_suffix_dedup(docs, empty, length, hot, near, piece, monkeypatch):
+    """Against all strings, with grams dealt with their neighbours, by themselves, and split."""
+    monkeypatch.setattr(suffix_dedup, "NEAR", near)
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
     monkeypatch.setattr(suffix_dedup.spans, "__defaults__", (suffix_dedup.ANCHOR, 2000, hot))
     # a passage of which every document holds a part, in contexts of its own
     line = prose(123, 70)
@@ -159,7 +162,7 @@ def test_suffix_dedup(docs, empty, length, hot, monkeypatch):
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         want[i, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest(), sum(short)] += 1
     assert Counter(tuple(r) for r in suffix_dedup.report(docs, length).collect()) == want
-    if length == 400 and hot > 1:
+    if length == 400 and hot == 4096:
         assert suffix_dedup.report(empty, length).count() == 0
         out = suffix_dedup.without_repeats(docs, length)
         assert out.columns == docs.columns
