@@ -52,7 +52,7 @@ SHARED = 300
 ANCHOR = 64
 #: For the short strings of passages: a wider gram would leave few to choose from in a string, and so more of them.
 PASSAGE_ANCHOR = 32
-SHARD_BYTES = 3 << 19
+SHARD_BYTES = 1 << 20
 #: Different stretches of one gram beyond which they are dealt to several shards.
 HOT_BODIES = 4096
 #: Different stretches of a gram that may be dealt with its neighbours, and bytes of a text whose grams are neighbours.
