@@ -183,9 +183,10 @@ class Window:
 
     def fill(self, n: int) -> bool:
         """Holds n bytes from here on, if there are as many."""
-        found, size = [self.held[self.at :]], len(self.held) - self.at
+        size = len(self.held) - self.at
         if size >= n:
             return True
+        found = [self.held[self.at :]]
         while size < n and self.is_open:
             try:
                 found.append(next(self.parts))
