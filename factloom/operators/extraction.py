@@ -85,7 +85,7 @@ def _widening(block: str, near: str, around: str, head: str) -> Iterator[str]:
 def find_nii(context: str | None, around: int = 3, head: int = 2200) -> tuple[str, str, str] | None:
     """Net interest income: (value as printed, unit, chunk number), the candidate of most points, of equals the first.
 
-    The first number after the words is taken; if that is a year, the candidate is lost.
+    The first number after the words is taken; if that is a year, the candidate is lost. What is printed with a dollar sign is no year.
     """
     best, blocks = None, split_blocks(context or "")
     for i, block in enumerate(blocks):
@@ -93,7 +93,7 @@ def find_nii(context: str | None, around: int = 3, head: int = 2200) -> tuple[st
         for m in _NII.finditer(block) if cite else ():
             printed = m.group(1).strip()
             value = amount(printed)
-            if value is None or is_year_like(value):
+            if value is None or ("$" not in printed and is_year_like(value)):
                 continue
             near = block[max(0, m.start() - 180) : m.end() + 220]
             neighbours = "\n\n".join(blocks[max(0, i - around) : i + around + 1])
