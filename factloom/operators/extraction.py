@@ -246,6 +246,12 @@ def compute_ratios(context: str | None, year: int) -> dict[str, tuple[str, str,
     return {"ROA": (f"{100 * income / assets:.2f}", "%", source + "Assets)"), "ROE": (f"{100 * income / equity:.2f}", "%", source + "Equity)")}
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly over some tasks a core. A narrow table is one file split, so one task's work, however long each of its rows takes."""
+    spark = rows.sparkSession
+    return rows.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 FOUND = "metric_name string, value string, unit string, source_chunk_id string, origin string"
 
 
@@ -261,7 +267,7 @@ def extracted(contexts: DataFrame, key: str, year: int) -> DataFrame:
                 rows += [(k, m, *v, "computed") for m, v in compute_ratios(c, year).items()]
             yield pd.DataFrame(rows, columns=[key, "metric_name", "value", "unit", "source_chunk_id", "origin"])
 
-    return contexts.select(key, "context").mapInPandas(run, f"{contexts.select(key).schema[0].simpleString().replace(':', ' ', 1)}, {FOUND}")
+    return spread(contexts.select(key, "context")).mapInPandas(run, f"{contexts.select(key).schema[0].simpleString().replace(':', ' ', 1)}, {FOUND}")
 
 
 def loose_json(text: str | None):
