@@ -97,18 +97,15 @@ def find_nii(context: str | None, around: int = 3, head: int = 2200) -> tuple[st
                 continue
             near = block[max(0, m.start() - 180) : m.end() + 220]
             neighbours = "\n\n".join(blocks[max(0, i - around) : i + around + 1])
-            said = list(_widening(block, near, neighbours, (context or "")[:head]))
+            said = _widening(block, near, neighbours, (context or "")[:head])
             scales = ("thousand", "million", "billion")
-            if said[0] != MISSING:
-                unit = said[0]
-            elif said[1] in scales:
-                unit = said[1]
-            else:
-                unit = said[1]
-                for own, scale in ((said[2], said[3]), (said[4], said[5])):
-                    unit = own if own != MISSING else scale if scale != MISSING else unit
+            unit = next(said)
+            if unit == MISSING:
+                unit = next(said)
+                for own, scale in zip(said, said, strict=False):  # two for each place, asked for as far as needed
                     if unit in scales:
                         break
+                    unit = own if own != MISSING else scale if scale != MISSING else unit
             points = (100 if unit in scales else 30 if unit == "dollars" else 0) + 20 * ("," in printed) + 10 * (abs(value) >= 1000)
             points -= 50 * (unit == "dollars" and "," not in printed and abs(value) < 1000)
             if best is None or points > best[0]:
@@ -235,11 +232,13 @@ def compute_ratios(context: str | None, year: int) -> dict[str, tuple[str, str,
     """ROA and ROE from net income and both averages, if all three are found and plausible (averages of 1e6 or more, assets above income)."""
     summary, average = vertical_table(context, V.SUMMARY_TITLE, year, V.SUMMARY_STOPS), vertical_table(context, V.AVERAGE_TITLE, year, V.AVERAGE_STOPS)
     income = summary.get("Net Income") or _labelled(summary, "net", "income")
+    if income is None:
+        return {}
     if average:
         assets, equity = ((_labelled(average, "average", w) or _labelled(average, "avg", w) or _labelled(average, w)) for w in ("assets", "equity"))
     else:
         assets, equity = money_after(context, V.ASSET_LABELS), money_after(context, V.EQUITY_LABELS)
-    if income is None or assets is None or equity is None or min(assets, equity) < 1e6 or assets <= max(1.0, income):
+    if assets is None or equity is None or min(assets, equity) < 1e6 or assets <= max(1.0, income):
         return {}
     cite = re.search(V.HEADER, context or "")
     source = f"COMPUTED_FROM {cite.group(0) if cite else MISSING} (Net Income / Avg "
