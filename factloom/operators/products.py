@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Scores that are held at a time, and rows that a block of queries may keep in a task.
 CELLS, KEPT = 1 << 22, 100_000
+#: Pairs of a row and a query that are scored again at a time, however many are near a bound.
+AT_ONCE = 1 << 15
 
 
 def matrix(column, dims: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -108,24 +110,28 @@ class Best:
         self.held: list[pa.Table] = []
         self.rows = 0
 
-    def add(self, batch: pa.RecordBatch, allowed: np.ndarray | None = None) -> None:
-        """allowed: for each row of the batch and each query whether they may meet."""
+    def add(self, batch: pa.RecordBatch, allowed: np.ndarray | None = None, of: np.ndarray | None = None) -> None:
+        """allowed: for each row of the batch and each query whether they may meet; of: the queries that its rows meet at all."""
         q = self.queries
-        for rows, vectors in parts(batch, q.dims, len(q)):
-            scores = vectors @ q.vectors.T
+        of = np.arange(len(q)) if of is None else of
+        asked, others = q.vectors[of], batch.select([c for c in batch.schema.names if c != "embedding"])
+        for rows, vectors in parts(batch, q.dims, len(of)):
+            scores, wide = vectors @ asked.T, margin(q, vectors, self.digits)[of]
             if allowed is not None:
-                scores[~allowed[rows]] = -np.inf
-            least = self.least
-            if len(rows) > self.k:
-                least = np.maximum(least, np.partition(scores, len(rows) - self.k, axis=0)[len(rows) - self.k])
-            near = scores >= least - margin(q, vectors, self.digits)
-            r, of = np.nonzero(near & (scores > -np.inf))
-            exact = in_order(vectors[r], q.vectors[of], self.digits)
-            found = batch.select([c for c in batch.schema.names if c != "embedding"]).take(pa.array(rows[r]))
-            self.held.append(pa.Table.from_batches([found]).append_column("score", pa.array(exact)).append_column("_of", pa.array(of)))
-            self.rows += len(r)
-            if self.rows > 2 * self.k * len(q) + 1000:
-                self.compact()
+                scores[~allowed[np.ix_(rows, of)]] = -np.inf
+            near = (scores >= self.least[of] - wide) & (scores > -np.inf)
+            if len(rows) > self.k and np.count_nonzero(near) > 2 * self.k * len(of):
+                near &= scores >= np.partition(scores, len(rows) - self.k, axis=0)[len(rows) - self.k] - wide
+            r, at = np.nonzero(near)
+            for a in range(0, len(r), AT_ONCE):
+                i, j = r[a : a + AT_ONCE], at[a : a + AT_ONCE]
+                still = scores[i, j] >= self.least[of[j]] - wide[j]
+                i, j = i[still], of[j[still]]
+                exact = in_order(vectors[i], q.vectors[j], self.digits)
+                self.held.append(pa.Table.from_batches([others.take(pa.array(rows[i]))]).append_column("score", pa.array(exact)).append_column("_of", pa.array(j)))
+                self.rows += len(i)
+                if self.rows > 2 * self.k * len(q) + 1000:
+                    self.compact()
 
     def compact(self) -> None:
         if not self.rows:
@@ -154,14 +160,34 @@ def fields(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
-def partial_top_k(queries: DataFrame, vectors: DataFrame, k: int, tie: str, digits: int | None) -> DataFrame:
-    """query_id, the vectors' other columns, score: at most k rows a query a task, the best of the task. The queries are a block of checked size."""
+def partial_top_k(queries: DataFrame, vectors: DataFrame, k: int, tie: str, digits: int | None, meet: pa.Table | None = None) -> DataFrame:
+    """query_id, the vectors' other columns, score: at most k rows a query a task, the best of the task. The queries are a block of checked size.
+
+    meet: which query_id goes with which values of some of the vectors' columns, of checked size, too; without it all go with all.
+    """
     block = collected(queries)
+    by = [] if meet is None else [c for c in meet.column_names if c != "query_id"]
+    places: dict[tuple, np.ndarray] = {}
+    if meet is not None:
+        at = {x: i for i, x in enumerate(block.ids.to_pylist())}
+        listed: dict[tuple, set[int]] = {}
+        for query_id, *key in zip(*(meet.column(c).to_pylist() for c in ("query_id", *by)), strict=True):
+            if query_id in at and None not in key:
+                listed.setdefault(tuple(key), set()).add(at[query_id])
+        places = {key: np.array(sorted(x)) for key, x in listed.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(block, k, tie, digits)
         for b in batches:
-            best.add(b)
+            if meet is None:
+                best.add(b)
+                continue
+            own: dict[tuple, list[int]] = {}
+            for i, key in enumerate(zip(*(b.column(c).to_pylist() for c in by), strict=True)):
+                if key in places:
+                    own.setdefault(key, []).append(i)
+            for key, rows in own.items():
+                best.add(b.take(pa.array(rows)), of=places[key])
         yield from best.result()
 
     others = vectors.drop("embedding")
@@ -177,23 +203,25 @@ def ahead(queries: DataFrame, hits: pa.Table, vectors: DataFrame, tie: str, digi
     for query_id, place, score, key in zip(*(hits.column(c).to_pylist() for c in ("query_id", "place", "score", tie)), strict=True):
         own[at[query_id]].append((score, place, key))
     own = [sorted(x, key=lambda h: (h[0], -h[1])) for x in own]  # from the lowest score up, of equal ones the last place first
+    bounds = [np.array([h[0] for h in x]) for x in own]
+    lowest = np.array([x[0] if len(x) else np.inf for x in bounds])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = [np.zeros(len(x) + 1, np.int64) for x in own]
         exact = [np.zeros(len(x), np.int64) for x in own]
         for b in batches:
             for rows, vectors in parts(b, block.dims, len(block)):
-                scores, wide = vectors @ block.vectors.T, margin(block, vectors, digits)
-                for i, mine in enumerate(own):
-                    if not mine:
-                        continue
-                    bounds, column = np.array([h[0] for h in mine]), scores[:, i]
-                    over = np.searchsorted(bounds + wide[i], column, side="left")  # hits that are surely behind
+                scores, wide = block.vectors @ vectors.T, margin(block, vectors, digits)
+                some = scores >= (lowest - wide)[:, None]  # what may be ahead of any hit, which few are
+                for i in np.flatnonzero(some.any(axis=1)).tolist():
+                    mine, part = own[i], np.flatnonzero(some[i])
+                    column = scores[i][part]
+                    over = np.searchsorted(bounds[i] + wide[i], column, side="left")  # hits that are surely behind
                     counts[i] += np.bincount(over, minlength=len(mine) + 1)
-                    near = np.flatnonzero(np.searchsorted(bounds - wide[i], column, side="right") != over)
+                    near = np.flatnonzero(np.searchsorted(bounds[i] - wide[i], column, side="right") != over)
                     if len(near):
-                        again = in_order(vectors[near], np.broadcast_to(block.vectors[i], (len(near), block.dims)), digits)
-                        keys = b.column(tie).take(pa.array(rows[near])).to_pylist()
+                        again = in_order(vectors[part[near]], np.broadcast_to(block.vectors[i], (len(near), block.dims)), digits)
+                        keys = b.column(tie).take(pa.array(rows[part[near]])).to_pylist()
                         for s, key, j in zip(again.tolist(), keys, over[near].tolist(), strict=True):
                             for h in range(j, len(mine)):
                                 exact[i][h] += s > mine[h][0] or (s == mine[h][0] and before(key, mine[h][2]))

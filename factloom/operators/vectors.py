@@ -15,6 +15,8 @@ from . import products
 
 #: Queries that may be broadcast; more are processed in blocks of this size.
 BROADCAST_QUERIES = 1000
+#: Pairs of a query and an entity that a block may hand to tasks; with more, the entities' rows are joined.
+ENTITIES = 100_000
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -64,10 +66,14 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 50, tie: str = "vec_i
 def adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column | DataFrame, want: Column | int, first_k: int = 200, most_k: int = 20_000, tie: str = "vec_id", digits: int | None = None) -> DataFrame:
     """`adaptive_k` without ranking what it doesn't need: the entity's `want` best rows come from its own rows alone, and one pass over all vectors counts what is ahead of each.
 
-    queries: query_id, query and columns that entity and want name. entity: a condition, or a table of which query_id goes with
-    which values of some of the vectors' columns, which is joined by equality. `want` is at most products.KEPT over the queries of a block.
+    queries: query_id, query and columns that entity and want name. entity: a table of which query_id goes with which values of
+    some of the vectors' columns, or a condition, which is worked out pair by pair, so that it is for few rows.
+    `want` is at most products.KEPT over the queries of a block.
     """
-    parts = [_adaptive_top_k(part, vectors, entity, want, first_k, most_k, tie, digits) for part in blocks(queries)]
+    if isinstance(entity, DataFrame):
+        entity = scratch.written(entity.select("query_id", *(F.col(c).cast(vectors.schema[c].dataType).alias(c) for c in entity.columns if c != "query_id")).distinct(), "entities")
+    # each block is written, or one task would hold the sorts and tables of all blocks at once
+    parts = [scratch.written(_adaptive_top_k(part, vectors, entity, want, first_k, most_k, tie, digits), "adaptive-ranked") for part in blocks(queries)]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -75,13 +81,21 @@ def adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column | Data
 
 
 def _adaptive_top_k(queries: DataFrame, vectors: DataFrame, entity: Column | DataFrame, want: Column | int, first_k: int, most_k: int, tie: str, digits: int | None) -> DataFrame:
-    # the rows of the entities asked for are scored pair by pair; a filter on the vectors alone reaches their scan
-    if isinstance(entity, DataFrame):
-        pairs = vectors.join(entity, [c for c in entity.columns if c != "query_id"]).join(F.broadcast(queries), "query_id").select(*vectors.columns, *queries.columns)
+    named = entity.join(F.broadcast(queries.select("query_id")), "query_id", "left_semi") if isinstance(entity, DataFrame) else None
+    if named is not None and named.count() <= ENTITIES:
+        # each task keeps the best of its own rows, so no row stands for a pair and no task gets an entity
+        meet, keys = named.toArrow(), [c for c in named.columns if c != "query_id"]
+        listed = vectors.sparkSession.createDataFrame(meet.select(keys).group_by(keys).aggregate([]))
+        rows = vectors.join(F.broadcast(listed), keys, "left_semi").select(*vectors.columns)
+        most = queries.agg(F.max(want if isinstance(want, Column) else F.lit(want))).first()[0]
+        pairs = products.partial_top_k(queries, rows, max(1, most or 1), tie, digits, meet).join(F.broadcast(queries.drop("query")), "query_id")
     else:
-        pairs = vectors.join(F.broadcast(queries), entity)
-    pairs = pairs.withColumn("score", products.inner(F.col("embedding"), F.col("query"))).drop("embedding", "query")
-    pairs = (pairs.withColumn("score", F.round("score", digits)) if digits is not None else pairs).where("score IS NOT NULL")
+        if named is not None:
+            pairs = vectors.join(named, [c for c in named.columns if c != "query_id"]).join(F.broadcast(queries), "query_id").select(*vectors.columns, *queries.columns)
+        else:
+            pairs = vectors.join(F.broadcast(queries), entity)
+        pairs = pairs.withColumn("score", products.inner(F.col("embedding"), F.col("query"))).drop("embedding", "query")
+        pairs = (pairs.withColumn("score", F.round("score", digits)) if digits is not None else pairs).where("score IS NOT NULL")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), tie))
     own = scratch.written(pairs.withColumn("place", place).where(F.col("place") <= want), "adaptive")
     hits = own.select("query_id", "place", "score", tie)

@@ -81,6 +81,31 @@ def test_adaptive(spark, monkeypatch, tie, block, cells):
     assert rows_of(got) == rows_of(want) and len(rows_of(got)) > 20
 
 
+@pytest.mark.parametrize("tie,cells,entities", [("key", 1 << 22, 100_000), ("vec_id", 64, 100_000), ("vec_id", 1 << 22, 5)])
+def test_a_table_of_entities(spark, monkeypatch, tie, cells, entities):
+    """What a condition gives, also in small parts, and where a block has more entities than a task is handed."""
+    rows = [r for r in made() if r[1] is not None or r[0] == 9]
+    v = spark.createDataFrame(rows, SCHEMA).drop("score").repartition(3)
+    q = spark.createDataFrame(asked(rows), "query_id long, query array<float>, asked int, want int").where("want < 3")
+    rows_of = lambda df: sorted(tuple(x) for x in df.select("query_id", "vec_id", "rank", "k_used", "label").collect())
+    want = rows_of(vectors.adaptive_top_k(q, v, F.col("label") == F.col("asked"), F.col("want"), 2, 100, tie, 9))
+    monkeypatch.setattr(products, "CELLS", cells)
+    monkeypatch.setattr(products, "AT_ONCE", 3)
+    monkeypatch.setattr(vectors, "ENTITIES", entities)
+    table = q.select("query_id", F.col("asked").cast("long").alias("label"))
+    assert rows_of(vectors.adaptive_top_k(q, v, table, F.col("want"), 2, 100, tie, 9)) == want and len(want) > 10
+
+
+def test_entities_make_no_pairs(spark, monkeypatch):
+    """Neither a row a pair nor an exchange of the vectors by entity; each task sends what it may keep."""
+    seen = []
+    monkeypatch.setattr(vectors.scratch, "written", lambda df, name, own=vectors.scratch.written: (seen.append(df._jdf.queryExecution().executedPlan().toString()) if name == "adaptive" else None, own(df, name))[1])
+    v = spark.createDataFrame(made(2000), SCHEMA).drop("score").repartition(4)
+    q = spark.createDataFrame(asked(made()), "query_id long, query array<float>, asked int, want int")
+    assert vectors.adaptive_top_k(q, v, q.select("query_id", F.col("asked").alias("label")), F.col("want"), 2, 100).count() > 20
+    assert seen and all("NestedLoop" not in p and "ArrowEvalPython" not in p and "MapInArrow" in p and "hashpartitioning(label" not in p for p in seen)
+
+
 def test_plans(spark):
     """k rows a query a task go to the one shuffle, and no row stands for a pair."""
     rows = made(2000)
