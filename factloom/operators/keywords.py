@@ -8,12 +8,15 @@ one reading. It is built once in each worker process for each table of rules.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import bounded
 from .vectors import blocks
 
 #: Rules of one automaton; more are taken in blocks of this size.
@@ -106,14 +109,13 @@ _made: dict[str, Automaton] = {}
 HIT = "array<struct<place:int,tag:string,keyword:string,points:int>>"
 
 
-def matched(spark: SparkSession, rules: list[tuple], *texts: Column) -> Column:
-    """The rules (place, tag, keyword, points) whose keyword stands in one of the texts, without regard to case, in rule order; none for a null text."""
+def _matcher(spark: SparkSession, rules: list[tuple]):
+    """A function from arrays of lower-case texts to the hits of each row."""
     rules = sorted(rules)
     lower = [r[0] for r in spark.createDataFrame([(i, r[2]) for i, r in enumerate(rules)], "i int, k string").orderBy("i").select(F.lower("k")).collect()] if rules else []
     shared, name = spark.sparkContext.broadcast((rules, lower)), uuid.uuid4().hex
     kind = pa.list_(pa.struct([("place", pa.int32()), ("tag", pa.string()), ("keyword", pa.string()), ("points", pa.int32())]))
 
-    @F.arrow_udf(HIT)
     def hits(*columns: pa.Array) -> pa.Array:
         rules, lower = shared.value
         if name not in _made:
@@ -132,14 +134,34 @@ def matched(spark: SparkSession, rules: list[tuple], *texts: Column) -> Column:
         values = pa.StructArray.from_arrays(taken, fields=list(kind.value_type))
         return pa.ListArray.from_arrays(pa.array(at, pa.int32()), values)
 
+    return hits
+
+
+def matched(spark: SparkSession, rules: list[tuple], *texts: Column) -> Column:
+    """The rules (place, tag, keyword, points) whose keyword stands in one of the texts, without regard to case, in rule order; none for a null text."""
+    found = _matcher(spark, rules)
+
+    @F.arrow_udf(HIT)
+    def hits(*columns: pa.Array) -> pa.Array:
+        return found(*columns)
+
     return hits(*(F.lower(t) for t in texts))
 
 
 def matched_rules(rows: DataFrame, rules: DataFrame, key: str, *texts: Column) -> DataFrame:
     """key, hits: the rows with at least one hit of a table of rules of any size. Rules are read in blocks, each one pass over the texts; blocks of one row come together again by its key."""
+    lower = bounded(rows).select(key, *(F.lower(t).alias(f"_{i}") for i, t in enumerate(texts)))
     out = None
     for part in blocks(rules.where("keyword IS NOT NULL"), "place", RULES_AT_ONCE):
-        listed = [tuple(r) for r in part.select("place", "tag", "keyword", "points").collect()]
-        own = rows.select(key, matched(rows.sparkSession, listed, *texts).alias("hits")).where(F.size("hits") > 0)
+        find = _matcher(rows.sparkSession, [tuple(r) for r in part.select("place", "tag", "keyword", "points").collect()])
+
+        def run(batches: Iterator[pa.RecordBatch], find=find) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                hits = find(*b.columns[1:])
+                some = pc.greater(pc.list_value_length(hits), 0)
+                yield pa.RecordBatch.from_arrays([b.column(0).filter(some), hits.filter(some)], [key, "hits"])
+
+        # read by one pass: a filter on a column that Python makes has it made twice
+        own = lower.mapInArrow(run, f"`{key}` {rows.schema[key].dataType.simpleString()}, hits {HIT}")
         out = own if out is None else out.unionByName(own)
     return out
