@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import stores
+from .scratch import bounded
 
 BANKS = "idrssd string, username string, url string, `financial report` string, `financial report link` string"
 CHUNKS = "year string, bank_folder string, source_txt string, chunk_id int, char_start int, char_end int, text string"
@@ -53,9 +56,42 @@ def read_texts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_pdfs(spark: SparkSession, root: str) -> DataFrame:
-    """path, bank_folder, length, content of root/<folder>/*.pdf. Content is read only where a plan uses it."""
-    raw = spark.read.format("binaryFile").load(f"{root}/*/*.pdf")
-    return raw.select("path", F.element_at(F.split("path", "/"), -2).alias("bank_folder"), "length", "content")
+    """path, bank_folder, length, content of root/<folder>/*.pdf. Content is read only where a plan uses it.
+
+    The driver lists the folders, tasks list the files in them; on a file system that only Spark knows the driver lists all.
+    """
+    try:
+        system, base = stores.at(root)
+    except pa.ArrowInvalid:
+        raw = spark.read.format("binaryFile").load(f"{root}/*/*.pdf")
+        return raw.select("path", F.element_at(F.split("path", "/"), -2).alias("bank_folder"), "length", "content")
+    shown = lambda name: name[:1] not in ("_", ".")
+    folders = [f.base_name for f in system.get_file_info(fs.FileSelector(base)) if f.type == fs.FileType.Directory and shown(f.base_name)]
+
+    def listed(batches):
+        system, base = stores.at(root)
+        for b in batches:
+            for folder in b.column("folder").to_pylist():
+                found = system.get_file_info(fs.FileSelector(f"{base}/{folder}"))
+                own = [f for f in found if f.type == fs.FileType.File and f.base_name.endswith(".pdf") and shown(f.base_name)]
+                for a in range(0, len(own), 10_000):
+                    part = own[a : a + 10_000]
+                    columns = [pa.array([f.path for f in part], pa.string()), pa.array([folder] * len(part), pa.string()), pa.array([f.size for f in part], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["path", "bank_folder", "length"])
+
+    @F.arrow_udf("binary")
+    def content(paths: pa.Array) -> pa.Array:
+        system, _ = stores.at(root)
+        out = []
+        for path in paths.to_pylist():
+            with system.open_input_stream(path) as f:
+                out.append(f.read())
+        return pa.array(out, pa.binary())
+
+    n = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = spark.createDataFrame([(f,) for f in folders], "folder string").repartition(max(1, min(len(folders), n)), "folder")
+    rows = rows.mapInArrow(listed, "path string, bank_folder string, length long").repartition(n)
+    return bounded(rows, 16).withColumn("content", content("path"))
 
 
 def write_csv(df: DataFrame, path: str, bom: bool = False) -> None:

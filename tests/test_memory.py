@@ -1,6 +1,7 @@
 """What Python holds at a time doesn't grow with the tables."""
 
 from factloom.operators import chunks, pages
+from factloom.sources import files
 
 ROWS = "arrow.maxRecordsPerBatch"
 
@@ -19,3 +20,15 @@ def test_rules_read_pages_once_and_in_small_batches(spark):
     assert sorted(((r.page_id, r.score, r.reasons) for r in out.collect()), key=str) == [(1, 1, "T::annual;NEG::zz"), (None, -1, "NEG::zz")]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
     assert int(out.sparkSession.conf.get(f"spark.sql.execution.{ROWS}")) <= 1000
+
+
+def test_files_are_listed_in_tasks(spark, tmp_path):
+    names = ["a/x.pdf", "a/y.txt", "a/_no.pdf", "b/é z.pdf", ".c/x.pdf", "loose.pdf", "a/deep/x.pdf"]
+    for n in names:
+        (tmp_path / n).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / n).write_bytes(n.encode())
+    for root in (str(tmp_path), tmp_path.as_uri()):
+        found = files.read_pdfs(spark, root)
+        assert "binaryFile" not in found._jdf.queryExecution().optimizedPlan().toString() and found.inputFiles() == []
+        assert sorted((r.bank_folder, r.length, bytes(r.content).decode()) for r in found.collect()) == [("a", 7, "a/x.pdf"), ("b", 9, "b/é z.pdf")]
+        assert "ArrowEvalPython" not in found.drop("content")._jdf.queryExecution().optimizedPlan().toString()
