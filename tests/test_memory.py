@@ -30,5 +30,5 @@ def test_files_are_listed_in_tasks(spark, tmp_path):
     for root in (str(tmp_path), tmp_path.as_uri()):
         found = files.read_pdfs(spark, root)
         assert "binaryFile" not in found._jdf.queryExecution().optimizedPlan().toString() and found.inputFiles() == []
-        assert sorted((r.bank_folder, r.length, bytes(r.content).decode()) for r in found.collect()) == [("a", 7, "a/x.pdf"), ("b", 9, "b/é z.pdf")]
+        assert sorted((r.bank_folder, r.length, bytes(r.content).decode()) for r in found.collect()) == [("a", 7, "a/x.pdf"), ("b", 10, "b/é z.pdf")]
         assert "ArrowEvalPython" not in found.drop("content")._jdf.queryExecution().optimizedPlan().toString()
