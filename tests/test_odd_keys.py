@@ -21,3 +21,8 @@ def test_dollars_are_no_year():
     head = "[k=a|stem=s|chunk=4]\n(rank=1 score=0.5)\n"
     assert extraction.find_nii(head + "net interest income of $1903") == ("$1903", "dollars", "4")
     assert extraction.find_nii(head + "net interest income of 1903") is None
+
+
+def test_contexts_are_dealt_over_the_cores(spark):
+    rows = spark.range(64).selectExpr("id AS k", "'' AS context").coalesce(1)
+    assert "RoundRobinPartitioning(16)" in extraction.extracted(rows, "k", 2024)._jdf.queryExecution().executedPlan().toString()
